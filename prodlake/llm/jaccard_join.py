@@ -5,7 +5,7 @@ Sets are split by size into bands, so that similar sets lie in one band or in ne
 each band the token universe is cut into m segments; two linked sets differ in at most H tokens, so
 some segment differs in no token, or, where a segment also indexes its one-deletion neighbourhood, in
 at most one. Per band the number of segments with a neighbourhood is the one of least cost: index
-entries plus expected chance matches among the band's sets, from the measured band histogram.
+entries plus expected comparisons by chance among the band's sets, from the measured band histogram.
 
 The index finds candidates as stars (document, smallest document of the entry), never as all pairs.
 Stars are joined into families; the documents of a family are compared exactly, in pairs of blocks of
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
-from prodlake.llm.session import components, stash, u64
+from prodlake.llm.session import components, pieces, stash, u64
 
 BLOCK = 256
 _SEED = U64(0x5851F42D4C957F2D)
@@ -79,9 +79,12 @@ def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int,
             m = differ + 1 - near
             if m < near:
                 continue
+            # A segment is empty, or too small for its neighbourhood to tell, by chance: the set then meets
+            # unrelated ones and its tokens are sent to be compared, again for each block of those.
             fill = smallest / m
             empty = math.exp(-min(fill, 700))
-            cost = m + near * high / m + members * ((m - near) * empty + near * empty * (1 + fill))
+            chance = [(m - near, empty), (near, empty * (1 + fill))]
+            cost = m + near * high / m + sum(k * p * high * (1 + members * p / BLOCK) for k, p in chance)
             if best is None or cost < best[0]:
                 best = (cost, m, near)
         out[e] = best[1:]
@@ -119,7 +122,7 @@ def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int]
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, 1):
         sets = shingle_sets(batch.column(1).to_pylist(), n)
         one = np.array([mix(s + _SEED).sum(dtype=U64) for s in sets], dtype=U64)
         two = np.array([np.bitwise_xor.reduce(mix(s ^ _SEED)) if len(s) else 0 for s in sets], dtype=U64)
@@ -128,7 +131,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
 
 
 def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, 1):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         first: dict[str, int] = {}  # copies of a text in a batch give the same entries: only the smallest id's
         for i, t in zip(ids, texts, strict=True):
@@ -145,7 +148,7 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(x, y, side, doc_id, tokens): the last column of the input is the text."""
-    for batch in batches:
+    for batch in pieces(batches, 4):
         sets = shingle_sets(batch.column(4).to_pylist(), n)
         tokens = pa.array([s.tobytes() for s in sets], pa.binary())
         yield pa.record_batch([*[batch.column(k) for k in range(4)], tokens], names=["family", "x", "y", "doc_id", "tokens"])

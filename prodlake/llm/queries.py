@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prodlake.llm.jaccard_join import jaccard_components
 from prodlake.llm.session import documents
+from prodlake.llm.suffix_dedup import repeated_passages
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), n=3, percent=90)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,29 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Arrow batches of some megabytes at most, whatever the length of the texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the texts of a piece stay under `limit` bytes (or the piece is one row)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+        if sizes.sum() <= limit:
+            yield batch
+            continue
+        part, at = np.cumsum(sizes) // limit, 0
+        for to in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]:
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -110,10 +133,6 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def as_list(column: pa.Array) -> list:
-    return column.to_pylist()
-
-
 def u64(column: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark longs."""
     return pa.array(column.view(np.int64), pa.int64())
