@@ -3,11 +3,12 @@
 Two documents link when their shingle sets have Jaccard similarity of at least 90/100 (a parameter).
 Sets are split by size into bands, so that similar sets lie in one band or in neighbouring bands. For
 each band the token universe is cut into m segments; two linked sets differ in at most H tokens, so
-some segment differs in no token, or, where a segment also indexes its one-deletion neighbourhood, in
-at most one. Per band the number of segments with a neighbourhood is the one of least cost: index
-entries plus expected comparisons by chance among the band's sets, from the measured band histogram.
+some segment differs in no token, or, where a segment indexes its one-deletion neighbourhood or the
+subsets of two of its three cells, in at most one. Per band the numbers of segments of each kind are
+those of least cost: index entries plus expected comparisons by chance among the band's sets, from the
+measured band histogram.
 
-The index finds candidates as stars (document, smallest document of the entry), never as all pairs.
+The sorted index gives candidates as stars (document, smallest document of the entry), never as all pairs.
 Stars are joined into families; the documents of a family are compared exactly, in pairs of blocks of
 bounded size, and the exact links are joined into the components that are returned.
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
-from prodlake.llm.session import components, pieces, stash, u64
+from prodlake.llm.session import components, pieces, shared_runs, stash, u64
 
 BLOCK = 256
 _SEED = U64(0x5851F42D4C957F2D)
@@ -65,35 +66,60 @@ def bands(percent: int) -> np.ndarray:
     return np.array(out + [low], dtype=np.int64)
 
 
-def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int, int]]:
-    """Band -> (segments, segments with a one-deletion neighbourhood) of least cost."""
+def _tail(mean: float, over: int) -> float:
+    """P(a Poisson variable > over)."""
+    if mean > 200:
+        return 0.5 * math.erfc((over + 0.5 - mean) / math.sqrt(2 * mean))
+    term = total = math.exp(-mean)
+    for k in range(1, over + 1):
+        term *= mean / k
+        total += term
+    return max(0.0, 1 - total)
+
+
+def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int, int, int, int]]:
+    """Band -> (segments, those with a one-deletion neighbourhood, those with subsets, spare) of least cost.
+
+    Linked sets differ in at most H tokens. A whole segment spends one of the H + 1 differences that the
+    pigeonhole must cover, the two other kinds spend two. Segments of at most one token agree by chance.
+    With `spare` further whole segments, a set holding no more than that many such small ones needs no
+    entries for them: among the segments that agree with a linked set's, another one is left. A set with
+    more of them enters all; two such sets still meet.
+    """
     edge, out = bands(percent), {}
     for e in sorted({b + k for b in histogram for k in (0, 1)}):
         high = int(edge[e + 1]) - 1
         # |a| + |b| - 2 * |a and b| <= (|a| + |b|) * (100 - percent) / (100 + percent)
-        differ = 2 * high * (100 - percent) // (100 + percent)
+        need = 2 * high * (100 - percent) // (100 + percent) + 1
         members = histogram.get(e, 0) + histogram.get(e - 1, 0)
         smallest = int(edge[max(e - 1, 0)])
-        best = None
-        for near in range((differ + 1) // 2 + 1):
-            m = differ + 1 - near
-            if m < near:
-                continue
-            # A segment is empty, or too small for its neighbourhood to tell, by chance: the set then meets
-            # unrelated ones and its tokens are sent to be compared, again for each block of those.
+        options = []
+        for sigmas in range(6):
+            m = need
+            for _ in range(3):  # the small ones' number depends on m
+                fill = smallest / m
+                mean = m * math.exp(-fill) * (1 + fill)
+                spare = round(mean + sigmas * math.sqrt(mean)) if sigmas else 0
+                m = need + spare
+            options.append((m, m, 0, 0, spare, _tail(mean, spare) * mean, math.exp(-fill)))
+        steps = sorted({need // 2 * k // 4 for k in range(5)})
+        for near, parts in [(n, p) for n in steps for p in steps if 0 < n + p <= need // 2]:
+            m = need - near - parts
             fill = smallest / m
-            empty = math.exp(-min(fill, 700))
-            chance = [(m - near, empty), (near, empty * (1 + fill))]
-            cost = m + near * high / m + sum(k * p * high * (1 + members * p / BLOCK) for k, p in chance)
-            if best is None or cost < best[0]:
-                best = (cost, m, near)
-        out[e] = best[1:]
+            chance = [(m - near - parts, math.exp(-fill)), (near, math.exp(-fill) * (1 + fill)), (3 * parts, math.exp(-fill * 2 / 3))]
+            entries = m - near - parts + near * (1 + high / m) + 3 * parts
+            options.append((entries, m, near, parts, 0, sum(k * p for k, p in chance), max(p for k, p in chance if k)))
+        # entries of a set, and its tokens (half an entry's bytes each) when it meets unrelated sets by chance,
+        # again for each block of those: the sets of one small segment, or all once the meetings percolate
+        cost = lambda o: o[0] + min(1.0, o[5]) * high / 2 * (1 + members * (o[6] if o[5] < 0.5 else 1.0) / BLOCK)
+        out[e] = min(options, key=cost)[1:5]
     return out
 
 
 @lru_cache(maxsize=4096)
 def _cuts(m: int) -> np.ndarray:
-    return np.array([-((-k << 64) // m) for k in range(1, m)], dtype=U64)
+    """Bounds of 3 * m equal cells of the 64-bit range; three cells make a segment."""
+    return np.array([-((-k << 64) // (3 * m)) for k in range(1, 3 * m)], dtype=U64)
 
 
 @lru_cache(maxsize=4096)
@@ -101,7 +127,7 @@ def _salts(e: int, m: int) -> np.ndarray:
     return mix(np.arange(m, dtype=U64) + (U64(e + 1) << U64(32)))
 
 
-def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int]]) -> np.ndarray:
+def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int, int]]) -> np.ndarray:
     """Index entries of one set in the schemes of its band and of the next."""
     band = int(np.searchsorted(bands(percent), len(tokens), side="right")) - 1
     weight = mix(tokens + _SEED)
@@ -109,16 +135,27 @@ def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int]
     np.cumsum(weight, out=sums[1:])
     out = []
     for e in (band, band + 1):
-        m, near = plan[e]
+        m, near, parts, spare = plan[e]
         at = np.concatenate([[0], np.searchsorted(tokens, _cuts(m)), [len(tokens)]])
-        whole = sums[at[1:]] - sums[at[:-1]]
-        salt = _salts(e, m)
-        out.append(mix(whole + salt))
-        if near:  # the first segments carry the neighbourhood
-            upto = at[near]
-            segment = np.repeat(np.arange(near), np.diff(at[: near + 1]))
-            out.append(mix(whole[segment] - weight[:upto] + salt[segment]))
-    return np.unique(np.concatenate(out))
+        cell = (sums[at[1:]] - sums[at[:-1]]).reshape(m, 3)
+        whole = cell.sum(axis=1, dtype=U64) + _salts(e, m)
+        small = at[3::3] - at[:-1:3] <= 1
+        if spare and small.sum() <= spare:
+            out.append(whole[~small])
+            continue
+        out += [whole[:near], whole[near + parts :]]
+        if near:  # the first segments carry the neighbourhood: the segment without one of its tokens
+            upto = at[3 * near]
+            out.append(whole[np.repeat(np.arange(near), np.diff(at[: 3 * near + 1 : 3]))] - weight[:upto])
+        if parts:  # the next ones the subsets: the segment without one of its three cells
+            some = slice(near, near + parts)
+            out.append((whole[some, None] - cell[some] + _seeds(3)).ravel())
+    return np.unique(mix(np.concatenate(out)))
+
+
+@lru_cache(maxsize=4)
+def _seeds(n: int) -> np.ndarray:
+    return mix(np.arange(n, dtype=U64) + U64(7))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -143,7 +180,8 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict
                 keys.append(signatures(tokens, percent, plan))
                 docs.append(np.full(len(keys[-1]), doc, dtype=np.int64))
         if keys:
-            yield pa.record_batch([u64(np.concatenate(keys)), pa.array(np.concatenate(docs))], names=["entry", "doc_id"])
+            ids = np.concatenate(docs)
+            yield pa.record_batch([u64(np.concatenate(keys)), pa.array(ids), pa.array(np.zeros(len(ids), dtype=np.int32))], names=["key", "doc_id", "place"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -228,11 +266,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
             band = band + (F.col("n_shingles") >= low).cast("int")
     histogram = {int(r["band"]): int(r["n"]) for r in classes.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
     plan = plan_bands(histogram, percent)
-    entries = source.where("doc_id is not null").mapInArrow(lambda b: _entries(b, n, percent, plan), "entry long, doc_id long")
-    leaders = stash(
-        entries.groupBy("entry").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("last > leader").drop("last")
-    )
-    stars = entries.join(leaders, "entry").where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
+    entries = source.where("doc_id is not null").mapInArrow(lambda b: _entries(b, n, percent, plan), "key long, doc_id long, place int")
+    stars = shared_runs(entries).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     kept = classes.select(F.col("rep").alias("a"))
     stars = stash(stars.distinct().join(kept, "a"))
     families = stash(components(stars))

@@ -136,3 +136,71 @@ def components(edges: DataFrame) -> DataFrame:
 def u64(column: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark longs."""
     return pa.array(column.view(np.int64), pa.int64())
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scan rows (key, doc_id, place) in order; see shared_runs()."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("open", pa.bool_())])
+    held: tuple | None = None  # key, leader, places of the leader, last document: the run not yet ended
+    at_start = True
+
+    def frame(k, d, p, first, last, is_open) -> pa.RecordBatch:
+        n = len(d)
+        fill = lambda x, kind: pa.array(np.broadcast_to(np.asarray(x, dtype=kind), n))
+        return pa.record_batch([fill(k, np.int64), fill(d, np.int64), fill(p, np.int32), fill(first, np.int64), fill(last, np.int64), fill(is_open, bool)], schema=schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, d, p = (np.asarray(batch.column(i)) for i in range(3))
+        begun = None
+        if held is not None:
+            if held[0] == k[0]:
+                begun = held
+            else:
+                if at_start or held[1] != held[3]:
+                    yield frame(held[0], np.full(len(held[2]), held[1]), held[2], held[1], held[3], at_start)
+                at_start = False
+        edge = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        length = np.diff(np.concatenate([edge, [len(k)]]))
+        leader, last = d[edge].copy(), d[edge + length - 1].copy()
+        if begun is not None:
+            leader[0] = begun[1]
+            last[0] = max(last[0], begun[3])
+        own = np.repeat(leader, length)
+        later = d != own
+        if later.any():
+            yield frame(k[later], d[later], p[later], own[later], np.repeat(last, length)[later], False)
+        multi = np.repeat(leader != last, length)
+        multi[: length[0]] = False
+        multi[edge[-1] :] = False
+        inner = ~later & multi
+        if inner.any():
+            yield frame(k[inner], d[inner], p[inner], own[inner], own[inner], False)
+        places = p[: length[0]][~later[: length[0]]]
+        if begun is not None:
+            places = np.concatenate([begun[2], places])
+        if len(edge) == 1:
+            held = (k[0], leader[0], places, last[0])
+            continue
+        if at_start or leader[0] != last[0]:
+            yield frame(k[0], np.full(len(places), leader[0]), places, leader[0], last[0], at_start)
+        at_start = False
+        held = (k[-1], leader[-1], p[edge[-1] :][~later[edge[-1] :]], last[-1])
+    if held is not None:
+        yield frame(held[0], np.full(len(held[2]), held[1]), held[2], held[1], held[3], True)
+
+
+def shared_runs(rows: DataFrame) -> DataFrame:
+    """Order rows (key, doc_id, place), compare neighbours, and keep the keys that several documents hold.
+
+    Returns (doc_id, place, first) with `first` the smallest document of the key. Ranges are cut by key and
+    document, so that a key with very many rows is spread over tasks; only the first document of the runs at
+    the ends of a range waits for the ranges beside it, and these few rows are joined afterwards.
+    """
+    ordered = rows.select("key", "doc_id", "place").repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
+    seen = stash(ordered.mapInArrow(_runs, "key long, doc_id long, place int, first long, last long, open boolean"))
+    ends = seen.where("open").select("key", "doc_id", "place", "first", "last")
+    whole = ends.groupBy("key").agg(F.min("first").alias("f"), F.max("last").alias("l")).where("f < l")
+    joined = ends.join(whole.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select("doc_id", "place", F.col("f").alias("first"))
+    return seen.where("not open").select("doc_id", "place", "first").union(joined)

@@ -3,11 +3,11 @@
 A passage repeats when at least `length` consecutive words (maximal runs other than ASCII white space,
 A-Z lower-cased) also stand in another document. Of all suffixes only those are retained that begin at
 minimiser positions: the smallest hash of `gram` words in any `span` neighbouring ones. These positions
-depend on content alone, and each passage of `gram + span - 1` words holds one. Ordering the suffixes
-by their first `gram` words shows which have a neighbour from another document; around those, matches
-extend left and right to every stretch of `length` words whose own minimisers all have such a
-neighbour, and ordering these stretches proves which are repeats. No pairs are formed at any step: each
-ordering keeps the first and last document of a key, which combines before the shuffle.
+depend on content alone, and each passage of `gram + span - 1` words holds one. The suffixes are sorted by (a hash of)
+their first `gram` words over all executors and compared with their neighbours; around those that have
+one from another document, matches extend left and right to every stretch of `length` words whose own
+minimisers all have such a neighbour, and sorting these stretches proves which are repeats. No pairs are
+formed at any step, and a passage that very many documents share is spread over the sorted ranges.
 
 Documents with equal texts are one class from the start. The occurrence that stays is the one in the
 document of smallest id; all others are to be dropped.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
-from prodlake.llm.session import pieces, stash, u64
+from prodlake.llm.session import pieces, shared_runs, stash, u64
 
 LENGTH, GRAM, SPAN = 50, 20, 20
 _MANY = 1 << 20
@@ -157,27 +157,20 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, s
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     )
     row = "key long, doc_id long, place int"
-    anchors = source.mapInArrow(lambda b: _anchors(b, length, gram, span), row)
-    ends = [F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
-    shared = stash(anchors.groupBy("key").agg(*ends).where("first < last").select("key"))
+    suffixes = source.mapInArrow(lambda b: _anchors(b, length, gram, span), row)
     alive = (
-        anchors.join(shared, "key")
+        shared_runs(suffixes)
         .groupBy("doc_id")
         .agg(F.collect_set("place").alias("alive"))
         .join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
     )
-    stretches = stash(
+    stretches = (
         stash(alive)
         .join(source, "doc_id")
         .select("doc_id", "alive", "text")
         .mapInArrow(lambda b: _stretches(b, length, gram, span), row)
     )
-    proven = stash(stretches.groupBy("key").agg(*ends).where("first < last").select("key", "first"))
-    found = (
-        stretches.join(proven, "key")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("place", "first")).alias("found"))
-    )
+    found = shared_runs(stretches).groupBy("doc_id").agg(F.collect_list(F.struct("place", "first")).alias("found"))
     members = sketch.join(classes, ["k1", "k2", "n_words"])
     rows = (
         members.join(stash(found), "doc_id", "left")
