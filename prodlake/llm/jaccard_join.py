@@ -66,6 +66,15 @@ def bands(percent: int) -> np.ndarray:
     return np.array(out + [low], dtype=np.int64)
 
 
+def most_different(size: int, largest: int, percent: int) -> int:
+    """Most tokens in which a set differs from a linked one of at most `largest` tokens.
+
+    |a| + |b| - 2 * |a and b| <= (|a| + |b|) * (100 - percent) / (100 + percent)
+    """
+    partner = max(size, min(largest, size * 100 // percent))
+    return (size + partner) * (100 - percent) // (100 + percent)
+
+
 def _tail(mean: float, over: int) -> float:
     """P(a Poisson variable > over)."""
     if mean > 200:
@@ -77,42 +86,41 @@ def _tail(mean: float, over: int) -> float:
     return max(0.0, 1 - total)
 
 
-def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int, int, int, int]]:
-    """Band -> (segments, those with a one-deletion neighbourhood, those with subsets, spare) of least cost.
+def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int, int, int]]:
+    """Band -> (segments, those with a one-deletion neighbourhood, those with subsets) of least cost.
 
     Linked sets differ in at most H tokens. A whole segment spends one of the H + 1 differences that the
     pigeonhole must cover, the two other kinds spend two. Segments of at most one token agree by chance.
-    With `spare` further whole segments, a set holding no more than that many such small ones needs no
-    entries for them: among the segments that agree with a linked set's, another one is left. A set with
-    more of them enters all; two such sets still meet.
+    A plan without those kinds may leave out small segments (of at most one token, which agree by chance):
+    a set of m segments, which differs from any partner in at most d tokens, needs no entries for them if
+    it holds no more than m - 1 - d: among the segments that agree with a linked set's, another one is
+    left. A set with more of them enters all; two such sets still meet. More segments make this rarer.
     """
     edge, out = bands(percent), {}
     for e in sorted({b + k for b in histogram for k in (0, 1)}):
         high = int(edge[e + 1]) - 1
-        # |a| + |b| - 2 * |a and b| <= (|a| + |b|) * (100 - percent) / (100 + percent)
-        need = 2 * high * (100 - percent) // (100 + percent) + 1
+        need = most_different(high, high, percent) + 1
         members = histogram.get(e, 0) + histogram.get(e - 1, 0)
         smallest = int(edge[max(e - 1, 0)])
         options = []
-        for sigmas in range(6):
-            m = need
-            for _ in range(3):  # the small ones' number depends on m
-                fill = smallest / m
-                mean = m * math.exp(-fill) * (1 + fill)
-                spare = round(mean + sigmas * math.sqrt(mean)) if sigmas else 0
-                m = need + spare
-            options.append((m, m, 0, 0, spare, _tail(mean, spare) * mean, math.exp(-fill)))
+        for extra in sorted({need * k // 40 + j for k in range(17) for j in (0, 1, 2)}):
+            m, chance = need + extra, 0.0
+            for size in (smallest, int(edge[e]), high):
+                mean = m * math.exp(-size / m) * (1 + size / m)
+                spare = m - 1 - most_different(size, high, percent)
+                chance = max(chance, (_tail(mean, spare) if spare else 1.0) * mean)
+            options.append((m, m, 0, 0, chance, math.exp(-smallest / m)))
         steps = sorted({need // 2 * k // 4 for k in range(5)})
         for near, parts in [(n, p) for n in steps for p in steps if 0 < n + p <= need // 2]:
             m = need - near - parts
             fill = smallest / m
             chance = [(m - near - parts, math.exp(-fill)), (near, math.exp(-fill) * (1 + fill)), (3 * parts, math.exp(-fill * 2 / 3))]
             entries = m - near - parts + near * (1 + high / m) + 3 * parts
-            options.append((entries, m, near, parts, 0, sum(k * p for k, p in chance), max(p for k, p in chance if k)))
+            options.append((entries, m, near, parts, sum(k * p for k, p in chance), max(p for k, p in chance if k)))
         # entries of a set, and its tokens (half an entry's bytes each) when it meets unrelated sets by chance,
         # again for each block of those: the sets of one small segment, or all once the meetings percolate
-        cost = lambda o: o[0] + min(1.0, o[5]) * high / 2 * (1 + members * (o[6] if o[5] < 0.5 else 1.0) / BLOCK)
-        out[e] = min(options, key=cost)[1:5]
+        cost = lambda o: o[0] + min(1.0, o[4]) * high / 2 * (1 + members * (o[5] if o[4] < 0.5 else 1.0) / BLOCK)
+        out[e] = min(options, key=cost)[1:4]
     return out
 
 
@@ -127,7 +135,7 @@ def _salts(e: int, m: int) -> np.ndarray:
     return mix(np.arange(m, dtype=U64) + (U64(e + 1) << U64(32)))
 
 
-def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int, int]]) -> np.ndarray:
+def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int]]) -> np.ndarray:
     """Index entries of one set in the schemes of its band and of the next."""
     band = int(np.searchsorted(bands(percent), len(tokens), side="right")) - 1
     weight = mix(tokens + _SEED)
@@ -135,12 +143,13 @@ def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int,
     np.cumsum(weight, out=sums[1:])
     out = []
     for e in (band, band + 1):
-        m, near, parts, spare = plan[e]
+        m, near, parts = plan[e]
         at = np.concatenate([[0], np.searchsorted(tokens, _cuts(m)), [len(tokens)]])
         cell = (sums[at[1:]] - sums[at[:-1]]).reshape(m, 3)
         whole = cell.sum(axis=1, dtype=U64) + _salts(e, m)
         small = at[3::3] - at[:-1:3] <= 1
-        if spare and small.sum() <= spare:
+        largest = int(bands(percent)[e + 1]) - 1
+        if not near and not parts and small.sum() <= m - 1 - most_different(len(tokens), largest, percent):
             out.append(whole[~small])
             continue
         out += [whole[:near], whole[near + parts :]]
