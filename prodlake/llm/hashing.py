@@ -69,13 +69,18 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix(out)
 
 
-def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Letters only: ASCII letters and all bytes of other characters.
+LETTER_BYTE = np.zeros(256, dtype=bool)
+LETTER_BYTE[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def words_of(data: bytes, word_byte: np.ndarray = _WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start byte, end byte) of every word of a buffer."""
     if not data:
         none = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=U64), none, none
     low = LOWER[np.frombuffer(data, dtype=np.uint8)]
-    inside = _WORD_BYTE[low]
+    inside = word_byte[low]
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
     return range_hashes(low, starts, ends), starts, ends
@@ -89,7 +94,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return range_hashes(words, starts, starts + n)
 
 
-def texts_to_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+def texts_to_words(texts: list[str | None], word_byte: np.ndarray = _WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     """All words of many texts: (hash, start, end, first word of each text and a last bound, buffer).
 
     A null counts as empty. Texts are parted by one newline in the buffer.
@@ -97,6 +102,6 @@ def texts_to_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.array([len(p) + 1 for p in parts], dtype=np.int64)
     data = b"\n".join(parts)
-    hashes, starts, ends = words_of(data)
+    hashes, starts, ends = words_of(data, word_byte)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     return hashes, starts, ends, np.searchsorted(starts, bounds), data

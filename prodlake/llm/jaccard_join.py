@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
 from prodlake.llm.session import components, pieces, shared_runs, stash, u64
 
-BLOCK = 256
+#: Documents and tokens of a block; two blocks are compared in one task at a time.
+BLOCK, BLOCK_TOKENS = 256, 200_000
 _SEED = U64(0x5851F42D4C957F2D)
 
 
@@ -280,10 +281,11 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     kept = classes.select(F.col("rep").alias("a"))
     stars = stash(stars.distinct().join(kept, "a"))
     families = stash(components(stars))
-    sizes = families.groupBy("root").agg(F.count("*").alias("members")).where("members > 1")
+    tokens = classes.groupBy(F.col("rep").alias("node")).agg(F.max("n_shingles").alias("n_shingles"))
+    sizes = families.join(tokens, "node").groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("tokens")).where("members > 1")
     placed = (
         families.join(sizes, "root")
-        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        .withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("tokens") / BLOCK_TOKENS)).cast("int"))
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(

@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from prodlake.llm.bpe import encode_documents
 from prodlake.llm.jaccard_join import jaccard_components
 from prodlake.llm.session import documents
 from prodlake.llm.suffix_dedup import repeated_passages
+from prodlake.llm.toxicity import toxicity
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +23,18 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
