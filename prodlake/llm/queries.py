@@ -10,6 +10,8 @@ import public_tokenizers
 
 from prodlake.llm.bpe import encode_documents
 from prodlake.llm.jaccard_join import jaccard_components
+from prodlake.llm.licences import scan
+from prodlake.llm.mixing import mix_sources
 from prodlake.llm.session import documents
 from prodlake.llm.suffix_dedup import repeated_passages
 from prodlake.llm.toxicity import toxicity
@@ -19,6 +21,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), n=3, percent=90)
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
@@ -27,13 +33,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_mixing": op7_mixing,
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
