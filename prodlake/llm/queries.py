@@ -11,9 +11,12 @@ import public_tokenizers
 from prodlake.llm.bpe import encode_documents
 from prodlake.llm.jaccard_join import jaccard_components
 from prodlake.llm.licences import scan
+from prodlake.llm.main_text import extract
+from prodlake.llm.media import store_documents
 from prodlake.llm.mixing import mix_sources
-from prodlake.llm.session import documents
+from prodlake.llm.session import documents, lean_batches
 from prodlake.llm.suffix_dedup import repeated_passages
+from prodlake.llm.topk import top_k
 from prodlake.llm.toxicity import toxicity
 
 
@@ -25,10 +28,21 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_batches(spark)
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_batches(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -37,15 +51,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_documents(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
+    "op2_html_extraction": op2_html_extraction,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
+    "op8_media_columns": op8_media_columns,
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
