@@ -14,6 +14,7 @@ from prodlake.llm.licences import scan
 from prodlake.llm.main_text import extract
 from prodlake.llm.media import store_documents
 from prodlake.llm.mixing import mix_sources
+from prodlake.llm.quality import quality
 from prodlake.llm.session import documents, lean_batches
 from prodlake.llm.suffix_dedup import repeated_passages
 from prodlake.llm.topk import top_k
@@ -37,6 +38,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     lean_batches(spark)
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -52,7 +57,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store_documents(documents(spark, sf_dir))
+    """Without shard and offset, which differ from run to run."""
+    return store_documents(documents(spark, sf_dir)).drop("shard", "offset")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_html_extraction": op2_html_extraction,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_quality": op4_quality,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
