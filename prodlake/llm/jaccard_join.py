@@ -6,7 +6,7 @@ each band the token universe is cut into m segments; two linked sets differ in a
 some segment differs in no token, or, where a segment indexes its one-deletion neighbourhood or the
 subsets of two of its three cells, in at most one. Per band the numbers of segments of each kind are
 those of least cost: index entries plus expected comparisons by chance among the band's sets, from the
-measured band histogram.
+measured band histogram. Entries of fewer than two tokens are spared wherever that loses no link.
 
 The sorted index gives candidates as stars (document, smallest document of the entry), never as all pairs.
 Stars are joined into families; the documents of a family are compared exactly, in pairs of blocks of
@@ -34,6 +34,8 @@ from prodlake.llm.session import components, pieces, shared_runs, stash, u64
 
 #: Documents and tokens of a block; two blocks are compared in one task at a time.
 BLOCK, BLOCK_TOKENS = 256, 200_000
+#: Partitions of the universe that a set may try.
+ROUNDS = 6
 _SEED = U64(0x5851F42D4C957F2D)
 
 
@@ -76,52 +78,52 @@ def most_different(size: int, largest: int, percent: int) -> int:
     return (size + partner) * (100 - percent) // (100 + percent)
 
 
-def _tail(mean: float, over: int) -> float:
-    """P(a Poisson variable > over)."""
-    if mean > 200:
-        return 0.5 * math.erfc((over + 0.5 - mean) / math.sqrt(2 * mean))
+def _below(mean: float, most: int) -> float:
+    """P(a Poisson variable <= most)."""
     term = total = math.exp(-mean)
-    for k in range(1, over + 1):
+    for k in range(1, most + 1):
         term *= mean / k
         total += term
-    return max(0.0, 1 - total)
+    return total
+
+
+def _failing(size: int, spare: int, x: int, near: int, parts: int) -> float:
+    """About P(a set of this size holds more unsafe segments, by weight, than it can spare)."""
+    if spare < 0:
+        return 1.0
+    fill = size / (x + near + parts)
+    chances = [(x, 1, _below(fill, 1)), (near, 2, _below(fill, 2)), (parts, 2, min(1.0, 3 * _below(fill * 2 / 3, 1)))]
+    mean = sum(n * w * p for n, w, p in chances)
+    spread = math.sqrt(sum(n * w * w * p * (1 - p) for n, w, p in chances) + 1e-9)
+    return 0.5 * math.erfc((spare + 0.5 - mean) / spread / math.sqrt(2))
 
 
 def plan_bands(histogram: dict[int, int], percent: int) -> dict[int, tuple[int, int, int]]:
     """Band -> (segments, those with a one-deletion neighbourhood, those with subsets) of least cost.
 
-    Linked sets differ in at most H tokens. A whole segment spends one of the H + 1 differences that the
-    pigeonhole must cover, the two other kinds spend two. Segments of at most one token agree by chance.
-    A plan without those kinds may leave out small segments (of at most one token, which agree by chance):
-    a set of m segments, which differs from any partner in at most d tokens, needs no entries for them if
-    it holds no more than m - 1 - d: among the segments that agree with a linked set's, another one is
-    left. A set with more of them enters all; two such sets still meet. More segments make this rarer.
+    The cost is the number of a set's entries in all its rounds, and that of comparing it with unrelated
+    sets if small segments have to be entered after all.
     """
     edge, out = bands(percent), {}
     for e in sorted({b + k for b in histogram for k in (0, 1)}):
         high = int(edge[e + 1]) - 1
         need = most_different(high, high, percent) + 1
         members = histogram.get(e, 0) + histogram.get(e - 1, 0)
-        smallest = int(edge[max(e - 1, 0)])
-        options = []
-        for extra in sorted({need * k // 40 + j for k in range(17) for j in (0, 1, 2)}):
-            m, chance = need + extra, 0.0
-            for size in (smallest, int(edge[e]), high):
-                mean = m * math.exp(-size / m) * (1 + size / m)
-                spare = m - 1 - most_different(size, high, percent)
-                chance = max(chance, (_tail(mean, spare) if spare else 1.0) * mean)
-            options.append((m, m, 0, 0, chance, math.exp(-smallest / m)))
-        steps = sorted({need // 2 * k // 4 for k in range(5)})
-        for near, parts in [(n, p) for n in steps for p in steps if 0 < n + p <= need // 2]:
-            m = need - near - parts
-            fill = smallest / m
-            chance = [(m - near - parts, math.exp(-fill)), (near, math.exp(-fill) * (1 + fill)), (3 * parts, math.exp(-fill * 2 / 3))]
-            entries = m - near - parts + near * (1 + high / m) + 3 * parts
-            options.append((entries, m, near, parts, sum(k * p for k, p in chance), max(p for k, p in chance if k)))
-        # entries of a set, and its tokens (half an entry's bytes each) when it meets unrelated sets by chance,
-        # again for each block of those: the sets of one small segment, or all once the meetings percolate
-        cost = lambda o: o[0] + min(1.0, o[4]) * high / 2 * (1 + members * (o[5] if o[4] < 0.5 else 1.0) / BLOCK)
-        out[e] = min(options, key=cost)[1:4]
+        sizes = (int(edge[max(e - 1, 0)]), int(edge[e]), high)
+        best = None
+        for extra in sorted({need * k // 24 + j for k in range(13) for j in (0, 1, 2)}):
+            weight = need + extra
+            steps = sorted({weight // 2 * k // 2 for k in range(3)})
+            for near, parts in [(n, p) for n in steps for p in steps if n + p <= weight // 2]:
+                x = weight - 2 * near - 2 * parts
+                m = x + near + parts
+                entries = x + near * (1 + high / m) + 3 * parts
+                fails = [_failing(s, weight - 1 - most_different(s, high, percent), x, near, parts) for s in sizes]
+                unrelated = max(fails) ** ROUNDS * high / 2 * (1 + members / BLOCK)
+                cost = entries * sum(1 / max(1 - f, 0.02) for f in fails) / 3 + unrelated
+                if best is None or cost < best[0]:
+                    best = (cost, m, near, parts)
+        out[e] = best[1:]
     return out
 
 
@@ -132,34 +134,48 @@ def _cuts(m: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=4096)
-def _salts(e: int, m: int) -> np.ndarray:
-    return mix(np.arange(m, dtype=U64) + (U64(e + 1) << U64(32)))
+def _salts(e: int, m: int, turn: int) -> np.ndarray:
+    return mix(np.arange(m, dtype=U64) + (U64(e + 1) << U64(32)) + (U64(turn) << U64(56)))
 
 
 def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int]]) -> np.ndarray:
-    """Index entries of one set in the schemes of its band and of the next."""
+    """Index entries of one set in the schemes of its band and of the next.
+
+    Entries over fewer than two tokens agree by chance. A segment is safe if whatever entry it shares with
+    a set that agrees with it there has two tokens or more. Linked sets agree on segments of more than
+    `weight - 1 - d` weight, d being the most tokens in which they differ; so a set whose unsafe segments
+    weigh no more than that meets every linked set by an entry of two tokens or more. A set that has more
+    takes another round with another partition of the universe; two linked sets that fail in all rounds
+    meet in the last, where such sets enter everything.
+    """
     band = int(np.searchsorted(bands(percent), len(tokens), side="right")) - 1
-    weight = mix(tokens + _SEED)
-    sums = np.zeros(len(tokens) + 1, dtype=U64)
-    np.cumsum(weight, out=sums[1:])
     out = []
     for e in (band, band + 1):
         m, near, parts = plan[e]
-        at = np.concatenate([[0], np.searchsorted(tokens, _cuts(m)), [len(tokens)]])
-        cell = (sums[at[1:]] - sums[at[:-1]]).reshape(m, 3)
-        whole = cell.sum(axis=1, dtype=U64) + _salts(e, m)
-        small = at[3::3] - at[:-1:3] <= 1
-        largest = int(bands(percent)[e + 1]) - 1
-        if not near and not parts and small.sum() <= m - 1 - most_different(len(tokens), largest, percent):
-            out.append(whole[~small])
-            continue
-        out += [whole[:near], whole[near + parts :]]
-        if near:  # the first segments carry the neighbourhood: the segment without one of its tokens
-            upto = at[3 * near]
-            out.append(whole[np.repeat(np.arange(near), np.diff(at[: 3 * near + 1 : 3]))] - weight[:upto])
-        if parts:  # the next ones the subsets: the segment without one of its three cells
-            some = slice(near, near + parts)
-            out.append((whole[some, None] - cell[some] + _seeds(3)).ravel())
+        some = slice(near, near + parts)
+        spare = m + near + parts - 1 - most_different(len(tokens), int(bands(percent)[e + 1]) - 1, percent)
+        for turn in range(ROUNDS):
+            own = np.sort(mix(tokens + _seeds(ROUNDS)[turn])) if turn else tokens
+            weight = mix(own + _SEED)
+            sums = np.zeros(len(own) + 1, dtype=U64)
+            np.cumsum(weight, out=sums[1:])
+            at = np.concatenate([[0], np.searchsorted(own, _cuts(m)), [len(own)]])
+            cell, held = (sums[at[1:]] - sums[at[:-1]]).reshape(m, 3), np.diff(at).reshape(m, 3)
+            whole, n = cell.sum(axis=1, dtype=U64) + _salts(e, m, turn), held.sum(axis=1)
+            unsafe = 2 * int((n[:near] < 3).sum()) + 2 * int((n[some] - held[some].max(axis=1, initial=0) < 2).sum()) + int((n[near + parts :] < 2).sum())
+            everything = turn == ROUNDS - 1 and unsafe > spare
+            least = 0 if everything else 2
+            plain = np.concatenate([whole[:near], whole[near + parts :]])
+            out.append(plain[np.concatenate([n[:near], n[near + parts :]]) >= least])
+            if near:  # the first segments carry the neighbourhood: the segment without one of its tokens
+                upto = at[3 * near]
+                segment = np.repeat(np.arange(near), n[:near])
+                out.append((whole[segment] - weight[:upto])[n[segment] > least])
+            if parts:  # the next ones the subsets: the segment without one of its three cells
+                entry = (whole[some, None] - cell[some] + _seeds(3)).ravel()
+                out.append(entry[(n[some, None] - held[some]).ravel() >= least])
+            if unsafe <= spare:
+                break
     return np.unique(mix(np.concatenate(out)))
 
 
