@@ -1 +1,6 @@
-"""Part of prodlake; see the package README."""
+"""All registered queries of the library."""
+
+from prodlake.plans import catalog_queries, record_queries
+from prodlake.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "catalog_queries", "record_queries"]
