@@ -145,7 +145,7 @@ def conflicting_names(spark, sf_dir):
 
 @query(
     "m01_fused_orders",
-    """select l_orderkey, arg_min(l_returnflag, l_linenumber) as flag,
+    """select l_orderkey, arg_min(l_returnflag, (l_linenumber, l_returnflag)) as flag,
     array_to_string(list_transform(list_sort(list((l_linenumber, l_suppkey))), lambda x: x[2]), ',') as suppliers from (
     select l_orderkey, l_linenumber, l_returnflag, l_suppkey from lineitem) group by 1""",
 )
