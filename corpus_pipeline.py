@@ -9,7 +9,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from prodlake.llm.bpe import encode_documents
 from prodlake.llm.jaccard_join import drop_near_duplicates
@@ -39,7 +38,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents are taken to the target weights, a row for each time."""
-    return mix_rows(docs).select(*docs.columns)
+    return mix_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.session import pieces
+from prodlake.llm.session import pieces, text_of
 
 CACHE_WORDS = 200_000
 
@@ -232,7 +232,7 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]); the digest of the ids is over unsigned
     32-bit little-endian integers, that of the decoded text over its UTF-8."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(*text_of(docs))
     return source.mapInArrow(lambda b: _encode(b, path, keep_ids), schema)
 
 

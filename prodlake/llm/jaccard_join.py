@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
-from prodlake.llm.session import components, pieces, shared_runs, stash, u64
+from prodlake.llm.session import carried, components, pieces, shared_runs, stash, text_of, u64, unpacked
 
 #: Documents and tokens of a block; two blocks are compared in one task at a time.
 BLOCK, BLOCK_TOKENS = 256, 200_000
@@ -276,7 +276,7 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one for each row of docs(doc_id, text, ...)."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(*text_of(docs))
     sketch = stash(
         source.mapInArrow(lambda b: _sketches(b, n), "doc_id long, n_shingles long, k1 long, k2 long")
     )
@@ -328,5 +328,6 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest of their component, with all their columns."""
     found = jaccard_components(docs, n, percent)
-    kept = found.where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept"))).select(*docs.columns)
+    kept = found.where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows = carried(docs, F.col("doc_id").cast("long").alias("key"))
+    return unpacked(rows.join(stash(kept), F.col("key").eqNullSafe(F.col("kept"))), docs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 6000
+SAMPLE = 4000
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

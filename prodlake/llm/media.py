@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.session import pieces, shared_dir, stash
+from prodlake.llm.session import pieces, shared_dir, stash, text_of
 
 WIDTH = 192
 SHARD_BYTES, SHARD_ROWS = 32 << 20, 20_000
@@ -171,5 +171,5 @@ def store_documents(docs: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or f"{shared_dir(spark)}/media/{uuid.uuid4().hex}"
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(*text_of(docs))
     return stash(source.mapInArrow(lambda b: _write(b, folder), _SQL))

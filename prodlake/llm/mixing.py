@@ -16,7 +16,7 @@ else `domain_of(source)`.
 Defined cases: null text has no tokens; null lang, source or domain count as ''; null doc_id as -1 in
 the order; rows repeating a doc_id stand together in the order and are taken together; a leaf without
 tokens is taken once; weights not stated are 1 (before normalising among the children present); an empty
-table gives no rows; extra columns are kept by mix_rows(), and clashing names of ours are not used there.
+table gives no rows; extra columns are kept by mix_rows(), whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prodlake.llm.session import stash
+from prodlake.llm.session import carried, stash, unpacked
 
 #: Ranges of the order hash in every leaf.
 RANGES = 4096
@@ -73,6 +73,11 @@ def _order(epoch: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), epoch, F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
 
 
+def _range(h: Column) -> Column:
+    """Place of an order hash among RANGES equal ranges in ascending order."""
+    return F.shiftright(h, 64 - (RANGES - 1).bit_length()) + RANGES // 2
+
+
 def _deal(children: DataFrame, parent: list[str], budget: str) -> DataFrame:
     """Divide `budget` of each parent among its rows by `w`, none over `capacity`: adds `given`.
 
@@ -120,8 +125,7 @@ def leaf_cuts(docs: DataFrame, mix: Mix) -> DataFrame:
     )
     passes = _bounded(passes)
     ordered = counted.join(passes.select(*keys, "passes", "rest"), keys).withColumn("h", _order(F.col("passes"), mix.seed))
-    ordered = ordered.withColumn("range", F.pmod(F.shiftright("h", 64 - (RANGES - 1).bit_length()), F.lit(RANGES)))
-    ordered = ordered.withColumn("range", (F.col("range") + RANGES // 2) % RANGES)
+    ordered = ordered.withColumn("range", _range(F.col("h")))
     sums = ordered.groupBy(*keys, "range").agg(F.sum("n").alias("n"), F.max("rest").alias("rest"))
     running = Window.partitionBy(*keys).orderBy("range")
     held = (
@@ -151,23 +155,28 @@ def _bounded(leaves: DataFrame) -> DataFrame:
 
 
 def mix_rows(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
-    """All columns of the documents, a row for each time a document is taken, and `_epoch` from 0."""
+    """All columns of the documents, a row for each time a document is taken."""
+    return unpacked(_taken(docs, mix), docs)
+
+
+def _taken(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
+    """(row, _domain, epoch from 0): a row for each time a document is taken."""
     mix = mix or Mix()
     keys = ["_domain", "_lang", "_source"]
     cuts = _bounded(stash(leaf_cuts(docs, mix)))
-    placed = docs.select("*", *_leaf_columns(docs)).join(cuts, keys)
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id")
+    placed = carried(docs, *_leaf_columns(docs), own).join(cuts, keys)
     h = _order(F.col("passes"), mix.seed)
-    own = (F.pmod(F.shiftright(h, 64 - (RANGES - 1).bit_length()), F.lit(RANGES)) + RANGES // 2) % RANGES
-    before_end = (own < F.col("end_range")) | F.col("end_range").isNull()
-    mine = F.struct(h.alias("h"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"))
-    inside = (F.col("rest") > 0) & (before_end | ((own == F.col("end_range")) & F.coalesce(mine <= F.col("cut"), F.lit(False))))
-    taken = placed.withColumn("_times", F.col("passes") + inside.cast("int")).where("_times > 0")
-    return taken.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))).select(*docs.columns, "_epoch", "_domain")
+    mine = _range(h)
+    before_end = (mine < F.col("end_range")) | F.col("end_range").isNull()
+    held = (mine == F.col("end_range")) & F.coalesce(F.struct(h.alias("h"), "doc_id") <= F.col("cut"), F.lit(False))
+    times = F.col("passes") + ((F.col("rest") > 0) & (before_end | held)).cast("int")
+    return placed.withColumn("times", times).where("times > 0").select("row", "_domain", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("epoch"))
 
 
 def mix_sources(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """Rows (doc_id, domain, lang, source, epoch, n_tokens)."""
     columns = [c for c in ("doc_id", "text", "lang", "source", "domain") if c in docs.columns]
-    return mix_rows(docs.select(*columns), mix).select(
-        "doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), token_count(F.col("text")).alias("n_tokens")
+    return _taken(docs.select(*columns), mix).select(
+        "row.doc_id", F.col("_domain").alias("domain"), "row.lang", "row.source", "epoch", token_count(F.col("row.text")).alias("n_tokens")
     )

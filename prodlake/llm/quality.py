@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from prodlake.llm.hashing import U64, mix, range_hashes, words_of
 from prodlake.llm.labelled import SAMPLE, remainder, training_rows
-from prodlake.llm.session import pieces
+from prodlake.llm.session import pieces, text_of
 
 BINS = 6
 TRAIN_ROWS = 3000
@@ -287,7 +287,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Crf | None) -> Iterator[pa.
 def quality(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_ROWS) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted)."""
     model = train(docs, labels, sample)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(*text_of(docs))
     return source.mapInArrow(lambda b: _score(b, model), "doc_id long, score double").select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),

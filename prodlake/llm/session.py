@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,23 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20)
             at = to
 
 
+def carried(docs: DataFrame, *own: Column) -> DataFrame:
+    """Columns of our own beside `row`, a struct of all the input's columns, so that no names clash.
+
+    unpacked() is the way back.
+    """
+    return docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def text_of(docs: DataFrame) -> list[Column]:
+    """doc_id and text in the types that the operators take."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

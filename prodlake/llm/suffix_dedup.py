@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from prodlake.llm.hashing import U64, gram_hashes, mix, texts_to_words
-from prodlake.llm.session import pieces, shared_runs, stash, u64
+from prodlake.llm.session import carried, pieces, shared_runs, stash, text_of, u64
 
 LENGTH, GRAM, SPAN = 50, 20, 20
 _MANY = 1 << 20
@@ -149,7 +150,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, s
     """Rows (doc_id, n_words, repeats, drops) of the documents that hold a repeat; spans count words from 0."""
     if gram + span - 1 > length:
         raise ValueError("gram + span - 1 must not exceed length")
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    source = docs.select(*text_of(docs)).where("doc_id is not null")
     sketch = stash(source.mapInArrow(_sketches, "doc_id long, n_words long, k1 long, k2 long").distinct())
     classes = stash(
         sketch.where(F.col("n_words") >= length)
@@ -181,32 +182,30 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, s
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the words of the last column's spans from the column `text`; both places are by name."""
+    """Input: text, drops, row; output: the text without the words of the spans in drops, row."""
     for batch in batches:
-        names = batch.schema.names
-        texts, drops = batch.column(names.index("text")).to_pylist(), batch.column(len(names) - 1).to_pylist()
-        for k, (text, spans) in enumerate(zip(texts, drops, strict=True)):
+        texts = batch.column(0).to_pylist()
+        for k, spans in enumerate(batch.column(1).to_pylist()):
             if not spans:
                 continue
-            _, starts, ends, _, data = texts_to_words([text])
+            _, starts, ends, _, data = texts_to_words([texts[k]])
             kept, at = [], 0
             for s in spans:
                 kept.append(data[at : starts[s["from"]]])
                 at = ends[s["to"] - 1]
             kept.append(data[at:])
             texts[k] = b"".join(kept).decode("utf-8", "surrogatepass")
-        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(i) for i, n in enumerate(names[:-1])]
-        yield pa.record_batch(columns, names=names[:-1])
+        yield pa.record_batch([pa.array(texts, pa.string()), batch.column(2)], names=["text", "row"])
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All documents, their texts without later copies of repeated passages; n_chars follows if it is there."""
-    drops = repeated_passages(docs, length).where(F.size("drops") > 0).select(F.col("doc_id").alias("_doc"), F.col("drops").alias("_drops"))
-    one = stash(drops).dropDuplicates(["_doc"])
-    columns = [c for c in docs.columns if c.lower() != "n_chars"]
-    joined = docs.select(*columns).join(one, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
-    cut = joined.mapInArrow(_cut, schema)
-    if len(columns) < len(docs.columns):
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    found = repeated_passages(docs, length).where(F.size("drops") > 0).select(F.col("doc_id").alias("found"), "drops")
+    rows = carried(docs, F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    joined = rows.join(stash(found), F.col("key") == F.col("found"), "left").select("text", "drops", "row")
+    cut = joined.mapInArrow(_cut, StructType([joined.schema["text"], joined.schema["row"]]))
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    changed = [
+        (new[c].cast(docs.schema[c].dataType) if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns
+    ]
+    return cut.select(*changed)
