@@ -2,9 +2,10 @@
 
 Templates are short notices with a label and a mandatory key phrase. Their postings (word -> place in
 the template) form the index. Over the corpus the document frequency of every licence word is counted;
-each template is looked up by its two words of highest IDF. A place of such a word in a file, less its
-place in the template, proposes an alignment; at each alignment the words of the template that stand in
-the file at their relative positions are intersected, weighted by IDF, and the key phrase is verified.
+each template is looked up by the two words of highest IDF in its key phrase. A place of such a word in a
+file, less its place in the template, proposes an alignment; at each alignment the key phrase is verified,
+and the words of the template that stand in the file at their relative positions are intersected and
+weighted by IDF. As the phrase must stand whole, no match depends on which of its words are looked up.
 
 Base phrases are found by the same lookup with every word mandatory, so all their places are found.
 
@@ -65,14 +66,16 @@ def licence_idf(docs: DataFrame) -> dict[str, float]:
         docs.select(F.explode(F.array_intersect(words(F.col("text")), terms)).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
     )
     seen = {r["word"]: r["n"] for r in found}
-    return {w: math.log((total + 1) / (seen.get(w, 0) + 0.5)) for w in vocabulary()}
+    # a word in nearly all documents still counts a little
+    return {w: max(0.01, math.log((total + 1) / (seen.get(w, 0) + 0.5))) for w in vocabulary()}
 
 
-def _alignments(hits: Column, phrase: list[str], idf: dict[str, float], lookups: int) -> Column:
+def _alignments(hits: Column, phrase: list[str], idf: dict[str, float], lookups: int, offset: int = 0) -> Column:
+    """Starts of the notice whose words from `offset` are the phrase's, by each place of the phrase's rarest words."""
     rare = sorted(range(len(phrase)), key=lambda k: (-idf[phrase[k]], k))[:lookups]
 
     def of(k: int) -> Column:
-        return F.transform(F.filter(hits, lambda h: h["w"] == phrase[k]), lambda h: h["i"] - k)
+        return F.transform(F.filter(hits, lambda h: h["w"] == phrase[k]), lambda h: h["i"] - (k + offset))
 
     starts = [of(k) for k in rare]
     return F.array_distinct(F.concat(*starts)) if len(starts) > 1 else starts[0]
@@ -91,10 +94,10 @@ def _stands(file: Column, start: Column, phrase: list[str], offset: int = 0) ->
 
 
 def _share(file: Column, start: Column, notice: list[str], idf: dict[str, float]) -> Column:
-    whole = sum(max(idf[w], 0.01) for w in notice)
+    whole = sum(idf[w] for w in notice)
     got = F.lit(0.0)
     for k, w in enumerate(notice):
-        got = got + F.when(_word(file, start + k) == w, max(idf[w], 0.01) / whole).otherwise(0.0)
+        got = got + F.when(_word(file, start + k) == w, idf[w] / whole).otherwise(0.0)
     return got
 
 
@@ -105,8 +108,8 @@ def scan(docs: DataFrame, idf: dict[str, float] | None = None) -> DataFrame:
     sought = set()
     for p in phrases.values():
         sought.add(p[min(range(len(p)), key=lambda k: (-idf[p[k]], k))])
-    for _, notice, _ in TEMPLATES:
-        parts = notice.split()
+    for _, _, phrase in TEMPLATES:
+        parts = phrase.split()
         sought |= {parts[k] for k in sorted(range(len(parts)), key=lambda k: (-idf[parts[k]], k))[:LOOKUPS]}
     keys = sorted(sought)
     file, hits = F.col("_words"), F.col("_hits")
@@ -124,7 +127,7 @@ def scan(docs: DataFrame, idf: dict[str, float] | None = None) -> DataFrame:
 
     def best_share(parts: list[str], inner: list[str]) -> Column:
         offset = next(o for o in range(len(parts)) if parts[o : o + len(inner)] == inner)
-        held = F.filter(_alignments(hits, parts, idf, LOOKUPS), lambda s: (s + offset >= 0) & _stands(file, s, inner, offset))
+        held = F.filter(_alignments(hits, inner, idf, LOOKUPS, offset), lambda s: (s + offset >= 0) & _stands(file, s, inner, offset))
         return F.array_max(F.transform(held, lambda s: _share(file, s, parts, idf)))
 
     places = [whole_phrases(p) for p in phrases.values()]

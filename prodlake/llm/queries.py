@@ -14,6 +14,7 @@ from prodlake.llm.licences import scan
 from prodlake.llm.main_text import extract
 from prodlake.llm.media import store_documents
 from prodlake.llm.mixing import mix_sources
+from prodlake.llm.oracle import JACCARD, TOP_K, licence_scan
 from prodlake.llm.quality import quality
 from prodlake.llm.session import documents, lean_batches
 from prodlake.llm.suffix_dedup import repeated_passages
@@ -78,4 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_licence_scan": licence_scan(),
+    "op5_exact_top_k": TOP_K,
+    "op10_ngram_jaccard_join": JACCARD,
+}
