@@ -18,7 +18,8 @@ PAGE = C.CatalogQuery(search="ring", min_price=900, max_price=2000, sort="price_
     f"""with c as {CATALOG_SQL},
     f as (select *, row_number() over (order by price, pos) as place from c
       where contains(lower(concat_ws(' ', name, capacity, category, etc, document_id, id, official_match_status, official_item_name)), 'ring') and price >= 900 and price <= 2000)
-    select cast(place as int) as place, name, category, price from f where place between 26 and 50""",
+    select cast(place as int) as place, name, category, price from f
+    where (place - 1) // 25 + 1 = (select least(2, greatest(1, cast(ceil(count(*) / 25.0) as bigint))) from f)""",
 )
 def filtered_page(spark, sf_dir):
     return C.run(catalog(spark, sf_dir), PAGE)
