@@ -211,7 +211,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_runs(rows: DataFrame) -> DataFrame:
     """Order rows (key, doc_id, place), compare neighbours, and keep the keys that several documents hold.
 
-    Returns (doc_id, place, first) with `first` the smallest document of the key. Ranges are cut by key and
+    Returns (key, doc_id, place, first) with `first` the smallest document of the key. Ranges are cut by key and
     document, so that a key with very many rows is spread over tasks; only the first document of the runs at
     the ends of a range waits for the ranges beside it, and these few rows are joined afterwards.
     """
@@ -219,5 +219,5 @@ def shared_runs(rows: DataFrame) -> DataFrame:
     seen = stash(ordered.mapInArrow(_runs, "key long, doc_id long, place int, first long, last long, open boolean"))
     ends = seen.where("open").select("key", "doc_id", "place", "first", "last")
     whole = ends.groupBy("key").agg(F.min("first").alias("f"), F.max("last").alias("l")).where("f < l")
-    joined = ends.join(whole.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select("doc_id", "place", F.col("f").alias("first"))
-    return seen.where("not open").select("doc_id", "place", "first").union(joined)
+    joined = ends.join(whole.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select("key", "doc_id", "place", F.col("f").alias("first"))
+    return seen.where("not open").select("key", "doc_id", "place", "first").union(joined)

@@ -64,7 +64,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int, span: int) -> Iterator[pa.RecordBatch]:
-    """(key, doc_id, place): retained suffixes, once for the texts that a batch holds several times."""
+    """(key, doc_id, place): retained suffixes, each key once a document and equal texts once a batch; place is 0."""
     for batch in pieces(batches, 1):
         first: dict[str, int] = {}
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -76,10 +76,9 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int, span: in
         for doc, a, e in zip(first.values(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if e - a >= length:
                 own = grams[a : e - gram + 1]
-                at = np.unique(_minimisers(own, span))
-                keys.append(own[at])
-                places.append(at.astype(np.int32))
-                docs.append(np.full(len(at), doc, dtype=np.int64))
+                keys.append(np.unique(own[np.unique(_minimisers(own, span))]))
+                places.append(np.zeros(len(keys[-1]), dtype=np.int32))
+                docs.append(np.full(len(keys[-1]), doc, dtype=np.int64))
         if keys:
             yield pa.record_batch(
                 [u64(np.concatenate(keys)), pa.array(np.concatenate(docs)), pa.array(np.concatenate(places))], names=["key", "doc_id", "place"]
@@ -96,10 +95,9 @@ def _stretches(batches: Iterator[pa.RecordBatch], length: int, gram: int, span:
         for k, (a, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
             if e - a < length:
                 continue
-            smallest = _minimisers(grams[a : e - gram + 1], span)
-            living = np.zeros(e - a, dtype=bool)
-            living[np.asarray(alive[k].values, dtype=np.int64)] = True
-            dead = np.concatenate([[0], np.cumsum(~living[smallest])])
+            own = grams[a : e - gram + 1]
+            living = np.isin(own, np.asarray(alive[k].values, dtype=np.int64).view(U64))
+            dead = np.concatenate([[0], np.cumsum(~living[_minimisers(own, span)])])
             inner = length - gram - span + 2  # runs of grams that lie wholly inside a stretch
             n = e - a - length + 1
             at = np.flatnonzero(dead[inner : inner + n] == dead[:n])
@@ -162,7 +160,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, s
     alive = (
         shared_runs(suffixes)
         .groupBy("doc_id")
-        .agg(F.collect_set("place").alias("alive"))
+        .agg(F.collect_set("key").alias("alive"))
         .join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
     )
     stretches = (
