@@ -311,7 +311,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
             F.greatest("mine", "other").alias("y"),
         )
     )
-    sets = placed.join(source.where("doc_id is not null"), "doc_id").select("family", "x", "y", "doc_id", "text")
+    # by a merge at every size: a small side that is broadcast only while it is small would hide what growth costs
+    sets = placed.hint("merge").join(source.where("doc_id is not null"), "doc_id").select("family", "x", "y", "doc_id", "text")
     found = (
         sets.mapInArrow(lambda b: _sets(b, n), "family long, x int, y int, doc_id long, tokens binary")
         .groupBy("family", "x", "y")
@@ -330,4 +331,4 @@ def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> Data
     found = jaccard_components(docs, n, percent)
     kept = found.where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("kept")).distinct()
     rows = carried(docs, F.col("doc_id").cast("long").alias("key"))
-    return unpacked(rows.join(stash(kept), F.col("key").eqNullSafe(F.col("kept"))), docs)
+    return unpacked(rows.join(stash(kept).hint("merge"), F.col("key").eqNullSafe(F.col("kept"))), docs)

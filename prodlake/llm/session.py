@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,12 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         set_by_us = spark.sparkContext.getCheckpointDir()
         if not set_by_us:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="prodlake-checkpoint-"))
+            own = tempfile.mkdtemp(prefix="prodlake-checkpoint-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            spark.sparkContext.setCheckpointDir(own)
             set_by_us = spark.sparkContext.getCheckpointDir()
         found = set_by_us
     return found.rstrip("/")
 
 
+def clear_stash(spark: SparkSession) -> None:
+    """Delete the tables that operators wrote; call it when no frame of theirs will be read any more."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stash")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors.
 

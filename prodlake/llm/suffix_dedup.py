@@ -165,6 +165,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, s
     )
     stretches = (
         stash(alive)
+        .hint("merge")
         .join(source, "doc_id")
         .select("doc_id", "alive", "text")
         .mapInArrow(lambda b: _stretches(b, length, gram, span), row)
@@ -200,7 +201,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All documents, their texts without later copies of repeated passages; n_chars follows if it is there."""
     found = repeated_passages(docs, length).where(F.size("drops") > 0).select(F.col("doc_id").alias("found"), "drops")
     rows = carried(docs, F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-    joined = rows.join(stash(found), F.col("key") == F.col("found"), "left").select("text", "drops", "row")
+    joined = rows.join(stash(found).hint("merge"), F.col("key") == F.col("found"), "left").select("text", "drops", "row")
     cut = joined.mapInArrow(_cut, StructType([joined.schema["text"], joined.schema["row"]]))
     new = {"text": F.col("text"), "n_chars": F.length("text")}
     changed = [

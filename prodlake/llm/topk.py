@@ -196,7 +196,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     ).where("vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null)")
     base, asked = tidy(vectors), tidy(queries)
-    lengths = sorted(r[0] for r in asked.select(F.size("embedding")).distinct().limit(1000).collect())
+    lengths = sorted(r[0] for r in asked.select(F.size("embedding")).distinct().collect())  # at most the longest length
     out = None
     for n in lengths:
         part = _top_k_of_length(base.where(F.size("embedding") == n), asked.where(F.size("embedding") == n), k)
