@@ -156,3 +156,36 @@ def listing_score(ratio: Column, left: Column, right: Column) -> Column:
 def non_drug(categories: tuple[str, ...], keywords: tuple[str, ...]) -> Column:
     """F-20."""
     return F.col("category").isin(*categories) | blank(F.col("name")).rlike("|".join(keywords))
+
+
+def deep_choice(scored: DataFrame, alternatives_kept: int = 8) -> DataFrame:
+    """E-08: per item a decision over its scored candidates.
+
+    scored: (item_id, code, score, n_conflicts, detailed, contained, known, non_drug), one row a candidate.
+    A known code of 80 or more without conflicts is kept; else the best is confirmed at 84 with a lead of 6
+    or a contained core name, without conflicts and with its page read; from 45 it goes to review.
+    """
+    once = scored.groupBy("item_id", "code").agg(F.max(F.struct("score", "n_conflicts", "detailed", "contained", "known", "non_drug")).alias("s")).select("item_id", "code", "s.*")
+    whole = Window.partitionBy("item_id")
+    by = whole.orderBy(F.desc("score"), "code")
+    ranked = once.withColumns(
+        {
+            "rank": F.row_number().over(by),
+            "lead": F.col("score") - F.lead("score", 1, 0).over(by),
+            "kept": F.min(F.when(F.col("known") & (F.col("score") >= 80) & (F.col("n_conflicts") == 0), F.struct("code", "score"))).over(whole),
+        }
+    )
+    others = F.array_sort(F.collect_list(F.when(F.col("rank") <= alternatives_kept, F.struct("rank", "code", "score"))))
+    best = ranked.groupBy("item_id").agg(F.min(F.struct("rank", "code", "score", "n_conflicts", "detailed", "contained", "non_drug", "lead", "kept")).alias("b"), others.alias("alternatives"))
+    b = F.col("b")
+    sure = (b["score"] >= 84) & ((b["lead"] >= 6) | b["contained"]) & (b["n_conflicts"] == 0) & b["detailed"]
+    status = (
+        F.when(b["kept"].isNotNull() | sure, "confirmed").when(b["score"] >= 45, "review_required").when(b["non_drug"], "not_applicable").otherwise("not_found")
+    )
+    return best.select(
+        "item_id",
+        status.alias("status"),
+        F.when(status == "confirmed", F.coalesce(b["kept"]["code"], b["code"])).alias("code"),
+        F.coalesce(b["kept"]["score"], b["score"]).alias("score"),
+        "alternatives",
+    )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from prodlake.functions.deep import score as deep_score
 from prodlake.functions.names import judge, variants
 from prodlake.operators import official as O
-from prodlake.operators.resolve import search_choice
+from prodlake.operators.resolve import deep_choice, search_choice
 from prodlake.plans.registry import query
 from prodlake.session import CATALOG_SQL, catalog, table
 
@@ -135,3 +136,18 @@ def safe_search(spark, sf_dir):
     pairs = items.join(found, "block").select("item_id", "name", "code").distinct()
     judged = pairs.withColumn("j", judge("name", "code", F.lit("")))
     return search_choice(judged.select("item_id", "code", F.col("j.validated").alias("score"), F.col("j.safe").alias("safe")))
+
+
+@query("e07_e08_deep_choice")
+def deep_decisions(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    word = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(2))
+    items = part.where("p_partkey % 20 = 3").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit("정")).alias("capacity"), F.col("p_brand").alias("brand"))
+    found = part.where("p_partkey % 20 <> 3").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("drug_name"), F.concat("p_size", F.lit("정")).alias("box"), F.col("p_brand").alias("upso"))
+    pairs = items.join(found, (F.col("brand") == F.col("upso")) & (word("name") == word("drug_name")))
+    product = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_code"), F.col("code"), F.lit("upso_name_kfda"), F.col("upso"))
+    page = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_box"), F.col("box"))
+    scored = pairs.withColumn("s", deep_score("name", "capacity", F.lit(""), F.lit(""), product, page)).select(
+        "item_id", "code", "s.score", F.size("s.conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")
+    )
+    return deep_choice(scored).drop("alternatives")
