@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from prodlake.functions.text import changed_fields, first_text, trim_space
 
 
+#: Ranges into which rows are cut to be numbered, and values drawn to find their bounds.
+SLOTS, SAMPLED = 128, 4096
+
+
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """M-02 and W-02: the first row of each key in an order.
 
@@ -47,39 +51,48 @@ def runner_up_margin(df: DataFrame, keys: list[str], score: str, tie: str) -> Da
     return seen.where("_rank = 1").drop("_rank")
 
 
-def duplicate_groups(df: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
-    """A-08 and W-06: group id `dup-%04d` by rank of the repeated keys, and the group's size.
-
-    Only the repeated keys are numbered, over one partition: they are one row each.
-    """
+def duplicate_groups(df: DataFrame, key: Column) -> DataFrame:
+    """A-08 and W-06: group id `dup-%04d` by rank of the repeated keys, and the group's size."""
     keyed = df.withColumn("group_key", key)
     sizes = keyed.groupBy("group_key").agg(F.count("*").alias("group_size"))
-    repeated = sizes.where("group_size > 1 and group_key <> ''")
-    numbered = repeated.select("group_key", F.format_string("dup-%04d", F.row_number().over(Window.orderBy("group_key"))).alias("group_id"))
-    ids = sizes.join(numbered, "group_key", "left").withColumn("group_id", F.coalesce("group_id", F.lit("")))
-    return keyed.join(ids, "group_key")
+    repeated = sizes.where("group_size > 1 and group_key <> ''").select("group_key")
+    ids = numbered(repeated, "group_key").select("group_key", F.format_string("dup-%04d", "number").alias("group_id"))
+    found = sizes.join(ids, "group_key", "left").withColumn("group_id", F.coalesce("group_id", F.lit("")))
+    return keyed.join(found, "group_key")
 
 
-def batches(df: DataFrame, order: str, size: int) -> DataFrame:
-    """W-01 and W-07: number in order and batch of fixed size, both from 1, for keys that are unique.
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """W-01: `number` from 1 in the order of a column whose values are unique.
 
-    Positions come from counts by range of the order column, so that no task orders all rows.
+    No task orders all rows: a sample by hash of the values, of some thousands whatever the size, gives the
+    bounds of SLOTS ranges; rows are numbered inside their range, after the counts of the ranges before.
+    The bounds are constants of the plan, so that a task that runs again puts its rows in the same ranges.
     """
-    spread = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    spread = spread.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = spread.join(F.broadcast(before.drop("_n")), "_part").withColumn("number", F.col("_before") + F.col("_in"))
-    return out.withColumn("batch_no", F.floor((F.col("number") - 1) / size) + 1).drop("_part", "_in", "_before")
+    share = max(1, df.count() // SAMPLED)
+    drawn = df.select(order).where((F.xxhash64(order) % share == 0) & F.col(order).isNotNull())
+    values = [r[0] for r in drawn.orderBy(order).limit(4 * SAMPLED).collect()]
+    bounds = sorted(set(values[:: max(1, len(values) // SLOTS)]))
+    slot = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: F.col(order) >= b)) if bounds else F.lit(0)
+    placed = df.withColumn("_slot", F.coalesce(slot, F.lit(0)))
+    counts = placed.groupBy("_slot").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = placed.withColumn("_in", F.row_number().over(Window.partitionBy("_slot").orderBy(order)))
+    out = own.join(F.broadcast(counts.select("_slot", before.alias("_before"))), "_slot")  # SLOTS rows and a few
+    return out.withColumn("number", F.col("_before") + F.col("_in")).drop("_slot", "_in", "_before")
+
+
+def batches(df: DataFrame, order: str, size: int) -> DataFrame:
+    """W-07: number in order and batch of fixed size, both from 1."""
+    return numbered(df, order).withColumn("batch_no", F.floor((F.col("number") - 1) / size) + 1)
 
 
-def balanced_batches(numbered: DataFrame, n: int, total: int) -> DataFrame:
-    """W-08: contiguous batches whose sizes differ by one at most, the larger ones first."""
+def balanced_batches(rows: DataFrame, n: int, total: int) -> DataFrame:
+    """W-08: contiguous batches whose sizes differ by one at most, the larger ones first; rows have `number`."""
     small, extra = divmod(total, n)
     place = F.col("number") - 1
     large = extra * (small + 1)
     batch = F.when(place < large, F.floor(place / (small + 1))).otherwise(extra + F.floor((place - large) / max(small, 1)))
-    return numbered.withColumn("batch", (batch + 1).cast("int"))
+    return rows.withColumn("batch", (batch + 1).cast("int"))
 
 
 def fuse(df: DataFrame, keys: list[str], order: str, first: list[str], lists: list[str]) -> DataFrame:

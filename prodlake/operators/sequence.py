@@ -7,37 +7,52 @@ must be bounded (a price, a user, a conversation).
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodlake.functions.similarity import indel
 
 
+def _slot(time: str, seconds: float) -> Column:
+    return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / int(seconds * 1_000_000))
+
+
 def banded_pairs(df: DataFrame, keys: list[str], time: str, order: str, rows: int, seconds: float) -> DataFrame:
     """J-10: pairs of rows of a key within the next `rows` rows and `seconds`.
 
-    Each row is sent to its own time bucket and the next, so that the join is an equi-join on key and
-    bucket whatever the size of a key's history.
+    Each row is sent to its own time slot and the next, so that the join is an equi-join on key and slot.
+    Rows are numbered inside their slot, after the counts of the key's slots before: no task sorts a key.
     """
-    numbered = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(time, order)))
-    slot = F.floor(F.unix_micros(F.col(time)) / (seconds * 1_000_000))
-    left = numbered.select(*keys, F.explode(F.array(slot, slot + 1)).alias("_slot"), F.col("_n").alias("_ln"), F.col(time).alias("left_time"), F.col(order).alias("left_id"))
-    right = numbered.select(*keys, slot.alias("_slot"), F.col("_n").alias("_rn"), F.col(time).alias("right_time"), F.col(order).alias("right_id"))
+    placed = df.withColumn("_slot", _slot(time, seconds))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(time, order)
+    slots = placed.groupBy(*keys, "_slot").agg(F.count("*").alias("_size"))
+    upto = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = placed.withColumn("_in", F.row_number().over(inside)).join(slots.select(*keys, "_slot", upto.alias("_upto")), [*keys, "_slot"])
+    numbered = numbered.withColumn("_n", F.col("_upto") + F.col("_in"))
+    left = numbered.select(*keys, F.explode(F.array("_slot", F.col("_slot") + 1)).alias("_slot"), F.col("_n").alias("_ln"), F.col(time).alias("left_time"), F.col(order).alias("left_id"))
+    right = numbered.select(*keys, "_slot", F.col("_n").alias("_rn"), F.col(time).alias("right_time"), F.col(order).alias("right_id"))
     gap = (F.unix_micros("right_time") - F.unix_micros("left_time")) / 1_000_000
     joined = left.join(right, [*keys, "_slot"])
     return joined.where((F.col("_rn") > F.col("_ln")) & (F.col("_rn") <= F.col("_ln") + rows) & (gap <= seconds)).select(*keys, "left_id", "right_id")
 
 
-def latest_before(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
+def latest_before(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, seconds: float = 86_400.0) -> DataFrame:
     """J-12 as an as-of join: for every left row the value of the latest right row of its key not after it.
 
-    One shuffle: both sides are united and the last right value is carried along the key's order.
+    Both sides are united and the last right value is carried along each time slot of a key; rows with none
+    before them in their slot take that of the latest slot before, from one row a slot. So a key with a long
+    history is spread over its slots.
     """
     a = left.withColumn("_value", F.lit(None).cast(right.schema[value].dataType)).withColumn("_side", F.lit(1))
-    b = right.select(*keys, time, F.col(value).alias("_value")).withColumn("_side", F.lit(0))
-    by = Window.partitionBy(*keys).orderBy(time, "_side", F.col("_value").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = F.last("_value", ignorenulls=True).over(by)
-    return a.unionByName(b, allowMissingColumns=True).withColumn(value, carried).where("_side = 1").drop("_side", "_value")
+    b = right.where(F.col(value).isNotNull()).select(*keys, time, F.col(value).alias("_value")).withColumn("_side", F.lit(0))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(time, "_side", F.col("_value").asc_nulls_last())
+    carried = F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_slot", _slot(time, seconds))
+    ends = both.groupBy(*keys, "_slot").agg(F.max(F.when(F.col("_side") == 0, F.struct(time, "_value"))).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(*keys, "_slot", F.last("_end", ignorenulls=True).over(earlier)["_value"].alias("_before"))
+    found = both.withColumn("_own", carried).where("_side = 1").join(before, [*keys, "_slot"])
+    return found.withColumn(value, F.coalesce("_own", "_before")).select(*left.columns, value)
 
 
 def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, time: str, rows: int, seconds: float, least: float) -> DataFrame:
