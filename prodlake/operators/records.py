@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prodlake.functions.text import changed_fields, first_text, trim_space
+from prodlake.functions.text import changed_fields, first_text, row_hash, trim_space
 
 
 #: Ranges into which rows are cut to be numbered, and values drawn to find their bounds.
@@ -201,3 +201,47 @@ def stale_cleared(df: DataFrame, stale: Column, defaults: dict[str, object]) ->
 def prefer(*columns: str) -> Column:
     """J-02, J-16: the first non-blank of several columns."""
     return first_text(*[F.col(c) for c in columns])
+
+
+def dataset_hash(df: DataFrame, key: str, columns: list[Column], fan: int = 1000) -> DataFrame:
+    """H-02: one hash over all rows in the order of a unique key, as a tree of `fan` hashes a node.
+
+    A node's hash is that of its children's hashes in order; levels are added until one row is left.
+    """
+    rows = numbered(df.select(key, row_hash(*columns).alias("hash")), key).select((F.col("number") - 1).alias("at"), "hash")
+    left = df.count()
+    while True:
+        inside = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "hash"))), lambda s: s["hash"]), "")
+        rows = rows.groupBy(F.floor(F.col("at") / fan).alias("node")).agg(F.sha2(inside, 256).alias("hash")).select(F.col("node").alias("at"), "hash")
+        left = -(-left // fan)
+        if left <= 1:
+            return rows.select("hash")
+
+
+def keep_confirmed(current: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """M-04: fresh (status, score) replaces the current one unless that is confirmed with no lower score."""
+    joined = current.join(fresh.select(key, F.col("status").alias("_status"), F.col("score").alias("_score")), key, "left")
+    stay = F.col("_status").isNull() | ((F.col("status") == "confirmed") & (F.col("score") >= F.col("_score")))
+    return joined.withColumn("status", F.when(stay, F.col("status")).otherwise(F.col("_status"))).withColumn(
+        "score", F.when(stay, F.col("score")).otherwise(F.col("_score"))
+    ).drop("_status", "_score")
+
+
+def enforce(df: DataFrame, baseline: DataFrame, approved: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """M-08: approved rows take the approved values, all others go back to the baseline's."""
+    b = baseline.select(key, *[F.col(c).alias(f"_b_{c}") for c in columns])
+    a = approved.select(key, F.lit(True).alias("_approved"), *[F.col(c).alias(f"_a_{c}") for c in columns])
+    joined = df.join(b, key, "left").join(a, key, "left")
+    values = {c: F.when(F.col("_approved"), F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")) for c in columns}
+    return joined.withColumns(values).select(*df.columns)
+
+
+def order_errors(queue: DataFrame, results: DataFrame, key: str, pos: str) -> DataFrame:
+    """V-13, U-06: places at which two ordered tables hold different keys, or one none."""
+    q, r = queue.select(pos, F.col(key).alias("wanted")), results.select(pos, F.col(key).alias("found"))
+    return q.join(r, pos, "full_outer").where(~F.col("wanted").eqNullSafe(F.col("found")))
+
+
+def sliced(df: DataFrame, order: str, start: int, limit: int) -> DataFrame:
+    """O-06, F-14: rows of these places in an order."""
+    return numbered(df, order).where((F.col("number") > start) & (F.col("number") <= start + limit))
