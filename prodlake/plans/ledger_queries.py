@@ -13,7 +13,8 @@ from prodlake.session import CATALOG_SQL, catalog, table
 from prodlake.sources.readers import cache_key
 from prodlake.sources.writers import as_text
 
-POS = F.col("pos")
+def _pos():
+    return F.col("pos")
 
 
 @query("s09_cache_key", "select s_suppkey, sha256('https://api.example.org?a=' || s_name || '&b=' || s_nationkey) as key from supplier")
@@ -112,7 +113,7 @@ def missing_counts(spark, sf_dir):
     f"select document_id, case when (pos % 3 = 0 and pos % 2 = 0) or official_match_score >= 95 then 'confirmed' when official_match_score >= 85 then 'review_required' else 'not_found' end as status from {CATALOG_SQL}",
 )
 def adapter_status(spark, sf_dir):
-    status = E.adapter_status(F.col("official_match_score"), POS % 3 == 0, POS % 2 == 0)
+    status = E.adapter_status(F.col("official_match_score"), _pos() % 3 == 0, _pos() % 2 == 0)
     return catalog(spark, sf_dir).select("document_id", status.alias("status"))
 
 
@@ -121,7 +122,7 @@ def adapter_status(spark, sf_dir):
     f"""select document_id, case when image_url = '' then 'no_image' when pos % 4 = 2 then 'rejected' when official_match_score < 50 then 'low_score' else 'approved' end as reason from {CATALOG_SQL}""",
 )
 def ladders(spark, sf_dir):
-    reason = R.choose_status((F.col("image_url") == "", "no_image"), (POS % 4 == 2, "rejected"), (F.col("official_match_score") < 50, "low_score"), otherwise="approved")
+    reason = R.choose_status((F.col("image_url") == "", "no_image"), (_pos() % 4 == 2, "rejected"), (F.col("official_match_score") < 50, "low_score"), otherwise="approved")
     return catalog(spark, sf_dir).select("document_id", reason.alias("reason"))
 
 
@@ -204,7 +205,7 @@ def ordered_distinct(spark, sf_dir):
 )
 def order_errors(spark, sf_dir):
     queue = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), "p_name")
-    results = queue.where("pos % 50 <> 0").withColumn("p_name", F.when(POS % 70 == 1, "x").otherwise(F.col("p_name")))
+    results = queue.where("pos % 50 <> 0").withColumn("p_name", F.when(_pos() % 70 == 1, "x").otherwise(F.col("p_name")))
     return R.order_errors(queue, results, "p_name", "pos")
 
 
