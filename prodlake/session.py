@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Columns of the catalogue as expressions that Spark and DuckDB read alike.
@@ -38,6 +42,24 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python workers, once an application: they need no path to it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        bundle = Path(folder) / "prodlake-package.zip"
+        with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(bundle))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
