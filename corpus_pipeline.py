@@ -38,6 +38,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents are taken to the target weights, a row for each time."""
+    lean_batches(spark)
     return mix_rows(docs)
 
 

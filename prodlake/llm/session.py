@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prodlake.session import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local runs)."""
@@ -50,7 +52,8 @@ def stash(df: DataFrame) -> DataFrame:
 
 
 def lean_batches(spark: SparkSession) -> None:
-    """Arrow batches of some megabytes at most, whatever the length of the texts."""
+    """Arrow batches of some megabytes at most, whatever the length of the texts; workers that know this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
