@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -51,12 +53,13 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        bundle = Path(folder) / "prodlake-package.zip"
-        with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
-            for file in sorted(root.rglob("*.py")):
-                out.write(file, file.relative_to(root.parent))
-        context.addPyFile(str(bundle))
+    folder = tempfile.mkdtemp(prefix="prodlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch it from here while the application runs
+    bundle = Path(folder) / "prodlake-package.zip"
+    with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(bundle))
     _SHIPPED.add(context.applicationId)
 
 
