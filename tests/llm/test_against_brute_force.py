@@ -170,6 +170,13 @@ def test_label_model_discounts_repeated_voters():
     assert corr[3, 4] > 0.95 and corr[0, 1] < 0.2 and odds[0] > odds[3]
 
 
+def test_dividing_line():
+    line = toxicity.dividing_line
+    assert line(np.zeros(5), np.array([1, 0, 0, 0, 0])) > 0  # equal scores: nothing is called toxic
+    assert line(np.array([0.0, 1.0, 5.0, 6.0]), np.array([0, 0, 1, 1])) == 3.0
+    assert 0.0 < line(np.array([0.0, 0.0, 2.0, 2.0]), np.array([0, 0, 1, 1])) < 2.0
+
+
 def test_pipeline(spark, small, texts):
     rows = {r["doc_id"]: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     toxic = {r["doc_id"] for r in QUERIES["op6_toxicity"](spark, small).collect() if r["predicted"]}
