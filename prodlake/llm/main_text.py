@@ -48,7 +48,9 @@ OUTSIDE = frozenset(
     " footer foot header masthead toolbar comment comments commentlist discussion disqus replies reply respond feedback share sharing social"
     " related recommended recommendations newsletter subscribe subscription signup login search searchbox toc copyright complementary contentinfo".split()
 )
-_PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+#: Words that mark the wrappers of an article, unless the same token also has a word of the other kind.
+INSIDE = frozenset("content article main post entry story body page text wrapper container layout".split())
+_PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|itemprop)\s*(?:=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
@@ -106,11 +108,24 @@ def _outside(name: str, attributes: str, within_article: bool) -> bool:
     for key, value in _ATTRIBUTE.findall(attributes):
         if key.lower() == "hidden":
             return True
-        if key.lower() != "itemprop" and not OUTSIDE.isdisjoint(w.lower() for w in _WORD.findall(value)):
+        if key.lower() != "itemprop" and _marked(value):
             return True
     return False
 
 
+def _marked(value: str) -> bool:
+    """Whether class, id or role say that an element is not the article.
+
+    A wrapper's own name (`content`) outweighs what else it is said to have (`has-sidebar`), if the element is
+    not first of all something else (`sidebar content`).
+    """
+    tokens = [{w.lower() for w in _WORD.findall(t)} for t in value.strip("\"'").split()]
+    tokens = [t for t in tokens if t and not t & {"has", "with", "no", "without"}]
+    outside = [bool(t & OUTSIDE) for t in tokens]
+    inside = [bool(t & INSIDE) and not o for t, o in zip(tokens, outside, strict=True)]
+    return bool(tokens) and any(outside) and (outside[0] or not any(inside))
+
+
 def events(page: str) -> list[tuple[str, str, str, tuple]]:
     """(kind, name, text, context) outside the excluded elements; context is (in link, in item, in heading, root)."""
     out: list[tuple[str, str, str, tuple]] = []
