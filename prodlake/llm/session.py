@@ -130,14 +130,16 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, root) for every node that has an edge.
 
     root is the smallest node of the component. Alternating large-star and small-star steps, each an
-    aggregation with map-side combine and an equi-join, after a union-find inside every partition.
+    aggregation with map-side combine and an equi-join, after a union-find inside every partition. The
+    aggregates are written first, so that the joins shuffle both sides themselves and a node with very many
+    edges can be split.
     """
     tidy = edges.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).where("a <> b")
     current = stash(tidy.mapInArrow(_forest, "a long, b long").distinct())
     state = None
     while True:
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        low = stash(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")))
         large = (
             both.where("b > a")
             .join(low, F.col("a") == F.col("u"))
@@ -146,7 +148,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         large = stash(large)
-        small_low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        small_low = stash(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"))
         joined = large.join(small_low, F.col("a") == F.col("u"))
         small = (
             joined.select(F.col("b").alias("x"), F.col("m").alias("y"))
@@ -232,6 +234,7 @@ def shared_runs(rows: DataFrame) -> DataFrame:
     ordered = rows.select("key", "doc_id", "place").repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
     seen = stash(ordered.mapInArrow(_runs, "key long, doc_id long, place int, first long, last long, open boolean"))
     ends = seen.where("open").select("key", "doc_id", "place", "first", "last")
-    whole = ends.groupBy("key").agg(F.min("first").alias("f"), F.max("last").alias("l")).where("f < l")
-    joined = ends.join(whole.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select("key", "doc_id", "place", F.col("f").alias("first"))
+    whole = ends.groupBy("key").agg(F.min("first").alias("f"), F.max("last").alias("l")).where("f < l").withColumnRenamed("key", "k")
+    # no more keys than two for each range, of which there are as many as shuffle partitions
+    joined = ends.join(F.broadcast(whole), F.col("key") == F.col("k")).select("key", "doc_id", "place", F.col("f").alias("first"))
     return seen.where("not open").select("key", "doc_id", "place", "first").union(joined)
