@@ -206,9 +206,9 @@ def facets(df: DataFrame, column: str, empty: str = "미분류") -> DataFrame:
     return df.groupBy(value.alias(column)).agg(F.count("*").alias("n"), F.min("pos").alias("first_pos")).orderBy(F.desc("n"), "first_pos")
 
 
-def export_name(scope: str, form: str, day: str) -> str:
-    """K-07."""
+def export_name(scope: str, form: str, day: str, prefix: str = "catalog") -> str:
+    """K-07: prefix, scope with anything but letters, digits, Hangul, _ and - as one _, day."""
     safe = "".join(c if c.isascii() and c.isalnum() or "가" <= c <= "힣" or c in "_-" else "_" for c in scope.strip())
     while "__" in safe:
         safe = safe.replace("__", "_")
-    return f"창고형_약국_상품_{safe or '전체'}_{day}.{form}"
+    return f"{prefix}_{safe or '전체'}_{day}.{form}"

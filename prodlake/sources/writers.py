@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
@@ -19,18 +21,65 @@ def _files(df: DataFrame, path: str):
 
 def swap(df: DataFrame, path: str, form: str = "parquet") -> None:
     """K-01: write beside the target, then rename; readers see the old table or the new one."""
-    fs, target, make = _files(df, path)
-    staged, old = make(f"{path}.staged-{uuid.uuid4().hex}"), make(f"{path}.old-{uuid.uuid4().hex}")
-    df.write.format(form).save(staged.toString())
-    had = fs.exists(target)
-    if had and not fs.rename(target, old):
-        raise OSError(f"{path} could not be moved aside")
-    if not fs.rename(staged, target):
-        if had:
-            fs.rename(old, target)
-        raise OSError(f"{path} could not be replaced")
-    if had:
-        fs.delete(old, True)
+    swap_all([(df, path)], form)
+
+
+def swap_all(tables: list[tuple[DataFrame, str]], form: str = "parquet", keep_old: bool = False) -> None:
+    """K-10, K-14: several targets at once. All are staged first; if a rename fails, those done are taken back.
+
+    With keep_old what was replaced stays beside the target, under its name and `.old-<id>`.
+    """
+    mark = uuid.uuid4().hex
+    for df, path in tables:
+        df.write.format(form).save(f"{path}.staged-{mark}")
+    done: list[tuple] = []
+    try:
+        for df, path in tables:
+            fs, target, make = _files(df, path)
+            staged, old = make(f"{path}.staged-{mark}"), make(f"{path}.old-{mark}")
+            had = fs.exists(target)
+            if had and not fs.rename(target, old):
+                raise OSError(f"{path} could not be moved aside")
+            done.append((fs, target, old if had else None))
+            if not fs.rename(staged, target):
+                raise OSError(f"{path} could not be replaced")
+    except Exception:
+        for fs, target, old in reversed(done):
+            fs.delete(target, True)
+            if old is not None:
+                fs.rename(old, target)
+        raise
+    if not keep_old:
+        for fs, _, old in done:
+            if old is not None:
+                fs.delete(old, True)
+
+
+@contextmanager
+def locked(spark: SparkSession, path: str) -> Iterator[None]:
+    """K-11: one holder at a time of a lock file on the table's own file system; held until the block ends."""
+    jvm = spark._jvm
+    lock = jvm.org.apache.hadoop.fs.Path(f"{path}.lock")
+    fs = lock.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.createNewFile(lock):
+        raise BlockingIOError(f"{path} is locked by {lock.toString()}")
+    try:
+        yield
+    finally:
+        fs.delete(lock, False)
+
+
+def fingerprint(spark: SparkSession, path: str) -> DataFrame:
+    """H-04: file, size and time of change; equal fingerprints mean that nothing needs to be read again."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "modificationTime")
+
+
+def bounded_files(spark: SparkSession, path: str, most: int) -> DataFrame:
+    """S-22: the files of a folder with their contents; fails before reading any if one is larger than `most` bytes."""
+    if large := fingerprint(spark, path).where(F.col("length") > most).select("file").limit(1).collect():
+        raise ValueError(f"{large[0]['file']} is larger than {most} bytes")
+    return spark.read.format("binaryFile").load(path).select("path", "content", F.sha2("content", 256).alias("sha256"))
 
 
 def as_text(df: DataFrame, column: str) -> Column:

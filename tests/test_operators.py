@@ -137,6 +137,30 @@ def test_sinks(spark, small, tmp_path):
     assert text.startswith("﻿document_id,name,price\r\n") and text.count("\r\n") == 11
 
 
+def test_commit_of_several_tables(spark, tmp_path):
+    one, two = (str(tmp_path / n) for n in ("one", "two"))
+    writers.swap_all([(spark.range(1), one), (spark.range(2), two)])
+    (tmp_path / "missing").mkdir()
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS|could not"):
+        writers.swap_all([(spark.range(3), one), (spark.range(3), two), (spark.range(3), two)])
+    assert spark.read.parquet(one).count() == 1 and spark.read.parquet(two).count() == 2
+    writers.swap_all([(spark.range(5), one)], keep_old=True)
+    assert spark.read.parquet(one).count() == 5 and len(list(tmp_path.glob("one.old-*"))) == 1
+    with writers.locked(spark, one), pytest.raises(BlockingIOError), writers.locked(spark, one):
+        pass
+    with writers.locked(spark, one):
+        pass
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"12345")
+    before = writers.fingerprint(spark, str(tmp_path)).collect()
+    assert [tuple(r)[:2] for r in before] == [("a", 5)] and writers.fingerprint(spark, str(tmp_path)).collect() == before
+    assert writers.bounded_files(spark, str(tmp_path), 5).count() == 1
+    with pytest.raises(ValueError, match="larger"):
+        writers.bounded_files(spark, str(tmp_path), 4)
+
+
 def test_resume_reads_every_file_once(spark, small, tmp_path):
     events = spark.read.parquet(f"{small}/events.parquet").select("event_id", "event_type")
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
