@@ -140,12 +140,14 @@ def idempotent(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
+    """Every part is an item; the registry holds one product for each name and brand."""
     part = table(spark, sf_dir, "part")
-    items = part.where("p_partkey % 20 = 3").select(
+    items = part.select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit(" 정")).alias("capacity"), F.col("p_brand").alias("manufacturer_hint")
     )
-    registry = part.where("p_partkey % 20 <> 3").select(
-        F.col("p_partkey").alias("official_product_key"), F.col("p_name").alias("item_name"), F.concat("p_size", F.lit("tab")).alias("pack_unit"), F.col("p_brand").alias("manufacturer"), F.lit("").alias("dosage_form")
+    products = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("official_product_key"), F.min("p_size").alias("size"))
+    registry = products.select(
+        "official_product_key", F.col("p_name").alias("item_name"), F.concat("size", F.lit("tab")).alias("pack_unit"), F.col("p_brand").alias("manufacturer"), F.lit("").alias("dosage_form")
     )
     block = lambda name, brand: F.array(F.concat(brand, F.lit("|"), F.split_part(name, F.lit(" "), F.lit(2))))
     found = E.candidates(items, registry, block(F.col("name"), F.col("manufacturer_hint")), block(F.col("item_name"), F.col("manufacturer")))
@@ -153,7 +155,7 @@ def _pairs(spark, sf_dir):
 
 
 _RATIO = "(1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})))"
-_SCORED = f"""items as (select p_partkey as item_id, p_name, p_size, p_brand from part where p_partkey % 20 = 3), reg as (select p_partkey as k, p_name, p_size, p_brand from part where p_partkey % 20 <> 3),
+_SCORED = f"""items as (select p_partkey as item_id, p_name, p_size, p_brand from part), reg as (select min(p_partkey) as k, p_name, p_brand, min(p_size) as p_size from part group by p_name, p_brand),
     s as (select item_id, k, replace(i.p_name, ' ', '') = replace(r.p_name, ' ', '') as exact,
     case when i.p_name = r.p_name then 60 else cast(round_even(60 * {_RATIO.format(a="replace(i.p_name, ' ', '')", b="replace(r.p_name, ' ', '')")}, 0) as int) end + 20 + case when i.p_size = r.p_size then 15 else 0 end as score
     from items i join reg r on i.p_brand = r.p_brand and split_part(i.p_name, ' ', 2) = split_part(r.p_name, ' ', 2))"""

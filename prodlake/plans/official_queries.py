@@ -15,7 +15,7 @@ SOURCE = O.Source("parts", "d1", "drug", "https://api.example.org/items", "item_
 
 
 def _records(spark, sf_dir):
-    part = table(spark, sf_dir, "part").where("p_partkey % 3 = 0")
+    part = table(spark, sf_dir, "part").where("p_size > 15")  # smaller ones are not registered
     item = F.create_map(
         *[F.lit("ITEM_SEQ"), F.col("p_partkey").cast("string"), F.lit("item_name"), F.concat(F.lit(" "), F.col("p_name"))],
         *[F.lit("ENTP_NAME"), F.col("p_brand"), F.lit("EE_DOC_DATA"), F.concat(F.lit("<p>"), F.col("p_type"), F.lit("</p>"))],
@@ -32,10 +32,10 @@ def _materialised(spark, sf_dir):
     return O.materialise(products, matches, _records(spark, sf_dir))
 
 
-_RECORD = "p_partkey % 3 = 0"
+_RECORD = "p_size > 15"
 _MATERIALISED = f"""(select c.id, case when pos % 4 = 0 then 'confirmed' when pos % 2 = 0 then 'review_required' end as match_status, case when pos % 2 = 0 then official_match_score end as match_score,
-    case when pos % 4 = 0 and pos % 3 = 0 then trim(name) end as official_item_name, image_url, image_rights_status,
-    case when pos % 2 = 1 then 'pending' when pos % 4 <> 0 then 'review_required' when pos % 3 <> 0 then 'error' when p.p_size % 2 = 0 then 'complete' else 'partial' end as enrichment_status
+    case when pos % 4 = 0 and p.p_size > 15 then trim(name) end as official_item_name, image_url, image_rights_status,
+    case when pos % 2 = 1 then 'pending' when pos % 4 <> 0 then 'review_required' when p.p_size <= 15 then 'error' when p.p_size % 2 = 0 then 'complete' else 'partial' end as enrichment_status
     from {CATALOG_SQL} c join part p on p.p_partkey = c.pos)"""
 
 
@@ -131,7 +131,7 @@ def labelled(spark, sf_dir):
 @query("e04_e06_safe_search")
 def safe_search(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    items = part.where("p_partkey % 20 = 3").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.explode(variants("p_name")).alias("block"))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.explode(variants("p_name")).alias("block"))
     found = part.select(F.col("p_name").alias("code")).distinct().withColumn("block", F.explode(variants("code")))
     pairs = items.join(found, "block").select("item_id", "name", "code").distinct()
     judged = pairs.withColumn("j", judge("name", "code", F.lit("")))
@@ -142,8 +142,9 @@ def safe_search(spark, sf_dir):
 def deep_decisions(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     word = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(2))
-    items = part.where("p_partkey % 20 = 3").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit("정")).alias("capacity"), F.col("p_brand").alias("brand"))
-    found = part.where("p_partkey % 20 <> 3").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("drug_name"), F.concat("p_size", F.lit("정")).alias("box"), F.col("p_brand").alias("upso"))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit("정")).alias("capacity"), F.col("p_brand").alias("brand"))
+    products = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").cast("string").alias("code"), F.min("p_size").alias("size"))
+    found = products.select("code", F.col("p_name").alias("drug_name"), F.concat("size", F.lit("정")).alias("box"), F.col("p_brand").alias("upso"))
     pairs = items.join(found, (F.col("brand") == F.col("upso")) & (word("name") == word("drug_name")))
     product = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_code"), F.col("code"), F.lit("upso_name_kfda"), F.col("upso"))
     page = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_box"), F.col("box"))
