@@ -40,27 +40,30 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hash of values[starts[i]:ends[i]] for ascending starts; ranges may overlap."""
+    """Polynomial hash of values[starts[i]:ends[i]] for ascending starts; ranges may overlap.
+
+    The sum of (value + 1) * BASE**place, whatever the length of a range and of those beside it.
+    """
     out = np.empty(len(starts), dtype=U64)
-    if not len(starts):
-        return out
     at = 0
     while at < len(starts):
         base = int(starts[at])
         limit = base + CHUNK
         to = at + int(np.searchsorted(starts[at:], limit - CHUNK // 4))
-        longest = int(ends[at:to].max()) if to > at else 0
-        if to == at or longest > limit:
-            # a range longer than a chunk: hash this one piecewise
-            to = at + 1
-            acc = U64(0)
-            for k in range(base, int(ends[at]), CHUNK):
-                part = values[k : min(k + CHUNK, int(ends[at]))].astype(U64)
-                acc = acc * U64(0x100000001B3) + (part * _UP[: len(part)]).sum(dtype=U64) if int(ends[at]) - base > CHUNK else (part * _UP[: len(part)]).sum(dtype=U64)
-            out[at] = acc + U64((int(ends[at]) - base) & 0xFFFFFFFF)
-            at = to
+        over = np.flatnonzero(ends[at:to] > limit)
+        if len(over) and over[0] == 0:
+            # a range longer than a chunk: this one piecewise, the power of BASE carried along
+            acc, scale, end = np.zeros(1, dtype=U64), np.ones(1, dtype=U64), int(ends[at])
+            for k in range(base, end, CHUNK):
+                part = values[k : min(k + CHUNK, end)].astype(U64) + U64(1)
+                acc += scale * (part * _UP[: len(part)]).sum(dtype=U64)
+                scale *= _UP[CHUNK]
+            out[at] = acc[0]
+            at += 1
             continue
-        part = values[base:longest].astype(U64) + U64(1)
+        if len(over):
+            to = at + int(over[0])
+        part = values[base : int(ends[at:to].max())].astype(U64) + U64(1)
         prefix = np.zeros(len(part) + 1, dtype=U64)
         np.cumsum(part * _UP[: len(part)], out=prefix[1:])
         s, e = starts[at:to] - base, ends[at:to] - base

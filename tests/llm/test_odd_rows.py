@@ -156,3 +156,21 @@ def test_words_agree_with_the_stated_rule():
         hashes, _, _, bounds, _ = texts_to_words([t, "x", t])
         assert bounds[1] == len(words) and (hashes[: bounds[1]] == hashes[bounds[2] :]).all()
         assert len(set(hashes[: bounds[1]].tolist())) == len(set(words))
+
+
+def test_hashes_do_not_depend_on_what_follows():
+    import numpy as np
+
+    from prodlake.llm.hashing import BASE, U64, mix, range_hashes, texts_to_words
+
+    text = "ab alpha beta gamma ab"
+    alone = texts_to_words([text])[0]
+    for size in (100_000, 300_000):
+        run = "q" * size
+        hashes, _, _, bounds, _ = texts_to_words([text, "short words", text + " " + "z" * 70_000 + " " + run, text, run])
+        for k in (0, 2, 3):
+            assert (hashes[bounds[k] : bounds[k] + 5] == alone).all()
+        assert hashes[bounds[3] - 1] == hashes[bounds[4]] == texts_to_words([run])[0][0]
+    values = np.arange(300_000, dtype=np.uint64) % np.uint64(251)
+    total = sum((int(v) + 1) * pow(int(BASE), k, 1 << 64) for k, v in enumerate(values)) % (1 << 64)
+    assert range_hashes(values, np.array([0, 5]), np.array([300_000, 7])).tolist() == mix(np.array([total, 6 + 7 * int(BASE) % (1 << 64)], dtype=U64)).tolist()
