@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from prodlake.functions.text import changed_fields, first_text, row_hash, trim_space
@@ -62,7 +62,7 @@ def duplicate_groups(df: DataFrame, key: Column) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: str) -> DataFrame:
-    """W-01: `number` from 1 in the order of a column whose values are unique.
+    """W-01: `number` from 1 in the order of a column whose values are unique; for several, a struct of them.
 
     No task orders all rows: a sample by hash of the values, of some thousands whatever the size, gives the
     bounds of SLOTS ranges; rows are numbered inside their range, after the counts of the ranges before.
@@ -71,8 +71,9 @@ def numbered(df: DataFrame, order: str) -> DataFrame:
     share = max(1, df.count() // SAMPLED)
     drawn = df.select(order).where((F.xxhash64(order) % share == 0) & F.col(order).isNotNull())
     values = [r[0] for r in drawn.orderBy(order).limit(4 * SAMPLED).collect()]
-    bounds = sorted(set(values[:: max(1, len(values) // SLOTS)]))
-    slot = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: F.col(order) >= b)) if bounds else F.lit(0)
+    bounds = list(dict.fromkeys(values[:: max(1, len(values) // SLOTS)]))
+    constant = lambda b: F.struct(*[F.lit(v) for v in b]).cast(df.schema[order].dataType) if isinstance(b, Row) else F.lit(b)
+    slot = F.size(F.filter(F.array(*[constant(b) for b in bounds]), lambda b: F.col(order) >= b)) if bounds else F.lit(0)
     placed = df.withColumn("_slot", F.coalesce(slot, F.lit(0)))
     counts = placed.groupBy("_slot").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -173,16 +173,27 @@ def grouped_digits(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.format_number(F.col("p_partkey") * 1234567, 0).alias("n"))
 
 
+def _rank():
+    return F.array_position(F.array(*[F.lit(p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]), F.col("o_orderpriority"))
+
+
 @query("o05_o07_priority", "select o_orderkey, cast(row_number() over (order by o_orderpriority, o_totalprice desc, o_orderkey) as int) as place from orders order by place limit 50")
 def priority(spark, sf_dir):
     from pyspark.sql import Window
 
-    rank = F.array_position(F.array(*[F.lit(p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]), F.col("o_orderpriority"))
-    order = [rank, F.desc("o_totalprice"), F.col("o_orderkey")]
+    order = [_rank(), F.desc("o_totalprice"), F.col("o_orderkey")]
     top = table(spark, sf_dir, "orders").orderBy(*order).limit(50)
     return top.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).alias("place"))
 
 
+@query("o05_o07_priority_all", "select o_orderkey, row_number() over (order by o_orderpriority, o_totalprice desc, o_orderkey) as place from orders")
+def priority_all(spark, sf_dir):
+    """The whole order; o05_o07_priority is its first 50."""
+    price = F.col("o_totalprice")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.struct(_rank(), price.isNull(), -price, "o_orderkey").alias("_key"))
+    return R.numbered(orders, "_key").select("o_orderkey", F.col("number").alias("place"))
+
+
 @query("o06_slice", f"select document_id, n as number from (select document_id, row_number() over (order by pos) as n from {CATALOG_SQL}) where n between 31 and 60")
 def place_slice(spark, sf_dir):
     return R.sliced(catalog(spark, sf_dir), "pos", 30, 30).select("document_id", F.col("number").cast("long").alias("number"))

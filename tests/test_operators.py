@@ -187,3 +187,13 @@ def test_streams(spark, small, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("kept").count() == events.select("user_id", "event_type").distinct().count()
+
+
+def test_every_order_has_a_place(spark, small):
+    from prodlake.plans import QUERIES
+
+    places = [r["place"] for r in QUERIES["o05_o07_priority_all"](spark, small).collect()]
+    assert sorted(places) == list(range(1, spark.read.parquet(f"{small}/orders.parquet").count() + 1))
+    df = spark.createDataFrame([(k % 3 or None, -k, k) for k in range(90)], "a int, b int, k int").select(F.struct("a", "b", "k").alias("key"), "a", "b")
+    want = sorted(((k % 3 or 0, -k) for k in range(90)))
+    assert [(r["a"] or 0, r["b"]) for r in R.numbered(df, "key").orderBy("number").collect()] == want
