@@ -255,4 +255,20 @@ def lookback_fold(spark, sf_dir):
 @query("j11_aligned_turns")
 def aligned_turns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
-    return S.align_groups(turns.where("role = 'user'"), turns.where("role = 'assistant'"), "conv_id", "turn", "text")
+    return S.align_groups(turns.where("role = 'user'"), turns.where("role = 'assistant'"), "conv_id", "turn", ["text"])
+
+
+@query("j11_aligned_passes")
+def aligned_passes(spark, sf_dir):
+    """Turns against a second reading that misses each fifth, cuts the last word and has some other prices."""
+    columns = ["name", "specification", "price", "category", "second"]
+    turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
+    first = turns.selectExpr("conv_id", "turn", "text as name", "role as specification", "turn % 3 as price", "role as category", "turn * 2.0D as second")
+    second = first.where("(conv_id + turn) % 5 <> 0").withColumns(
+        {
+            "name": F.regexp_replace("name", "\\s+\\S+$", ""),
+            "price": F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, -1).otherwise(F.col("price")),
+            "second": F.col("second") + 1,
+        }
+    )
+    return S.align_groups(first, second, "conv_id", "turn", columns, score=S.pass_score)
