@@ -118,13 +118,6 @@ def alternatives(scored: DataFrame, k: int = 10, order: str = "official_product_
     return top.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("rank", order, "score"))).alias("alternatives"))
 
 
-def search_score(ratio: Column, left: Column, right: Column) -> Column:
-    """E-03, but for shared tokens: 100 if equal, else the ratio, at least 96 if one of 4 letters or more contains the other."""
-    held = (F.least(F.length(left), F.length(right)) >= 4) & (F.contains(left, right) | F.contains(right, left))
-    points = F.bround(ratio * 100).cast("int")
-    return F.when((left == "") | (right == ""), 0).when(left == right, 100).when(held, F.greatest(points, F.lit(96))).otherwise(points)
-
-
 def search_choice(scored: DataFrame, threshold: int = 96) -> DataFrame:
     """E-06: per item the best safe candidate; a rival within a point asks for review."""
     once = scored.groupBy("item_id", "code").agg(F.max("score").alias("score"), F.max(F.col("safe").cast("int")).alias("safe"))
@@ -146,13 +139,6 @@ def adapter_status(score: Column, exact: Column, same_capacity: Column) -> Colum
     return F.when((exact & same_capacity) | (score >= 95), "confirmed").when(score >= 85, "review_required").otherwise("not_found")
 
 
-def listing_score(ratio: Column, left: Column, right: Column) -> Column:
-    """E-12, but for token coverage: containment of 5 letters or more that cover 42 % counts 96."""
-    held = (F.length(left) >= 5) & F.contains(right, left) & (F.length(left) >= 0.42 * F.length(right))
-    points = F.bround(ratio * 100).cast("int")
-    return F.when((left == "") | (right == ""), 0).when(left == right, 100).when(held, F.greatest(points, F.lit(96))).otherwise(points)
-
-
 def non_drug(categories: tuple[str, ...], keywords: tuple[str, ...]) -> Column:
     """F-20."""
     return F.col("category").isin(*categories) | blank(F.col("name")).rlike("|".join(keywords))

@@ -193,23 +193,35 @@ def registry_choice(spark, sf_dir):
     return E.registry_choice(items, scored)
 
 
+def _judged(pairs, judged, *columns):
+    """Pairs with what a judge says of their two names, which runs once for each two different names."""
+    found = pairs.select("name", "item_name", *columns).distinct().withColumn("judged", judged)
+    return pairs.join(found, ["name", "item_name", *columns])
+
+
 @query("e03_e06_search_choice")
 def search_choice(spark, sf_dir):
-    from prodlake.functions.similarity import matching_blocks_ratio
+    """Each item has a row: where no candidate is safe, the best of all and why."""
+    from prodlake.functions.names import judge
 
-    _, pairs = _pairs(spark, sf_dir)
-    a, b = registry_name(F.col("name")), registry_name(F.col("item_name"))
-    scored = pairs.select("item_id", F.col("item_name").alias("code"), E.search_score(matching_blocks_ratio(a, b), a, b).alias("score"), F.lit(True).alias("safe"))
-    return E.search_choice(scored, 90)
+    items, pairs = _pairs(spark, sf_dir)
+    judged = _judged(pairs, judge("name", "item_name", "capacity"), "capacity").select("item_id", F.col("item_name").alias("code"), "judged.score", "judged.safe")
+    best = judged.groupBy("item_id").agg(F.min_by(F.struct("code", "score"), F.struct(-F.col("score"), "code")).alias("best"))
+    rows = items.select("item_id").join(best, "item_id", "left").join(E.search_choice(judged, 90).withColumnsRenamed({"code": "safe_code", "score": "safe_score"}), "item_id", "left")
+    return rows.select(
+        "item_id",
+        F.coalesce("safe_code", "best.code").alias("code"),
+        F.coalesce("safe_score", "best.score").alias("score"),
+        F.coalesce("decision", F.when(F.col("best").isNull(), "no_search_result").otherwise("name_or_dosage_conflict")).alias("decision"),
+    )
 
 
 @query("e12_listing_scores")
 def listing_scores(spark, sf_dir):
-    from prodlake.functions.similarity import matching_blocks_ratio
+    from prodlake.functions.names import listing
 
     _, pairs = _pairs(spark, sf_dir)
-    a, b = registry_name(F.col("name")), registry_name(F.col("item_name"))
-    return pairs.select("item_id", "official_product_key", E.listing_score(matching_blocks_ratio(a, b), a, b).alias("score"))
+    return _judged(pairs, listing("name", "item_name")).select("item_id", "official_product_key", F.col("judged").alias("score"))
 
 
 @query("f20_non_drug", f"select document_id from {CATALOG_SQL} where category = 'PROMO' or regexp_matches(name, 'gizmo|gear')")

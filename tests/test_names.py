@@ -32,3 +32,24 @@ def test_scores():
     assert N.validated_score("타이레놀정", "타이레놀캡슐") == N.name_score("타이레놀정", "타이레놀캡슐")
     assert N.core("타이레놀정500mg") == "타이레놀" and N.core("정") == "정"
     assert N.search_variants("타이레놀정 500mg(10정)")[:2] == ["타이레놀정 500mg(10정)", "타이레놀정 500mg"] and N.search_variants(None) == []
+
+
+def test_listing_score():
+    assert N.listing_score("red widget", "WIDGET, red") == 92 and N.listing_score("red widget", "new widget of a red maker") == 92
+    assert N.listing_score("red widget", "blue widget") < 92 and N.listing_score("", "x") == 0
+    assert N.listing_score("red widget", "red widget box") == 96 and N.listing_score("red widget 3개", "<b>Red</b> widget") == 100
+
+
+def test_search_choice_knows_tokens_and_vetoes(spark, monkeypatch):
+    from prodlake.plans import QUERIES, audit_queries
+
+    rows = [(1, "acetamin red", "blue acetamin", ""), (2, "widgets(x)", "widgets", ""), (3, "widgets", "widgets", "")]
+    pairs = spark.createDataFrame(rows, "item_id int, name string, item_name string, capacity string")
+    monkeypatch.setattr(audit_queries, "_pairs", lambda *_: (spark.range(1, 5).withColumnRenamed("id", "item_id"), pairs))
+    found = QUERIES["e03_e06_search_choice"](spark, "").orderBy("item_id").collect()
+    assert [tuple(r) for r in found] == [
+        (1, "blue acetamin", 96, "name_or_dosage_conflict"),
+        (2, "widgets", 100, "name_or_dosage_conflict"),
+        (3, "widgets", 100, "confirmed"),
+        (4, None, None, "no_search_result"),
+    ]
