@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prodlake.functions.text import registry_name
+from prodlake.functions.text import company, registry_name
 from prodlake.operators import audit as A
 from prodlake.operators import resolve as E
-from prodlake.plans.registry import query
+from prodlake.plans.registry import ORACLE_SQL, query
 from prodlake.session import CATALOG_SQL, catalog, table
 
 _PATTERNS = {
@@ -139,8 +139,32 @@ def idempotent(spark, sf_dir):
     return once.exceptAll(twice).agg(F.count("*").alias("changed"))
 
 
-def _pairs(spark, sf_dir):
-    """Every part is an item; the registry holds one product for each name and brand."""
+def _name_blocks(name):
+    words = F.transform(F.split(F.lower(name), "[^\\p{L}\\p{N}]+"), lambda w: F.concat(F.lit("word|"), w))
+    return F.concat(F.array(F.concat(F.lit("name|"), registry_name(name))), F.filter(words, lambda w: w != "word|"))
+
+
+def _candidates(items, registry):
+    """Pairs that share the normalised name, a word of it, or the maker, as E-01 has it: one maker's name holds the other's.
+
+    Others have no company points and a part of the name points, so that they are never confirmed or put to review.
+    """
+    mine = items.select(company(F.col("manufacturer_hint")).alias("_mine")).distinct()
+    theirs = registry.select(company(F.col("manufacturer")).alias("_theirs")).distinct()
+    held = mine.join(theirs, (F.col("_mine") != "") & (F.col("_theirs") != "") & (F.contains("_mine", "_theirs") | F.contains("_theirs", "_mine")))
+    makers = held.groupBy("_mine").agg(F.collect_list(F.concat(F.lit("maker|"), "_theirs")).alias("_makers"))
+    known = items.withColumn("_mine", company(F.col("manufacturer_hint"))).join(makers, "_mine", "left")
+    block = F.concat(_name_blocks(F.col("name")), F.coalesce("_makers", F.array().cast("array<string>")))
+    registry_block = F.concat(_name_blocks(F.col("item_name")), F.array(F.concat(F.lit("maker|"), company(F.col("manufacturer")))))
+    return E.candidates(known, registry, block, registry_block).drop("_mine", "_makers")
+
+
+def _brand_and_word(name, brand):
+    return F.array(F.concat(brand, F.lit("|"), F.split_part(name, F.lit(" "), F.lit(2))))
+
+
+def _pairs(spark, sf_dir, block=None):
+    """Every part is an item; the registry holds one product for each name and brand. `block` of name and brand narrows the candidates."""
     part = table(spark, sf_dir, "part")
     items = part.select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit(" 정")).alias("capacity"), F.col("p_brand").alias("manufacturer_hint")
@@ -149,7 +173,8 @@ def _pairs(spark, sf_dir):
     registry = products.select(
         "official_product_key", F.col("p_name").alias("item_name"), F.concat("size", F.lit("tab")).alias("pack_unit"), F.col("p_brand").alias("manufacturer"), F.lit("").alias("dosage_form")
     )
-    block = lambda name, brand: F.array(F.concat(brand, F.lit("|"), F.split_part(name, F.lit(" "), F.lit(2))))
+    if block is None:
+        return items, _candidates(items, registry)
     found = E.candidates(items, registry, block(F.col("name"), F.col("manufacturer_hint")), block(F.col("item_name"), F.col("manufacturer")))
     return items, found
 
@@ -168,7 +193,7 @@ def _levenshtein_ratio():
 
 @query("e01_registry_scores_levenshtein", f"with {_SCORED} select item_id, k as official_product_key, score, case when score >= 95 then 'confirmed' when score >= 80 then 'review_required' else 'rejected' end as status from s")
 def registry_scores_levenshtein(spark, sf_dir):
-    _, pairs = _pairs(spark, sf_dir)
+    _, pairs = _pairs(spark, sf_dir, _brand_and_word)
     return E.registry_points(pairs, _levenshtein_ratio()).select("item_id", "official_product_key", "score", "status")
 
 
@@ -181,6 +206,20 @@ def registry_scores_levenshtein(spark, sf_dir):
     select item_id, coalesce(status, 'not_found') as status, coalesce(score, 0) as score, case when coalesce(status, 'not_found') = 'not_found' then '' else cast(k as varchar) end as official_product_key, coalesce(n, 0) as n_candidates from items left join d using (item_id)""",
 )
 def registry_choice_levenshtein(spark, sf_dir):
+    items, pairs = _pairs(spark, sf_dir, _brand_and_word)
+    scored = E.registry_points(pairs, _levenshtein_ratio())
+    return E.registry_choice(items, scored.withColumn("official_product_key", F.col("official_product_key").cast("string")), "official_product_key")
+
+
+_WHOLE = _SCORED.replace("+ 20 +", "+ case when contains(i.p_brand, r.p_brand) or contains(r.p_brand, i.p_brand) then 20 else 0 end +").replace(
+    "on i.p_brand = r.p_brand and split_part(i.p_name, ' ', 2) = split_part(r.p_name, ' ', 2)",
+    "on contains(i.p_brand, r.p_brand) or contains(r.p_brand, i.p_brand) or i.p_name = r.p_name or list_has_any(string_split(i.p_name, ' '), string_split(r.p_name, ' '))",
+)
+
+
+@query("e02_registry_choice_whole_levenshtein", ORACLE_SQL["e02_registry_choice_levenshtein"].replace(_SCORED, _WHOLE))
+def registry_choice_whole_levenshtein(spark, sf_dir):
+    """The choice over all of `_candidates`; the query without `whole` is held to brand and second word."""
     items, pairs = _pairs(spark, sf_dir)
     scored = E.registry_points(pairs, _levenshtein_ratio())
     return E.registry_choice(items, scored.withColumn("official_product_key", F.col("official_product_key").cast("string")), "official_product_key")

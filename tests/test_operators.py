@@ -212,3 +212,14 @@ def test_pass_score():
     assert S.pass_score(item, item | {"price": 6}) == -80 and S.pass_score(item, item | {"name": "zzzz"}) == -50
     assert S.pass_score(item, item | {"name": "a-BC"}) == 56 and S.pass_score(item, item | {"category": "y", "second": 3.0}) == 36
     assert S.pass_score(item, item | {"second": 99.0}) == 31
+
+
+def test_equal_names_of_other_brands_ask_for_review(spark, tmp_path):
+    from prodlake.plans import QUERIES
+
+    rows = [(1, "cold widget", "Brand#1", 5, "PROMO"), (2, "cold widget", "Brand#2", 9, "PROMO"), (3, "old gear", "Brand#3", 4, "PROMO")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("e01_e02_registry_choice", "e02_registry_choice_whole_levenshtein"):
+        got = {r["item_id"]: (r["status"], r["n_candidates"]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert got == {1: ("review_required", 2), 2: ("review_required", 2), 3: ("confirmed", 1)}
+    assert QUERIES["e12_listing_scores"](spark, str(tmp_path)).count() == 5
