@@ -89,7 +89,7 @@ def patterns(texts: list[str | None]) -> np.ndarray:
     out = np.zeros((len(texts), 3), dtype=np.int8)
     for k, t in enumerate(texts):
         if t:
-            out[k] = (t[:1000].isupper(), t.count("!!") * 40 > len(t), "*" in t and "**" in t)
+            out[k] = (t.isupper(), t.count("!!") * 40 > len(t), "*" in t and "**" in t)
     return out
 
 
@@ -260,18 +260,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int, np.ndarray, int]]) -> Toxi
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input: text, y; output: bytes of entries, occurrences up to 255 and patterns, number of words, y."""
+    """Input: text, y; output: bytes of entries, occurrences and patterns, number of words, y."""
     for batch in pieces(batches, 0):
         texts = batch.column(0).to_pylist()
         docs, keys, times, words = _hits(texts)
         cut = np.searchsorted(docs, np.arange(len(texts) + 1))
         own = lambda x, kind: pa.array([x[a:e].astype(kind).tobytes() for a, e in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
         marks = pa.array([m.tobytes() for m in patterns(texts)], pa.binary())
-        yield pa.record_batch([own(keys, np.uint32), own(np.minimum(times, 255), np.uint8), pa.array(words, pa.int64()), marks, batch.column(1)], names=["keys", "times", "words", "marks", "y"])
+        yield pa.record_batch([own(keys, np.uint32), own(times, np.uint32), pa.array(words, pa.int64()), marks, batch.column(1)], names=["keys", "times", "words", "marks", "y"])
 
 
 def training_features(rows: list[dict]) -> list[tuple[np.ndarray, np.ndarray, int, np.ndarray, int]]:
-    got = [(np.frombuffer(r["keys"], dtype=np.uint32).astype(np.int64), np.frombuffer(r["times"], dtype=np.uint8), r["words"], np.frombuffer(r["marks"], dtype=np.int8), r["y"]) for r in rows]
+    got = [(np.frombuffer(r["keys"], dtype=np.uint32).astype(np.int64), np.frombuffer(r["times"], dtype=np.uint32), r["words"], np.frombuffer(r["marks"], dtype=np.int8), r["y"]) for r in rows]
     return sorted(got, key=lambda r: (r[4], len(r[0]), r[0].tobytes()))
 
 

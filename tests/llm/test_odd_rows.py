@@ -174,3 +174,16 @@ def test_hashes_do_not_depend_on_what_follows():
     values = np.arange(300_000, dtype=np.uint64) % np.uint64(251)
     total = sum((int(v) + 1) * pow(int(BASE), k, 1 << 64) for k, v in enumerate(values)) % (1 << 64)
     assert range_hashes(values, np.array([0, 5]), np.array([300_000, 7])).tolist() == mix(np.array([total, 6 + 7 * int(BASE) % (1 << 64)], dtype=U64)).tolist()
+
+
+def test_long_training_texts_count_whole():
+    import numpy as np
+    import pyarrow as pa
+
+    from prodlake.llm.toxicity import _features, levels, patterns, training_features
+
+    assert patterns(["A" * 1500, "A" * 1500 + " b"])[:, 0].tolist() == [1, 0]
+    batch = pa.record_batch([pa.array(["word " * 300 + "other " * 14_000]), pa.array([0], pa.int32())], names=["text", "y"])
+    _, times, words, _, _ = training_features(pa.Table.from_batches(list(_features(iter([batch])))).to_pylist())[0]
+    assert words == 14_300 and {300, 14_000} <= set(times.tolist())
+    assert levels(times, np.full(len(times), words))[3, times == 300].any()
