@@ -7,7 +7,7 @@ the labelled documents: lines of good documents are good; those of a bad documen
 that a first model finds as good as those of good documents are relabelled. Forward-backward gives each
 line's marginal, and the mean of these weighted by length, put on a logistic scale, is the score.
 
-Training reads a bounded sample of the labelled rows (labelled.SAMPLE); scoring reads all rows whole.
+Training reads a bounded sample of the labelled rows (TRAIN_ROWS, labelled.SAMPLE_BYTES); scoring reads all rows whole.
 Only the text enters a score.
 
 Defined cases: a null text is an empty one; an empty text is one empty line and is scored as such; very
@@ -124,15 +124,16 @@ class Crf:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.raw_scores(*line_features(texts)) + self.scale[1], -30, 30)))
 
 
-def marginals(emit: np.ndarray, bounds: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def marginals(emit: np.ndarray, bounds: np.ndarray, turns: np.ndarray, mass: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """(P(good) by line, sums of pair marginals [from, to], log partition functions' sum).
 
     All chains are walked at once, place by place, the longer ones first. The messages are ratios
-    P(good) : P(bad), so one number a line.
+    P(good) : P(bad), so one number a line. `mass` weighs the pairs of each chain, 1 if it is left out.
     """
     length = np.diff(bounds)
     order = np.argsort(-length, kind="stable")
     start, length = bounds[:-1][order], length[order]
+    chain = np.ones(len(order)) if mass is None else mass[order]
     most = int(length[0]) if len(length) else 0
     alive = len(length) - np.searchsorted(length[::-1], np.arange(most), side="right")
     n = len(emit)
@@ -158,7 +159,7 @@ def marginals(emit: np.ndarray, bounds: np.ndarray, turns: np.ndarray) -> tuple[
         logs = np.array([[bad_bad + 0 * b, bad_good + b], [forward[at] + good_bad, forward[at] + good_good + b]])
         logs -= logs.max(axis=(0, 1))
         p = np.exp(logs)
-        pair += (p / p.sum(axis=(0, 1))).sum(axis=2)
+        pair += (p / p.sum(axis=(0, 1))) @ chain[: alive[t + 1]]
     good = 1 / (1 + np.exp(-np.clip(forward + backward, -30, 30)))
     return good, pair, float(z.sum())
 
@@ -203,7 +204,7 @@ def fit(values: np.ndarray, size: np.ndarray, bounds: np.ndarray, label: np.ndar
 
     for t in range(1, rounds + 1):
         load(theta)
-        p, _, _ = marginals(model.emissions(bins, bounds), bounds, model.turns)
+        p, expected, _ = marginals(model.emissions(bins, bounds), bounds, model.turns, chain_mass)
         error = (p - good) * weight
         grad = np.zeros_like(theta)
         back, ahead = np.concatenate([error[1:], [0]]), np.concatenate([[0], error[:-1]])
@@ -214,7 +215,6 @@ def fit(values: np.ndarray, size: np.ndarray, bounds: np.ndarray, label: np.ndar
             for c in range(cells.shape[1]):
                 part += np.bincount(cells[:, c], weights=e, minlength=n_cells)
         grad[3 * n_cells], grad[3 * n_cells + 1] = error[~prev_ok].sum(), error[~next_ok].sum()
-        expected = _weighted_pairs(model, bins, bounds, chain_mass)
         grad[-3:] = [expected[0, 0] - observed[0, 0], expected[0, 1] - observed[0, 1], expected[1, 1] - observed[1, 1]]
         grad += 1e-5 * theta
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
@@ -223,20 +223,6 @@ def fit(values: np.ndarray, size: np.ndarray, bounds: np.ndarray, label: np.ndar
     return model
 
 
-def _weighted_pairs(model: Crf, bins: np.ndarray, bounds: np.ndarray, mass: np.ndarray) -> np.ndarray:
-    """Expected turns, each chain weighted by its mass: from the marginals of its lines and neighbours."""
-    emit = model.emissions(bins, bounds)
-    length = np.diff(bounds)
-    out = np.zeros((2, 2))
-    # chains of equal mass come together, so that one pass gives the sum of a group
-    for m in np.unique(np.round(np.log(mass), 1)):
-        group = np.flatnonzero(np.round(np.log(mass), 1) == m)
-        at = np.concatenate([np.arange(bounds[g], bounds[g + 1]) for g in group])
-        own = np.concatenate([[0], np.cumsum(length[group])])
-        out += marginals(emit[at], own, model.turns)[1] * mass[group].mean()
-    return out
-
-
 def calibrate(model: Crf, raw: np.ndarray, label: np.ndarray) -> None:
     """Logistic scale of the raw scores by Newton steps, with a small ridge."""
     a, b = 1.0, 0.0

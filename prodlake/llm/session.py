@@ -18,11 +18,13 @@ from prodlake.session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local runs only)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         set_by_us = spark.sparkContext.getCheckpointDir()
         if not set_by_us:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             own = tempfile.mkdtemp(prefix="prodlake-checkpoint-")
             atexit.register(shutil.rmtree, own, ignore_errors=True)
             spark.sparkContext.setCheckpointDir(own)
@@ -32,10 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def clear_stash(spark: SparkSession) -> None:
-    """Delete the tables that operators wrote; call it when no frame of theirs will be read any more."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stash")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete the tables that operators and the pipeline wrote; call it when no frame of theirs will be read any more."""
+    for name in ("stash", "pipeline", "media"):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stash(df: DataFrame) -> DataFrame:
