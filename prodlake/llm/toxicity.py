@@ -1,15 +1,15 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries (whole words, and stems: the first bytes of a word; present, repeated, or at
-some share of the words) and patterns of writing.
-Stated lexicons are joined by entries that the labelled rows show to go with toxicity. A generative label
-model, fitted by EM over the votes, estimates every voter's rates under both classes and, from what is
-left unexplained, the correlations between voters, by which it discounts those that repeat each other;
-a label counts as one more voter of stated odds. A linear classifier is then trained on the posterior labels, over
-the same kinds of entries, and scores every document.
+some share of the words), patterns of writing, and the absence of both. Stated lexicons are joined by
+entries that the labelled rows show to go with toxicity; that choice is the labels' only part in voting.
+A generative label model, fitted by EM over the votes alone, estimates every voter's rates under both
+classes and, from what is left unexplained, the correlations between voters, by which it discounts those
+that repeat each other. A linear classifier is then trained on the posterior labels, over the same kinds
+of entries and the patterns, and scores every document; labels set the line that parts its scores.
 
-Training reads a bounded sample of the labelled rows (labelled.SAMPLE); scoring reads all rows whole.
-Only the text enters a score.
+Training reads a bounded sample of the labelled rows (labelled.SAMPLE, SAMPLE_BYTES); scoring reads all
+rows whole. Only the text enters a score.
 
 Defined cases: null and empty texts get the score of a text without any known word; repeated rows and
 equal texts get equal scores; rows with a null doc_id are scored and not held out; without labelled rows
@@ -18,8 +18,9 @@ the stated lexicons alone decide; an empty table gives no rows; extra columns ar
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +39,21 @@ LEXICON = {
     "fr": "idiot imbécile crétin connard ordure minable pathétique dégoûtant débile salaud",
     "es": "idiota imbécil estúpido cabrón basura patético asqueroso inútil payaso escoria",
 }
+#: Phrases of abuse (fixed values, our own choice), each a pattern voter with those of its language.
+PHRASES = {
+    "en": ("shut up", "go to hell", "you idiot", "you moron", "hate you", "kill yourself", "piece of"),
+    "de": ("halt die", "halt's maul", "du idiot", "verpiss dich", "hasse dich"),
+    "fr": ("ta gueule", "va te faire", "sale con", "espèce de", "je te hais"),
+    "es": ("cállate", "vete a la", "hijo de", "te odio", "eres un idiota"),
+}
 STEMS = (4, 5, 6, 7)
+#: An entry's levels: present, twice or more, then also one in 200 words, one in 50.
 LEVELS = 4
 VOTERS, FEATURES = 64, 4096
-#: Entries that may pass the test of evidence by chance.
+#: Entries that may pass the test of evidence by chance: log(candidates / CHANCE) is the least evidence in nats.
 CHANCE = 1000.0
+#: Weight of a stated insult that the sample shows too rarely to judge; the constant of an untrained model asks for two.
 UNSEEN = 2.5
-#: What a label counts for in the label model, whose votes may outweigh it.
-LABEL_ODDS = 6.0
 _ROUNDS = 60
 
 
@@ -84,22 +92,50 @@ def levels(times: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(times), dtype=bool), twice, twice & (200 * times >= words), twice & (50 * times >= words)])
 
 
+_BYTES = {"upper": range(65, 91), "lower": range(97, 123), "marks": [33], "stars": [42], "symbols": [ord(c) for c in "@#$%&"], "digits": range(48, 58)}
+PATTERNS = ["shouting", "much shouting", "exclaiming", "rows of marks", "masked words", "symbols for words", "stretched letters", "letters as digits", *PHRASES]
+_MASKED = re.compile(r"[^\W\d_]\*{2,}|\*{2,}[^\W\d_]")
+_STRETCHED = re.compile(r"([^\W\d_])\1{3}")
+_AS_DIGITS = re.compile(r"[^\W\d_][013457@$][^\W\d_]")
+
+
 def patterns(texts: list[str | None]) -> np.ndarray:
-    """Votes for each text: shouting, rows of exclamation marks, masked words; each 1 or 0."""
-    out = np.zeros((len(texts), 3), dtype=np.int8)
+    """Votes of the patterns for each text, 1 or 0; every one reads the whole text."""
+    data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    size = np.array([len(d) for d in data])
+    raw = np.frombuffer(b"\n".join([*data, b""]), dtype=np.uint8)
+    starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]]) if len(size) else size
+    share = {}
+    for name, members in _BYTES.items():
+        kind = np.zeros(256, dtype=np.int64)
+        kind[list(members)] = 1
+        share[name] = np.add.reduceat(kind[raw], starts) if len(size) else size
+    letters = np.maximum(share["upper"] + share["lower"], 1)
+    out = np.zeros((len(texts), len(PATTERNS)), dtype=np.int8)
+    out[:, 0] = (share["upper"] > 0) & (share["lower"] == 0)
+    out[:, 1] = 10 * share["upper"] > 3 * letters
+    out[:, 2] = 100 * share["marks"] > np.maximum(size, 1)
     for k, t in enumerate(texts):
-        if t:
-            out[k] = (t.isupper(), t.count("!!") * 40 > len(t), "*" in t and "**" in t)
+        if not t:
+            continue
+        out[k, 3] = "!!" in t and t.count("!!") * 40 > len(t)
+        out[k, 4] = "**" in t and _MASKED.search(t) is not None
+        out[k, 5] = share["symbols"][k] > 2 and any(m in t for m in ("@#$", "#$%", "$%&", "%&#", "&%$", "@$#"))
+        out[k, 6] = _STRETCHED.search(t) is not None
+        out[k, 7] = share["digits"][k] + share["symbols"][k] > 0 and _AS_DIGITS.search(t) is not None
+        low = t.lower()
+        out[k, 8:] = [any(p in low for p in phrases) for phrases in PHRASES.values()]
     return out
 
 
 @dataclass
 class Toxicity:
-    """A fitted classifier: ascending entries, weights by entry and level, and the constant term."""
+    """A fitted classifier: ascending entries, weights by entry and level, the constant term, weights by pattern."""
 
     keys: np.ndarray
     weights: np.ndarray
     constant: float
+    marks: np.ndarray = field(default_factory=lambda: np.zeros(len(PATTERNS)))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         docs, keys, times, words = _hits(texts, self.keys)
@@ -107,6 +143,8 @@ class Toxicity:
         if len(docs):
             held = levels(times, words[docs])
             total = np.bincount(docs, weights=(self.weights[np.searchsorted(self.keys, keys)] * held.T).sum(axis=1), minlength=len(texts))
+        if self.marks.any():
+            total = total + patterns(texts) @ self.marks
         return 1 / (1 + np.exp(-np.clip(total + self.constant, -30, 30)))
 
 
@@ -115,16 +153,16 @@ def stated_entries() -> np.ndarray:
     return np.unique((hashes >> U64(32)).astype(np.int64))
 
 
-def label_model(votes: np.ndarray, rounds: int = 30, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(posterior of class 1, log-odds of a vote by voter, correlations) from votes in {-1, 0, 1}.
+def label_model(votes: np.ndarray, rounds: int = 30, prior: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(posterior of class 1, log-odds of a vote by voter, correlations) from votes in {-1, 0, 1} and the share `prior` of class 1.
 
-    EM over P(vote | class) of every voter. After each round the correlation of two voters' votes within
-    the classes is estimated, and a voter that repeats others counts by 1 / (1 + sum of its correlations).
-    A label (1 or 0) is one more voter, whose log-odds are set.
+    EM over P(vote | class) of every voter, from a first guess by the sum of votes. Every fifth round the
+    correlation of two voters' votes within the classes is estimated, and a voter that repeats others counts
+    by 1 / (1 + sum of its correlations).
     """
     n, m = votes.shape
     total = votes.sum(axis=1)
-    posterior = np.where(total > 0, 0.95, np.where(total < 0, 0.03, 0.1))
+    posterior = np.where(total > 0, 0.95, np.where(total < 0, 0.03, prior))
     centred = votes - votes.mean(axis=0)
     spread = np.sqrt((centred**2).mean(axis=0)) + 1e-6
     corr = (centred.T @ centred) / n / spread[:, None] / spread
@@ -132,13 +170,13 @@ def label_model(votes: np.ndarray, rounds: int = 30, label: np.ndarray | None =
     start = 1 / (1 + (np.clip(corr - 0.7, 0, 0.3) / 0.3).sum(axis=1) - np.clip(np.diag(corr) - 0.7, 0, 0.3) / 0.3)
     share = start
     levels = [(votes == v).astype(np.float32) for v in (-1, 0, 1)]
-    known = 0.0 if label is None else np.where(label == 1, LABEL_ODDS, -LABEL_ODDS)
-    if label is not None:
-        posterior = np.where(label == 1, 0.95, 0.03)
+    even = np.log((1 - prior) / prior)
     for k in range(rounds):
         one, zero = posterior.sum() + 1, (1 - posterior).sum() + 1
         odds = [np.log((v.T @ posterior + 0.1) / (one + 0.3)) - np.log((v.T @ (1 - posterior) + 0.1) / (zero + 0.3)) for v in levels]
-        log_odds = sum(v @ (o * share) for v, o in zip(levels, odds, strict=True)) + np.log(one / zero) + known
+        odds[1] = np.zeros(m)  # an abstention says nothing: a voter of one language is silent on texts of all others
+        odds[2], odds[0] = np.maximum(odds[2], even), np.minimum(odds[0], 0)  # a vote is right at least as often as wrong
+        log_odds = sum(v @ (o * share) for v, o in zip(levels, odds, strict=True)) + np.log(prior / (1 - prior))
         posterior = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
         if k % 5 == 4 and m > 1:
             means = [(votes.T @ w) / max(w.sum(), 1e-9) for w in (posterior, 1 - posterior)]
@@ -222,12 +260,16 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int, np.ndarray, int]]) -> Toxi
     voters = np.union1d(voters, np.flatnonzero(known & (odds > 1)))
     column = np.full(size, -1)
     column[voters] = np.arange(len(voters))
-    votes = np.zeros((n, len(voters) + 3 + 1), dtype=np.float32)
+    seen = np.stack([r[3] for r in rows])
+    # a pattern votes if the labels show it to go with toxicity, as an entry does
+    marks_one, marks_all = label @ seen, seen.sum(axis=0)
+    voting_marks = np.flatnonzero((marks_all >= support) & (marks_one * n > marks_all * ones) & (evidence(marks_all, marks_one, n, ones) > enough))
+    votes = np.zeros((n, len(voters) + len(voting_marks) + 1), dtype=np.float32)
     voting = column[inverse] >= 0
     votes[docs[voting], column[inverse[voting]]] = 1
-    votes[:, len(voters) : len(voters) + 3] = np.stack([r[3] for r in rows])
+    votes[:, len(voters) : -1] = seen[:, voting_marks]
     votes[:, -1] = np.where(votes[:, : len(voters)].any(axis=1), 0, -1)  # no entry of any lexicon
-    posterior, _, _ = label_model(votes, label=label)
+    posterior, _, _ = label_model(votes, prior=float((ones + 1) / (n + 2)))
     # the strongest features under the posterior, then logistic regression on it
     soft = np.bincount(inverse, weights=posterior[docs], minlength=size)
     all_soft = posterior.sum()
@@ -238,25 +280,30 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int, np.ndarray, int]]) -> Toxi
     column[picked] = np.arange(len(picked))
     used = column[inverse] >= 0
     row, col = docs[used], column[inverse[used]]
-    w, b = np.zeros(len(picked)), np.log((all_soft + 1) / (n - all_soft + 1))
-    first = np.zeros(len(picked) + 1)
-    second = np.zeros(len(picked) + 1)
+    held_marks, mark = np.nonzero(seen[:, voting_marks])
+    row, col = np.concatenate([row, held_marks]), np.concatenate([col, len(picked) + mark])
+    size_w = len(picked) + len(voting_marks)
+    w, b = np.zeros(size_w), np.log((all_soft + 1) / (n - all_soft + 1))
+    first = np.zeros(size_w + 1)
+    second = np.zeros(size_w + 1)
     for t in range(1, 5 * _ROUNDS + 1):  # full-batch Adam with a small ridge
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=w[col], minlength=n) + b, -30, 30)))
         error = (p - posterior) / n
-        grad = np.append(np.bincount(col, weights=error[row], minlength=len(picked)) + 2e-4 * w, error.sum())
+        grad = np.append(np.bincount(col, weights=error[row], minlength=size_w) + 2e-4 * w, error.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         step = 0.05 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
     b += np.log(0.3 / 0.7) - dividing_line(np.bincount(row, weights=w[col], minlength=n) + b, label) if ones else 0.0
     keys = np.unique(picked // LEVELS)
     weights = np.zeros((len(keys), LEVELS))
-    weights[np.searchsorted(keys, picked // LEVELS), picked % LEVELS] = w
+    weights[np.searchsorted(keys, picked // LEVELS), picked % LEVELS] = w[: len(picked)]
+    marks = np.zeros(len(PATTERNS))
+    marks[voting_marks] = w[len(picked) :]
     # stated entries that the sample shows too rarely to judge keep a weight of which two make a vote
     unseen = ~np.isin(stated, entries[(count.reshape(-1, LEVELS)[:, 0] >= support)])
     keys, weights = np.concatenate([entries[keys], stated[unseen]]), np.concatenate([weights, prior[unseen]])
     keys, first = np.unique(keys, return_index=True)
-    return Toxicity(keys, weights[first], float(b))
+    return Toxicity(keys, weights[first], float(b), marks)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
