@@ -75,6 +75,37 @@ def test_repeated_passages(spark, small, texts):
     assert {i: places(r["drops"]) for i, r in rows.items() if r["drops"]} == later
 
 
+@pytest.mark.parametrize("batch", ["7", "1000"])
+def test_repeats_that_owe_their_ends_to_different_documents(spark, batch):
+    """Passages are put together from a few pieces, so that suffixes share their beginnings with many and their left sides with others."""
+    rng = np.random.default_rng(3)
+    pieces = [" ".join(f"w{x}" for x in rng.integers(0, 40, size=int(rng.integers(3, 14)))) for _ in range(25)]
+    docs = {i: " ".join(pieces[k] for k in rng.integers(0, len(pieces), size=int(rng.integers(1, 9)))) for i in range(80)}
+    docs |= {100: "same " * 40, 101: "same " * 25 + "other", 102: docs[5], 103: None}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    every, later = brute.repeats(docs, 12)
+    rows = {r["doc_id"]: r for r in repeated_passages(frame, length=12, gram=5, span=4).collect()}
+    places = lambda spans: {k for s in spans for k in range(s["from"], s["to"])}
+    assert {i: places(r["repeats"]) for i, r in rows.items()} == every
+    assert {i: places(r["drops"]) for i, r in rows.items() if r["drops"]} == later
+
+
+def test_neighbours_of_other_documents():
+    from prodlake.llm.suffix_dedup import _common
+
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        words, docs = rng.integers(0, 2, size=(20, 5)).astype(np.uint32), rng.integers(0, 3, size=20)
+        held = rng.integers(2, 6, size=20)
+        words[np.arange(5) >= held[:, None]] = 0
+        order = np.lexsort([docs, held, *words.T[::-1]])
+        words, docs, held = words[order], docs[order], held[order]
+        agree = lambda i, j: min(held[i], held[j], next((k for k in range(5) if words[i, k] != words[j, k]), 5))
+        want = [max([agree(i, j) for j in range(20) if docs[j] != docs[i]], default=0) for i in range(20)]
+        assert _common(words, held, docs, 5).tolist() == want
+
+
 def test_runs_that_span_ranges(spark):
     """Keys with more rows than a range holds keep one first document."""
     rows = spark.range(20_000).select((F.col("id") % 3).alias("key"), F.col("id").alias("doc_id"), F.lit(0).alias("place"))
@@ -164,7 +195,7 @@ def test_label_model_discounts_repeated_voters():
     vote = lambda right: np.where(rng.random(4000) < right, y, ~y) * 2 - 1
     copy = vote(0.7)
     votes = np.column_stack([vote(0.9), vote(0.85), vote(0.8), copy, copy, copy]).astype(np.float32)
-    posterior, odds, corr = toxicity.label_model(votes)
+    posterior, odds, corr = toxicity.label_model(votes, prior=0.3)
     assert ((posterior > 0.5) == y).mean() > 0.9
     # only positive correlations discount; conditioning on the votes themselves makes others negative
     assert corr[3, 4] > 0.95 and corr[0, 1] < 0.2 and odds[0] > odds[3]
