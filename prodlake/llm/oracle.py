@@ -2,43 +2,31 @@
 
 from __future__ import annotations
 
-from prodlake.llm.licences import BASE, ENOUGH, TEMPLATES, vocabulary
+from prodlake.llm.licences import ENOUGH, templates
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _list(words: list[str]) -> str:
+def _list(words: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
-def _places(words: list[str], offset: int = 0) -> str:
-    """Starts from 0 (less an offset) at which the words stand consecutively."""
-    n = len(words)
-    return f"list_transform(list_filter(range(len(w) - {n} + 1), lambda i: w[i + 1 : i + {n}] = {_list(words)}), lambda i: i - {offset})"
-
-
 def licence_scan() -> str:
-    idf = lambda word: f"idf['{word}']"
-    base = [f"{_places(p.split())} as b{k}" for k, p in enumerate(BASE)]
-    shares = []
-    for k, (_, notice, phrase) in enumerate(TEMPLATES):
-        parts, inner = notice.split(), phrase.split()
-        offset = next(o for o in range(len(parts)) if parts[o : o + len(inner)] == inner)
-        got = " + ".join(f"case when s + {j} >= 0 and w[s + {j + 1}] = '{word}' then {idf(word)} else 0 end" for j, word in enumerate(parts))
-        whole = " + ".join(idf(word) for word in parts)
-        shares.append(f"list_max(list_transform({_places(inner, offset)}, lambda s: ({got}) / ({whole}))) as s{k}")
-    every = "list_concat(" + ", ".join(f"b{k}" for k in range(len(BASE))) + ")"
-    own = ", ".join(f"case when len(b{k}) > 0 then '{label}' end" for k, label in enumerate(BASE.values()))
-    more = ", ".join(f"case when s{k} >= {ENOUGH} then '{t[0]}' end" for k, t in enumerate(TEMPLATES))
-    best = ", ".join(f"coalesce(case when s{k} >= {ENOUGH} then s{k} end, 0)" for k in range(len(TEMPLATES)))
-    labels = lambda items: f"array_to_string(list_sort(list_distinct(list_filter([{items}], lambda x: x is not null))), ',')"
-    return f"""with d as (select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from documents),
-    v as (select unnest({_list(vocabulary())}) as word),
+    """Every start of every key phrase by comparing it with each stretch of the text."""
+    known = templates()
+    rows = ", ".join(f"({k}, '{t.label}', {_list(t.words)}, {_list(t.key)}, {t.offset}, {t.base})" for k, t in enumerate(known))
+    return f"""with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from documents),
+    t as (select * from (values {rows}) as t(t, label, tw, key, o, base)),
+    v as (select distinct unnest(tw) as word from t),
     f as (select word, count(*) as n from (select unnest(list_distinct(w)) as word from d) group by 1),
     i as (select map(list(word), list(greatest(0.01, ln(((select count(*) from d) + 1) / (coalesce(n, 0) + 0.5))))) as idf from v left join f using (word)),
-    p as (select doc_id, len(w) as n_words, {", ".join(base + shares)} from d, i)
-    select doc_id, n_words, len({every}) as n_base, list_min({every}) as first_word, list_max({every}) as last_word, {labels(own)} as base_labels, {labels(own + ", " + more)} as labels,
-    round(least(1.0, greatest(case when len({every}) > 0 then 1.0 else 0.0 end, {best})), 6) as score from p"""
+    p as (select t.t, label, tw, key, o, base, list_transform(tw, lambda x: idf[x]) as weights from t, i),
+    s as (select r, p.*, w, unnest(list_filter(range(len(w) - len(key) + 1), lambda k: w[k + 1 : k + len(key)] = key)) - o as s from d join p on list_has_all(w, key)),
+    m as (select r, label, base, s, list_sum(list_transform(range(len(tw)), lambda j: case when s + j >= 0 and w[s + j + 1] = tw[j + 1] then weights[j + 1] else 0.0 end)) / list_sum(weights) as share from s),
+    g as (select r, count(*) filter (base) as n_base, min(s) filter (base) as first_word, max(s) filter (base) as last_word, list(distinct label) filter (base) as b,
+      list(distinct label) filter (base or share >= {ENOUGH}) as l, max(case when base then 1.0 when share >= {ENOUGH} then share end) as best from m group by r)
+    select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(array_to_string(list_sort(b), ','), '') as base_labels,
+    coalesce(array_to_string(list_sort(l), ','), '') as labels, round(least(1.0, coalesce(best, 0.0)), 6) as score from d left join g using (r)"""
 
 
 TOP_K = """with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e from embeddings
