@@ -1,18 +1,22 @@
 """Main text of HTML pages by a maximum-scoring subsequence of words and tags.
 
 A page is a sequence of tokens: words score positive, tags negative. Weights depend on the kind of tag and,
-for words, on what they stand in (a link, a heading, a list item); they are log-odds learned from the
-labelled pages below, whose main content is marked. One linear scan finds the contiguous region of
-largest sum. Elements that are never content (scripts, styles, forms, menus, footers, asides, adverts,
-notices, comments by readers) are taken out by their tags and by words of their class, id and role.
-The region is then widened to the blocks it touches, and to an `article` or `main` element that holds it.
+for words, on what they stand in (a link, a heading, a list item); they are log-odds learned from labelled
+pages (main_text_pages.LABELLED), whose main content is marked. One linear scan finds the contiguous region
+of largest sum; nothing but the scan places it. It is widened to the blocks that it touches.
+
+Some elements are never content: those whose tag says so (scripts, styles, forms, menus, footers, asides,
+hidden ones), and those whose class, id and role words the labelled pages show to mark what is not
+the article: the log-odds of these words are learned too and added up, a word that no labelled page has
+counting for content.
 
 Blocks end at block-level tags. Inside a block character references are decoded, white space becomes one
 blank and the ends are trimmed; blocks are joined by one blank. Nothing else is dropped or cut.
 
 Defined cases: null and empty html, and pages without a word outside the excluded elements, give an
 empty text; a page cut off anywhere, unclosed or misnested tags and stray angle brackets are read as far
-as they go; repeated rows give equal rows; a null page_id is returned as it is; an empty table gives no
+as they go, in time linear in the page whatever its depth; a slash at the end of a tag closes nothing, as
+in HTML; repeated rows give equal rows; a null page_id is returned as it is; an empty table gives no
 rows; extra columns are ignored.
 """
 
@@ -21,6 +25,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prodlake.llm.main_text_pages import LABELLED
 from prodlake.llm.session import pieces
 
 BLOCKS = frozenset(
@@ -38,37 +44,23 @@ BLOCKS = frozenset(
 SKIPPED = frozenset(
     "script style noscript template head title nav aside footer form button select textarea iframe svg canvas object embed audio video dialog menu".split()
 )
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Elements that end where the next of their name begins.
+REPEATED = frozenset("p li option tr td th dt dd".split())
+#: Class words: counts that every word has beforehand in content and outside, what a word unknown to the
+#: labelled pages thus weighs, and the sum under which an element is left out.
+SEEN_IN, SEEN_OUT = 0.4, 0.1
+UNKNOWN = math.log(SEEN_IN / SEEN_OUT)
+OUTSIDE = -0.5
 #: Elements whose text is not markup: only their own end tag ends them.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words of class, id or role that mark what is not the article.
-OUTSIDE = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion popup modal overlay cookie cookies consent gdpr"
-    " notice notices alert nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager sidebar sidebars aside rail widget widgets"
-    " footer foot header masthead toolbar comment comments commentlist discussion disqus replies reply respond feedback share sharing social"
-    " related recommended recommendations newsletter subscribe subscription signup login search searchbox toc copyright complementary contentinfo".split()
-)
-#: Words that mark the wrappers of an article, unless the same token also has a word of the other kind.
-INSIDE = frozenset("content article main post entry story body page text wrapper container layout".split())
 _PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|itemprop)\s*(?:=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
-# Labelled pages (our own): what stands in <x-content> is main text.
-LABELLED = [
-    "<body><nav><ul><li><a>Home</a></li><li><a>News</a></li><li><a>About us</a></li></ul></nav><x-content><article><h1>Rain in the valley</h1>"
-    "<p>It rained for nine days and the river rose above the old bridge before noon on Sunday.</p><p>People carried what they could to the"
-    " church on the hill, and <b>nobody</b> was hurt in the night that followed.</p></article></x-content><footer><p>Copyright <a>the paper</a></p></footer></body>",
-    "<body><div><a>Log in</a> | <a>Register</a></div><ul><li><a>Sport</a></li><li><a>Weather</a></li></ul><x-content><div><h2>How to bake bread</h2><p>Mix flour,"
-    " water and salt, and leave the dough for a night in a cool place.<br>Bake it the next morning until it sounds hollow.</p><ul><li>Use a stone"
-    " if you have one and heat it well before the loaf goes in.</li><li>Let it cool before you cut it.</li></ul></div></x-content><div><a>Next</a><a>Previous</a></div>"
-    "<ul><li><a>Terms</a></li><li><a>Privacy</a></li><li><a>Contact</a></li></ul></body>",
-    "<body><table><tr><td><a>Index</a></td><td><a>Search</a></td><td><a>Help</a></td></tr></table><x-content><p>The committee met in March and agreed on a plan"
-    " for the harbour that would take ten years.</p><blockquote>We have waited long enough, said the mayor, and now we shall build.</blockquote><p>Work starts"
-    " in <a>autumn</a> with the eastern wall, which the storm of last year broke in two places.</p></x-content><div><span>Share</span><a>Mail</a><a>Print</a></div></body>",
-]
-
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name, value): kind is text, open or close; comments and declarations are left out."""
@@ -98,165 +90,208 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = end.end() if end else n
 
 
+def marking_words(attributes: str) -> tuple[list[str], bool]:
+    """(words of class, id and role, whether the element is hidden)."""
+    words: list[str] = []
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        if key in ("class", "id", "role"):
+            words += [w.lower() for w in _WORD.findall(value)]
+        elif key == "hidden" or key == "style" and _HIDDEN.search(value):
+            return words, True
+    return words, False
+
+
 def _outside(name: str, attributes: str, within_article: bool) -> bool:
-    if name in SKIPPED:
+    if name in SKIPPED or name == "header" and not within_article:
         return True
-    if name == "header" and not within_article:
-        return True
-    if not attributes or name in ("body", "html", "article", "main"):
+    if not attributes or name in ("body", "html"):
         return False
-    for key, value in _ATTRIBUTE.findall(attributes):
-        if key.lower() == "hidden":
-            return True
-        if key.lower() != "itemprop" and _marked(value):
-            return True
-    return False
+    words, hidden = marking_words(attributes)
+    return hidden or bool(words) and mark(words) < OUTSIDE
 
 
-def _marked(value: str) -> bool:
-    """Whether class, id or role say that an element is not the article.
+def mark(words: list[str]) -> float:
+    """Log-odds that an element with these class, id and role words holds content."""
+    return sum(class_weights().get(w, UNKNOWN) for w in words)
 
-    A wrapper's own name (`content`) outweighs what else it is said to have (`has-sidebar`), if the element is
-    not first of all something else (`sidebar content`).
-    """
-    tokens = [{w.lower() for w in _WORD.findall(t)} for t in value.strip("\"'").split()]
-    tokens = [t for t in tokens if t and not t & {"has", "with", "no", "without"}]
-    outside = [bool(t & OUTSIDE) for t in tokens]
-    inside = [bool(t & INSIDE) and not o for t, o in zip(tokens, outside, strict=True)]
-    return bool(tokens) and any(outside) and (outside[0] or not any(inside))
 
+Event = tuple[str, str, str, str, int]
 
-def events(page: str) -> list[tuple[str, str, str, tuple]]:
-    """(kind, name, text, context) outside the excluded elements; context is (in link, in item, in heading, root)."""
-    out: list[tuple[str, str, str, tuple]] = []
+
+def events(page: str) -> list[Event]:
+    """(kind, name, text, kind of word, number of elements around it) outside the excluded elements."""
+    out: list[Event] = []
     stack: list[tuple[str, bool]] = []
-    hidden = roots = count = 0
+    count: dict[str, int] = {}  # open elements by name
+    hidden = headings = 0
+
+    def pop() -> str:
+        nonlocal hidden, headings
+        top, skip = stack.pop()
+        count[top] -= 1
+        headings -= top in HEADINGS
+        shown = not hidden
+        hidden -= skip
+        if shown:
+            out.append(("close", top, "", "", len(stack)))
+        return top
+
     for kind, name, value in tokens(page):
         if kind == "open":
-            if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd"):
-                # an open paragraph, item or cell ends where the next begins
-                if stack and stack[-1][0] == name:
-                    hidden -= stack.pop()[1]
-                    if not hidden:
-                        out.append(("close", name, "", ()))
-            skip = _outside(name, value, roots > 0)
-            if name not in VOID and not value.rstrip().endswith("/"):
+            if name in REPEATED and stack and stack[-1][0] == name:
+                pop()  # an open paragraph, item or cell ends where the next begins
+            skip = _outside(name, value, bool(count.get("article") or count.get("main") or count.get("section")))
+            if name not in VOID:
                 stack.append((name, skip))
+                count[name] = count.get(name, 0) + 1
+                headings += name in HEADINGS
                 hidden += skip
-                if name in ("article", "main") and not hidden:
-                    roots += 1
-                    count += 1
-            elif skip:
-                continue
-            if not hidden:
-                out.append(("open", name, "", (roots, count)))
+            if not hidden and not skip:
+                out.append(("open", name, "", "", len(stack) - (name not in VOID)))
         elif kind == "close":
-            if not any(s == name for s, _ in stack):
-                if name in BLOCKS and not hidden:
-                    out.append(("close", name, "", ()))
-                continue
-            while stack:
-                top, skip = stack.pop()
-                if top in ("article", "main") and not hidden:
-                    roots -= 1
-                was, hidden = hidden, hidden - skip
-                if not was:
-                    out.append(("close", top, "", ()))
-                if top == name:
-                    break
+            if count.get(name):
+                while pop() != name:
+                    pass
+            elif name in BLOCKS and not hidden:
+                out.append(("close", name, "", "", len(stack)))
         elif not hidden:
-            names = {s for s, _ in stack}
-            heading = any(s in names for s in ("h1", "h2", "h3", "h4", "h5", "h6"))
-            out.append(("text", "", value, ("a" in names, "li" in names, heading, roots > 0 and count or 0)))
+            word = "link" if count.get("a") else "item" if count.get("li") else "heading" if headings else "word"
+            out.append(("text", "", value, word, len(stack)))
     return out
 
 
 def _kind(name: str) -> str:
     if name in ("p", "a", "li", "ul", "div", "td", "br", "span"):
         return name
-    if name in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if name in HEADINGS:
         return "h"
     return "block" if name in BLOCKS else "inline"
 
 
-def _word_kind(context: tuple) -> str:
-    return "link" if context[0] else "item" if context[1] else "heading" if context[2] else "word"
-
-
 @lru_cache(maxsize=1)
-def weights() -> dict[str, float]:
-    """Log-odds of each kind of token inside and outside the marked content, words at least 0.1, tags at most -0.1."""
-    inside: dict[str, float] = {}
-    outside: dict[str, float] = {}
+def _learned() -> tuple[dict[str, float], dict[str, float]]:
+    inside: Counter[str] = Counter()
+    outside: Counter[str] = Counter()
+    marked_in: Counter[str] = Counter()
+    marked_out: Counter[str] = Counter()
     for page in LABELLED:
         within, link, item, heading = False, 0, 0, 0
+        stack: list[list] = []  # name, class words, whether it holds or lies in content
         for kind, name, value in tokens(page):
-            if name == "x-content":
-                within = kind == "open"
+            if name in ("x-content", "x-out"):
+                within = (kind == "open") == (name == "x-content")
+                for e in stack if within else []:
+                    e[2] = True
                 continue
             step = 1 if kind == "open" else -1
             if kind == "text":
-                key, n = "w:" + _word_kind((link, item, heading)), len(value.split())
+                key, n = "w:" + ("link" if link else "item" if item else "heading" if heading else "word"), len(value.split())
             else:
-                link, item = link + step * (name == "a"), item + step * (name == "li")
-                heading += step * (_kind(name) == "h")
+                link, item, heading = link + step * (name == "a"), item + step * (name == "li"), heading + step * (name in HEADINGS)
                 key, n = "t:" + _kind(name), 1
-            side = inside if within else outside
-            side[key] = side.get(key, 0) + n
-    total_in, total_out = sum(inside.values()), sum(outside.values())
-    out = {}
+            (inside if within else outside)[key] += n
+            if kind == "open" and name not in VOID:
+                stack.append([name, set(marking_words(value)[0]), within])
+            elif kind == "close":
+                while stack:
+                    top, words, holds = stack.pop()
+                    (marked_in if holds else marked_out).update(words)
+                    if top == name:
+                        break
+    total_in, total_out = inside.total(), outside.total()
+    table = {}
     for key in {*inside, *outside}:
-        odds = math.log((inside.get(key, 0) + 0.5) / (total_in + 1)) - math.log((outside.get(key, 0) + 0.5) / (total_out + 1))
-        out[key] = max(0.1, odds) if key[0] == "w" else min(-0.1, odds)
-    return out
+        odds = math.log((inside[key] + 0.5) / (total_in + 1)) - math.log((outside[key] + 0.5) / (total_out + 1))
+        table[key] = max(0.1, odds) if key[0] == "w" else min(-0.1, odds)
+    marks = {w: math.log((marked_in[w] + SEEN_IN) / (marked_out[w] + SEEN_OUT)) for w in {*marked_in, *marked_out}}
+    return table, marks
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    table, seen = weights(), events(page)
-    best = (0.0, 0, -1)
+def weights() -> dict[str, float]:
+    """Log-odds of each kind of token inside and outside the marked content, words at least 0.1, tags at most -0.1."""
+    return _learned()[0]
+
+
+def class_weights() -> dict[str, float]:
+    """Log-odds that an element holds content, by each word of class, id and role in the labelled pages."""
+    return _learned()[1]
+
+
+def gains(seen: list[Event]) -> list[float]:
+    table = weights()
+    return [len(e[2].split()) * table.get("w:" + e[3], 0.5) if e[0] == "text" else table.get("t:" + _kind(e[1]), -0.3) for e in seen]
+
+
+def best_region(gain: list[float]) -> tuple[int, int]:
+    """First and last place of the contiguous run of largest sum, the first of equals; (0, -1) if none is above 0."""
+    best, first, last = 0.0, 0, -1
     total, start = 0.0, 0
-    for k, (kind, name, value, context) in enumerate(seen):
-        if kind == "text":
-            words = len(value.split())
-            gain = words * table.get("w:" + _word_kind(context), 0.5) * (2.0 if context[3] else 1.0) if words else 0.0
-        else:
-            gain = table.get("t:" + _kind(name), -0.3)
+    for k, g in enumerate(gain):
         if total <= 0:
             total, start = 0.0, k
-        total += gain
-        if total > best[0]:
-            best = (total, start, k)
-    if best[2] < 0:
+        total += g
+        if total > best:
+            best, first, last = total, start, k
+    return first, last
+
+
+def widened(seen: list[Event], first: int, last: int) -> tuple[int, int]:
+    """The region with the blocks before and behind it, more text than links, of the innermost element that holds it.
+
+    So that a last short paragraph does not get lost to the tags before it. Nothing is added if no element below
+    the body holds the region.
+    """
+    depth = min(e[4] for e in seen[first : last + 1])
+    begin, end = first - 1, last + 1
+    while begin >= 0 and not (seen[begin][0] == "open" and seen[begin][4] < depth):
+        begin -= 1
+    if begin < 0 or seen[begin][1] in ("body", "html"):
+        return first, last
+    while end < len(seen) and seen[end][4] >= depth:
+        end += 1
+    for places in (range(begin + 1, first), range(last + 1, end)):
+        plain = links = 0
+        block: list[int] = []
+        for k in (*places, -1):
+            if k >= 0 and not _breaks(seen[k]):
+                if seen[k][0] == "text" and seen[k][2].strip():
+                    n = len(seen[k][2].split())
+                    plain, links = plain + n * (seen[k][3] != "link"), links + n * (seen[k][3] == "link")
+                    block.append(k)
+                continue
+            if plain > links:
+                first, last = min(first, block[0]), max(last, block[-1])
+            plain = links = 0
+            block = []
+    return first, last
+
+
+def main_text(page: str | None) -> str:
+    if not page:
         return ""
-    first, last = best[1], best[2]
-    held = {seen[k][3][3] for k in range(first, last + 1) if seen[k][0] == "text" and seen[k][2].strip()}
-    if any(held):  # the region lies in a root: all of that root, and nothing outside it
-        keep = {r for r in held if r}
-        spots = [k for k, e in enumerate(seen) if e[0] == "text" and e[3][3] in keep]
-        first, last = spots[0], spots[-1]
-        chosen = lambda e: e[3][3] in keep
-    else:
-        while first > 0 and not _breaks(seen[first - 1]):
-            first -= 1
-        while last + 1 < len(seen) and not _breaks(seen[last + 1]):
-            last += 1
-        chosen = lambda e: True
+    seen = events(page)
+    first, last = best_region(gains(seen))
+    if last < first:
+        return ""
+    first, last = widened(seen, first, last)
+    while first > 0 and not _breaks(seen[first - 1]):
+        first -= 1
+    while last + 1 < len(seen) and not _breaks(seen[last + 1]):
+        last += 1
     out: list[str] = []
     block: list[str] = []
-    for e in seen[first : last + 1]:
-        if e[0] == "text":
-            if chosen(e):
-                block.append(e[2])
-        elif e[1] in BLOCKS and block:
+    for kind, name, value, _, _ in seen[first : last + 1]:
+        if kind == "text":
+            block.append(value)
+        elif name in BLOCKS and block:
             out.append(" ".join(html.unescape("".join(block)).split()))
             block = []
     out.append(" ".join(html.unescape("".join(block)).split()))
     return " ".join(b for b in out if b)
 
 
-def _breaks(event: tuple) -> bool:
+def _breaks(event: Event) -> bool:
     return event[0] != "text" and event[1] in BLOCKS
 
 

@@ -3,9 +3,10 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pytest
 
-from prodlake.llm.main_text import main_text, weights
+from prodlake.llm.main_text import best_region, class_weights, main_text, weights
 
 
 @pytest.mark.parametrize(
@@ -29,7 +30,38 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>start words here</p><section class='social-history'><p>the history of it</p></section><p>end</p></article>", "start words here the history of it end"),
+        ("<article><p>start words</p><div class='notice-board-history'><p>the board was old</p></div></article>", "start words the board was old"),
+        ("<nav/><a>menu</a> words of it</nav><p>real text</p>", "real text"),
+        ("<div class=nav data-x=/a/><a>m</a> menu</div><p>text real here</p>", "text real here"),
+        ("<p style='display: none'>hidden words</p><p hidden>more</p><p>shown words</p>", "shown words"),
+        ("<article class='comment'><p>I was there too</p></article><p>the text itself</p>", "the text itself"),
+        ("<div>" * 50_000 + "deep words" + "</div>" * 50_000, "deep words"),
+    ],
+)
+def test_marked_and_unclosed_elements(page, text):
+    assert main_text(page) == text
+
+
+def test_region_against_all_runs():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        gain = rng.integers(-4, 4, size=int(rng.integers(0, 14))).tolist()
+        first, last = best_region(gain)
+        best = max([sum(gain[a:e]) for a in range(len(gain)) for e in range(a + 1, len(gain) + 1)], default=0)
+        assert (sum(gain[first : last + 1]) == best) if best > 0 else (last < first)
+
+
+def test_text_does_not_depend_on_the_name_of_the_root(spark, small):
+    for r in spark.read.parquet(f"{small}/pages.parquet").collect():
+        assert main_text(r["html"].replace("article>", "div>")) == main_text(r["html"])
+
+
 def test_weights_are_learned():
+    assert class_weights()["ad"] < class_weights()["sidebar"] < 0 < class_weights()["article"]
     table = weights()
     assert table["w:word"] > table["w:link"] > 0 > table["t:p"] > table["t:a"]
 
