@@ -9,16 +9,20 @@ possible score reaches it. Every step is exact: pivots and ring bounds come from
 the extent and count of each ring from all rows.
 
 Queries and vectors are compared block by block. Rings with many vectors, such as copies of one, are cut
-into blocks by id; the table of rings, bounded by PIVOTS * RINGS rows, is the only thing sent to all tasks.
+into blocks by id, and these dealt in groups of GROUP blocks, so that no ring is one task's work. The number
+of pivots grows with the square root of the number of vectors, from PIVOTS up to MOST_PIVOTS; the table of
+rings, bounded by MOST_PIVOTS * RINGS rows, is the only thing sent to all tasks.
 
 Defined cases: vectors null or with null or non-finite components take no part; vectors of other
 lengths than the query's are no candidates; equal scores go to the smaller id; repeated rows of an id
-each count, as the rows of a table; rows with a null id take no part; fewer candidates than k give all
-of them; an empty table gives no rows; extra columns are ignored. Scores must fit 64 bits.
+each count as candidates, as the rows of a table, but an id asks once, with the smallest of its vectors;
+rows with a null id take no part; fewer candidates than k give all of them; an empty table gives no rows;
+extra columns are ignored. Components and scores beyond 64 bits are held to their ends.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,17 +33,24 @@ from pyspark.sql import functions as F
 
 from prodlake.llm.session import stash
 
-PIVOTS, RINGS, SAMPLE = 32, 16, 4096
-BLOCK, QUERY_BLOCK = 2048, 256
+PIVOTS, MOST_PIVOTS, RINGS = 32, 1024, 16
+#: Sampled vectors for each pivot.
+SAMPLE = 128
+BLOCK, QUERY_BLOCK, GROUP = 2048, 256, 64
+_LONG = 1 << 63
 
 
 @dataclass
 class Rings:
-    """Pivots (in the space with one more coordinate), the largest squared norm, and what is known of each ring."""
+    """Pivots (in the space with one more coordinate), the largest squared norm, and what is known of each ring.
+
+    `group` is the number of vectors that one task compares at a time.
+    """
 
     pivots: np.ndarray
     top: float
     edges: np.ndarray
+    group: int
     low: np.ndarray | None = None
     high: np.ndarray | None = None
     count: np.ndarray | None = None
@@ -69,23 +80,26 @@ def integers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(rows):
         return rows, np.zeros((0, 0), dtype=np.int64)
     fine = np.isfinite(flat).all(axis=1)
-    return rows[fine], np.floor(1024 * flat[fine]).astype(np.int64)
+    scaled = np.floor(1024 * flat[fine])
+    inside = np.abs(scaled) < _LONG
+    held = np.where(scaled > 0, _LONG - 1, -_LONG)
+    return rows[fine], np.where(inside, np.where(inside, scaled, 0).astype(np.int64), held.astype(np.int64))
 
 
-def choose_pivots(sample: np.ndarray, top: float) -> Rings:
+def choose_pivots(sample: np.ndarray, top: float, pivots_wanted: int = PIVOTS) -> Rings:
     """Farthest-first pivots moved to the means of their vectors, and ring bounds at quantiles, from a sample."""
     norm = (sample.astype(np.float64) ** 2).sum(axis=1)
     points = np.column_stack([sample, np.sqrt(np.maximum(top - norm, 0))]).astype(np.float64)
     chosen = [0]
     near = ((points - points[0]) ** 2).sum(axis=1)
-    while len(chosen) < min(PIVOTS, len(points)) and near.max() > 0:
+    while len(chosen) < min(pivots_wanted, len(points)) and near.max() > 0:
         chosen.append(int(near.argmax()))
         near = np.minimum(near, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
     pivots = points[chosen]
     for _ in range(5):
         own = (-2 * points @ pivots.T + (pivots**2).sum(axis=1)).argmin(axis=1)
         pivots = np.array([points[own == k].mean(axis=0) if (own == k).any() else pivots[k] for k in range(len(pivots))])
-    rings = Rings(pivots, top, np.zeros((len(pivots), RINGS - 1)))
+    rings = Rings(pivots, top, np.zeros((len(pivots), RINGS - 1)), BLOCK * GROUP)
     d = rings.distances(sample)
     own = d.argmin(axis=1)
     for k in range(len(pivots)):
@@ -137,19 +151,28 @@ def _nearest(order: np.ndarray, held: np.ndarray, k: int) -> np.ndarray:
     return np.unique(np.concatenate([o[: int(np.searchsorted(h, k + 1)) + 1] for o, h in zip(order, held, strict=True)]))
 
 
+def _asking(block: str, ring: int, rings: Rings, qids: bytes, queries: bytes, bounds: bytes) -> Iterator[pa.RecordBatch]:
+    """A row for every group of the ring's blocks."""
+    for group in range(-(-int(rings.count[ring]) // rings.group)):
+        yield pa.record_batch(
+            [pa.array([block], pa.string()), pa.array([ring], pa.int32()), pa.array([group], pa.int32()), pa.array([qids], pa.binary()), pa.array([queries], pa.binary()), pa.array([bounds], pa.binary())],
+            names=["block", "ring", "group", "qids", "queries", "bounds"],
+        )
+
+
 def _first_rings(batches: Iterator[pa.RecordBatch], rings: Rings, k: int) -> Iterator[pa.RecordBatch]:
-    """(query block, ring) of the rings with the best bounds that together hold enough vectors."""
+    """(query block, ring, group) of the rings with the best bounds that together hold enough vectors."""
     for batch in batches:
         for row in batch.to_pylist():
             q = _matrix(row["vectors"], len(row["ids"]) // 8)
             order = np.argsort(-rings.best_scores(q), axis=1, kind="stable")
             held = np.cumsum(rings.count[order], axis=1)
             for ring in _nearest(order, held, k):
-                yield pa.record_batch([pa.array([row["block"]], pa.string()), pa.array([ring], pa.int32()), pa.array([row["ids"]], pa.binary()), pa.array([row["vectors"]], pa.binary()), pa.array([b""], pa.binary())], names=["block", "ring", "qids", "queries", "bounds"])
+                yield from _asking(row["block"], ring, rings, row["ids"], row["vectors"], b"")
 
 
 def _more_rings(batches: Iterator[pa.RecordBatch], rings: Rings, k: int) -> Iterator[pa.RecordBatch]:
-    """(query block, ring) of the further rings that some query's bound lets through."""
+    """(query block, ring, group) of the further rings that some query's bound lets through."""
     for batch in batches:
         for row in batch.to_pylist():
             n = len(row["ids"]) // 8
@@ -164,7 +187,17 @@ def _more_rings(batches: Iterator[pa.RecordBatch], rings: Rings, k: int) -> Iter
             reach[:, done] = False
             for ring in np.flatnonzero(reach.any(axis=0)):
                 some = reach[:, ring]
-                yield pa.record_batch([pa.array([row["block"]], pa.string()), pa.array([ring], pa.int32()), pa.array([ids[some].tobytes()], pa.binary()), pa.array([q[some].tobytes()], pa.binary()), pa.array([least[some].tobytes()], pa.binary())], names=["block", "ring", "qids", "queries", "bounds"])
+                yield from _asking(row["block"], ring, rings, ids[some].tobytes(), q[some].tobytes(), least[some].tobytes())
+
+
+def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Exact inner products: in doubles or longs where they hold them, else in whole numbers of any size."""
+    largest = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(v.astype(np.float64)).max(initial=0)) * q.shape[1]
+    if largest < 2**53:
+        return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
+    if largest < 2**62:
+        return q @ v.T
+    return np.clip(q.astype(object) @ v.T.astype(object), -_LONG, _LONG - 1).astype(np.int64)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -173,8 +206,7 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
         for row in batch.to_pylist():
             qids, ids = np.frombuffer(row["qids"], dtype=np.int64), np.frombuffer(row["ids"], dtype=np.int64)
             q, v = _matrix(row["queries"], len(qids)), _matrix(row["vectors"], len(ids))
-            exact = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1] < 2**53
-            scores = (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64) if exact else q @ v.T
+            scores = _products(q, v)
             least = np.frombuffer(row["bounds"], dtype=np.int64) if row["bounds"] else np.full(len(qids), np.iinfo(np.int64).min)
             out_q, out_v, out_s = [], [], []
             for i in range(len(qids)):
@@ -195,7 +227,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     tidy = lambda df: df.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     ).where("vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null)")
-    base, asked = tidy(vectors), tidy(queries)
+    base, asked = tidy(vectors), tidy(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     lengths = sorted(r[0] for r in asked.select(F.size("embedding")).distinct().collect())  # at most the longest length
     out = None
     for n in lengths:
@@ -211,38 +243,40 @@ def _top_k_of_length(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     squares = F.aggregate(F.transform("embedding", lambda x: F.floor(x * 1024).cast("double")), F.lit(0.0), lambda a, x: a + x * x)
     finite = F.forall("embedding", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
     base, asked = base.where(finite), asked.where(finite)
-    top = base.select(squares.alias("s")).agg(F.max("s")).first()[0]
+    top, n = base.select(squares.alias("s")).agg(F.max("s"), F.count("*")).first()
     if top is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    drawn = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "embedding").toArrow()
+    wanted = min(MOST_PIVOTS, max(PIVOTS, math.isqrt(n) // 64))
+    drawn = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE * wanted).select("vec_id", "embedding").toArrow()
     sample = integers(drawn.column("embedding").combine_chunks())[1]
-    rings = choose_pivots(sample, top)
+    rings = choose_pivots(sample, top, wanted)
     schema = "vec_id long, ring int, distance double, vector binary"
     keyed = stash(base.mapInArrow(lambda b: _keyed(b, rings), schema))
     known = keyed.groupBy("ring").agg(F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high"))
     total = len(rings.pivots) * RINGS
     rings.low, rings.high, rings.count = np.zeros(total), np.zeros(total), np.zeros(total, dtype=np.int64)
-    rows = known.collect()  # at most PIVOTS * RINGS
+    rows = known.collect()  # at most MOST_PIVOTS * RINGS
     for r in rows:
         rings.low[r["ring"]], rings.high[r["ring"]], rings.count[r["ring"]] = r["low"], r["high"], r["n"]
     counts = lambda rows: spark.createDataFrame([(r["ring"], r["n"]) for r in rows], "ring int, n long")
     blocks = stash(_pack(keyed.drop("distance"), counts(rows), BLOCK))
     home = asked.mapInArrow(lambda b: _keyed(b, rings), schema).withColumn("ring", (F.col("ring") / RINGS).cast("int"))
     home = stash(home.drop("distance"))
-    parts = home.groupBy("ring").agg(F.count("*").alias("n")).collect()  # at most PIVOTS
+    parts = home.groupBy("ring").agg(F.count("*").alias("n")).collect()  # at most MOST_PIVOTS
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     query_blocks = stash(_pack(home, counts(parts), QUERY_BLOCK).select(F.concat_ws("-", "ring", "part").alias("block"), "ids", "vectors"))
-    row = "block string, ring int, qids binary, queries binary, bounds binary"
+    row = "block string, ring int, group int, qids binary, queries binary, bounds binary"
     found = "query_id long, vec_id long, score long"
-    side = blocks.select("ring", "ids", "vectors")
-    first = stash(query_blocks.mapInArrow(lambda b: _first_rings(b, rings, k), row).join(side, "ring").mapInArrow(lambda b: _compare(b, k), found))
+    group = F.pmod("part", F.ceil(F.col("n") / rings.group).cast("long")).cast("int")
+    side = blocks.join(F.broadcast(counts(rows)), "ring").select("ring", group.alias("group"), "ids", "vectors")
+    first = stash(query_blocks.mapInArrow(lambda b: _first_rings(b, rings, k), row).join(side, ["ring", "group"]).mapInArrow(lambda b: _compare(b, k), found))
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
     members = query_blocks.mapInArrow(_members, "block string, query_id long")
     bounds = members.join(kth, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "bound")).alias("bounds"))
     asked_again = query_blocks.join(bounds, "block", "left")
-    more = asked_again.mapInArrow(lambda b: _more_rings(b, rings, k), row).join(side, "ring").mapInArrow(lambda b: _compare(b, k), found)
+    more = asked_again.mapInArrow(lambda b: _more_rings(b, rings, k), row).join(side, ["ring", "group"]).mapInArrow(lambda b: _compare(b, k), found)
     return (
         first.union(stash(more))
         .withColumn("rank", F.row_number().over(ranked))

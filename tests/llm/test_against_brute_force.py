@@ -115,6 +115,29 @@ def test_runs_that_span_ranges(spark):
     assert shared_runs(alone.union(alone)).collect() == []
 
 
+def test_top_k_with_many_blocks_copies_and_wide_numbers(spark, monkeypatch):
+    from prodlake.llm import topk
+
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(300)] + [(1000 + i, [0.5, 0.5, 0.5]) for i in range(200)]
+    rows += [(2000, [1e300, -1e300, 1.0]), (2001, [1e300, 0.0, 0.0]), (2002, [1e15, 1e15, 1e15]), (300, [9.0, 0.0, 0.0]), (300, [0.0, 9.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 5).collect()))
+    end = 2**63
+    ints = [(i, [max(-end, min(end - 1, int(np.floor(1024 * x)))) for x in v]) for i, v in rows]
+    asked = {}
+    for (i, v), (_, raw) in zip(ints, rows, strict=True):
+        if i % 100 == 0 and (i not in asked or raw < asked[i][0]):
+            asked[i] = (raw, v)
+    want = []
+    for i, (_, v) in asked.items():
+        near = sorted((-max(-end, min(end - 1, sum(a * b for a, b in zip(v, w, strict=True)))), j) for j, w in ints if j != i)[:5]
+        want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(near)]
+    assert got == sorted(want)
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (105, 101), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).distinct().collect()))
