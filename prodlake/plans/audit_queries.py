@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from prodlake.functions import names as N
+from prodlake.functions.similarity import matching_blocks_ratio
 from prodlake.functions.text import company, registry_name
 from prodlake.operators import audit as A
 from prodlake.operators import resolve as E
@@ -232,21 +234,11 @@ def registry_choice(spark, sf_dir):
     return E.registry_choice(items, scored)
 
 
-def _judged(pairs, judged, *columns):
-    """Pairs with what a judge says of their two names, which runs once for each two different names."""
-    found = pairs.select("name", "item_name", *columns).distinct().withColumn("judged", judged)
-    return pairs.join(found, ["name", "item_name", *columns])
-
-
-@query("e03_e06_search_choice")
-def search_choice(spark, sf_dir):
+def _search_choice(items, pairs, ratio=matching_blocks_ratio):
     """Each item has a row: where no candidate is safe, the best of all and why."""
-    from prodlake.functions.names import judge
-
-    items, pairs = _pairs(spark, sf_dir)
-    judged = _judged(pairs, judge("name", "item_name", "capacity"), "capacity").select("item_id", F.col("item_name").alias("code"), "judged.score", "judged.safe")
-    best = judged.groupBy("item_id").agg(F.min_by(F.struct("code", "score"), F.struct(-F.col("score"), "code")).alias("best"))
-    rows = items.select("item_id").join(best, "item_id", "left").join(E.search_choice(judged, 90).withColumnsRenamed({"code": "safe_code", "score": "safe_score"}), "item_id", "left")
+    seen = N.judged(pairs, "name", "item_name", "capacity", ratio).select("item_id", F.col("item_name").alias("code"), "score", "safe")
+    best = seen.groupBy("item_id").agg(F.min_by(F.struct("code", "score"), F.struct(-F.col("score"), "code")).alias("best"))
+    rows = items.select("item_id").join(best, "item_id", "left").join(E.search_choice(seen, 90).withColumnsRenamed({"code": "safe_code", "score": "safe_score"}), "item_id", "left")
     return rows.select(
         "item_id",
         F.coalesce("safe_code", "best.code").alias("code"),
@@ -255,12 +247,105 @@ def search_choice(spark, sf_dir):
     )
 
 
+@query("e03_e06_search_choice")
+def search_choice(spark, sf_dir):
+    return _search_choice(*_pairs(spark, sf_dir))
+
+
+def _levenshtein(a, b):
+    return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+
+
+def _lengths(a, b):
+    """A stand-in for the ratio that reads alike in SQL, whatever the letters."""
+    return F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b))
+
+
+#: Names with all that the rules look at: parentheses, strengths, forms, indications, misreadings and Hangul, each for some rows.
+_DRUG = """case p_size % 6 when 0 then p_name || '정' when 1 then p_name || ' 500mg' when 2 then p_name || '(소아)' when 3 then replace(p_name, ' ', '') || '씨럽' when 4 then p_name || '해열진통제' else p_name || ' 캅셀(30정)' end"""
+_FOUND = """case p_size % 4 when 0 then p_name || ' 정' when 1 then p_name || '500 mg' when 2 then upper(p_name) || '시럽' else p_name end"""
+
+
+def _drug_pairs(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    block = F.concat("p_brand", F.lit("|"), F.split_part("p_name", F.lit(" "), F.lit(2)))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.expr(_DRUG).alias("name"), F.concat("p_size", F.when(F.col("p_size") % 3 == 0, "정").otherwise("캡슐")).alias("capacity"), block.alias("block"))
+    found = part.select(F.expr(_FOUND).alias("item_name"), block.alias("block")).distinct()
+    return items.drop("block"), items.join(found, "block").drop("block")
+
+
+def _names_sql(table_name: str, name: str) -> str:
+    """The facts of a column of names: identity, plain, core, qualifiers, strengths, family, tokens."""
+    low = f"replace(replace(replace(lower({name}), '현탄액', '현탁액'), '씨럽', '시럽'), '캅셀', '캡슐')"
+    keep = lambda x: f"regexp_replace({x}, '[^0-9a-z가-힣]', '', 'g')"
+    bare = rf"regexp_replace({low}, '\([^)]*\)', '', 'g')"
+    endings = "|".join((*N.INDICATIONS, *N.FORM_ENDINGS))
+    family = " ".join(f"when regexp_matches(p, '{'|'.join(forms)}') then '{n}'" for n, forms in N.FAMILIES.items())
+    return rf"""(select {name}, {keep("l")} as ident, p, case when regexp_extract(b, '^(.{{2,}}?)(?:{endings})*$', 1) = '' then b else regexp_extract(b, '^(.{{2,}}?)(?:{endings})*$', 1) end as core,
+      list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(l, '\(([^)]*)\)', 1), lambda g: {keep("g")}), lambda g: g <> '' and not regexp_matches(g, '{N.QUANTITY}')))) as q,
+      list_distinct(list_transform(regexp_extract_all(l, '(\d+(?:\.\d+)?\s*(?:mg|mcg|g|ml))', 1), lambda t: replace(t, ' ', ''))) as st, case {family} else '' end as fam,
+      list_transform(regexp_extract_all({name}, '[0-9a-zA-Z가-힣]+'), lambda t: {keep("replace(replace(replace(lower(t), '현탄액', '현탁액'), '씨럽', '시럽'), '캅셀', '캡슐')")}) as tok
+      from (select *, regexp_replace(p, '\d+(?:mg|mcg|g|ml)$', '') as b from (select {name}, {low} as l, {keep(bare)} as p from (select distinct {name} from {table_name}))))"""
+
+
+_JUDGED = rf"""i as (select p_partkey as item_id, {_DRUG} as name, p_size || case when p_size % 3 = 0 then '정' else '캡슐' end as capacity, case when p_size % 3 = 0 then 'tablet' else 'capsule' end as pack, p_brand || '|' || split_part(p_name, ' ', 2) as block from part),
+    f as (select distinct {_FOUND} as item_name, p_brand || '|' || split_part(p_name, ' ', 2) as block from part),
+    a as (select * from {_names_sql("i", "name")}), b as (select * from {_names_sql("f", "item_name")}),
+    p as (select item_id, i.name, f.item_name, pack, a.ident as ai, b.ident as bi, a.p as ap, b.p as bp, a.core as ac, b.core as bc, a.q as aq, b.q as bq, a.st as ast, b.st as bst, a.fam as af, b.fam as bf, a.tok as atok, b.tok as btok,
+      case when length(a.p) <= length(b.p) then a.p else b.p end as short, case when length(a.p) <= length(b.p) then b.p else a.p end as long
+      from i join f using (block) join a using (name) join b using (item_name)),
+    r as (select *, substr(long, 1, strpos(long, short) - 1) || substr(long, strpos(long, short) + length(short)) as rest from p),
+    j as (select item_id, name, item_name,
+      not (ai = '' or bi = '' or aq <> bq or (len(ast) > 0 and len(bst) > 0 and not list_has_any(ast, bst)) or (af <> '' and bf <> '' and af <> bf) or (pack <> '' and bf <> '' and pack <> bf))
+      and (ai = bi or ap = bp or (length(ac) >= case when pack = bf then 2 else 3 end and ac = bc)
+        or (length(short) >= 4 and strpos(long, short) > 0 and (regexp_replace(rest, '\d+(?:mg|mcg|g|ml)$', '') = '' or rest in ({", ".join(f"'{x}'" for x in N.INDICATIONS)})))) as safe,
+      case when ap = bp then 100 when (length(short) >= 4 and contains(long, short)) or len(list_filter(list_distinct(list_concat(atok, btok)), lambda t: length(t) >= 4 and t not in ({", ".join(f"'{x}'" for x in N.GENERIC)}) and contains(ap, t) and contains(bp, t) and length(t) >= 0.55 * length(short))) > 0
+        then greatest(96, cast(round_even(100 * (least(length(ap), length(bp)) / greatest(length(ap), length(bp))), 0) as int)) else cast(round_even(100 * (least(length(ap), length(bp)) / greatest(length(ap), length(bp))), 0) as int) end as score, ai, bi, ac, bc from r)"""
+
+
+@query("e03_e05_judged_lengths", f"with {_JUDGED} select item_id, item_name, safe, score, case when safe and ai = bi then 100 when safe and ac = bc then greatest(score, 98) else score end as validated from j")
+def judged_lengths(spark, sf_dir):
+    """The rules with a stand-in for the similarity; names made to reach all of them."""
+    _, pairs = _drug_pairs(spark, sf_dir)
+    return N.judged(pairs, "name", "item_name", "capacity", _lengths).select("item_id", "item_name", "safe", "score", "validated")
+
+
+@query(
+    "e06_search_choice_lengths",
+    f"""with {_JUDGED}, best as (select item_id, min_by(item_name, struct_pack(a := -score, b := item_name)) as code, max(score) as score from j group by 1),
+    s as (select *, lead(score) over w as rival, row_number() over w as rn from j where safe window w as (partition by item_id order by score desc, item_name))
+    select i.item_id, coalesce(s.item_name, best.code) as code, coalesce(s.score, best.score) as score,
+    case when best.item_id is null then 'no_search_result' when s.item_id is null then 'name_or_dosage_conflict' when s.score < 90 then 'below_threshold' when s.rival >= s.score - 1 then 'close_rival' else 'confirmed' end as decision
+    from i left join best using (item_id) left join s on s.item_id = i.item_id and s.rn = 1""",
+)
+def search_choice_lengths(spark, sf_dir):
+    return _search_choice(*_drug_pairs(spark, sf_dir), _lengths)
+
+
 @query("e12_listing_scores")
 def listing_scores(spark, sf_dir):
-    from prodlake.functions.names import listing
-
     _, pairs = _pairs(spark, sf_dir)
-    return _judged(pairs, listing("name", "item_name")).select("item_id", "official_product_key", F.col("judged").alias("score"))
+    return N.listed(pairs, "name", "item_name").select("item_id", "official_product_key", "score")
+
+
+@query(
+    "e12_listing_scores_levenshtein",
+    """with i as (select p_partkey as item_id, p_name || ' 2개' as name, p_brand || '|' || split_part(p_name, ' ', 2) as block from part),
+    f as (select distinct case p_size % 3 when 0 then '<b>' || upper(p_name) || '</b>' when 1 then p_name || ' box of ' || p_brand else split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1) end as item_name, p_brand || '|' || split_part(p_name, ' ', 2) as block from part),
+    p as (select item_id, item_name, name, regexp_replace(replace(lower(name), ' 2개', ''), '[^0-9a-z가-힣]', '', 'g') as a, regexp_replace(lower(regexp_replace(item_name, '<[^>]+>', ' ', 'g')), '[^0-9a-z가-힣]', '', 'g') as b from i join f using (block)),
+    t as (select *, list_filter(regexp_extract_all(replace(name, ' 2개', ''), '[0-9a-zA-Z가-힣]+'), lambda x: length(x) >= 3) as tok, cast(round_even(100 * (1 - levenshtein(a, b) / greatest(length(a), length(b))), 0) as int) as s from p),
+    h as (select *, list_filter(tok, lambda x: contains(b, x)) as held from t)
+    select item_id, item_name, case when a = b then 100 when length(a) >= 5 and contains(b, a) and length(a) >= 0.42 * length(b) then greatest(s, 96)
+    when len(held) > 0 and length(a) >= 6 and list_sum(list_transform(held, lambda x: length(x))) >= 0.8 * list_sum(list_transform(tok, lambda x: length(x))) and (len(held) >= 2 or length(held[1]) >= 6) then greatest(s, 92) else s end as score from h""",
+)
+def listing_scores_levenshtein(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    block = F.concat("p_brand", F.lit("|"), F.split_part("p_name", F.lit(" "), F.lit(2)))
+    word = lambda k: F.split_part("p_name", F.lit(" "), F.lit(k))
+    shown = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("<b>"), F.upper("p_name"), F.lit("</b>"))).when(F.col("p_size") % 3 == 1, F.concat("p_name", F.lit(" box of "), "p_brand")).otherwise(F.concat(word(2), F.lit(", "), word(1)))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.concat("p_name", F.lit(" 2개")).alias("name"), block.alias("block"))
+    found = part.select(shown.alias("item_name"), block.alias("block")).distinct()
+    return N.listed(items.join(found, "block"), "name", "item_name", _levenshtein).select("item_id", "item_name", "score")
 
 
 @query("f20_non_drug", f"select document_id from {CATALOG_SQL} where category = 'PROMO' or regexp_matches(name, 'gizmo|gear')")

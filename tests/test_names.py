@@ -1,13 +1,24 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from prodlake.functions import names as N
 
 
-@pytest.mark.parametrize(
-    ("name", "found", "pack", "safe"),
-    [
+@pytest.fixture(scope="module")
+def judge(spark):
+    """(safe, score, validated) of cases (name, found, pack), in one job."""
+
+    def run(cases):
+        df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, name string, found string, pack string")
+        return [tuple(r) for r in N.judged(df, "name", "found", "pack").orderBy("k").select("safe", "score", "validated").collect()]
+
+    return run
+
+
+def test_safe_match(judge):
+    cases = [
         ("타이레놀정", "타이레놀 정", "", True),
         ("타이레놀정500mg", "타이레놀정650mg", "", False),
         ("타이레놀(소아)", "타이레놀", "", False),
@@ -18,26 +29,31 @@ from prodlake.functions import names as N
         ("판콜해열진통제", "판콜", "", False),
         ("판콜에이해열진통제", "판콜에이", "", True),
         ("", "x", "", False),
+        (None, None, None, False),
         ("게보린씨럽", "게보린시럽", "", True),
-    ],
-)
-def test_safe_match(name, found, pack, safe):
-    assert N.safe_match(name, found, pack) is safe
+        ("A&amp;B정", "a&b 정", "", True),
+    ]
+    assert [r[0] for r in judge([c[:3] for c in cases])] == [c[3] for c in cases]
+
+
+def test_scores(judge):
+    got = judge([("타이레놀", "타이레놀", ""), ("", "x", ""), ("타이레놀정", "타이레놀정에이", ""), ("타이레놀(30정)", "타이레놀(30 정)", ""), ("타이레놀정", "타이레놀캡슐", ""), ("타이레놀정", "타이레놀", "")])
+    assert got[0] == (True, 100, 100) and got[1][1] == 0 and got[2][1] == 96 and got[3][2] == 100
+    assert got[4][1] == got[4][2] and got[5] == (True, 96, 98)
 
 
-def test_scores():
-    assert N.name_score("타이레놀", "타이레놀") == 100 and N.name_score("", "x") == 0
-    assert N.name_score("타이레놀정", "타이레놀정에이") == 96
-    assert N.validated_score("타이레놀(30정)", "타이레놀(30 정)") == 100
-    assert N.validated_score("타이레놀정", "타이레놀캡슐") == N.name_score("타이레놀정", "타이레놀캡슐")
-    assert N.core("타이레놀정500mg") == "타이레놀" and N.core("정") == "정"
-    assert N.search_variants("타이레놀정 500mg(10정)")[:2] == ["타이레놀정 500mg(10정)", "타이레놀정 500mg"] and N.search_variants(None) == []
+def test_cores_and_variants(spark):
+    df = spark.createDataFrame([("타이레놀정500mg",), ("정",), ("타이레놀정 500mg(10정)",), (None,)], "x string")
+    got = df.select(N.core(N.plain(N.corrected(F.col("x")))), N.variants(F.col("x"))).collect()
+    assert got[0][0] == "타이레놀" and got[1][0] == "정" and got[3][1] == []
+    assert got[2][1][:2] == ["타이레놀정 500mg(10정)", "타이레놀정 500mg"]
 
 
-def test_listing_score():
-    assert N.listing_score("red widget", "WIDGET, red") == 92 and N.listing_score("red widget", "new widget of a red maker") == 92
-    assert N.listing_score("red widget", "blue widget") < 92 and N.listing_score("", "x") == 0
-    assert N.listing_score("red widget", "red widget box") == 96 and N.listing_score("red widget 3개", "<b>Red</b> widget") == 100
+def test_listing_score(spark):
+    cases = [("red widget", "WIDGET, red"), ("red widget", "new widget of a red maker"), ("red widget", "blue widget"), ("", "x"), ("red widget", "red widget box"), ("red widget 3개", "<b>Red</b> widget")]
+    df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, name string, found string")
+    got = [r["score"] for r in N.listed(df, "name", "found").orderBy("k").collect()]
+    assert got[:2] == [92, 92] and got[2] < 92 and got[3:] == [0, 96, 100]
 
 
 def test_search_choice_knows_tokens_and_vetoes(spark, monkeypatch):
