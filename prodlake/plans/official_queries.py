@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prodlake.functions.deep import score as deep_score
-from prodlake.functions.names import judge, variants
+from prodlake.functions.deep import deep_scored
+from prodlake.functions.names import judged, variants
 from prodlake.operators import official as O
 from prodlake.operators.resolve import deep_choice, search_choice
 from prodlake.plans.registry import query
@@ -131,11 +131,10 @@ def labelled(spark, sf_dir):
 @query("e04_e06_safe_search")
 def safe_search(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.explode(variants("p_name")).alias("block"))
-    found = part.select(F.col("p_name").alias("code")).distinct().withColumn("block", F.explode(variants("code")))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.explode(variants(F.col("p_name"))).alias("block"))
+    found = part.select(F.col("p_name").alias("code")).distinct().withColumn("block", F.explode(variants(F.col("code"))))
     pairs = items.join(found, "block").select("item_id", "name", "code").distinct()
-    judged = pairs.withColumn("j", judge("name", "code", F.lit("")))
-    return search_choice(judged.select("item_id", "code", F.col("j.validated").alias("score"), F.col("j.safe").alias("safe")))
+    return search_choice(judged(pairs, "name", "code").select("item_id", "code", F.col("validated").alias("score"), "safe"))
 
 
 @query("e07_e08_deep_choice")
@@ -148,7 +147,8 @@ def deep_decisions(spark, sf_dir):
     pairs = items.join(found, (F.col("brand") == F.col("upso")) & (word("name") == word("drug_name")))
     product = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_code"), F.col("code"), F.lit("upso_name_kfda"), F.col("upso"))
     page = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_box"), F.col("box"))
-    scored = pairs.withColumn("s", deep_score("name", "capacity", F.lit(""), F.lit(""), product, page)).select(
-        "item_id", "code", "s.score", F.size("s.conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")
+    given = pairs.withColumns({"specification": F.lit(""), "known_code": F.lit(""), "product": product, "page": page})
+    scored = deep_scored(given).select(
+        "item_id", "code", "score", F.size("conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")
     )
     return deep_choice(scored).drop("alternatives")
