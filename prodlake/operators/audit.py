@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -87,51 +88,100 @@ def review_errors(ledger: DataFrame, baseline: DataFrame, key: str) -> DataFrame
     return joined.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), F.coalesce("a.field", "b.field").alias("field"), F.explode(broken_rules(rules)).alias("code"))
 
 
-def schema_errors(value: object, schema: dict, at: str = "$") -> list[str]:
-    """V-03: oneOf, const, type, required, additionalProperties, items, minLength and minimum."""
-    if "oneOf" in schema:
-        fits = sum(not schema_errors(value, s, at) for s in schema["oneOf"])
-        return [] if fits == 1 else [f"{at}: fits {fits} of oneOf"]
-    if "const" in schema and value != schema["const"]:
-        return [f"{at}: not the constant"]
-    kinds = schema.get("type", [])
-    kinds = [kinds] if isinstance(kinds, str) else kinds
-    tests = {
-        "null": value is None, "boolean": isinstance(value, bool), "string": isinstance(value, str), "array": isinstance(value, list),
-        "object": isinstance(value, dict), "integer": isinstance(value, int) and not isinstance(value, bool),
-        "number": isinstance(value, int | float) and not isinstance(value, bool),
-    }
-    if kinds and not any(tests[k] for k in kinds):
-        return [f"{at}: not of type {'/'.join(kinds)}"]
-    out: list[str] = []
-    if isinstance(value, str) and len(value) < schema.get("minLength", 0):
-        out.append(f"{at}: too short")
-    if tests["number"] and "minimum" in schema and value < schema["minimum"]:
-        out.append(f"{at}: too small")
-    if isinstance(value, list) and "items" in schema:
-        out += [e for k, item in enumerate(value) for e in schema_errors(item, schema["items"], f"{at}[{k}]")]
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
-        more = schema.get("additionalProperties", True)
-        for k, v in value.items():
-            if k in known:
-                out += schema_errors(v, known[k], f"{at}.{k}")
-            elif more is False:
-                out.append(f"{at}.{k}: unknown")
-            elif isinstance(more, dict):
-                out += schema_errors(v, more, f"{at}.{k}")
-    return out
+_KINDS: dict[str, Callable[[object], bool]] = {
+    "null": lambda v: v is None,
+    "boolean": lambda v: isinstance(v, bool),
+    "string": lambda v: isinstance(v, str),
+    "array": lambda v: isinstance(v, list),
+    "object": lambda v: isinstance(v, dict),
+    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "number": lambda v: isinstance(v, int | float) and not isinstance(v, bool),
+}
+#: A check yields (place below the value, message) of what is wrong.
+Check = Callable[[object], Iterator[tuple[str, str]]]
+
+
+def _limit(keyword: str, bound: float) -> Check:
+    measure, kind, message = {"minLength": (len, "string", "too short"), "minimum": (lambda v: v, "number", "too small")}[keyword]
+
+    def check(value: object) -> Iterator[tuple[str, str]]:
+        if _KINDS[kind](value) and measure(value) < bound:
+            yield "", message
+
+    return check
+
+
+def _members(known: dict[str, Check], required: list[str], others: Check | bool) -> Check:
+    def check(value: object) -> Iterator[tuple[str, str]]:
+        if not isinstance(value, dict):
+            return
+        for name in required:
+            if name not in value:
+                yield f".{name}", "missing"
+        for name, member in value.items():
+            rule = known.get(name, others)
+            if rule is False:
+                yield f".{name}", "unknown"
+            elif callable(rule):
+                yield from ((f".{name}{at}", message) for at, message in rule(member))
+
+    return check
+
+
+def _elements(rule: Check) -> Check:
+    def check(value: object) -> Iterator[tuple[str, str]]:
+        for k, item in enumerate(value if isinstance(value, list) else []):
+            yield from ((f"[{k}]{at}", message) for at, message in rule(item))
+
+    return check
+
+
+def compiled(schema: dict) -> Check:
+    """V-03: oneOf, const, type, required, additionalProperties, items, minLength and minimum, made once into a list of checks.
+
+    What is of another type, or not the constant, or does not fit one of the choices, is not looked into further.
+    """
+    choices = [compiled(s) for s in schema.get("oneOf", [])]
+    kinds = [schema["type"]] if isinstance(schema.get("type"), str) else schema.get("type", [])
+    checks = [_limit(k, schema[k]) for k in ("minLength", "minimum") if k in schema]
+    if "items" in schema:
+        checks.append(_elements(compiled(schema["items"])))
+    others = schema.get("additionalProperties", True)
+    checks.append(_members({k: compiled(s) for k, s in schema.get("properties", {}).items()}, schema.get("required", []), compiled(others) if isinstance(others, dict) else others))
+
+    def check(value: object) -> Iterator[tuple[str, str]]:
+        fits = sum(next(c(value), None) is None for c in choices)
+        gates = (
+            (bool(choices) and fits != 1, f"fits {fits} of oneOf"),
+            ("const" in schema and value != schema.get("const"), "not the constant"),
+            (bool(kinds) and not any(_KINDS[k](value) for k in kinds), f"not of type {'/'.join(kinds)}"),
+        )
+        wrong = next((message for bad, message in gates if bad), None)
+        if wrong is not None:
+            yield "", wrong
+        elif not choices:
+            for c in checks:
+                yield from c(value)
+
+    return check
+
+
+def schema_errors(value: object, schema: dict | Check) -> list[str]:
+    """V-03 for one value."""
+    check = schema if callable(schema) else compiled(schema)
+    return [f"${at}: {message}" for at, message in check(value)]
 
 
 def json_errors(schema: dict):
-    """V-03 as an Arrow UDF over JSON texts."""
+    """V-03 as an Arrow UDF over JSON texts; the schema is compiled once a batch."""
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def check(texts: pd.Series) -> pd.Series:
+        rules = compiled(schema)
+
         def one(t: str | None) -> list[str]:
             try:
-                return schema_errors(json.loads(t or ""), schema)
+                return schema_errors(json.loads(t or ""), rules)
             except ValueError:
                 return ["$: no JSON"]
 

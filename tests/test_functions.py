@@ -68,6 +68,13 @@ def test_nested_table_becomes_lines():
     assert block["rows"] == [["a\n1 | 2"]]
 
 
+def test_stray_text_and_open_tables_are_dropped():
+    assert rich_text.parse("<table><tr><td>a</td>stray<td>b</td></tr>more</table>c")["blocks"][0]["rows"] == [["a", "b"]]
+    assert rich_text.parse("a<table><tr><td>b</td></tr>") == {"text": "a", "blocks": [{"type": "paragraph", "text": "a", "headers": None, "rows": None}]}
+    assert rich_text.parse("<table><tr><td rowspan=3 colspan=2>x1</td><td>y</td></tr><tr><td>z</td></tr></table>")["blocks"][0]["rows"] == [["x1", "", "y"], ["", "", "z"], ["", "", ""]]
+    assert rich_text.parse("<table><tr><td>1</td><tr><td>2</td></table>")["blocks"][0]["rows"] == [["1"], ["2"]]
+
+
 def test_schema_errors():
     schema = {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "integer", "minimum": 1}, "b": {"oneOf": [{"type": "null"}, {"type": "string", "minLength": 2}]}, "c": {"type": "array", "items": {"const": 1}}}}
     assert schema_errors({"a": 1, "b": None, "c": [1]}, schema) == []
