@@ -42,6 +42,7 @@ class Source:
     barcodes: tuple[str, ...] = ()
     images: tuple[str, ...] = ()
     categories: tuple[str, ...] = ()
+    discovery: bool = True  # whether it can be searched by name, or only asked for a number
 
     def supports(self) -> Column:
         """S-11: the catalogue categories that it is searched for; all, if none are stated."""

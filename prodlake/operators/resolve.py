@@ -64,7 +64,10 @@ def registry_points(pairs: DataFrame, ratio: Column | None = None) -> DataFrame:
 
 
 def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_product_key") -> DataFrame:
-    """E-02: one decision for each item (item_id, status, score, official_product_key, n_candidates)."""
+    """E-02: one decision for each item (item_id, status, score, official_product_key, n_candidates).
+
+    Candidates of one score keep the order of the column `order`: a key, or their place in the answer they came with.
+    """
     by = Window.partitionBy("item_id").orderBy(F.desc("score"), order)
     whole = Window.partitionBy("item_id")
     ranked = scored.withColumns(
@@ -144,6 +147,21 @@ def non_drug(categories: tuple[str, ...], keywords: tuple[str, ...]) -> Column:
     return F.col("category").isin(*categories) | blank(F.col("name")).rlike("|".join(keywords))
 
 
+def two_phase(pairs: DataFrame, pages: DataFrame, score, least: int = 38) -> DataFrame:
+    """E-09: pairs scored without their page; those with `least` points, or of the known code, are scored again with it.
+
+    pairs: (item_id, code, known_code, ...) with what `score` needs but `page`; pages: (code, page), one row a code; score: adds
+    score and conflicts to pairs with `page`. A page can take back a conflict, so that of the first score stands only without one.
+    """
+    none = F.lit(None).cast(pages.schema["page"].dataType)
+    first = score(pairs.withColumn("page", none)).withColumnsRenamed({"score": "_first", "conflicts": "_first_conflicts"}).drop("page", "reasons")
+    wanted = (F.col("_first") >= least) | ((F.col("known_code") != "") & (F.col("code") == F.col("known_code")))
+    joined = first.withColumn("_wanted", wanted).join(pages, "code", "left").withColumn("page", F.when(F.col("_wanted"), F.col("page")))
+    again = score(joined)
+    read = F.col("page").isNotNull()
+    return again.withColumns({"detailed": read, "conflicts": F.when(read, F.col("conflicts")).otherwise(F.col("_first_conflicts"))}).drop("_first", "_first_conflicts", "_wanted")
+
+
 def deep_choice(scored: DataFrame, alternatives_kept: int = 8) -> DataFrame:
     """E-08: per item a decision over its scored candidates.
 
