@@ -1,6 +1,28 @@
 """All registered queries of the library."""
 
-from prodlake.plans import audit_queries, catalog_queries, ledger_queries, markup_queries, official_queries, record_queries, text_queries
+from prodlake.plans import (
+    audit_queries,
+    catalog_queries,
+    evidence_queries,
+    ledger_queries,
+    markup_queries,
+    official_queries,
+    record_queries,
+    shape_queries,
+    text_queries,
+)
 from prodlake.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "audit_queries", "catalog_queries", "ledger_queries", "markup_queries", "official_queries", "record_queries", "text_queries"]
+__all__ = [
+    "ORACLE_SQL",
+    "QUERIES",
+    "audit_queries",
+    "catalog_queries",
+    "evidence_queries",
+    "ledger_queries",
+    "markup_queries",
+    "official_queries",
+    "record_queries",
+    "shape_queries",
+    "text_queries",
+]
