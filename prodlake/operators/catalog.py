@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodlake.functions.text import blank, comparable_date, host, trim_space
+from prodlake.operators.records import sliced
 
 POSITIVE = ("확정", "연결", "연결됨", "검증 완료", "confirmed", "linked", "verified")
 NEGATIVE = ("미연결", "검수 대기", "후보", "unlinked", "pending", "candidate", "not_found", "not_applicable", "review_required")
 IMAGE_RIGHTS = ("approved", "verified", "official", "official_source_preview", "public_domain", "open_license", "재사용 가능", "공공누리", "공식 공개")
 SORTS = ("source", "name", "price_asc", "price_desc", "category", "updated")
 PAGE_SIZES = (25, 50, 100)
+#: Rows that one task may sort for a page.
+NEAR = 10_000
 
 
 @dataclass(frozen=True)
@@ -142,35 +145,45 @@ def filter_catalog(df: DataFrame, q: CatalogQuery) -> DataFrame:
 
 
 def natural_key(x: Column) -> Column:
-    """O-01: a key whose binary order is numeric-aware: digit runs are padded to 12 places."""
-    padded = F.regexp_replace(F.lower(blank(x)), r"(\d+)", "000000000000$1")
-    return F.regexp_replace(padded, r"0*(\d{12})(?!\d)", "$1")
+    """O-01: a key whose binary order is numeric-aware: a run of digits is its length without leading zeros, then itself."""
+    runs = F.regexp_extract_all(F.lower(blank(x)), F.lit(r"(\d+|\D+)"), F.lit(1))
+    bare = lambda r: F.regexp_replace(r, r"^0+(?=\d)", "")
+    keyed = F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.concat(F.lpad(F.length(bare(r)).cast("string"), 6, "0"), bare(r))).otherwise(r))
+    return F.array_join(keyed, "")
 
 
 def order_of(sort: str) -> list[Column]:
-    name = natural_key(F.col("name"))
+    """Keys that all go upwards; the last is the row's own place, so that no two rows are alike."""
+    name, price, day = natural_key(F.col("name")), F.col("price"), comparable_date(F.col("updated"))
     keys = {
         "name": [name],
-        "price_asc": [F.col("price").asc()],
-        "price_desc": [F.col("price").desc()],
+        "price_asc": [price.isNotNull(), price],
+        "price_desc": [price.isNull(), -price],
         "category": [natural_key(F.col("category")), name],
-        "updated": [comparable_date(F.col("updated")).desc()],
+        "updated": [day == "", F.translate(day, "0123456789", "9876543210")],
     }
-    return [*keys.get(sort, []), F.col("pos").asc()]
+    return [*keys.get(sort, []), F.col("pos")]
 
 
 def page_of(df: DataFrame, q: CatalogQuery) -> DataFrame:
     """O-02: one page in order, with its place; the page is clamped to those there are.
 
-    The count is a small job of its own; the page itself is a bounded top-k, never a global sort.
+    The count is a small job of its own. A page near either end is a bounded top-k from that end; any other is
+    cut from numbered ranges, so that no task sorts more than NEAR rows or its own range.
     """
     total = df.count()
     size = q.page_size if q.page_size in PAGE_SIZES else PAGE_SIZES[0]
     page = min(max(1, q.page), max(1, -(-total // size)))
     first = (page - 1) * size
-    top = df.orderBy(*order_of(q.sort)).limit(first + size)
-    placed = top.withColumn("place", F.row_number().over(Window.orderBy(*order_of(q.sort))))
-    return placed.where(F.col("place") > first)
+    keys = order_of(q.sort)
+    if first + size <= NEAR:
+        top = df.orderBy(*keys).limit(first + size)
+        return top.withColumn("place", F.row_number().over(Window.orderBy(*keys))).where(F.col("place") > first)
+    if total - first <= NEAR:
+        top = df.orderBy(*[k.desc() for k in keys]).limit(total - first)
+        return top.withColumn("place", (F.row_number().over(Window.orderBy(*keys)) + first).cast("int")).where(F.col("place") <= first + size)
+    placed = sliced(df.withColumn("_order", F.struct(*[k.alias(f"k{n}") for n, k in enumerate(keys)])), "_order", first, size)
+    return placed.withColumn("place", F.col("number").cast("int")).drop("_order", "number")
 
 
 def run(df: DataFrame, q: CatalogQuery) -> DataFrame:

@@ -6,6 +6,7 @@ aggregates are aggregates, so that they combine before the shuffle.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from prodlake.functions.text import changed_fields, first_text, row_hash, trim_space
 
 
-#: Ranges into which rows are cut to be numbered, and values drawn to find their bounds.
-SLOTS, SAMPLED = 128, 4096
+#: Ranges into which rows are cut to be numbered.
+SLOTS, MOST_SLOTS = 128, 4096
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -64,21 +65,32 @@ def duplicate_groups(df: DataFrame, key: Column) -> DataFrame:
 def numbered(df: DataFrame, order: str) -> DataFrame:
     """W-01: `number` from 1 in the order of a column whose values are unique; for several, a struct of them.
 
-    No task orders all rows: a sample by hash of the values, of some thousands whatever the size, gives the
-    bounds of SLOTS ranges; rows are numbered inside their range, after the counts of the ranges before.
-    The bounds are constants of the plan, so that a task that runs again puts its rows in the same ranges.
+    No task orders all rows: a sample of the values, those of smallest hash, gives the bounds of ranges, SLOTS at least and as
+    many as there are shuffle partitions or millions of rows, up to MOST_SLOTS; rows are numbered inside their range, after the
+    counts of the ranges before. The bounds are constants of the plan, so that a task that runs again puts its rows in the
+    same ranges; a row finds its range in two steps, by groups of ranges and then inside its group.
     """
-    share = max(1, df.count() // SAMPLED)
-    drawn = df.select(order).where((F.xxhash64(order) % share == 0) & F.col(order).isNotNull())
-    values = [r[0] for r in drawn.orderBy(order).limit(4 * SAMPLED).collect()]
-    bounds = list(dict.fromkeys(values[:: max(1, len(values) // SLOTS)]))
+    total = df.count()
+    slots = min(MOST_SLOTS, max(SLOTS, total // 1_000_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    share = max(1, total // (32 * slots))
+    sampled = df.select(order).where((F.pmod(F.xxhash64(order), F.lit(share)) == 0) & F.col(order).isNotNull())
+    values = [r[0] for r in sampled.orderBy(F.xxhash64(F.col(order), F.lit(1)), order).limit(128 * slots).orderBy(order).collect()]
+    bounds = list(dict.fromkeys(values[:: max(1, len(values) // slots)]))
     constant = lambda b: F.struct(*[F.lit(v) for v in b]).cast(df.schema[order].dataType) if isinstance(b, Row) else F.lit(b)
-    slot = F.size(F.filter(F.array(*[constant(b) for b in bounds]), lambda b: F.col(order) >= b)) if bounds else F.lit(0)
-    placed = df.withColumn("_slot", F.coalesce(slot, F.lit(0)))
+    reached = lambda some: F.size(F.filter(some, lambda b: F.col(order) >= b))
+    size = max(1, math.isqrt(len(bounds)))
+    groups = [bounds[k : k + size] for k in range(0, len(bounds), size)]
+    if bounds:
+        group = reached(F.array(*[constant(g[0]) for g in groups])) - 1
+        members = F.array(*[F.array(*[constant(b) for b in g]) for g in groups])
+        placed = df.withColumn("_group", F.coalesce(group, F.lit(-1)))
+        placed = placed.withColumn("_slot", F.when(F.col("_group") < 0, 0).otherwise(F.col("_group") * size + F.coalesce(reached(F.get(members, F.greatest("_group", F.lit(0)))), F.lit(0)))).drop("_group")
+    else:
+        placed = df.withColumn("_slot", F.lit(0))
     counts = placed.groupBy("_slot").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     own = placed.withColumn("_in", F.row_number().over(Window.partitionBy("_slot").orderBy(order)))
-    out = own.join(F.broadcast(counts.select("_slot", before.alias("_before"))), "_slot")  # SLOTS rows and a few
+    out = own.join(F.broadcast(counts.select("_slot", before.alias("_before"))), "_slot")  # MOST_SLOTS rows at most, and a few
     return out.withColumn("number", F.col("_before") + F.col("_in")).drop("_slot", "_in", "_before")
 
 

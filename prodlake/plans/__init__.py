@@ -3,6 +3,7 @@
 from prodlake.plans import (
     audit_queries,
     catalog_queries,
+    detail_queries,
     evidence_queries,
     ledger_queries,
     markup_queries,
@@ -18,6 +19,7 @@ __all__ = [
     "QUERIES",
     "audit_queries",
     "catalog_queries",
+    "detail_queries",
     "evidence_queries",
     "ledger_queries",
     "markup_queries",

@@ -10,11 +10,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 def json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -94,6 +95,30 @@ class RecordedPages(DataSource):
         return _PagesReader(self.options)
 
 
+def document_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """S-06 over any file system: (document_id, fields as JSON) of the recorded pages that the chain of tokens reaches from `first`.
+
+    A page is the file <token>.json. Only names and tokens, one row a page, come to the driver, which follows the chain.
+    """
+    pages = spark.read.option("wholetext", True).text(folder).select(F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("page"), F.parse_json("value").alias("body"))
+    following = {r["page"]: r["token"] for r in pages.select("page", F.try_variant_get("body", "$.nextPageToken", "string").alias("token")).collect()}
+    reached, name = {}, "first"
+    while name and name not in reached:
+        if name not in following:
+            raise FileNotFoundError(f"{folder}: {name}.json")
+        reached[name] = len(reached)
+        name = following[name]
+    documents = pages.where(F.col("page").isin(*reached)).select(F.explode(F.try_variant_get("body", "$.documents", "array<variant>")).alias("d"))
+    number = F.element_at(F.split(F.try_variant_get("d", "$.name", "string"), "/"), -1)
+    return documents.select(number.alias("document_id"), decoded_fields(F.to_json(F.try_variant_get("d", "$.fields", "variant"))).alias("fields"))
+
+
+@F.pandas_udf(StringType())
+def decoded_fields(texts: pd.Series) -> pd.Series:
+    """S-07 for a map of typed values as JSON text."""
+    return texts.map(lambda t: json.dumps({k: decode_value(v) for k, v in json.loads(t or "{}").items()}, ensure_ascii=False, sort_keys=True))
+
+
 def decode_value(value: dict) -> object:
     """S-07: a typed value tree as plain JSON values."""
     ((kind, inner),) = value.items()

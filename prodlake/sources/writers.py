@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -98,9 +99,14 @@ def csv_lines(df: DataFrame, order: list[Column], columns: list[str] | None = No
     return df.select(F.struct(*order).alias("at"), F.concat_ws(",", *cells).alias("line"))
 
 
-def write_csv(df: DataFrame, order: list[Column], path: str, columns: list[str] | None = None) -> None:
-    """Byte order mark, header, CRLF line ends: one file, as an export of what a user selected."""
+def write_csv(df: DataFrame, order: list[Column], path: str, columns: list[str] | None = None, most: int = 1_000_000) -> None:
+    """Byte order mark, header, CRLF line ends: one file, as an export of what a user selected, of `most` rows at most.
+
+    Larger tables fail before anything is written: their lines (csv_lines) go to as many files as they need.
+    """
     body = csv_lines(df, order, columns)
+    if body.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one file")
     header = df.sparkSession.range(1).select(
         F.lit(None).cast(body.schema["at"].dataType).alias("at"), F.lit("\ufeff" + ",".join(columns or df.columns)).alias("line")
     )
@@ -108,6 +114,25 @@ def write_csv(df: DataFrame, order: list[Column], path: str, columns: list[str]
     whole.select("line").write.option("lineSep", "\r\n").text(path)
 
 
+def header_columns(spark: SparkSession, path: str, fields: list[str]) -> list[str]:
+    """K-03: the fields in the order of an export that is there, which it knows, then the others by name; without one, all by name."""
+    fs, place, _ = _files(spark.range(0), path)
+    first = spark.read.option("lineSep", "\n").text(path).limit(1).collect() if fs.exists(place) else []
+    told = next(csv.reader([first[0][0].lstrip("\ufeff").rstrip("\r")]), []) if first else []
+    kept = [f for f in told if f in fields]
+    return [*kept, *sorted(set(fields) - set(kept))]
+
+
+def publish(spark: SparkSession, source: str, target: str, form: str = "parquet") -> int:
+    """K-09: a copy of a table for others to read, put in place at once; the number of its rows, which is that of the source."""
+    rows = spark.read.format(form).load(source)
+    swap(rows, target, form)
+    found, wanted = spark.read.format(form).load(target).count(), rows.count()
+    if found != wanted:
+        raise ValueError(f"{found} rows published, expected {wanted}")
+    return found
+
+
 def package(df: DataFrame, path: str, expected: int | None = None) -> DataFrame:
     """K-08, H-03: records as line-delimited JSON, and a manifest of file, bytes and hash read back from storage."""
     df.write.mode("errorifexists").option("ignoreNullFields", "false").json(f"{path}/records")
@@ -128,3 +153,20 @@ def package_errors(spark, path: str) -> DataFrame:
     joined = stated.join(found, "file", "full_outer")
     code = F.when(F.col("found").isNull(), "missing").when(F.col("sha256").isNull(), "unlisted").when(F.col("sha256") != F.col("found"), "changed")
     return joined.select("file", code.alias("code")).where("code is not null")
+
+
+def record_errors(records: DataFrame, other: DataFrame, key: str, expected: int, schema_check, damaged: dict[str, str]) -> DataFrame:
+    """V-04: what is wrong with a package's records, in long form (key, code).
+
+    other: the same records in the package's second form; schema_check: column of JSON text to a list of messages; damaged: code to
+    pattern, sought in the record's JSON. A wrong number of records is a row with a null key.
+    """
+    text = F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"})
+    inside = records.select(
+        F.col(key).cast("string").alias("key"),
+        F.explode(F.concat(F.when(F.size(schema_check(text)) > 0, F.array(F.lit("schema"))).otherwise(F.array().cast("array<string>")), *[F.when(text.rlike(p), F.array(F.lit(c))).otherwise(F.array().cast("array<string>")) for c, p in damaged.items()])).alias("code"),
+    )
+    twice = records.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n")).where("n > 1 or coalesce(trim(key), '') = ''").select("key", F.when(F.coalesce(F.trim("key"), F.lit("")) == "", "blank_id").otherwise("repeated_id").alias("code"))
+    differ = records.exceptAll(other.select(records.columns)).select(F.col(key).cast("string").alias("key"), F.lit("only_in_first").alias("code")).union(other.select(records.columns).exceptAll(records).select(F.col(key).cast("string"), F.lit("only_in_second")))
+    number = records.agg(F.count("*").alias("n")).where(F.col("n") != expected).select(F.lit(None).cast("string").alias("key"), F.lit("wrong_number").alias("code"))
+    return inside.unionByName(twice).unionByName(differ).unionByName(number)
