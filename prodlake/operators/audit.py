@@ -88,6 +88,87 @@ def review_errors(ledger: DataFrame, baseline: DataFrame, key: str) -> DataFrame
     return joined.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), F.coalesce("a.field", "b.field").alias("field"), F.explode(broken_rules(rules)).alias("code"))
 
 
+DECISIONS = ("pending", "approved", "corrected", "rejected", "exception_approved")
+
+
+def ledger_errors(fields: DataFrame, evidence: DataFrame, corrections: DataFrame, records: DataFrame, scaffold: DataFrame, key: str, first: int, last: int, pending_allowed: bool = False) -> DataFrame:
+    """V-10 in long form (key, field, code): what is wrong with a batch of reviews of the places `first` to `last`.
+
+    fields: (key, field, value_sha256, applicability, decision, evidence_ids, provenance); evidence: (key, evidence_id, url, opened);
+    corrections: (key, field, before_sha256, after, evidence_ids); records: (key, place, at, first_pass, second_pass, final),
+    `at` being the row's own place in the batch; scaffold: (key, place, field, value_sha256, applicability), what was to be reviewed.
+    """
+    none = F.array().cast("array<string>")
+    known = evidence.groupBy(F.col(key).alias("_n")).agg(F.collect_set("evidence_id").alias("_known"), F.collect_set(F.when(F.col("opened") & F.col("url").rlike("^https?://"), F.col("evidence_id"))).alias("_opened"))
+    truth = scaffold.select(F.col(key).alias("_k"), F.col("field").alias("_f"), F.col("value_sha256").alias("_hash"), F.col("applicability").alias("_applies"))
+    wanted = truth.join(records.select(F.col(key).alias("_k")), "_k", "left_semi")
+    seen = fields.join(wanted, (F.col(key) == F.col("_k")) & (F.col("field") == F.col("_f")), "full_outer").join(known, F.coalesce(key, "_k") == F.col("_n"), "left").drop("_n")
+    here, told = F.col(key).isNotNull(), F.coalesce(F.col("decision"), F.lit("pending")) != "pending"
+    both = here & F.col("_k").isNotNull()
+    ids, have = F.coalesce("evidence_ids", none), F.coalesce("_known", none)
+    system = F.col("decision") == "exception_approved"
+    rules = {
+        "missing_field": ~here,
+        "unknown_field": F.col("_k").isNull(),
+        "stale_hash": both & (F.col("value_sha256") != F.col("_hash")),
+        "wrong_applicability": both & (F.col("applicability") != F.col("_applies")),
+        "unknown_decision": here & ~F.coalesce(F.col("decision").isin(*DECISIONS), F.lit(False)),
+        "unknown_evidence": here & (F.size(F.array_except(ids, have)) > 0),
+        "decision_without_evidence": here & told & ~system & (F.size(F.array_intersect(ids, have)) == 0),
+        "no_provenance": here & told & (trim_space(F.col("provenance")) == ""),
+    }
+    by_field = seen.select(F.coalesce(key, "_k").alias(key), F.coalesce("field", "_f").alias("field"), F.explode(broken_rules(rules)).alias("code"))
+    counted = corrections.groupBy(key, "field").agg(F.count("*").alias("_times"), F.first("before_sha256").alias("_before"), F.first("after").alias("_after"), F.flatten(F.collect_list("evidence_ids")).alias("_ids"))
+    marked = fields.where("decision = 'corrected'").select(F.col(key).alias("_mk"), F.col("field").alias("_mf"))
+    held = counted.join(marked, (F.col(key) == F.col("_mk")) & (F.col("field") == F.col("_mf")), "full_outer").join(truth, (F.coalesce(key, "_mk") == F.col("_k")) & (F.coalesce("field", "_mf") == F.col("_f")), "left")
+    held = held.join(known, F.coalesce(key, "_mk") == F.col("_n"), "left").drop("_n")
+    made = F.col("_times").isNotNull()
+    by_correction = held.select(
+        F.coalesce(key, "_mk").alias(key),
+        F.coalesce("field", "_mf").alias("field"),
+        F.explode(
+            broken_rules(
+                {
+                    "marked_without_correction": ~made,
+                    "correction_of_unknown_field": made & F.col("_k").isNull(),
+                    "repeated_correction": F.col("_times") > 1,
+                    "correction_not_marked": made & F.col("_mk").isNull(),
+                    "correction_of_other_value": made & (F.col("_before") != F.col("_hash")),
+                    "correction_without_change": made & (F.sha2("_after", 256) == F.col("_hash")),
+                    "correction_without_opened_evidence": made & (F.size(F.array_intersect(F.coalesce("_ids", none), F.coalesce("_opened", none))) == 0),
+                }
+            )
+        ).alias("code"),
+    )
+    places = scaffold.select(F.col(key).alias("_k"), F.col("place").alias("_place")).distinct()
+    rows = records.join(places, F.col(key) == F.col("_k"), "full_outer").where(F.col(key).isNotNull() | F.col("_place").between(first, last))
+    passes = [F.coalesce(F.col(c).isin(*DECISIONS), F.lit(False)) for c in ("first_pass", "second_pass", "final")]
+    by_record = rows.select(
+        F.coalesce(key, "_k").alias(key),
+        F.lit("").alias("field"),
+        F.explode(
+            broken_rules(
+                {
+                    "missing_record": F.col(key).isNull(),
+                    "record_out_of_range": F.col(key).isNotNull() & ~F.coalesce(F.col("_place").between(first, last), F.lit(False)),
+                    "record_out_of_order": F.col("_place").between(first, last) & (F.col("at") != F.col("_place") - first),
+                    "unknown_pass": F.col(key).isNotNull() & ~(passes[0] & passes[1]),
+                    "unknown_final": F.col(key).isNotNull() & ~passes[2],
+                    "pending_final": F.lit(not pending_allowed) & (F.col("final") == "pending"),
+                }
+            )
+        ).alias("code"),
+    )
+    twice = records.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.lit("").alias("field"), F.lit("repeated_record").alias("code"))
+    return by_field.unionByName(by_correction).unionByName(by_record).unionByName(twice)
+
+
+def ledger_summary(records: DataFrame, fields: DataFrame) -> DataFrame:
+    """V-10: one row of the numbers that a batch states of itself."""
+    both = records.select(F.lit("p").alias("of"), (F.col("final") == "pending").alias("open")).union(fields.select(F.lit("f"), F.lit(False)))
+    return both.agg(F.count_if(F.col("of") == "p").alias("products"), F.count_if(F.col("open")).alias("pending"), F.count_if(F.col("of") == "f").alias("field_reviews"))
+
+
 _KINDS: dict[str, Callable[[object], bool]] = {
     "null": lambda v: v is None,
     "boolean": lambda v: isinstance(v, bool),

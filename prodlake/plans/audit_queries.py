@@ -116,6 +116,47 @@ def review_errors(spark, sf_dir):
     return A.review_errors(ledger, scaffold, "document_id")
 
 
+_FIELD_CODES = ("stale_hash", "wrong_applicability", "unknown_decision", "unknown_evidence", "decision_without_evidence", "no_provenance", "unknown_field", "missing_field")
+_RECORD_CODES = ("record_out_of_order", "unknown_pass", "unknown_final", "pending_final", "repeated_record", "missing_record")
+_CORRECTION_CODES = ("repeated_correction", "correction_not_marked", "correction_of_other_value", "correction_without_change", "correction_without_opened_evidence", "marked_without_correction", "correction_of_unknown_field")
+
+
+@query(
+    "v10_ledger_errors",
+    f"""with f as (select * from (values {", ".join(f"({k}, '{c}')" for k, c in enumerate(_FIELD_CODES))}) as t(k, code)), r as (select * from (values {", ".join(f"({k + 10}, '{c}')" for k, c in enumerate(_RECORD_CODES))}) as t(k, code)),
+    c as (select * from (values {", ".join(f"({k + 20}, '{c}')" for k, c in enumerate(_CORRECTION_CODES))}) as t(k, code)), p as (select p_partkey as id, p_partkey % 50 as k from part), n as (select count(*) as n from part)
+    select id, case when code = 'unknown_field' then 'other' else 'name' end as field, code from p join f using (k) union all select id, '', code from p join r using (k)
+    union all select id, case when code = 'correction_of_unknown_field' then 'other' else 'name' end, code from p join c using (k)
+    union all select id, 'other', 'correction_not_marked' from p where k = 26 union all select n - 1, '', 'record_out_of_range' from n""",
+)
+def ledger_errors(spark, sf_dir):
+    """Reviews that are right, each fiftieth wrong in one way; names of k from 20 on are corrected."""
+    k, size = F.col("k"), table(spark, sf_dir, "part").count()
+    base = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 50).alias("k"), F.sha2("p_name", 256).alias("h"), "p_name")
+    fc, rc, cc = (lambda code, codes=codes, add=add: k == codes.index(code) + add for codes, add in ((_FIELD_CODES, 0), (_RECORD_CODES, 10), (_CORRECTION_CODES, 20)))
+    fixed = k.between(20, 26)
+    scaffold = base.select("id", F.col("id").alias("place"), F.lit("name").alias("field"), F.col("h").alias("value_sha256"), F.lit("applicable").alias("applicability"))
+    fields = base.where(~fc("missing_field") & ~rc("missing_record")).select(
+        "id", F.lit("name").alias("field"), F.when(fc("stale_hash"), "x").otherwise(F.col("h")).alias("value_sha256"), F.when(fc("wrong_applicability"), "not_applicable").otherwise("applicable").alias("applicability"),
+        F.when(fc("unknown_decision"), "sure").when(fixed & ~cc("correction_not_marked") & ~cc("correction_of_unknown_field"), "corrected").otherwise("approved").alias("decision"),
+        F.when(fc("unknown_evidence"), F.array(F.lit("e1"), F.lit("e9"))).when(fc("decision_without_evidence"), F.array().cast("array<string>")).otherwise(F.array(F.lit("e1"))).alias("evidence_ids"),
+        F.when(fc("no_provenance"), " ").otherwise("seen").alias("provenance"),
+    )
+    extra = base.where(fc("unknown_field")).select("id", F.lit("other"), F.col("h"), F.lit("applicable"), F.lit("approved"), F.array(F.lit("e1")), F.lit("seen"))
+    evidence = base.select("id", F.lit("e1").alias("evidence_id"), F.lit("https://x").alias("url"), (~cc("correction_without_opened_evidence")).alias("opened"))
+    change = base.where(fixed & ~cc("marked_without_correction")).select(
+        "id", F.when(cc("correction_of_unknown_field"), "other").otherwise("name").alias("field"), F.when(cc("correction_of_other_value"), "x").otherwise(F.col("h")).alias("before_sha256"),
+        F.when(cc("correction_without_change"), F.col("p_name")).otherwise(F.concat("p_name", F.lit("!"))).alias("after"), F.array(F.lit("e1")).alias("evidence_ids"),
+    )
+    corrections = change.union(change.join(base.where(cc("repeated_correction")).select("id"), "id", "left_semi"))
+    records = base.where(~rc("missing_record")).select(
+        "id", F.when(rc("record_out_of_order"), F.col("id") + 1).otherwise(F.col("id")).alias("at"), F.when(rc("unknown_pass"), "x").otherwise("approved").alias("first_pass"), F.lit("approved").alias("second_pass"),
+        F.when(rc("unknown_final"), "x").when(rc("pending_final"), "pending").otherwise("approved").alias("final"),
+    )
+    twice = records.join(base.where(rc("repeated_record")).select("id"), "id", "left_semi")
+    return A.ledger_errors(fields.union(extra), evidence, corrections, records.union(twice), scaffold, "id", 0, size - 2)  # the last row lies outside
+
+
 @query(
     "v03_schema_errors",
     f"""select document_id, array_to_string(list_filter([case when price < 950 then '$.price: too small' end, case when trim(category) = '' and length(category) < 2 then '$.category: too short' end], lambda x: x is not null), ';') as errors from {CATALOG_SQL}
