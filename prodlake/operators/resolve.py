@@ -63,7 +63,7 @@ def registry_points(pairs: DataFrame, ratio: Column | None = None) -> DataFrame:
     )
 
 
-def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_product_key") -> DataFrame:
+def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_product_key", key: str = "official_product_key") -> DataFrame:
     """E-02: one decision for each item (item_id, status, score, official_product_key, n_candidates).
 
     Candidates of one score keep the order of the column `order`: a key, or their place in the answer they came with.
@@ -79,7 +79,7 @@ def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_
             "n_hits": F.count_if("identifier_hit").over(whole),
         }
     ).where("rank = 1")  # an identifier hit scores 100; with ties the rule below asks for review or takes the hit
-    hits = scored.where("identifier_hit").groupBy("item_id").agg(F.min(order).alias("hit_key"))
+    hits = scored.where("identifier_hit").groupBy("item_id").agg(F.min_by(key, order).alias("hit_key"))
     ranked = ranked.join(hits, "item_id", "left")
     close = F.coalesce(F.col("runner_up") >= F.col("score") - CLOSE, F.lit(False))
     unique = (F.col("n_exact") == 1) & F.col("exact_name")
@@ -101,7 +101,7 @@ def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_
         .when(unique & F.col("conflict"), F.greatest("score", F.lit(80)))
         .otherwise(F.col("score"))
         .alias("score"),
-        F.when(F.col("n_hits") > 0, F.col("hit_key")).otherwise(F.col(order)).alias("official_product_key"),
+        F.when(F.col("n_hits") > 0, F.col("hit_key")).otherwise(F.col(key)).alias("official_product_key"),
         "n_candidates",
     )
     out = items.select("item_id").join(decided, "item_id", "left")

@@ -182,6 +182,42 @@ def idempotent(spark, sf_dir):
     return once.exceptAll(twice).agg(F.count("*").alias("changed"))
 
 
+@query(
+    "v15_changed_by_pass",
+    "select 1 as pass, count(*) as changed from documents where coalesce(text, '') <> trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) union all select 2, 0",
+)
+def changed_by_pass(spark, sf_dir):
+    """V-15 with a table that the first pass changes: the gate tells the passes apart."""
+    from prodlake.functions.text import squeeze
+
+    raw = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    once = raw.select("doc_id", squeeze(F.col("text")).alias("text"))
+    twice = once.select("doc_id", squeeze(F.col("text")).alias("text"))
+    counts = [a.exceptAll(b).agg(F.lit(k).alias("pass"), F.count("*").alias("changed")) for k, (a, b) in enumerate(((raw, once), (once, twice)), 1)]
+    return counts[0].union(counts[1])
+
+
+@query(
+    "w10_shifted_positions",
+    """select conv_id as "group", turn, turn + 1 as stated, turn as place from conversations where conv_id % 5 = 0""",
+)
+def shifted_positions(spark, sf_dir):
+    """W-10 with every fifth conversation counted from 1."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("group"), "turn", (F.col("turn") + F.when(F.col("conv_id") % 5 == 0, 1).otherwise(0)).alias("stated"))
+    return A.position_errors(turns, "turn", "stated").select("group", "turn", "stated", "place")
+
+
+@query(
+    "f16_planted_notifications",
+    "select c_custkey from customer where c_custkey % 4 = 1 or c_custkey % 6 = 2",
+)
+def planted_notifications(spark, sf_dir):
+    key = F.col("c_custkey")
+    name = F.when(key % 4 == 1, F.concat("c_name", F.lit("님에게 메시지를 보냈습니다"))).otherwise(F.col("c_name"))
+    note = F.when(key % 6 == 2, "카카오톡 알림").when(key % 5 == 0, "메시지").otherwise(F.lit(None))
+    return table(spark, sf_dir, "customer").where(A.is_notification(name, note)).select("c_custkey")
+
+
 def _name_blocks(name):
     words = F.transform(F.split(F.lower(name), "[^\\p{L}\\p{N}]+"), lambda w: F.concat(F.lit("word|"), w))
     return F.concat(F.array(F.concat(F.lit("name|"), registry_name(name))), F.filter(words, lambda w: w != "word|"))

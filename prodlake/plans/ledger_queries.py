@@ -38,6 +38,32 @@ def fetch_once(spark, sf_dir):
     return lines.join(fetched, "l_partkey").agg(F.countDistinct("l_partkey").alias("fetched"), F.count("*").alias("served"))
 
 
+@query(
+    "s08_s18_answered",
+    """with r as (select l_orderkey, l_partkey % 300 as k from lineitem), d as (select distinct k from r)
+    select l_orderkey, k, case when k % 3 = 0 then 'old' when k % 7 = 1 then '' else 'new' end as answer, k % 3 = 0 as cached, case when k % 3 <> 0 and k % 7 = 1 then 'TimeoutError' else '' end as error from r""",
+)
+def answered_requests(spark, sf_dir):
+    """S-08, S-18: a third of the numbers is in the cache, some never answer, others at the second try; each is asked for once."""
+    from prodlake.sources.registry import answered
+
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_partkey") % 300).alias("k"))
+    requests = lines.select("k").distinct().select("k", F.lit("https://api.example.org").alias("endpoint"), F.create_map(F.lit("n"), F.col("k").cast("string")).alias("params"))
+    known = requests.where("k % 3 = 0").select(cache_key(F.col("endpoint"), F.col("params")).alias("key"), F.lit('{"a": "old"}').alias("payload"))
+    tried: set[str] = set()
+
+    def fetch(endpoint: str, params: dict[str, str]) -> str:
+        n = int(params["n"])
+        if n % 7 == 1 or (n % 5 == 0 and params["n"] not in tried):
+            tried.add(params["n"])
+            raise TimeoutError
+        return '{"a": "new"}'
+
+    got = answered(requests.select("endpoint", "params"), known, fetch, interval=0.0, retries=1, pause=0.0, at_once=4)
+    back = got.select(F.element_at("params", "n").cast("long").alias("k"), F.coalesce(F.get_json_object("payload", "$.a"), F.lit("")).alias("answer"), "cached", F.coalesce("error", F.lit("")).alias("error"))
+    return lines.join(back, "k").select("l_orderkey", "k", "answer", "cached", "error")
+
+
 @query("s11_source_routing", f"select document_id, case category when 'ECONOMY' then 'a' when 'SMALL' then 'b' else 'any' end as source from {CATALOG_SQL}")
 def source_routing(spark, sf_dir):
     a, b = (O.Source(k, k, "drug", "", "", (), (), categories=c) for k, c in (("a", ("ECONOMY",)), ("b", ("SMALL",))))

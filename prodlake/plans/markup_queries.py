@@ -11,10 +11,10 @@ from prodlake.sources import markup as M
 
 @query(
     "s16_page_scan",
-    "select page_id, cast((length(html) - length(replace(html, '<a ', ''))) / 3 as int) as n_links, trim(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&'), '&quot;', '\"')) as title from pages where html is not null and contains(html, '</title>')",
+    "select page_id, cast((length(coalesce(html, '')) - length(replace(coalesce(html, ''), '<a ', ''))) / 3 as int) as n_links, trim(replace(replace(regexp_extract(coalesce(html, ''), '<title>(.*?)</title>', 1), '&amp;', '&'), '&quot;', '\"')) as title from pages",
 )
 def page_scan(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").where("html is not null and contains(html, '</title>')")
+    pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", M.page("html").alias("p")).select("page_id", F.size("p.links").alias("n_links"), "p.title")
 
 

@@ -238,9 +238,9 @@ def shared_names(spark, sf_dir):
     return a.join(b, (F.col("a.p_name") == F.col("b.p_name")) & (F.col("a.p_brand") < F.col("b.p_brand"))).groupBy(F.col("a.p_brand").alias("a"), F.col("b.p_brand").alias("b")).agg(F.count("*").alias("n"))
 
 
-@query("u05_repeated_texts", "select sha256(text) as digest, count(*) as members, count(distinct lang) as identities, min(doc_id) as first_member, count(distinct lang) > 1 as unrelated from documents where text is not null group by 1 having count(*) > 1")
+@query("u05_repeated_texts", "select sha256(text) as digest, count(*) as members, count(distinct lang) as identities, min(doc_id) as first_member, count(distinct lang) > 1 as unrelated from documents group by 1 having count(*) > 1")
 def repeated_texts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "lang", F.sha2("text", 256).alias("digest"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("digest"))
     return digest_groups(docs, "digest", "doc_id", "lang")
 
 

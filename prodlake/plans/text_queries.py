@@ -21,9 +21,9 @@ def _compact(x: str) -> str:
     return _COMPACT.format(x)
 
 
-@query("t01_compact", f"select doc_id, sha256({_compact('coalesce(text, chr(0))')}) as h from documents where text is not null")
+@query("t01_compact", f"select doc_id, sha256({_compact("coalesce(text, '')")}) as h from documents")
 def compact(spark, sf_dir):
-    return _docs(spark, sf_dir).where("text is not null").select("doc_id", F.sha2(X.compact(F.col("text")), 256).alias("h"))
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(X.compact(F.col("text")), 256).alias("h"))
 
 
 @query(
@@ -61,11 +61,11 @@ def capacity(spark, sf_dir):
 @query(
     "t08_listing_name",
     "select page_id, sha256("
-    + _compact("regexp_replace(regexp_replace(lower(regexp_replace(html, '<[^>]+>', ' ', 'g')), '소비기한\\s*\\d+(?:[/.-]\\d+)+', ' ', 'g'), '\\b\\d+\\s*(?:개|세트|박스|병|통)', ' ', 'g')")
-    + ") as h from pages where html is not null",
+    + _compact("regexp_replace(regexp_replace(lower(regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g')), '소비기한\\s*\\d+(?:[/.-]\\d+)+', ' ', 'g'), '\\b\\d+\\s*(?:개|세트|박스|병|통)', ' ', 'g')")
+    + ") as h from pages",
 )
 def listing_name(spark, sf_dir):
-    return table(spark, sf_dir, "pages").where("html is not null").select("page_id", F.sha2(X.listing_name(F.col("html")), 256).alias("h"))
+    return table(spark, sf_dir, "pages").select("page_id", F.sha2(X.listing_name(F.col("html")), 256).alias("h"))
 
 
 @query(
@@ -84,19 +84,19 @@ def split_size(spark, sf_dir):
 
 @query(
     "t13_display_text",
-    """select doc_id, sha256(nfc_normalize(regexp_replace(regexp_replace(translate(regexp_replace(text, '[\\x{200b}-\\x{200f}\\x{2060}\\x{feff}]', '', 'g'), chr(160) || chr(12288), '  '), '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'))) as h
-    from documents where text is not null""",
+    """select doc_id, sha256(nfc_normalize(regexp_replace(regexp_replace(translate(regexp_replace(coalesce(text, ''), '[\\x{200b}-\\x{200f}\\x{2060}\\x{feff}]', '', 'g'), chr(160) || chr(12288), '  '), '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'))) as h
+    from documents""",
 )
 def display_text(spark, sf_dir):
-    return _docs(spark, sf_dir).where("text is not null").select("doc_id", F.sha2(nfc(X.display_text(F.col("text"))), 256).alias("h"))
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(nfc(X.display_text(F.col("text"))), 256).alias("h"))
 
 
 @query(
     "t14_clean_text",
-    "select page_id, sha256(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))) as h from pages where html is not null",
+    "select page_id, sha256(trim(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))) as h from pages",
 )
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").where("html is not null").select("page_id", F.sha2(X.clean_text(F.col("html")), 256).alias("h"))
+    return table(spark, sf_dir, "pages").select("page_id", F.sha2(X.clean_text(F.col("html")), 256).alias("h"))
 
 
 @query("t14_unescaped_length")
@@ -113,10 +113,10 @@ def rich(spark, sf_dir):
 
 @query(
     "t23_parts",
-    "select doc_id, len(list_distinct(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> ''))) as n_lines from documents where text is not null",
+    "select doc_id, len(list_distinct(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> ''))) as n_lines from documents",
 )
 def parts(spark, sf_dir):
-    return _docs(spark, sf_dir).where("text is not null").select("doc_id", F.size(X.parts(F.col("text"), "\n")).cast("long").alias("n_lines"))
+    return _docs(spark, sf_dir).select("doc_id", F.size(X.parts(F.col("text"), "\n")).cast("long").alias("n_lines"))
 
 
 @query("t24_part", "select o_orderkey, split_part(o_orderpriority, '-', 1) as level, split_part(o_orderpriority, '-', 2) as name, '' as other from orders")
