@@ -22,19 +22,19 @@ def _slot(time: str, seconds: float) -> Column:
 def banded_pairs(df: DataFrame, keys: list[str], time: str, order: str, rows: int, seconds: float) -> DataFrame:
     """J-10: pairs of rows of a key within the next `rows` rows and `seconds`.
 
-    Each row is sent to its own time slot and the next, so that the join is an equi-join on key and slot.
-    Rows are numbered inside their slot, after the counts of the key's slots before: no task sorts a key.
+    Rows are numbered inside their time slot, after the counts of the key's slots before, so that no task sorts a key. Blocks of `rows`
+    numbers are then joined with themselves and the next: a row meets twice `rows` others at most, however dense its slot is.
     """
     placed = df.withColumn("_slot", _slot(time, seconds))
     inside = Window.partitionBy(*keys, "_slot").orderBy(time, order)
     slots = placed.groupBy(*keys, "_slot").agg(F.count("*").alias("_size"))
     upto = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = placed.withColumn("_in", F.row_number().over(inside)).join(slots.select(*keys, "_slot", upto.alias("_upto")), [*keys, "_slot"])
-    numbered = numbered.withColumn("_n", F.col("_upto") + F.col("_in"))
-    left = numbered.select(*keys, F.explode(F.array("_slot", F.col("_slot") + 1)).alias("_slot"), F.col("_n").alias("_ln"), F.col(time).alias("left_time"), F.col(order).alias("left_id"))
-    right = numbered.select(*keys, "_slot", F.col("_n").alias("_rn"), F.col(time).alias("right_time"), F.col(order).alias("right_id"))
+    numbered = numbered.withColumn("_n", F.col("_upto") + F.col("_in")).withColumn("_block", F.floor(F.col("_n") / rows))
+    left = numbered.select(*keys, F.explode(F.array("_block", F.col("_block") + 1)).alias("_block"), F.col("_n").alias("_ln"), F.col(time).alias("left_time"), F.col(order).alias("left_id"))
+    right = numbered.select(*keys, "_block", F.col("_n").alias("_rn"), F.col(time).alias("right_time"), F.col(order).alias("right_id"))
     gap = (F.unix_micros("right_time") - F.unix_micros("left_time")) / 1_000_000
-    joined = left.join(right, [*keys, "_slot"])
+    joined = left.join(right, [*keys, "_block"])
     return joined.where((F.col("_rn") > F.col("_ln")) & (F.col("_rn") <= F.col("_ln") + rows) & (gap <= seconds)).select(*keys, "left_id", "right_id")
 
 
@@ -59,7 +59,11 @@ def latest_before(left: DataFrame, right: DataFrame, keys: list[str], time: str,
 
 def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, time: str, rows: int, seconds: float, least: float) -> DataFrame:
     """W-05 and M-05: scanning in order, a row joins the newest kept row of the last `rows` that is near in
-    time and alike in text; the longer text of the two stays, the earliest time, the sum of observations."""
+    time and alike in text; the longer text of the two stays, the earliest time, the sum of observations.
+
+    Where the order begins with the time, a key is split at pauses of more than `seconds`: no row joins one from before such a
+    pause, so that a long key is as many tasks' work as it has pauses.
+    """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         kept: list[dict] = []
@@ -74,7 +78,13 @@ def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, t
                 kept.append(row)
         return pd.DataFrame(kept, columns=pdf.columns)
 
-    return df.groupBy(*keys).applyInPandas(fold, df.schema)
+    if order[0] != time:
+        return df.groupBy(*keys).applyInPandas(fold, df.schema)
+    by = Window.partitionBy(*keys).orderBy(*order)
+    pause = F.coalesce(F.col(time) - F.lag(time).over(by) > seconds, F.lit(False))
+    split = df.withColumn("_pause", pause.cast("int")).withColumn("_part", F.sum("_pause").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    columns = df.columns
+    return split.groupBy(*keys, "_part").applyInPandas(lambda pdf: fold(pdf[columns]), df.schema)
 
 
 def align(primary: list, secondary: list, gap: float, score) -> list[tuple[int | None, int | None]]:
