@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from prodlake.functions.similarity import indel
 
 
+#: Rows of a key after which a fold is cut at the next pause.
+PART = 2000
+
+
 def _slot(time: str, seconds: float) -> Column:
     return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / int(seconds * 1_000_000))
 
@@ -61,8 +65,8 @@ def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, t
     """W-05 and M-05: scanning in order, a row joins the newest kept row of the last `rows` that is near in
     time and alike in text; the longer text of the two stays, the earliest time, the sum of observations.
 
-    Where the order begins with the time, a key is split at pauses of more than `seconds`: no row joins one from before such a
-    pause, so that a long key is as many tasks' work as it has pauses.
+    Where the order begins with the time, a key is split at pauses of more than `seconds`, one in each PART rows: no row joins one
+    from before such a pause, so that a long key is the work of many tasks.
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -82,7 +86,10 @@ def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, t
         return df.groupBy(*keys).applyInPandas(fold, df.schema)
     by = Window.partitionBy(*keys).orderBy(*order)
     pause = F.coalesce(F.col(time) - F.lag(time).over(by) > seconds, F.lit(False))
-    split = df.withColumn("_pause", pause.cast("int")).withColumn("_part", F.sum("_pause").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    placed = df.withColumns({"_pause": pause, "_block": F.floor((F.row_number().over(by) - 1) / PART)})
+    first = F.row_number().over(Window.partitionBy(*keys, "_block", "_pause").orderBy(*order)) == 1
+    cut = placed.withColumn("_cut", (F.col("_pause") & first & (F.col("_block") > 0)).cast("int"))
+    split = cut.withColumn("_part", F.sum("_cut").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     columns = df.columns
     return split.groupBy(*keys, "_part").applyInPandas(lambda pdf: fold(pdf[columns]), df.schema)
 

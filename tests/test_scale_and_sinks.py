@@ -103,3 +103,29 @@ def test_shapes(spark):
     assert [r["k"] for r in picked.applied(rows, "k").collect()] == ["a"] and S.Selection().applied(rows, "k").count() == 0
     records = spark.createDataFrame([(1, "pending"), (2, "approved")], "id int, final string")
     assert tuple(ledger_summary(records, spark.range(5)).first()) == (2, 1, 5)
+
+
+def test_folds_that_are_cut_at_pauses_find_the_same(spark, monkeypatch):
+    import random
+
+    from prodlake.operators import sequence
+
+    rng = random.Random(7)
+    at, rows = 0.0, []
+    for n in range(400):
+        at += rng.choice([1.0, 2.0, 3.0, 30.0])
+        rows.append((n % 2, at, n, rng.choice(["alpha beta", "alpha betb", "gamma", "delta"]), 1))
+    df = spark.createDataFrame(rows, "k int, at double, id int, text string, observations int")
+    found = []
+    for part in (5, 10**9):
+        monkeypatch.setattr(sequence, "PART", part)
+        found.append(sorted(map(tuple, sequence.fold_lookback(df, ["k"], ["at", "id"], "text", "at", 24, 12.0, 88.0).collect())))
+    assert found[0] == found[1] and len(found[0]) < 400
+
+
+def test_dense_times_meet_as_many_rows_as_stated(spark):
+    from prodlake.operators.sequence import banded_pairs
+
+    df = spark.range(200).select(F.lit(1).alias("k"), F.timestamp_seconds((F.col("id") / 40).cast("int")).alias("t"), "id")
+    got = {(r["left_id"], r["right_id"]) for r in banded_pairs(df, ["k"], "t", "id", 7, 2.0).collect()}
+    assert got == {(a, b) for a in range(200) for b in range(a + 1, min(a + 8, 200)) if b // 40 - a // 40 <= 2}
