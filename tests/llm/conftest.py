@@ -31,6 +31,7 @@ ROWS = [
     (17, "!!! ??? ---"),
     (18, "line\n" * 500),
     (19, "spam spam spam spam " * 40),
+    (20, "before the run " + "q" * 300_000 + " " + PASSAGE),
 ]
 #: Names that operators use for columns of their own.
 CLASHES = ["row", "key", "found", "kept", "score", "component_id", "_domain", "_lang", "h", "times", "drops", "place", "first", "epoch", "doc", "y", "range", "n"]

@@ -210,6 +210,83 @@ def test_chain_marginals():
             for i in range(e - a - 1):
                 both[y[i], y[i + 1]] += m / sum(mass)
     assert np.allclose(got, want) and np.allclose(pairs, both) and np.isclose(total, z)
+    mass = np.array([0.5, 3.0, 2.0])
+    each = [quality.marginals(emit[a:e], np.array([0, e - a]), turns)[1] for a, e in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert np.allclose(quality.marginals(emit, bounds, turns, mass)[1], sum(m * p for m, p in zip(mass, each, strict=True)))
+
+
+def test_quality_of_a_text_does_not_depend_on_its_batch(spark, small, texts):
+    model = quality.train(spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet"))
+    some = [*list(texts.values())[:30], None, "", "x" * 300_000 + "\nshort line", "a\n" * 5000]
+    alone = np.concatenate([model.scores([t]) for t in some])
+    assert np.allclose(alone, model.scores(some), atol=1e-12)
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op4_quality"](spark, small).collect()}
+    assert all(abs(got[i] - model.scores([t])[0]) < 1e-12 for i, t in list(texts.items())[:40])
+
+
+def plain_toxicity(model, text):
+    """The score of a text from its words one by one."""
+    import re
+    from collections import Counter
+
+    words = re.findall(rb"[A-Za-z\x80-\xff]+", (text or "").encode())
+    entries = Counter()
+    for w in words:
+        low = bytes(b + 32 if 65 <= b <= 90 else b for b in w)
+        entries[int(toxicity.words_of(low, toxicity.LETTER_BYTE)[0][0] >> np.uint64(32))] += 1
+        for n in toxicity.STEMS:
+            if len(low) > n:
+                h = int(toxicity.range_hashes(np.frombuffer(low, dtype=np.uint8), np.array([0]), np.array([n]))[0])
+                entries[(h + (n << 32)) % (1 << 64) >> 32] += 1
+    weights = {int(k): w for k, w in zip(model.keys, model.weights, strict=True)}
+    total = model.constant + float(toxicity.patterns([text])[0] @ model.marks)
+    for entry, times in entries.items():
+        w = weights.get(entry)
+        if w is not None:
+            held = [True, times >= 2, times >= 2 and 200 * times >= len(words), times >= 2 and 50 * times >= len(words)]
+            total += sum(x for x, h in zip(w, held, strict=True) if h)
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+
+def test_toxicity_of_each_text(spark, small, texts):
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    model = toxicity.train(spark.read.parquet(f"{small}/documents.parquet"), labels)
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op6_toxicity"](spark, small).collect()}
+    assert set(got) == set(texts)
+    for i, t in texts.items():
+        assert abs(got[i] - plain_toxicity(model, t)) < 1e-9
+    odd = [None, "", "YOU IDIOT!! " * 3, "x" * 300_000 + " idiot", "id**t @#$% aaaa 1d1ot"]
+    assert np.allclose(model.scores(odd), [plain_toxicity(model, t) for t in odd])
+
+
+def test_training_texts_stay_under_their_bound(spark):
+    from prodlake.llm.labelled import training_rows
+
+    docs = spark.createDataFrame([(i, "x" * (10 * i)) for i in range(1, 41)] + [(99, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)] + [(99, 1)], "doc_id long, toxic int")
+    whole = [r["doc_id"] for r in training_rows(docs, labels, "toxic", 4, 2).collect()]
+    some = sorted((r["doc_id"] for r in training_rows(docs, labels, "toxic", 4, 2, budget=1000).collect()), key=lambda i: i % 99)
+    short = sorted(whole, key=lambda i: i % 99)
+    assert some == short[: len(some)] and 0 < sum(10 * (i % 99) for i in some) <= 1000 < sum(10 * (i % 99) for i in short[: len(some) + 1])
+
+
+def test_media_by_another_reader(spark, small, texts):
+    """The stored form, its digest and its feature, made again without the store's own code."""
+    import zlib
+
+    rows = {r["doc_id"]: r for r in QUERIES["op8_media_columns"](spark, small).collect()}
+    for i, t in list(texts.items())[:60]:
+        raw = (t or "").encode()
+        payload = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        lines = b"".join(b"\0" + payload[k : k + 192] for k in range(0, len(payload), 192))
+        chunk = lambda name, data: len(data).to_bytes(4, "big") + name + data + zlib.crc32(name + data).to_bytes(4, "big")
+        head = (192).to_bytes(4, "big") + (len(payload) // 192).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+        image = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines, 3)) + chunk(b"IEND", b"")
+        assert (rows[i]["media_sha256"], rows[i]["media_bytes"]) == (hashlib.sha256(image).hexdigest(), len(image))
+        mean = sum(payload) / len(payload)
+        spread = (sum((b - mean) ** 2 for b in payload) / len(payload)) ** 0.5
+        told = rows[i]["feature"].split(":")
+        assert abs(float(told[0]) - mean) < 1e-3 and abs(float(told[1]) - spread) < 1e-3 and len(told[2]) == 16
 
 
 def test_label_model_discounts_repeated_voters():

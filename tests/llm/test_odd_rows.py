@@ -116,7 +116,8 @@ def test_jaccard(spark, odd):
 
 def test_repeats(spark, odd):
     rows = {r["doc_id"]: r for r in QUERIES["op3_suffix_array_dedup"](spark, odd).collect()}
-    assert set(rows) == {9, 10, 12, 13}
+    assert set(rows) == {9, 10, 12, 13, 20}
+    assert [tuple(s) for s in rows[20]["drops"]] == [(4, 74)]  # behind a word of 300,000 letters
     assert [tuple(s) for s in rows[12]["repeats"]] == [(4, 74)] and rows[12]["drops"] == []
     assert [tuple(s) for s in rows[13]["drops"]] == [(3, 73)]
     assert [tuple(s) for s in rows[10]["drops"]] == [(0, 60_000)]
@@ -148,6 +149,13 @@ def test_stages(spark, odd, empty, which):
         assert len(rows) == len(ROWS) and all(len(r["ids"]) == r["n_tokens"] for r in rows)
 
 
+def test_whole_pipeline(spark, odd, empty):
+    assert corpus_pipeline.run(spark, empty).collect() == []
+    rows = corpus_pipeline.run(spark, odd).collect()
+    kept = {r["doc_id"] for r in rows}
+    assert {1, 5, 6, 12} <= kept and not {7, 8, 10} & kept
+
+
 def test_words_agree_with_the_stated_rule():
     from prodlake.llm.hashing import texts_to_words
 
@@ -171,6 +179,11 @@ def test_hashes_do_not_depend_on_what_follows():
         for k in (0, 2, 3):
             assert (hashes[bounds[k] : bounds[k] + 5] == alone).all()
         assert hashes[bounds[3] - 1] == hashes[bounds[4]] == texts_to_words([run])[0][0]
+    rng = np.random.default_rng(8)
+    for _ in range(20):  # words of any size at any offset, among any others
+        words = ["".join(rng.choice(list("abcXYZ"), size=int(rng.choice([1, 3, 20, 60_000, 70_000, 263_000, 600_000], p=[0.3, 0.3, 0.2, 0.06, 0.06, 0.05, 0.03])))) for _ in range(12)]
+        together = texts_to_words([" ".join(words)])[0]
+        assert together.tolist() == [int(texts_to_words([w])[0][0]) for w in words]
     values = np.arange(300_000, dtype=np.uint64) % np.uint64(251)
     total = sum((int(v) + 1) * pow(int(BASE), k, 1 << 64) for k, v in enumerate(values)) % (1 << 64)
     assert range_hashes(values, np.array([0, 5]), np.array([300_000, 7])).tolist() == mix(np.array([total, 6 + 7 * int(BASE) % (1 << 64)], dtype=U64)).tolist()
