@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prodlake.functions.deep import deep_scored
+from prodlake.functions.deep import best_ratio, deep_scored
 from prodlake.functions.names import judged, variants
 from prodlake.operators import official as O
 from prodlake.operators.resolve import deep_choice, search_choice
@@ -137,8 +137,8 @@ def safe_search(spark, sf_dir):
     return search_choice(judged(pairs, "name", "code").select("item_id", "code", F.col("validated").alias("score"), "safe"))
 
 
-@query("e07_e08_deep_choice")
-def deep_decisions(spark, sf_dir):
+def _deep_pairs(spark, sf_dir):
+    """Pairs of a brand and second word, each product with a page that states its pack."""
     part = table(spark, sf_dir, "part")
     word = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(2))
     items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit("정")).alias("capacity"), F.col("p_brand").alias("brand"))
@@ -147,8 +147,50 @@ def deep_decisions(spark, sf_dir):
     pairs = items.join(found, (F.col("brand") == F.col("upso")) & (word("name") == word("drug_name")))
     product = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_code"), F.col("code"), F.lit("upso_name_kfda"), F.col("upso"))
     page = F.create_map(F.lit("drug_name"), F.col("drug_name"), F.lit("drug_box"), F.col("box"))
-    given = pairs.withColumns({"specification": F.lit(""), "known_code": F.lit(""), "product": product, "page": page})
-    scored = deep_scored(given).select(
+    return pairs.withColumns({"specification": F.lit(""), "known_code": F.lit(""), "product": product, "page": page})
+
+
+def _longest(pairs):
+    """A stand-in for the largest ratio that SQL has too: that of the lengths."""
+    ratios = F.transform(pairs, lambda p: F.least(F.length(p["a"]), F.length(p["b"])) / F.greatest(F.length(p["a"]), F.length(p["b"])))
+    return F.array_max(ratios)
+
+
+_DEEP = """i as (select p_partkey as item_id, p_name, p_brand, p_size, replace(p_name, ' ', '') as a from part), reg as (select min(p_partkey) as code, p_name as drug_name, p_brand, min(p_size) as size, replace(p_name, ' ', '') as b from part group by p_name, p_brand),
+    j as (select *, i.p_name = drug_name as same, a <> b and (contains(a, b) or contains(b, a)) as held, least(length(a), length(b)) / greatest(length(a), length(b)) as ratio, p_size = size as packs
+      from i join reg on i.p_brand = reg.p_brand and split_part(i.p_name, ' ', 2) = split_part(reg.drug_name, ' ', 2)),
+    s as (select item_id, cast(code as varchar) as code, same, held, ratio, packs,
+      cast(greatest(0, least(100, case when same then 94 when held then least(92, 82 + floor(10 * ratio)) - 35 else floor(78 * ratio) end + case when packs then 3 else 0 end)) as int) as score from j)"""
+
+
+@query(
+    "e07_deep_scores_lengths",
+    f"""with {_DEEP} select item_id, code, score, case when same then 'core names agree;' when held then 'core name contained;' when ratio >= 0.72 then 'core names alike;' else '' end
+    || case when packs then 'packs agree;' else 'sold and licensed packs differ;' end || 'manufacturer stated' as reasons, cast(held as int) as n_conflicts from s""",
+)
+def deep_scores_lengths(spark, sf_dir):
+    """The rules with a stand-in for the similarity."""
+    scored = deep_scored(_deep_pairs(spark, sf_dir), _longest)
+    return scored.select("item_id", "code", "score", F.array_join("reasons", ";").alias("reasons"), F.size("conflicts").alias("n_conflicts"))
+
+
+@query(
+    "e08_deep_choice_lengths",
+    f"""with {_DEEP}, r as (select *, row_number() over w as rn, score - coalesce(lead(score) over w, 0) as margin from s window w as (partition by item_id order by score desc, code))
+    select item_id, case when score >= 84 and (margin >= 6 or same) and not held then 'confirmed' when score >= 45 then 'review_required' else 'not_found' end as status,
+    case when score >= 84 and (margin >= 6 or same) and not held then code end as code, score from r where rn = 1""",
+)
+def deep_choice_lengths(spark, sf_dir):
+    return _deep_choice(spark, sf_dir, _longest)
+
+
+def _deep_choice(spark, sf_dir, ratio=best_ratio):
+    scored = deep_scored(_deep_pairs(spark, sf_dir), ratio).select(
         "item_id", "code", "score", F.size("conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")
     )
     return deep_choice(scored).drop("alternatives")
+
+
+@query("e07_e08_deep_choice")
+def deep_decisions(spark, sf_dir):
+    return _deep_choice(spark, sf_dir)
