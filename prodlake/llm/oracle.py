@@ -44,3 +44,17 @@ JACCARD = f"""with recursive d as (select doc_id, list_filter(regexp_split_to_ar
     e as (select a, b from l union all select b, a from l),
     r as (select a as doc_id, a as other from e union select r.doc_id, e.b from r join e on r.other = e.a)
     select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce((select min(other) from r where r.doc_id = d.doc_id), d.doc_id) as component_id from d left join n using (doc_id)"""
+
+COLLOCATIONS = f"""with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+    w as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from p),
+    n as (select lang, sum(len(w)) as n from w group by 1),
+    g as (select lang, k, unnest(list_transform(range(len(w) - k + 1), lambda i: array_to_string(w[i + 1 : i + k], ' '))) as phrase from w, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k),
+    f as (select lang, k, phrase, count(*) as f, string_split(phrase, ' ') as w from g group by 1, 2, 3 having count(*) >= 100),
+    c as (select lang, k, phrase, f as a, w, unnest(range(1, k)) as j from f where k > 1),
+    s as (select c.lang, c.k, c.phrase, a, l.f as l, r.f as r, n, cast((1000 * cast(a as hugeint) * n) // (cast(l.f as hugeint) * r.f) as bigint) as score
+      from c join n using (lang) join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:j], ' ') join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[j + 1 : c.k], ' ')
+      qualify row_number() over (partition by c.lang, c.phrase order by score, j) = 1),
+    x as (select distinct lang, array_to_string(w[i : i + m - 1], ' ') as phrase, f from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from f where k > 2))),
+    y as (select s.* from s where not exists (select 1 from x where x.lang = s.lang and x.phrase = s.phrase and 100 * x.f >= 100 * s.a))
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, cast(n as bigint) as n, score from y
+    qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000"""

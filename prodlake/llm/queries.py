@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from prodlake.llm.bpe import encode_documents
+from prodlake.llm.collocations import collocations
 from prodlake.llm.jaccard_join import jaccard_components
 from prodlake.llm.licences import scan
 from prodlake.llm.main_text import extract
 from prodlake.llm.media import store_documents
 from prodlake.llm.mixing import mix_sources
-from prodlake.llm.oracle import JACCARD, TOP_K, licence_scan
+from prodlake.llm.oracle import COLLOCATIONS, JACCARD, TOP_K, licence_scan
 from prodlake.llm.quality import quality
 from prodlake.llm.session import documents, lean_batches
 from prodlake.llm.suffix_dedup import repeated_passages
@@ -66,6 +67,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -77,10 +82,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media_columns": op8_media_columns,
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_licence_scan": licence_scan(),
     "op5_exact_top_k": TOP_K,
     "op10_ngram_jaccard_join": JACCARD,
+    "op11_collocations": COLLOCATIONS,
 }
