@@ -21,6 +21,7 @@ from prodlake.llm.session import documents, lean_batches
 from prodlake.llm.suffix_dedup import repeated_passages
 from prodlake.llm.topk import top_k
 from prodlake.llm.toxicity import toxicity
+from prodlake.llm.whitening import whiten
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
