@@ -58,3 +58,14 @@ COLLOCATIONS = f"""with p as (select coalesce(lang, 'und') as lang, unnest(regex
     y as (select s.* from s where not exists (select 1 from x where x.lang = s.lang and x.phrase = s.phrase and 100 * x.f >= 100 * s.a))
     select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, cast(n as bigint) as n, score from y
     qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000"""
+
+CHATS = r"""with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+      union all select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+    e as (select *, '(<\|turn\||<\|end\||<\|im_start\||<\|im_end\||<\|endoftext\||</?s|\[/?INST|<</?SYS>)(\\*)([>\]])' as p from t),
+    z as (select conv_id, turn, role, text, role = 'assistant' as reply,
+      16 + length(replace(replace(regexp_replace(role, p, '\1\\\2\3', 'g'), '\', '\\'), chr(10), '\n')) + length(regexp_replace(text, p, '\1\\\2\3', 'g')) as size from e),
+    u as (select *, sum(size) over (partition by conv_id order by turn) as pre, sum(size) over (partition by conv_id) as total,
+      row_number() over (partition by conv_id order by turn desc) as back from z)
+    select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (reply), 0) as bigint) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn) filter (reply), '')) as loss_sha256,
+    cast(coalesce(sum(pre) filter (reply), 0) + coalesce(max(total) filter (back = 1 and not reply), 0) as bigint) as formatted_chars from u group by conv_id"""
