@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prodlake.functions.deep import best_ratio, deep_scored
+from prodlake.functions.deep import FORMS, best_ratio, deep_scored, forms_conflict, text_facts
 from prodlake.functions.names import judged, variants
 from prodlake.operators import official as O
 from prodlake.operators.resolve import deep_choice, search_choice
@@ -194,3 +194,40 @@ def _deep_choice(spark, sf_dir, ratio=best_ratio):
 @query("e07_e08_deep_choice")
 def deep_decisions(spark, sf_dir):
     return _deep_choice(spark, sf_dir)
+
+
+_FORM_ROWS = """(values ('tablet', '정 정제 장용정 서방정 츄어블 츄어블정 구강붕해정 현탁정'), ('capsule', '캡슐 경질캡슐 연질캡슐 서방캡슐'),
+    ('liquid', '액 액제 시럽 시럽제 현탁액 내복액 외용액 엘릭서 드링크'), ('ointment', '연고 안연고'), ('cream', '크림'), ('gel', '겔 겔제 젤 젤제'), ('ophthalmic', '점안액 점안제 점비액 안겔 안연고'),
+    ('powder', '산 산제 과립 과립제 엑스과립 현탁용분말'), ('spray', '스프레이 나잘스프레이 인후스프레이 비강분무액 분무 에어로솔 폼'), ('patch', '패취 패치 플라스타 카타플라스마'),
+    ('suppository', '좌제'), ('pill', '환 환제'), ('film', '구강용해필름 필름')) as t(form, words)"""
+_STEM = "translate(cast(p_partkey as string), '0123456789', '가나다라마바사아자차')"
+
+
+@query(
+    "d03_d04_t10_form_groups",
+    f"""with f as (select form, unnest(string_split(words, ' ')) as word from {_FORM_ROWS}),
+    o as (select word, row_number() over (order by word) - 1 as n from (select distinct word from f)),
+    w as (select string_agg(word, '|' order by length(word) desc, word) filter (length(word) > 1) as long, string_agg(word, '|' order by word) filter (length(word) = 1) as short, count(*) as n from o),
+    i as (select p_partkey, {_STEM} || a.word || case p_partkey % 3 when 0 then '' when 1 then '에스' else '골드' end as name, {_STEM} || b.word as other
+      from part, w join o a on a.n = p_partkey % w.n join o b on b.n = (p_partkey // 7) % w.n),
+    g as (select p_partkey, name, other, (select max_by(form, (length(word), form)) from f where case when length(word) = 1 then ends_with(name, word) else contains(name, word) end) as form,
+      (select max_by(form, (length(word), form)) from f where case when length(word) = 1 then ends_with(other, word) else contains(other, word) end) as other_form from i)
+    select p_partkey, name, coalesce(form, '') as form, coalesce(other_form, '') as other_form,
+    regexp_replace(regexp_replace(name, long, '', 'g'), '(?:' || short || ')$', '') as brand,
+    form is not null and other_form is not null and form <> other_form and not (least(form, other_form) = 'liquid' and greatest(form, other_form) = 'ophthalmic' and contains(name, '점안'))
+      and not (least(form, other_form) = 'ointment' and greatest(form, other_form) = 'ophthalmic' and contains(other, '안연고')) as conflict
+    from g, w""",
+)
+def form_groups(spark, sf_dir):
+    """Names that carry every form word, at their end and before another word, beside products of every form."""
+    words = sorted({w for group in FORMS.values() for w in group})
+    pick = lambda n: F.element_at(F.array(*[F.lit(w) for w in words]), (n % len(words) + 1).cast("int"))
+    stem, key = F.expr(_STEM), F.col("p_partkey")
+    ending = F.when(key % 3 == 0, "").when(key % 3 == 1, "에스").otherwise("골드")
+    names = table(spark, sf_dir, "part").select("p_partkey", F.concat(stem, pick(key), ending).alias("name"), F.concat(stem, pick(F.floor(key / 7))).alias("other"))
+    mine = text_facts(names, "name").withColumnRenamed("facts", "m")
+    both = text_facts(mine, "other").withColumnRenamed("facts", "t")
+    return both.select(
+        "p_partkey", "name", F.col("m.form").alias("form"), F.col("t.form").alias("other_form"), F.array_join("m.brands", ",").alias("brand"), forms_conflict(F.col("m.form"), F.col("m.spelled"), F.col("t.form"), F.col("t.spelled")).alias("conflict")
+    )
+

@@ -34,4 +34,4 @@ def test_without_the_package(bare):
 def test_whole():
     if (REPO / "prodlake" / "llm").exists():
         found = names(REPO)
-        assert {"pipeline"} | {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in found if n == "pipeline" or n.startswith("op")}
+        assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in found if n == "pipeline" or n.startswith("op")}
