@@ -15,7 +15,12 @@ from pyspark.sql import types as T
 @F.pandas_udf(T.DoubleType())
 def matching_blocks_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """T-26: Ratcliff-Obershelp ratio; not symmetric, so the order of arguments counts. 0 if either is empty."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)])
+    seen: dict[tuple, float] = {}  # a batch holds few different pairs where one side recurs
+    pairs = list(zip(left, right, strict=True))
+    for a, b in pairs:
+        if (a, b) not in seen:
+            seen[a, b] = SequenceMatcher(None, a, b).ratio() if a and b else 0.0
+    return pd.Series([seen[p] for p in pairs], dtype="float64")
 
 
 def indel(a: str | None, b: str | None) -> float:

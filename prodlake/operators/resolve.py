@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodlake.functions.similarity import matching_blocks_ratio
-from prodlake.functions.text import blank, capacity, company, dosage_form, registry_name, strengths
+from prodlake.functions.text import blank, capacity, compact, company, dosage_form, registry_name, strengths
 
 IDENTIFIERS = ("item_seq", "barcode", "udi_di", "report_number")
 CLOSE = 3
@@ -23,6 +23,122 @@ def candidates(items: DataFrame, registry: DataFrame, block: Column, registry_bl
     return a.join(b, "_block").drop("_block").dropDuplicates(["item_id", "official_product_key"])
 
 
+#: Names of this length or more are compared with the frequent letters left out, so that a common part proves nothing.
+LONG_NAME = 200
+
+
+def _letters(name: Column) -> Column:
+    """Letters of a name, each with its number among the same letters: common elements of two such lists are common letters."""
+    sorted_letters = F.array_sort(F.filter(F.split(name, ""), lambda c: c != ""))
+    return F.transform(sorted_letters, lambda c, i: F.concat(c, (i - F.array_position(sorted_letters, c)).cast("string")))
+
+
+def name_facts(df: DataFrame, name: str, prefix: str) -> DataFrame:
+    """Adds what `ratio_bounds` asks of a name: its normalised form, numbered letters, and normalised words that stand in it."""
+    n, letters, words = f"{prefix}_name", f"{prefix}_letters", f"{prefix}_words"
+    named = df.withColumn(n, registry_name(F.col(name)))
+    parts = F.array_distinct(F.transform(F.split(blank(F.col(name)), r"[^\p{L}\p{N}]+"), compact))
+    return named.withColumns({letters: _letters(F.col(n)), words: F.filter(parts, lambda w: (w != "") & F.contains(F.col(n), w))})
+
+
+def ratio_bounds(left: str, right: str) -> tuple[Column, Column]:
+    """(least, most) that the matching-blocks ratio of two names can be, from their facts.
+
+    Blocks match letter by letter, so no more than the common letters match; the first block is the longest common
+    part, so that at least the longest common word matches.
+    """
+    total = F.length(f"{left}_name") + F.length(f"{right}_name")
+    common = F.size(F.array_intersect(f"{left}_letters", f"{right}_letters"))
+    words = F.transform(F.array_intersect(f"{left}_words", f"{right}_words"), F.length)
+    longest = F.when(F.length(f"{right}_name") < LONG_NAME, F.coalesce(F.array_max(words), F.lit(0))).otherwise(0)
+    either_empty = (F.col(f"{left}_name") == "") | (F.col(f"{right}_name") == "")
+    share = lambda n: F.when(either_empty, 0.0).otherwise(2.0 * n / total)
+    return share(longest), share(common)
+
+
+def _second_least(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(item_id, enough): the second largest score that an item is sure to have among candidates of its name, or of its maker and pack.
+
+    Candidates that the rules cannot tell apart are one row with their number.
+    """
+    facts = [c for c in theirs.columns if c.startswith("_b_")]
+    kinds = theirs.groupBy(*facts).agg(F.count("*").alias("_times"))
+    near = lambda side: F.array_distinct(F.array(F.concat(F.lit("name|"), f"{side}_name"), F.concat_ws("|", F.lit("pack"), f"{side}_maker", f"{side}_pack")))
+    a = mine.withColumn("_nears", near("_a")).withColumn("_near", F.explode("_nears"))
+    b = kinds.withColumn("_their_nears", near("_b")).withColumn("_near", F.explode("_their_nears"))
+    met = a.join(b, "_near").where(F.col("_near") == F.array_min(F.array_intersect("_nears", "_their_nears")))
+    sure = _other_points(met, identifiers=False).withColumn("_least", _total(ratio_bounds("_a", "_b")[0]))
+    counts = sure.groupBy("item_id", "_least").agg(F.sum("_times").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("item_id").orderBy(F.desc("_least")))
+    return counts.withColumn("_upto", upto).where("_upto >= 2").groupBy("item_id").agg(F.max("_least").alias("_enough"))
+
+
+def pruned_candidates(items: DataFrame, registry: DataFrame, block: Column, registry_block: Column) -> DataFrame:
+    """J-09 with E-01 for E-02: of all candidates those that can be an item's best or second, with n_candidates and n_exact of all.
+
+    What the rules ask of a side is found before the join. A pair meets once, in the smallest block that both sides
+    share, so pairs need no second shuffle to become distinct. Points but for the name's are exact; the name's lie between
+    bounds that need no comparison: a few near candidates give a score that an item's second is sure to reach, and a
+    candidate whose most is below it is neither best nor runner-up. It is not scored: it leaves its task as a part of a
+    count. Identifier hits score 100 and always stay. Equal names and makers must share a block.
+    """
+    mine, theirs = _item_facts(items), _registry_facts(registry)
+    known = mine.join(_second_least(mine, theirs), "item_id", "left")
+    a = known.withColumn("_blocks", F.array_distinct(block)).withColumn("_block", F.explode("_blocks"))
+    b = theirs.withColumn("_their_blocks", F.array_distinct(registry_block)).withColumn("_block", F.explode("_their_blocks"))
+    met = a.join(b, "_block").where(F.col("_block") == F.array_min(F.array_intersect("_blocks", "_their_blocks")))
+    pairs = _other_points(met)
+    shorter = F.least(F.length("_a_name"), F.length("_b_name")) * 2.0 / F.greatest(F.length("_a_name") + F.length("_b_name"), F.lit(1))
+    enough = F.coalesce("_enough", F.lit(0))
+    # lengths alone rule most pairs out; letters are compared for the others
+    live = F.when(_total(shorter) < enough, F.lit(False)).otherwise(_total(ratio_bounds("_a", "_b")[1]) >= enough)
+    kept = ["official_product_key", "_a_name", "_b_name", "exact_name", "identifier_hit", "conflict", "_points"]
+    judged = pairs.select("item_id", "exact_name", F.when(live, F.struct(*kept)).alias("pair"))
+    key = F.col("pair")["official_product_key"]
+    counted = judged.groupBy("item_id", key.alias("_key"), F.col("pair").isNotNull().alias("_live")).agg(F.count("*").alias("_n"), F.count_if("exact_name").alias("_exact"), F.first("pair").alias("pair"))
+    whole = Window.partitionBy("item_id")
+    totals = counted.withColumns({"n_candidates": F.sum("_n").over(whole), "n_exact": F.sum("_exact").over(whole)})
+    return totals.where("_live").select("item_id", "pair.*", "n_candidates", "n_exact")
+
+
+def _item_facts(items: DataFrame) -> DataFrame:
+    facts = name_facts(items, "name", "_a")
+    return facts.withColumns({"_a_maker": company(F.col("manufacturer_hint")), "_a_pack": capacity(F.col("capacity")), "_a_form": dosage_form(F.col("name")), "_a_mg": strengths(F.col("name"))})
+
+
+def _registry_facts(registry: DataFrame) -> DataFrame:
+    stated = F.coalesce(F.nullif(dosage_form(F.col("dosage_form")), F.lit("")), F.nullif(blank(F.col("dosage_form")), F.lit("")), dosage_form(F.col("item_name")))
+    facts = name_facts(registry, "item_name", "_b")
+    return facts.withColumns({"_b_maker": company(F.col("manufacturer")), "_b_pack": capacity(F.col("pack_unit")), "_b_form": stated, "_b_mg": strengths(F.col("item_name"))})
+
+
+def _total(ratio: Column) -> Column:
+    """E-01's score of a pair with its other points, for a ratio of the names."""
+    name_points = F.when(F.col("exact_name"), 60).otherwise(F.bround(ratio * 60).cast("int"))
+    return F.when(F.col("identifier_hit"), 100).otherwise(name_points + F.col("_points"))
+
+
+def _other_points(pairs: DataFrame, identifiers: bool = True) -> DataFrame:
+    c = F.col
+    hit = F.lit(False)
+    for i in IDENTIFIERS if identifiers else ():
+        if i in pairs.columns and f"official_{i}" in pairs.columns:
+            hit = hit | ((F.trim(blank(c(i))) != "") & (F.trim(blank(c(i))) == F.trim(blank(c(f"official_{i}")))))
+    made = (c("_a_maker") != "") & (c("_b_maker") != "") & (F.contains("_a_maker", "_b_maker") | F.contains("_b_maker", "_a_maker"))
+    forms = (c("_a_form") != "") & (c("_b_form") != "") & (c("_a_form") != c("_b_form"))
+    amounts = (F.size("_a_mg") > 0) & (F.size("_b_mg") > 0) & ~F.arrays_overlap("_a_mg", "_b_mg")
+    points = F.when(made, 20).otherwise(0) + F.when((c("_a_pack") != "") & (c("_a_pack") == c("_b_pack")), 15).otherwise(0) + F.when((c("_a_form") != "") & (c("_a_form") == c("_b_form")), 5).otherwise(0)
+    return pairs.withColumns({"exact_name": (c("_a_name") != "") & (c("_a_name") == c("_b_name")), "identifier_hit": hit, "conflict": (forms | amounts) & ~hit, "_points": points})
+
+
+def pruned_scores(live: DataFrame, ratio: Column | None = None) -> DataFrame:
+    """Scores and statuses of the pairs that `pruned_candidates` leaves, for `registry_choice`."""
+    alike = matching_blocks_ratio(F.col("_a_name"), F.col("_b_name")) if ratio is None else ratio
+    scored = live.withColumn("score", _total(alike))
+    status = F.when(F.col("identifier_hit") | ((F.col("score") >= 95) & ~F.col("conflict")), "confirmed").when(F.col("score") >= 80, "review_required").otherwise("rejected")
+    return scored.withColumn("status", status)
+
+
 def registry_points(pairs: DataFrame, ratio: Column | None = None) -> DataFrame:
     """E-01: points by component, score, status and conflicts of each pair.
 
@@ -67,6 +183,7 @@ def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_
     """E-02: one decision for each item (item_id, status, score, official_product_key, n_candidates).
 
     Candidates of one score keep the order of the column `order`: a key, or their place in the answer they came with.
+    n_candidates and n_exact are counted over `scored`, unless it brings them, as pruned candidates do.
     """
     by = Window.partitionBy("item_id").orderBy(F.desc("score"), order)
     whole = Window.partitionBy("item_id")
@@ -74,8 +191,8 @@ def registry_choice(items: DataFrame, scored: DataFrame, order: str = "official_
         {
             "rank": F.row_number().over(by),
             "runner_up": F.lead("score").over(by),
-            "n_candidates": F.count("*").over(whole),
-            "n_exact": F.count_if("exact_name").over(whole),
+            "n_candidates": F.col("n_candidates") if "n_candidates" in scored.columns else F.count("*").over(whole),
+            "n_exact": F.col("n_exact") if "n_exact" in scored.columns else F.count_if("exact_name").over(whole),
             "n_hits": F.count_if("identifier_hit").over(whole),
         }
     ).where("rank = 1")  # an identifier hit scores 100; with ties the rule below asks for review or takes the hit

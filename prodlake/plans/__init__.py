@@ -5,6 +5,7 @@ from prodlake.plans import (
     catalog_queries,
     detail_queries,
     evidence_queries,
+    layout_queries,
     ledger_queries,
     markup_queries,
     official_queries,
@@ -21,6 +22,7 @@ __all__ = [
     "catalog_queries",
     "detail_queries",
     "evidence_queries",
+    "layout_queries",
     "ledger_queries",
     "markup_queries",
     "official_queries",

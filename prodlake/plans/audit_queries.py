@@ -223,27 +223,41 @@ def _name_blocks(name):
     return F.concat(F.array(F.concat(F.lit("name|"), registry_name(name))), F.filter(words, lambda w: w != "word|"))
 
 
-def _candidates(items, registry):
-    """Pairs that share the normalised name, a word of it, or the maker, as E-01 has it: one maker's name holds the other's.
+def _blocks(items, registry):
+    """Items with makers, and the blocks of both sides: the normalised name, a word of it, or the maker, as E-01 has it: one maker's name holds the other's.
 
     Others have no company points and a part of the name points, so that they are never confirmed or put to review.
+    A maker's name holds another where one of its parts of that length is the other: an equi-join on these parts.
     """
-    mine = items.select(company(F.col("manufacturer_hint")).alias("_mine")).distinct()
-    theirs = registry.select(company(F.col("manufacturer")).alias("_theirs")).distinct()
-    held = mine.join(theirs, (F.col("_mine") != "") & (F.col("_theirs") != "") & (F.contains("_mine", "_theirs") | F.contains("_theirs", "_mine")))
-    makers = held.groupBy("_mine").agg(F.collect_list(F.concat(F.lit("maker|"), "_theirs")).alias("_makers"))
+    mine = items.select(company(F.col("manufacturer_hint")).alias("_mine")).distinct().where("_mine <> ''")
+    theirs = registry.select(company(F.col("manufacturer")).alias("_theirs")).distinct().where("_theirs <> ''")
+    lengths = lambda df, c: df.agg(F.array_sort(F.collect_set(F.length(c)))).first()[0]  # noqa: E731  as many as there are lengths of makers' names
+    parts = lambda c, ns: F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in ns]), lambda n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(F.col(c), i, n))).otherwise(F.array().cast("array<string>")))))
+    inner = mine.withColumn("_theirs", F.explode(parts("_mine", lengths(theirs, "_theirs") or [1]))).join(theirs, "_theirs")
+    outer = theirs.withColumn("_mine", F.explode(parts("_theirs", lengths(mine, "_mine") or [1]))).join(mine, "_mine")
+    held = inner.select("_mine", "_theirs").union(outer.select("_mine", "_theirs"))
+    makers = held.groupBy("_mine").agg(F.collect_set(F.concat(F.lit("maker|"), "_theirs")).alias("_makers"))
     known = items.withColumn("_mine", company(F.col("manufacturer_hint"))).join(makers, "_mine", "left")
     block = F.concat(_name_blocks(F.col("name")), F.coalesce("_makers", F.array().cast("array<string>")))
     registry_block = F.concat(_name_blocks(F.col("item_name")), F.array(F.concat(F.lit("maker|"), company(F.col("manufacturer")))))
-    return E.candidates(known, registry, block, registry_block).drop("_mine", "_makers")
+    return known, block, registry_block
+
+
+def _sided(items, registry):
+    known, block, registry_block = _blocks(items, registry)
+    return known, registry, block, registry_block
+
+
+def _candidates(items, registry):
+    return E.candidates(*_sided(items, registry)).drop("_mine", "_makers")
 
 
 def _brand_and_word(name, brand):
     return F.array(F.concat(brand, F.lit("|"), F.split_part(name, F.lit(" "), F.lit(2))))
 
 
-def _pairs(spark, sf_dir, block=None):
-    """Every part is an item; the registry holds one product for each name and brand. `block` of name and brand narrows the candidates."""
+def _sides(spark, sf_dir):
+    """Every part is an item; the registry holds one product for each name and brand."""
     part = table(spark, sf_dir, "part")
     items = part.select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit(" 정")).alias("capacity"), F.col("p_brand").alias("manufacturer_hint")
@@ -252,6 +266,12 @@ def _pairs(spark, sf_dir, block=None):
     registry = products.select(
         "official_product_key", F.col("p_name").alias("item_name"), F.concat("size", F.lit("tab")).alias("pack_unit"), F.col("p_brand").alias("manufacturer"), F.lit("").alias("dosage_form")
     )
+    return items, registry
+
+
+def _pairs(spark, sf_dir, block=None):
+    """All candidates, or those that a `block` of name and brand narrows them to."""
+    items, registry = _sides(spark, sf_dir)
     if block is None:
         return items, _candidates(items, registry)
     found = E.candidates(items, registry, block(F.col("name"), F.col("manufacturer_hint")), block(F.col("item_name"), F.col("manufacturer")))
@@ -306,9 +326,10 @@ def registry_choice_whole_levenshtein(spark, sf_dir):
 
 @query("e01_e02_registry_choice")
 def registry_choice(spark, sf_dir):
-    items, pairs = _pairs(spark, sf_dir)
-    scored = E.registry_points(pairs).withColumn("official_product_key", F.col("official_product_key").cast("string"))
-    return E.registry_choice(items, scored)
+    items, registry = _sides(spark, sf_dir)
+    registry = registry.withColumn("official_product_key", F.col("official_product_key").cast("string"))
+    live = E.pruned_candidates(*_sided(items, registry))
+    return E.registry_choice(items, E.pruned_scores(live))
 
 
 def _search_choice(items, pairs, ratio=matching_blocks_ratio):

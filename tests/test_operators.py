@@ -223,3 +223,38 @@ def test_equal_names_of_other_brands_ask_for_review(spark, tmp_path):
         got = {r["item_id"]: (r["status"], r["n_candidates"]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert got == {1: ("review_required", 2), 2: ("review_required", 2), 3: ("confirmed", 1)}
     assert QUERIES["e12_listing_scores"](spark, str(tmp_path)).count() == 5
+
+
+def test_pruned_registry_choice_equals_all_pairs(spark):
+    """Decisions from pruned candidates against all pairs scored, with ties, identifiers, makers, packs and forms."""
+    import random
+
+    from prodlake.operators import resolve as E
+
+    draw = random.Random(4)
+    words = ["게보린", "정", "시럽", "plus", "a", "10mg", "20mg", "유한", "연고", "(1+1)", "타이레놀"]
+    name = lambda: draw.choice([None, "", *[" ".join(draw.choices(words, k=draw.randrange(1, 4))) for _ in range(12)]])
+    items = spark.createDataFrame([(k, name(), draw.choice(["10정", "", None]), draw.choice(["유한", "유한양행", "", None]), draw.choice(["", "1", "2", "3"])) for k in range(60)], "item_id int, name string, capacity string, manufacturer_hint string, barcode string")
+    rows = [(str(k), name(), draw.choice(["10tab", "5정", ""]), draw.choice(["유한양행", "(주)동화", ""]), draw.choice(["정제", "", None]), draw.choice(["", "2", "7"])) for k in range(80)]
+    registry = spark.createDataFrame(rows, "official_product_key string, item_name string, pack_unit string, manufacturer string, dosage_form string, official_barcode string")
+    one = F.array(F.lit("all"))
+    every = E.registry_choice(items, E.registry_points(E.candidates(items, registry, one, one))).collect()
+    live = E.pruned_candidates(items, registry, one, one)
+    pruned = E.registry_choice(items, E.pruned_scores(live)).collect()
+    assert sorted(map(tuple, pruned)) == sorted(map(tuple, every))
+    assert live.count() < 60 * 80 / 2
+
+
+def test_ratio_bounds_hold(spark):
+    import random
+
+    from prodlake.functions.similarity import matching_blocks_ratio
+    from prodlake.operators import resolve as E
+
+    draw = random.Random(9)
+    text = lambda: draw.choice(["".join(draw.choices("가나다 ab1", k=draw.randrange(12))), " ".join(draw.choices(["가나", "다라마", "ab1", "x"], k=4)), "가나다" * 90])
+    pairs = spark.createDataFrame([(text(), text()) for _ in range(2000)], "a string, b string")
+    facts = E.name_facts(E.name_facts(pairs, "a", "_a"), "b", "_b")
+    least, most = E.ratio_bounds("_a", "_b")
+    got = facts.select(least.alias("low"), matching_blocks_ratio(F.col("_a_name"), F.col("_b_name")).alias("r"), most.alias("high")).collect()
+    assert all(r["low"] <= r["r"] + 1e-12 and r["r"] <= r["high"] + 1e-12 for r in got)
