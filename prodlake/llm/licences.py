@@ -59,6 +59,10 @@ def vocabulary(known: list[Template]) -> list[str]:
     return sorted({w for t in known for w in t.words})
 
 
+#: More words than a template has: starts this far before a file are numbers from 0.
+BEFORE = 1 << 20
+
+
 def words(text: Column) -> Column:
     low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_remove(F.split(low, SEPARATORS), "")
@@ -133,21 +137,26 @@ def scan(docs: DataFrame, idf: dict[str, float] | None = None, notices: list[tup
     )
 
     def aligned(h: Column) -> Column:
-        """(template, start) of the alignments that a word at a place proposes and at which the key phrase stands."""
+        """Alignments that a word at a place proposes and at which the key phrase stands, as one number each.
+
+        Several words of a template propose the same one. Numbers become distinct in a hash set, structs by comparing all.
+        """
         mine = F.filter(F.element_at(index.postings, h["w"]), lambda p: F.array_contains(open_ones, p["t"]))
         starts = F.transform(mine, lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s")))
         key_at = lambda a: a["s"] + index.of(a["t"], "offset")
-        return F.filter(
+        there = F.filter(
             starts,
             lambda a: F.when(key_at(a) >= 0, F.slice(file, F.greatest(key_at(a), F.lit(0)) + 1, F.size(index.of(a["t"], "key"))) == index.of(a["t"], "key")).otherwise(False),
         )
+        return F.transform(there, lambda a: F.shiftleft(a["t"].cast("long"), 40) + (a["s"] + BEFORE).cast("long"))
 
     def share(a: Column) -> Column:
         """IDF of the template's words that stand in the file at their relative positions, as a part of the whole."""
         held = F.transform(index.of(a["t"], "words"), lambda w, j: F.when(_word(file, a["s"] + j) == w, F.get(index.of(a["t"], "weights"), j)).otherwise(0.0))
         return F.aggregate(held, F.lit(0.0), lambda total, x: total + x) / index.of(a["t"], "whole")
 
-    found = placed.withColumn("_found", F.array_distinct(F.flatten(F.transform(hits, aligned))))
+    decoded = lambda n: F.struct(F.shiftright(n, 40).cast("int").alias("t"), (n.bitwiseAND((1 << 40) - 1) - BEFORE).cast("int").alias("s"))
+    found = placed.withColumn("_found", F.transform(F.array_distinct(F.flatten(F.transform(hits, aligned))), decoded))
     is_base = lambda a: index.of(a["t"], "base")
     scored = found.select(
         "doc_id",

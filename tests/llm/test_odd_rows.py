@@ -200,3 +200,18 @@ def test_long_training_texts_count_whole():
     _, times, words, _, _ = training_features(pa.Table.from_batches(list(_features(iter([batch])))).to_pylist())[0]
     assert words == 14_300 and {300, 14_000} <= set(times.tolist())
     assert levels(times, np.full(len(times), words))[3, times == 300].any()
+
+
+def test_very_many_places_of_a_phrase(spark):
+    """A text that is one phrase again and again: places are told apart in a hash set, not by comparing all."""
+    import time
+
+    from prodlake.llm.licences import scan
+
+    n = 200_000
+    docs = spark.createDataFrame([(1, "cc by " * n), (2, "by cc")], "doc_id long, text string")
+    scan(docs.where("doc_id = 2")).collect()
+    began = time.perf_counter()
+    r = {x["doc_id"]: x for x in scan(docs).collect()}[1]
+    assert (r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (n, 0, 2 * n - 2, "cc-by")
+    assert time.perf_counter() - began < 60
