@@ -301,7 +301,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     sizes = families.join(tokens, "node").groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("tokens")).where("members > 1")
     placed = (
         families.join(sizes, "root")
-        .withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("tokens") / BLOCK_TOKENS)).cast("int"))
+        .withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.least(F.col("members"), F.col("tokens") / BLOCK_TOKENS))).cast("int"))
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
