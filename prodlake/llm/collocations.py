@@ -43,7 +43,7 @@ SMALL = 1 << 20
 #: Bits of a sieve: 16 a key, between these bounds, whatever the number of keys.
 FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 27
 #: Rows that a task counts together before it sends them; words of a text taken at a time.
-HELD, STRETCH = 1 << 20, 1 << 20
+HELD, STRETCH = 1 << 19, 1 << 19
 
 _LOWER = LOWER.copy()
 _LOWER[9] = 0x20
@@ -170,7 +170,7 @@ def _merged(rows: list[tuple]) -> pa.RecordBatch:
 
 def _counted(batches: Iterator[pa.RecordBatch], level: Level) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
-    for batch in pieces(batches, 1, 8 << 20):
+    for batch in pieces(batches, 1, 4 << 20):
         t = words_in(batch)
         for at in range(0, len(t.starts), STRETCH):
             place, h, head, tail = _chosen(t, level, at, min(at + STRETCH, len(t.starts)))
