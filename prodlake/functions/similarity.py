@@ -45,7 +45,12 @@ def indel(a: str | None, b: str | None) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([indel(a, b) for a, b in zip(left, right, strict=True)])
+    seen: dict[tuple, float] = {}
+    pairs = list(zip(left, right, strict=True))
+    for a, b in pairs:
+        if (a, b) not in seen:
+            seen[a, b] = indel(a, b)
+    return pd.Series([seen[p] for p in pairs], dtype="float64")
 
 
 @F.pandas_udf(T.StringType())

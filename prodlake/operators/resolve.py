@@ -27,7 +27,7 @@ def candidates(items: DataFrame, registry: DataFrame, block: Column, registry_bl
 LONG_NAME = 200
 
 
-def _letters(name: Column) -> Column:
+def numbered_letters(name: Column) -> Column:
     """Letters of a name, each with its number among the same letters: common elements of two such lists are common letters."""
     sorted_letters = F.array_sort(F.filter(F.split(name, ""), lambda c: c != ""))
     return F.transform(sorted_letters, lambda c, i: F.concat(c, (i - F.array_position(sorted_letters, c)).cast("string")))
@@ -38,7 +38,7 @@ def name_facts(df: DataFrame, name: str, prefix: str) -> DataFrame:
     n, letters, words = f"{prefix}_name", f"{prefix}_letters", f"{prefix}_words"
     named = df.withColumn(n, registry_name(F.col(name)))
     parts = F.array_distinct(F.transform(F.split(blank(F.col(name)), r"[^\p{L}\p{N}]+"), compact))
-    return named.withColumns({letters: _letters(F.col(n)), words: F.filter(parts, lambda w: (w != "") & F.contains(F.col(n), w))})
+    return named.withColumns({letters: numbered_letters(F.col(n)), words: F.filter(parts, lambda w: (w != "") & F.contains(F.col(n), w))})
 
 
 def ratio_bounds(left: str, right: str) -> tuple[Column, Column]:

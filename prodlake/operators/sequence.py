@@ -1,4 +1,4 @@
-"""Sequences in time: banded self-join, nearest-row join, bounded look-back fold, two-pass alignment.
+"""Sequences in time: banded self-join, nearest-row join, bounded look-back fold.
 
 The fold and the alignment are sequential by definition; they run per group in Arrow batches, and groups
 must be bounded (a price, a user, a conversation).
@@ -94,71 +94,6 @@ def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, t
     return split.groupBy(*keys, "_part").applyInPandas(lambda pdf: fold(pdf[columns]), df.schema)
 
 
-def align(primary: list, secondary: list, gap: float, score) -> list[tuple[int | None, int | None]]:
-    """J-11: global alignment; of equal choices a match goes before leaving out a primary, then a secondary item."""
-    n, m = len(primary), len(secondary)
-    best = [[gap * (r + c) if not r or not c else 0.0 for c in range(m + 1)] for r in range(n + 1)]
-    for r in range(1, n + 1):
-        for c in range(1, m + 1):
-            best[r][c] = max(best[r - 1][c - 1] + score(primary[r - 1], secondary[c - 1]), best[r - 1][c] + gap, best[r][c - 1] + gap)
-    out: list[tuple[int | None, int | None]] = []
-    r, c = n, m
-    while r or c:
-        if r and c and best[r][c] == best[r - 1][c - 1] + score(primary[r - 1], secondary[c - 1]):
-            r, c = r - 1, c - 1
-            together = score(primary[r], secondary[c]) > 0
-            out += [(r, c)] if together else [(None, c), (r, None)]
-        elif r and (not c or best[r][c] == best[r - 1][c] + gap):
-            r -= 1
-            out.append((r, None))
-        else:
-            c -= 1
-            out.append((None, c))
-    return out[::-1]
-
-
-def likeness(x: dict, y: dict) -> float:
-    """The ratio of whole texts, less 54."""
-    return indel(x["text"], y["text"]) - 54
-
-
-def pass_score(x: dict, y: dict) -> float:
-    """J-11b: ratio of whole keys from 52, less 54, with points for the category and a penalty for time; another price is a veto.
-
-    Items have name, specification, price, category and second.
-    """
-    if x["price"] != y["price"]:
-        return -80.0
-    like = indel(_full_key(x), _full_key(y))
-    if like < 52:
-        return -50.0
-    late = min(25.0, abs(float(x["second"] or 0) - float(y["second"] or 0)) * 3)
-    return like - 54 + (10 if x["category"] == y["category"] else -4) - late
-
-
-def _full_key(item: dict) -> str:
-    return re.sub(r"[^0-9a-z가-힣]", "", ((item["name"] or "") + (item["specification"] or "")).lower())
-
-
-def align_groups(left: DataFrame, right: DataFrame, key: str, order: str, columns: list[str], gap: float = -12.0, score=likeness) -> DataFrame:
-    """J-11 per key: rows (key, left_id, right_id), one side null where an item stands alone; score takes two items as dicts of `columns`."""
-
-    def items(pdf: pd.DataFrame) -> list[dict]:
-        return pdf[columns].astype(object).where(pdf[columns].notna(), None).to_dict("records")
-
-    def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(order), b.sort_values(order)
-        found = align(items(a), items(b), gap, score)
-        which = a[key].iloc[0] if len(a) else b[key].iloc[0]
-        return pd.DataFrame(
-            [(which, None if i is None else a[order].iloc[i], None if j is None else b[order].iloc[j]) for i, j in found],
-            columns=[key, "left_id", "right_id"],
-        ).astype({"left_id": "Int64", "right_id": "Int64"})
-
-    cut = lambda df: df.select(key, order, *columns)
-    return cut(left).groupBy(key).cogroup(cut(right).groupBy(key)).applyInPandas(pair, f"{key} long, left_id long, right_id long")
-
-
 def interpolate(df: DataFrame, keys: list[str], order: str, start: float, end: float) -> DataFrame:
     """W-09: places spread evenly between two times."""
     whole = Window.partitionBy(*keys)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from prodlake.functions.text import compact
+from prodlake.operators import alignment as L
 from prodlake.operators import records as R
 from prodlake.operators import sequence as S
 from prodlake.operators.audit import digest_groups
@@ -255,13 +257,12 @@ def lookback_fold(spark, sf_dir):
 @query("j11_aligned_turns")
 def aligned_turns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
-    return S.align_groups(turns.where("role = 'user'"), turns.where("role = 'assistant'"), "conv_id", "turn", ["text"])
+    return L.align(turns.where("role = 'user'"), turns.where("role = 'assistant'"), "conv_id", "turn", "text", L.likeness, 30.0)
 
 
 @query("j11_aligned_passes")
 def aligned_passes(spark, sf_dir):
     """Turns against a second reading that misses each fifth, cuts the last word and has some other prices."""
-    columns = ["name", "specification", "price", "category", "second"]
     turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
     first = turns.selectExpr("conv_id", "turn", "text as name", "role as specification", "turn % 3 as price", "role as category", "turn * 2.0D as second")
     second = first.where("(conv_id + turn) % 5 <> 0").withColumns(
@@ -271,4 +272,5 @@ def aligned_passes(spark, sf_dir):
             "second": F.col("second") + 1,
         }
     )
-    return S.align_groups(first, second, "conv_id", "turn", columns, score=S.pass_score)
+    whole = lambda df: df.withColumn("key", compact(F.concat("name", "specification")))
+    return L.align(whole(first), whole(second), "conv_id", "turn", "key", L.pass_score, L.LEAST_ALIKE, same=("price",), carried=("category", "second"))

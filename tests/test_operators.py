@@ -199,21 +199,6 @@ def test_every_order_has_a_place(spark, small):
     assert [(r["a"] or 0, r["b"]) for r in R.numbered(df, "key").orderBy("number").collect()] == want
 
 
-def test_whole_turns_are_aligned(spark):
-    head = "same words " * 30
-    left = spark.createDataFrame([(1, 0, head + "x" * 700), (2, 0, "p" * 300 + head * 4)], "k long, n long, text string")
-    right = spark.createDataFrame([(1, 1, head + "y" * 700), (2, 1, "q" * 300 + head * 4)], "k long, n long, text string")
-    got = {tuple(r) for r in S.align_groups(left, right, "k", "n", ["text"]).collect()}
-    assert got == {(1, 0, None), (1, None, 1), (2, 0, 1)}
-
-
-def test_pass_score():
-    item = {"name": "Ab c", "specification": "10", "price": 5, "category": "x", "second": 1.0}
-    assert S.pass_score(item, item | {"price": 6}) == -80 and S.pass_score(item, item | {"name": "zzzz"}) == -50
-    assert S.pass_score(item, item | {"name": "a-BC"}) == 56 and S.pass_score(item, item | {"category": "y", "second": 3.0}) == 36
-    assert S.pass_score(item, item | {"second": 99.0}) == 31
-
-
 def test_equal_names_of_other_brands_ask_for_review(spark, tmp_path):
     from prodlake.plans import QUERIES
 
