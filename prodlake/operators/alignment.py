@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from prodlake.functions.similarity import indel_ratio
 from prodlake.functions.text import blank
-from prodlake.operators.resolve import numbered_letters
+from prodlake.operators.resolve import common_letters, letter_counts
 
 #: Diagonals of a block.
 BLOCK = 256
@@ -130,14 +130,14 @@ def align(left: DataFrame, right: DataFrame, key: str, order: str, text: str, sc
     def side(df: DataFrame, letter: str) -> DataFrame:
         named = df.where(F.col(key).isNotNull()).select(key, F.col(order).cast("long").alias(f"{letter}_id"), blank(F.col(text)).alias(f"{letter}_text"), *[F.col(c).alias(f"{letter}_{c}") for c in columns])
         place = F.row_number().over(Window.partitionBy(key).orderBy(f"{letter}_id")) - 1
-        return named.withColumns({f"{letter}_place": place, f"{letter}_letters": numbered_letters(F.col(f"{letter}_text"))})
+        return named.withColumns({f"{letter}_place": place, f"{letter}_letters": letter_counts(F.col(f"{letter}_text"))})
 
     a, b = side(left, "l"), side(right, "r")
     on = F.col(key) == F.col("_key")
     for c in same:
         on = on & F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}"))
     total = F.length("l_text") + F.length("r_text")
-    bound = F.when(total == 0, 100.0).otherwise(200.0 * F.size(F.array_intersect("l_letters", "r_letters")) / total)
+    bound = F.when(total == 0, 100.0).otherwise(200.0 * common_letters(F.col("l_letters"), F.col("r_letters")) / total)
     shorter = F.when(total == 0, 100.0).otherwise(200.0 * F.least(F.length("l_text"), F.length("r_text")) / total)
     near = a.join(b.withColumnRenamed(key, "_key"), on)
     near = near.where((shorter >= least_ratio) & (bound >= least_ratio)).drop("_key", "l_letters", "r_letters")

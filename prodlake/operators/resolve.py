@@ -27,18 +27,24 @@ def candidates(items: DataFrame, registry: DataFrame, block: Column, registry_bl
 LONG_NAME = 200
 
 
-def numbered_letters(name: Column) -> Column:
-    """Letters of a name, each with its number among the same letters: common elements of two such lists are common letters."""
-    sorted_letters = F.array_sort(F.filter(F.split(name, ""), lambda c: c != ""))
-    return F.transform(sorted_letters, lambda c, i: F.concat(c, (i - F.array_position(sorted_letters, c)).cast("string")))
+def letter_counts(text: Column) -> Column:
+    """How often each letter occurs, as a map."""
+    letters = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))
+    return F.map_from_arrays(letters, F.transform(letters, lambda c: F.length(text) - F.length(F.replace(text, c, F.lit("")))))
+
+
+def common_letters(left: Column, right: Column) -> Column:
+    """Letters that two texts have in common, each as often as both have it: no matching of letters has more."""
+    both = F.transform(F.map_keys(left), lambda c: F.least(F.element_at(left, c), F.coalesce(F.try_element_at(right, c), F.lit(0))))
+    return F.aggregate(both, F.lit(0), lambda total, n: total + n)
 
 
 def name_facts(df: DataFrame, name: str, prefix: str) -> DataFrame:
-    """Adds what `ratio_bounds` asks of a name: its normalised form, numbered letters, and normalised words that stand in it."""
+    """Adds what `ratio_bounds` asks of a name: its normalised form, its letters, and normalised words that stand in it."""
     n, letters, words = f"{prefix}_name", f"{prefix}_letters", f"{prefix}_words"
     named = df.withColumn(n, registry_name(F.col(name)))
     parts = F.array_distinct(F.transform(F.split(blank(F.col(name)), r"[^\p{L}\p{N}]+"), compact))
-    return named.withColumns({letters: numbered_letters(F.col(n)), words: F.filter(parts, lambda w: (w != "") & F.contains(F.col(n), w))})
+    return named.withColumns({letters: letter_counts(F.col(n)), words: F.filter(parts, lambda w: (w != "") & F.contains(F.col(n), w))})
 
 
 def ratio_bounds(left: str, right: str) -> tuple[Column, Column]:
@@ -48,7 +54,7 @@ def ratio_bounds(left: str, right: str) -> tuple[Column, Column]:
     part, so that at least the longest common word matches.
     """
     total = F.length(f"{left}_name") + F.length(f"{right}_name")
-    common = F.size(F.array_intersect(f"{left}_letters", f"{right}_letters"))
+    common = common_letters(F.col(f"{left}_letters"), F.col(f"{right}_letters"))
     words = F.transform(F.array_intersect(f"{left}_words", f"{right}_words"), F.length)
     longest = F.when(F.length(f"{right}_name") < LONG_NAME, F.coalesce(F.array_max(words), F.lit(0))).otherwise(0)
     either_empty = (F.col(f"{left}_name") == "") | (F.col(f"{right}_name") == "")
@@ -61,8 +67,8 @@ def _second_least(mine: DataFrame, theirs: DataFrame) -> DataFrame:
 
     Candidates that the rules cannot tell apart are one row with their number.
     """
-    facts = [c for c in theirs.columns if c.startswith("_b_")]
-    kinds = theirs.groupBy(*facts).agg(F.count("*").alias("_times"))
+    facts = [c for c in theirs.columns if c.startswith("_b_") and c != "_b_letters"]
+    kinds = theirs.groupBy(*facts).agg(F.count("*").alias("_times"), F.first("_b_letters").alias("_b_letters"))
     near = lambda side: F.array_distinct(F.array(F.concat(F.lit("name|"), f"{side}_name"), F.concat_ws("|", F.lit("pack"), f"{side}_maker", f"{side}_pack")))
     a = mine.withColumn("_nears", near("_a")).withColumn("_near", F.explode("_nears"))
     b = kinds.withColumn("_their_nears", near("_b")).withColumn("_near", F.explode("_their_nears"))
