@@ -1,23 +1,10 @@
-"""Sequences in time: banded self-join, nearest-row join, bounded look-back fold.
-
-The fold and the alignment are sequential by definition; they run per group in Arrow batches, and groups
-must be bounded (a price, a user, a conversation).
-"""
+"""Sequences in time: banded self-join, nearest-row join, even spacing."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prodlake.functions.similarity import indel
-
-
-#: Rows of a key after which a fold is cut at the next pause.
-PART = 2000
-
 
 def _slot(time: str, seconds: float) -> Column:
     return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / int(seconds * 1_000_000))
@@ -61,39 +48,6 @@ def latest_before(left: DataFrame, right: DataFrame, keys: list[str], time: str,
     return found.withColumn(value, F.coalesce("_own", "_before")).select(*left.columns, value)
 
 
-def fold_lookback(df: DataFrame, keys: list[str], order: list[str], text: str, time: str, rows: int, seconds: float, least: float) -> DataFrame:
-    """W-05 and M-05: scanning in order, a row joins the newest kept row of the last `rows` that is near in
-    time and alike in text; the longer text of the two stays, the earliest time, the sum of observations.
-
-    Where the order begins with the time, a key is split at pauses of more than `seconds`, one in each PART rows: no row joins one
-    from before such a pause, so that a long key is the work of many tasks.
-    """
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        for row in pdf.sort_values(order, kind="stable").to_dict("records"):
-            for k in range(len(kept) - 1, max(-1, len(kept) - 1 - rows), -1):
-                other = kept[k]
-                if abs(other[time] - row[time]) <= seconds and indel(other[text], row[text]) >= least:
-                    longer = max((other, row), key=lambda r: (r["observations"], len(r[text] or "")))
-                    kept[k] = {**longer, "observations": other["observations"] + row["observations"], time: min(other[time], row[time])}
-                    break
-            else:
-                kept.append(row)
-        return pd.DataFrame(kept, columns=pdf.columns)
-
-    if order[0] != time:
-        return df.groupBy(*keys).applyInPandas(fold, df.schema)
-    by = Window.partitionBy(*keys).orderBy(*order)
-    pause = F.coalesce(F.col(time) - F.lag(time).over(by) > seconds, F.lit(False))
-    placed = df.withColumns({"_pause": pause, "_block": F.floor((F.row_number().over(by) - 1) / PART)})
-    first = F.row_number().over(Window.partitionBy(*keys, "_block", "_pause").orderBy(*order)) == 1
-    cut = placed.withColumn("_cut", (F.col("_pause") & first & (F.col("_block") > 0)).cast("int"))
-    split = cut.withColumn("_part", F.sum("_cut").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    columns = df.columns
-    return split.groupBy(*keys, "_part").applyInPandas(lambda pdf: fold(pdf[columns]), df.schema)
-
-
 def interpolate(df: DataFrame, keys: list[str], order: str, start: float, end: float) -> DataFrame:
     """W-09: places spread evenly between two times."""
     whole = Window.partitionBy(*keys)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from prodlake.functions.text import compact
@@ -9,6 +11,7 @@ from prodlake.operators import alignment as L
 from prodlake.operators import records as R
 from prodlake.operators import sequence as S
 from prodlake.operators.audit import digest_groups
+from prodlake.operators.folding import REFERENCE, Rule, fold_lookback
 from prodlake.plans.registry import query
 from prodlake.session import table
 
@@ -251,7 +254,17 @@ def lookback_fold(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"), F.col("event_type").alias("text"), F.lit(1).alias("observations")
     )
-    return S.fold_lookback(events, ["user_id"], ["at", "event_id"], "text", "at", 24, 7200.0, 88.0)
+    return fold_lookback(events, ["user_id"], ["event_id"], Rule(24, 7200.0, 88.0))
+
+
+@query("m05_w05_weak_sightings")
+def weak_sightings(spark, sf_dir):
+    """Events as sightings of one list by confidence: rows seen once join at a lower ratio; properties must agree."""
+    events = table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 50).alias("list"), "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"), F.concat("event_type", F.col("user_id") % 7).alias("text"),
+        (F.col("event_id") % 3 + 1).alias("observations"), (F.col("event_id") % 10 / 10).alias("confidence"), (F.col("event_id") % 2).alias("price"),
+    )
+    return fold_lookback(events, ["list"], ["event_id"], dataclasses.replace(REFERENCE, seconds=3600.0, same=("price",)))
 
 
 @query("j11_aligned_turns")

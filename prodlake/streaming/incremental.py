@@ -1,17 +1,13 @@
-"""Incremental processing: resume from a checkpoint, keyed upserts per micro-batch, bounded look-back state."""
+"""Incremental processing: resume from a checkpoint, keyed upserts per micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from prodlake.functions.similarity import indel
-
 TERMINAL = ("confirmed", "not_found", "not_applicable")
 
 
@@ -44,28 +40,3 @@ def event_counts(events: DataFrame, size: str = "1 hour", late: str = "10 minute
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     counts = timed.groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return counts.select(F.col("window.start").alias("start"), "event_type", "n", "total")
-
-
-def stream_lookback(events: DataFrame, key: str, rows: int = 24, seconds: float = 12.0, least: float = 88.0) -> DataFrame:
-    """W-05 on a stream: emits the rows of a key that no row of the last `rows` kept ones resembles.
-
-    State of a key is its kept rows' times and texts, `rows` at most.
-    """
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, texts = (list(x) for x in state.get) if state.exists else ([], [])
-        for pdf in batches:
-            out = []
-            for at, text in zip(pdf["at"], pdf["text"], strict=True):
-                if not any(abs(at - t) <= seconds and indel(text, x) >= least for t, x in zip(times[::-1], texts[::-1], strict=True)):
-                    times, texts = [*times, at][-rows:], [*texts, text][-rows:]
-                    out.append((k[0], at, text))
-            yield pd.DataFrame(out, columns=[key, "at", "text"])
-        state.update((times, texts))
-
-    kind = events.schema[key].dataType.simpleString()
-    return (
-        events.select(key, F.col("at").cast("double").alias("at"), "text")
-        .groupBy(key)
-        .applyInPandasWithState(step, f"{key} {kind}, at double, text string", "times array<double>, texts array<string>", "append", GroupStateTimeout.NoTimeout)
-    )

@@ -10,6 +10,7 @@ from prodlake.operators import catalog as C
 from prodlake.operators import records as R
 from prodlake.operators import resolve as E
 from prodlake.operators import sequence as S
+from prodlake.operators.folding import fold_lookback
 from prodlake.session import catalog
 from prodlake.sources import readers, writers
 from prodlake.streaming import incremental as I
@@ -74,7 +75,7 @@ def test_overlay_and_diff(spark):
 def test_lookback_fold_is_sequential(spark):
     rows = [(1, 0.0, 1, "abcdefgh", 1), (1, 1.0, 2, "abcdefgh!", 1), (1, 2.0, 3, "zzzz", 1), (1, 20.0, 4, "abcdefgh", 1), (2, 0.5, 5, "abcdefgh", 1)]
     df = spark.createDataFrame(rows, "k int, at double, id int, text string, observations int")
-    got = S.fold_lookback(df, ["k"], ["at", "id"], "text", "at", 24, 12.0, 88.0).collect()
+    got = fold_lookback(df, ["k"], ["id"]).collect()
     assert sorted((r["k"], r["at"], r["text"], r["observations"]) for r in got) == [(1, 0.0, "abcdefgh!", 2), (1, 2.0, "zzzz", 1), (1, 20.0, "abcdefgh", 1), (2, 0.5, "abcdefgh", 1)]
 
 
@@ -182,11 +183,6 @@ def test_streams(spark, small, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == events.count()
-    seen = stream.select("user_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"), F.col("event_type").alias("text"))
-    q = I.stream_lookback(seen, "user_id", 24, 1e9, 100.0).writeStream.outputMode("append").format("memory").queryName("kept").start()
-    q.processAllAvailable()
-    q.stop()
-    assert spark.table("kept").count() == events.select("user_id", "event_type").distinct().count()
 
 
 def test_every_order_has_a_place(spark, small):
