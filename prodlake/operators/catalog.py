@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from prodlake.functions.text import blank, comparable_date, host, trim_space
 from prodlake.operators.records import sliced
+from prodlake.operators.ranks import median
 
 POSITIVE = ("확정", "연결", "연결됨", "검증 완료", "confirmed", "linked", "verified")
 NEGATIVE = ("미연결", "검수 대기", "후보", "unlinked", "pending", "candidate", "not_found", "not_applicable", "review_required")
@@ -201,12 +202,13 @@ def page_window(page: int, last: int, buttons: int = 5) -> list[int]:
 def summary(df: DataFrame) -> DataFrame:
     """A-01: one row; prices over positive ones, 0 if there are none."""
     price = F.when(F.col("price") > 0, F.col("price"))
+    middle = median(df, price) or 0.0
     return df.agg(
         F.count("*").alias("total"),
         F.countDistinct("category").alias("categories"),
         F.coalesce(F.min(price), F.lit(0)).alias("min_price"),
         F.coalesce(F.max(price), F.lit(0)).alias("max_price"),
-        F.coalesce(F.median(price), F.lit(0.0)).alias("median_price"),
+        F.lit(middle).alias("median_price"),
         F.count_if(F.length(trim_space(F.col("etc"))) > 0).alias("with_note"),
         F.count_if(has_official(df)).alias("with_official"),
         F.count_if(has_image()).alias("with_image"),

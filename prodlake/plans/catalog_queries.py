@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from prodlake.functions.text import comparable_date, csv_cell, full_name, trim_space
 from prodlake.operators import catalog as C
 from prodlake.operators.records import batches, balanced_batches, duplicate_groups, fill_rates, portable, transitions
+from prodlake.operators.ranks import median
 from prodlake.plans.registry import query
 from prodlake.session import CATALOG_SQL, catalog, table
 
@@ -148,16 +149,19 @@ def event_histogram(spark, sf_dir):
     count(*) filter (length(regexp_replace(updated, '[^0-9]', '', 'g')) < 8) as bad_dates, min(price) as min_price, cast(trunc(median(price)) as bigint) as median_price, max(price) as max_price from {CATALOG_SQL}""",
 )
 def profile(spark, sf_dir):
-    return catalog(spark, sf_dir).agg(
+    """Counts are made by document first, so that different ids are rows; the middle price by counts of ranges."""
+    rows = catalog(spark, sf_dir)
+    middle = median(rows, F.col("price"))
+    by_id = rows.groupBy("document_id").agg(
         F.count("*").alias("n_rows"),
-        F.countDistinct("document_id").alias("n_ids"),
         F.count_if(trim_space(F.col("category")) == "").alias("missing_category"),
         F.count_if(F.col("image_url") == "").alias("missing_image"),
         F.count_if(comparable_date(F.col("updated")) == "").alias("bad_dates"),
         F.min("price").alias("min_price"),
-        F.median("price").cast("bigint").alias("median_price"),
         F.max("price").alias("max_price"),
     )
+    added = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", "missing_category", "missing_image", "bad_dates")]
+    return by_id.agg(*added, F.count("document_id").alias("n_ids"), F.min("min_price").alias("min_price"), F.lit(None if middle is None else int(middle)).cast("bigint").alias("median_price"), F.max("max_price").alias("max_price"))
 
 
 @query(
