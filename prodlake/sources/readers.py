@@ -6,15 +6,11 @@ Live services are not called: their sources read recorded responses, through the
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from dataclasses import dataclass
-from pathlib import Path
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructType
 
 
@@ -56,45 +52,6 @@ def cache_key(endpoint: Column, params: Column) -> Column:
     return F.sha2(F.concat_ws("?", endpoint, ordered), 256)
 
 
-@dataclass
-class _Page(InputPartition):
-    path: str
-
-
-class _PagesReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.folder = options["path"]
-
-    def partitions(self) -> list[InputPartition]:
-        """S-06: the chain of page tokens is followed on the driver; each recorded page is one partition."""
-        out, name = [], "first"
-        while name:
-            page = Path(self.folder) / f"{name}.json"
-            out.append(_Page(str(page)))
-            name = json.loads(page.read_text(encoding="utf-8")).get("nextPageToken")
-        return out
-
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        page = json.loads(Path(partition.path).read_text(encoding="utf-8"))
-        for document in page.get("documents", []):
-            values = {k: decode_value(v) for k, v in document.get("fields", {}).items()}
-            yield document["name"].rsplit("/", 1)[-1], json.dumps(values, ensure_ascii=False, sort_keys=True)
-
-
-class RecordedPages(DataSource):
-    """Format `recorded_pages`: option path is a folder of recorded pages of a document API."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "recorded_pages"
-
-    def schema(self) -> str:
-        return "document_id string, fields string"
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _PagesReader(self.options)
-
-
 def document_pages(spark: SparkSession, folder: str) -> DataFrame:
     """S-06 over any file system: (document_id, fields as JSON) of the recorded pages that the chain of tokens reaches from `first`.
 
