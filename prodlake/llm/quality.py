@@ -31,6 +31,8 @@ from prodlake.llm.labelled import SAMPLE, remainder, training_rows
 from prodlake.llm.session import pieces, text_of
 
 BINS = 6
+#: Lines of a chain that are walked one by one.
+STRETCH = 256
 TRAIN_ROWS = 3000
 _CLASSES = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\f\v", ".,;:", "!?", "|", "$%&#*@^~", "\"'()-/", "<>[]{}=_+\\`"]
 
@@ -124,42 +126,95 @@ class Crf:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.raw_scores(*line_features(texts)) + self.scale[1], -30, 30)))
 
 
+def _products(emit: np.ndarray, start: np.ndarray, length: np.ndarray, first: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """Products [from, to, stretch] of the steps into every line of a stretch, in logarithms; a chain's first line has none."""
+    out = np.zeros((2, 2, len(start)))
+    out[0, 1] = out[1, 0] = -np.inf
+    order = np.argsort(-length, kind="stable")
+    alive = len(length) - np.searchsorted(np.sort(length), np.arange(int(length.max())), side="right")
+    for t in range(int(length.max())):
+        who = order[: alive[t]]
+        who = who[~first[who]] if t == 0 else who
+        now = out[:, :, who]
+        e = emit[start[who] + t]
+        out[:, 0, who] = np.logaddexp(now[:, 0] + turns[0, 0], now[:, 1] + turns[1, 0])
+        out[:, 1, who] = np.logaddexp(now[:, 0] + turns[0, 1], now[:, 1] + turns[1, 1]) + e
+    return out
+
+
+def _incoming(emit: np.ndarray, start: np.ndarray, length: np.ndarray, first: np.ndarray, last: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages into the stretches of chains: from the line before their first, and from behind their last.
+
+    Chains are walked stretch by stretch, all at once: as many steps as the longest has stretches.
+    """
+    step = _products(emit, start, length, first, turns)
+    into, behind = np.zeros(len(start)), np.zeros(len(start))
+    place = np.arange(len(start)) - np.maximum.accumulate(np.where(first, np.arange(len(start)), 0))
+    for k in range(int(place.max())):
+        at = np.flatnonzero((place == k) & ~last)
+        f = np.where(first[at], emit[start[at]], into[at])
+        into[at + 1] = np.logaddexp(step[0, 1, at], f + step[1, 1, at]) - np.logaddexp(step[0, 0, at], f + step[1, 0, at])
+    for k in range(int(place.max()), 0, -1):
+        at = np.flatnonzero(place == k)
+        b = behind[at]
+        behind[at - 1] = np.logaddexp(step[1, 0, at], step[1, 1, at] + b) - np.logaddexp(step[0, 0, at], step[0, 1, at] + b)
+    return into, behind
+
+
 def marginals(emit: np.ndarray, bounds: np.ndarray, turns: np.ndarray, mass: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """(P(good) by line, sums of pair marginals [from, to], log partition functions' sum).
 
-    All chains are walked at once, place by place, the longer ones first. The messages are ratios
-    P(good) : P(bad), so one number a line. `mass` weighs the pairs of each chain, 1 if it is left out.
+    Chains are cut into stretches of STRETCH lines. A stretch as a whole is a 2 by 2 matrix, and these give the messages
+    that reach it, so that all stretches are then walked at once, place by place: a chain of n lines takes a few times
+    STRETCH + n / STRETCH steps. Messages are ratios P(good) : P(bad), so one number a line. `mass` weighs the
+    pairs of each chain, 1 if it is left out.
     """
-    length = np.diff(bounds)
+    n = len(emit)
+    pair = np.zeros((2, 2))
+    if not n:
+        return np.zeros(0), pair, 0.0
+    lines = np.diff(bounds)
+    cuts = -(-lines // STRETCH)
+    chain = np.repeat(np.arange(len(lines)), cuts)
+    inside = np.arange(len(chain)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    start = bounds[:-1][chain] + inside * STRETCH
+    length = np.minimum(bounds[1:][chain] - start, STRETCH)
+    first, last = inside == 0, inside == cuts[chain] - 1
+    into, behind = _incoming(emit, start, length, first, last, turns) if len(chain) > len(lines) else (np.zeros(len(chain)), np.zeros(len(chain)))
     order = np.argsort(-length, kind="stable")
-    start, length = bounds[:-1][order], length[order]
-    chain = np.ones(len(order)) if mass is None else mass[order]
-    most = int(length[0]) if len(length) else 0
+    start, length, first, last, into, behind, chain = (x[order] for x in (start, length, first, last, into, behind, chain))
+    weight = np.ones(len(chain)) if mass is None else mass[chain]
+    most = int(length[0])
     alive = len(length) - np.searchsorted(length[::-1], np.arange(most), side="right")
-    n = len(emit)
     forward, backward = np.zeros(n), np.zeros(n)
     good_good, good_bad, bad_good, bad_bad = turns[1, 1], turns[1, 0], turns[0, 1], turns[0, 0]
     z = np.zeros(len(start))
     for t in range(most):
         at = start[: alive[t]] + t
-        if t == 0:
-            forward[at] = emit[at]
-        else:
-            f = forward[at - 1]
-            up, down = np.logaddexp(f + good_good, bad_good), np.logaddexp(f + good_bad, bad_bad)
-            forward[at] = emit[at] + up - down
-            z[: alive[t]] += down
+        f = into[: alive[t]] if t == 0 else forward[at - 1]
+        up, down = np.logaddexp(f + good_good, bad_good), np.logaddexp(f + good_bad, bad_bad)
+        fresh = first[: alive[t]] & (t == 0)
+        forward[at] = emit[at] + np.where(fresh, 0.0, up - down)
+        z[: alive[t]] += np.where(fresh, 0.0, down)
     ends = start + length - 1
-    z += np.logaddexp(forward[ends], 0)
-    pair = np.zeros((2, 2))
-    for t in range(most - 2, -1, -1):
-        at = start[: alive[t + 1]] + t
+    z += np.where(last, np.logaddexp(forward[ends], 0), 0.0)
+    backward[ends] = behind
+
+    def pairs(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Marginals of the lines `at` with their next ones, whose backward messages are known."""
         b = backward[at + 1] + emit[at + 1]
-        backward[at] = np.logaddexp(b + good_good, good_bad) - np.logaddexp(b + bad_good, bad_bad)
         logs = np.array([[bad_bad + 0 * b, bad_good + b], [forward[at] + good_bad, forward[at] + good_good + b]])
         logs -= logs.max(axis=(0, 1))
         p = np.exp(logs)
-        pair += (p / p.sum(axis=(0, 1))) @ chain[: alive[t + 1]]
+        return (p / p.sum(axis=(0, 1))) @ weight
+
+    for t in range(most - 2, -1, -1):
+        at = start[: alive[t + 1]] + t
+        b = backward[at + 1] + emit[at + 1]
+        backward[at] = np.logaddexp(b + good_good, good_bad) - np.logaddexp(b + bad_good, bad_bad)
+        pair += pairs(at, weight[: alive[t + 1]])
+    if not first.all():
+        pair += pairs(start[~first] - 1, weight[~first])
     good = 1 / (1 + np.exp(-np.clip(forward + backward, -30, 30)))
     return good, pair, float(z.sum())
 
