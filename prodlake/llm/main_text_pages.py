@@ -50,4 +50,28 @@ LABELLED = [
     "<div class='sidebar left-sidebar'><div class='sidebar-content'><div class='ad'>Boots</div></div></div><div class='comments'><div class='comment'>We are stuck.</div></div><div class='pagination'>1 2 3</div><div class='cookie'>Fine</div><div class='notice'>Closed on Sunday</div>"
     "<div class='popup'><div class='popup-content'>Stay</div></div><div class='modal'><div class='modal-content'>Win a prize</div></div>"
     "<div class='widget'>Weather</div><div class='subscribe'>Join</div><div class='navigation'><a>Up</a></div><div class='footer copyright'>The Hill</div></body>",
+    # a magazine that names blocks, elements and states
+    "<body><div class='c-page__wrapper js-page'><div class='c-site-nav__list js-menu'><a>Food</a><a>Travel</a></div><div class='c-gdpr-bar c-gdpr-bar--bottom'>We and our partners keep what you read</div><div class='l-grid l-grid--wide'>"
+    "<div class='l-grid__cell'><x-content><div class='c-article__body js-article'><p class='c-article__intro'>The market opens at four in the morning, long before the first train.</p><x-out><div class='c-teaser-box teaser--related'><a>Ten markets</a></div></x-out>"
+    "<p>Fish comes first, then flowers, and the bread is baked in the hall behind the stalls.</p><div class='c-quote-block'>Whoever sleeps here, said the baker, sleeps at noon.</div></div></x-content><div class='reader-comments-thread'><div class='thread-item'>"
+    "I know that baker.</div></div></div><div class='l-grid__cell l-grid__cell--rail'><div class='promo-box promo-box--small'>Win a weekend</div><div class='most-read-box'><a>Soup</a></div></div></div></div><div class='c-overlay popin'>Before you go</div></body>",
+    # a museum: words that elsewhere name what is not content
+    "<body><div class='container-fluid'><div class='navbar navbar-top'><a>Visit</a></div><x-content><div class='panel history'><div class='social-history'><p>The workers of the mill lived in two rooms each, with a kitchen for four families.</p></div>"
+    "<div class='notice-board-history'><p>On the board by the gate the hours were chalked up, and the fines.</p></div><div class='header-image figure'><p class='caption'>The gate in winter.</p></div></div></x-content><div class='responses'><div class='response'>My aunt worked there.</div>"
+    "</div><div class='cookie-bar'>This site keeps cookies</div><div class='footer-links'><a>Press</a></div></div></body>",
+    # a town's pages
+    "<body class='layout'><div class='skip-links'><a>Skip</a></div><div class='breadcrumb-trail'><a>Town</a></div><div class='page-wrapper inner'><x-content><div class='text-block'><h2>Waste and paper</h2><p>Paper is fetched on the second Tuesday of the month, from seven in the morning.</p></div>"
+    "<div class='text-block info'><p>Put the bins out the night before and leave a hand's breadth between them.</p></div></x-content><div class='share-bar'><a>Send</a></div><div class='feedback-box'>Did this help you?</div><div class='tag-list tags'><a>waste</a></div></div>"
+    "<div class='site-footer inner'>Town hall, open till noon</div></body>",
+    # a shop
+    "<body><div class='topbar-wrapper'><div class='basket'>Nothing yet</div></div><div class='product-page wrapper'><x-content><div class='product-description'><p>A kettle of steel with a handle that stays cool, for the stove and for the fire.</p><div class='details block'>"
+    "<p>It holds two litres and whistles when they boil.</p></div></div></x-content><div class='upsell-block'><a>Cups</a></div><div class='related-products block'><a>Pans</a></div><div class='user-reviews reviews-list'><div class='user-review'>Mine whistles too soon.</div></div>"
+    "<div class='newsletter-box signup-box'>Ten off the next one</div><div class='cookie-bar-wrapper'><div class='inner'>Accept all</div></div></div></body>",
+]
+#: Pages that nothing is learned from: they measure what was.
+HELD_OUT = [
+    "<body><div class='site-wrapper'><div class='cookie-banner-wrapper'>We store what you do</div><div class='menu-bar'><a>News</a></div><x-content><div class='article-content js-body'><p>The bridge is open again after two years.</p>"
+    "<x-out><div class='promo-teaser'>Read us for a month</div></x-out><p class='intro'>Lorries must still go round.</p></div></x-content><div class='related-links'><a>Roads</a></div><div class='comment-thread'>At last.</div><div class='footer-bar'>Us</div></div></body>",
+    "<body class='page'><div class='header-wrapper'><a>Home</a></div><div class='grid inner'><x-content><div class='entry story-body'><h1 class='entry-title'>Bees on the roof</h1><p>Four hives stand above the library.</p><div class='info-block'><p>The honey is sold in June.</p></div></div></x-content>"
+    "<div class='sidebar-box widget'>Weather</div><div class='social-bar share'><a>Send</a></div><div class='responses-list'>Sweet.</div></div><div class='newsletter-overlay popin'>Stay a while</div></body>",
 ]

@@ -6,7 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from prodlake.llm.main_text import best_region, class_weights, main_text, weights
+from prodlake.llm.main_text import best_region, class_weights, labelled_elements, main_text, mark, weights
+from prodlake.llm.main_text_pages import HELD_OUT
 
 
 @pytest.mark.parametrize(
@@ -70,3 +71,28 @@ def test_articles_of_the_small_table(spark, small):
     for r in spark.read.parquet(f"{small}/pages.parquet").collect():
         article = re.search(r"<article>(.*?)(</article>|<footer>|\Z)", r["html"], re.S)
         assert main_text(r["html"]) == " ".join(html.unescape(re.sub(r"<[^>]*>", "\n", article[1])).split())
+
+
+@pytest.mark.parametrize(
+    "words",
+    ["cookie-bar-wrapper", "gdpr-popin overlay-x", "promo-box", "reader-responses-thread", "related-stories-block", "ad adslot-7", "site-cookie-notice", "js-newsletter-signup", "share-tools bar", "zz-sidebar"],
+)
+def test_marked_blocks_beside_an_article(words):
+    """Not returned with an article of many words, nor in the place of one of a single word."""
+    noise = "<div class='%s'><p>%s</p></div>" % (words, "words that are not of the article " * 6)
+    assert main_text(noise + "<article><p>The text itself has seven words here.</p></article>" + noise) == "The text itself has seven words here."
+    assert main_text("<article><p>Short.</p></article>" + noise) == "Short."
+
+
+@pytest.mark.parametrize("words", ["xq-77", "lorem", "content-wrapper", "zz-article-text", "js-a b_c", "row inner"])
+def test_unknown_words_weigh_nothing(words):
+    assert main_text(f"<div class='{words}'><p>The text itself has seven words here.</p></div>") == "The text itself has seven words here."
+
+
+def test_held_out_pages():
+    """Elements of pages that nothing was learned from are told apart, and so is their text."""
+    rows = labelled_elements(HELD_OUT)
+    right = [(mark(list(words)) >= 0) == holds for words, holds in rows]
+    assert len(right) >= 18 and sum(right) / len(right) >= 0.9
+    assert main_text(re.sub(r"</?x-\w+>", "", HELD_OUT[0])) == "The bridge is open again after two years. Lorries must still go round."
+    assert main_text(re.sub(r"</?x-\w+>", "", HELD_OUT[1])) == "Bees on the roof Four hives stand above the library. The honey is sold in June."
