@@ -8,7 +8,9 @@ of largest sum; nothing but the scan places it. It is widened to the blocks that
 Some elements are never content: those whose tag says so (scripts, styles, forms, menus, footers, asides,
 hidden ones), and those whose class, id and role words the labelled pages show to mark what is not
 the article: a logistic regression over the elements of these pages weighs each word beside those that it stands
-with, and a word that no labelled page has weighs nothing. Two pages are held out to measure it (HELD_OUT).
+with, and a word that no labelled page has weighs nothing. What an element holds counts too: one of links alone is left out
+where its words speak against it at all, one of most of the page's words, marked content among them, only where they speak
+strongly. Two pages are held out to measure this (HELD_OUT).
 
 Blocks end at block-level tags. Inside a block character references are decoded, white space becomes one
 blank and the ends are trimmed; blocks are joined by one blank. Nothing else is dropped or cut.
@@ -52,6 +54,8 @@ REPEATED = frozenset("p li option tr td th dt dd".split())
 PRIOR = 1.0
 #: Ridge of the weights of class words; weight of an element that holds content against one that does not.
 RIDGE, HOLDS = 0.1, 1.0
+#: Odds under which class words alone decide against an element, and from which they speak clearly for one.
+STRONG, CLEAR = -2.0, 2.0
 #: Elements whose text is not markup: only their own end tag ends them.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -102,13 +106,52 @@ def marking_words(attributes: str) -> tuple[list[str], bool]:
     return words, False
 
 
-def _outside(name: str, attributes: str, within_article: bool) -> bool:
+def _outside(name: str, attributes: str, within_article: bool, held: Held, k: int) -> bool:
     if name in SKIPPED or name == "header" and not within_article:
         return True
     if not attributes or name in ("body", "html"):
         return False
     words, hidden = marking_words(attributes)
-    return hidden or bool(words) and mark(words) < 0
+    if hidden or not words:
+        return hidden
+    odds = mark(words)
+    if odds < 0:  # a wrapper of most of the page that holds marked content needs stronger words
+        return odds < STRONG or not held.wraps(k)
+    return odds < PRIOR and held.only_links(k)
+
+
+class Held:
+    """What the element that token k opens holds, from its words so far and those before its end tag."""
+
+    def __init__(self, seen: list[tuple[str, str, str]]):
+        self.end = [len(seen)] * len(seen)
+        self.words, self.links, self.marks = [0], [0], [0]
+        waiting: dict[str, list[int]] = {}
+        anchors = 0
+        for k, (kind, name, value) in enumerate(seen):
+            n = links = marks = 0
+            if kind == "text":
+                n = len(value.split())
+                links = n if anchors > 0 else 0
+            elif kind == "open":
+                waiting.setdefault(name, []).append(k)
+                anchors += name == "a"
+                marks = int(name in ("article", "main", "h1") or bool(value) and mark(marking_words(value)[0]) > CLEAR)
+            else:
+                anchors = max(0, anchors - (name == "a"))
+                if waiting.get(name):
+                    self.end[waiting[name].pop()] = k
+            self.words.append(self.words[-1] + n)
+            self.links.append(self.links[-1] + links)
+            self.marks.append(self.marks[-1] + marks)
+
+    def wraps(self, k: int) -> bool:
+        e = self.end[k]
+        return 2 * (self.words[e] - self.words[k]) > self.words[-1] and self.marks[e] > self.marks[k + 1]
+
+    def only_links(self, k: int) -> bool:
+        e = self.end[k]
+        return self.words[e] - self.words[k] == self.links[e] - self.links[k] > 0
 
 
 def mark(words: list[str]) -> float:
@@ -178,11 +221,13 @@ def events(page: str) -> list[Event]:
             out.append(("close", top, "", "", len(stack)))
         return top
 
-    for kind, name, value in tokens(page):
+    seen = list(tokens(page))
+    held = Held(seen)
+    for k, (kind, name, value) in enumerate(seen):
         if kind == "open":
             if name in REPEATED and stack and stack[-1][0] == name:
                 pop()  # an open paragraph, item or cell ends where the next begins
-            skip = _outside(name, value, bool(count.get("article") or count.get("main") or count.get("section")))
+            skip = _outside(name, value, bool(count.get("article") or count.get("main") or count.get("section")), held, k)
             if name not in VOID:
                 stack.append((name, skip))
                 count[name] = count.get(name, 0) + 1
