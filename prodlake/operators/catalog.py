@@ -153,14 +153,22 @@ def natural_key(x: Column) -> Column:
     return F.array_join(keyed, "")
 
 
+def korean_key(x: Column) -> Column:
+    """O-01: numeric-aware Korean order: digits, Hangul, then other letters, whatever their case and accents.
+
+    The collation knows no numbers, so runs of digits are written with their length first; all else is the collation's.
+    """
+    return F.collate(natural_key(x), "ko_CI_AI")
+
+
 def order_of(sort: str) -> list[Column]:
     """Keys that all go upwards; the last is the row's own place, so that no two rows are alike."""
-    name, price, day = natural_key(F.col("name")), F.col("price"), comparable_date(F.col("updated"))
+    name, price, day = korean_key(F.col("name")), F.col("price"), comparable_date(F.col("updated"))
     keys = {
         "name": [name],
         "price_asc": [price.isNotNull(), price],
         "price_desc": [price.isNull(), -price],
-        "category": [natural_key(F.col("category")), name],
+        "category": [korean_key(F.col("category")), name],
         "updated": [day == "", F.translate(day, "0123456789", "9876543210")],
     }
     return [*keys.get(sort, []), F.col("pos")]

@@ -238,3 +238,14 @@ def test_ratio_bounds_hold(spark):
     least, most = E.ratio_bounds("_a", "_b")
     got = facts.select(least.alias("low"), matching_blocks_ratio(F.col("_a_name"), F.col("_b_name")).alias("r"), most.alias("high")).collect()
     assert all(r["low"] <= r["r"] + 1e-12 and r["r"] <= r["high"] + 1e-12 for r in got)
+
+
+def test_korean_order(spark):
+    """Digits by value, Hangul by syllable, then Latin without regard to case and accents; equal names by place."""
+    ordered = [None, "2정", "10정", "가", "가나", "각", "비타민 2", "비타민 10", "비타민 10 골드", "Ábc", "abc", "ABC", "abc 2", "ABC 010", "zoo"]
+    rows = [(k, n) for k, n in enumerate(ordered)]
+    df = spark.createDataFrame([rows[k] for k in (7, 3, 12, 0, 5, 1, 14, 9, 2, 11, 4, 13, 6, 10, 8)], "pos int, name string").withColumns({"price": F.lit(1), "updated": F.lit(""), "category": F.lit("x")})
+    got = [r["pos"] for r in df.repartition(4).orderBy(*C.order_of("name")).collect()]
+    assert got == list(range(len(ordered)))
+    paged = [r["place"] for r in C.page_of(df, C.CatalogQuery(sort="category", page_size=25)).orderBy("pos").collect()]
+    assert paged == list(range(1, len(ordered) + 1))
