@@ -9,6 +9,7 @@ from prodlake.plans import (
     ledger_queries,
     markup_queries,
     official_queries,
+    product_queries,
     record_queries,
     shape_queries,
     text_queries,
@@ -26,6 +27,7 @@ __all__ = [
     "ledger_queries",
     "markup_queries",
     "official_queries",
+    "product_queries",
     "record_queries",
     "shape_queries",
     "text_queries",
