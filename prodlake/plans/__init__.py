@@ -11,6 +11,7 @@ from prodlake.plans import (
     official_queries,
     product_queries,
     record_queries,
+    set_queries,
     shape_queries,
     text_queries,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "official_queries",
     "product_queries",
     "record_queries",
+    "set_queries",
     "shape_queries",
     "text_queries",
 ]
