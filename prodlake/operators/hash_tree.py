@@ -41,18 +41,21 @@ def hash_tree(rows: DataFrame, place: str, digest: Column, fan: int = FAN) -> Da
 def tree_changes(old: DataFrame, new: DataFrame, fan: int = FAN) -> DataFrame:
     """(place, change) of the rows that differ: changed, added or removed. Below nodes that agree nothing is compared.
 
+    The trees are best read from where they were written: as plans they are made again for every level.
+
     Trees of different heights are compared from the lower one's top.
     """
     tops = [t.agg(F.max("level")).first()[0] for t in (old, new)]
     if None in tops:  # one has no rows: all leaves of the other differ
         tops = [0, 0]
-    suspects = None
+    nodes = old.select("level", "node", F.col("sha256").alias("_old"), F.lit(None).cast("string").alias("_new")).union(new.select("level", "node", F.lit(None).cast("string"), "sha256"))
+    differ = None
     for level in range(min(tops), -1, -1):
-        a, b = (t.where(F.col("level") == level).select("node", F.col("sha256").alias(s)) for t, s in ((old, "_old"), (new, "_new")))
-        if suspects is not None:
-            a, b = (t.withColumn("parent", F.floor(F.col("node") / fan)).join(suspects, "parent", "left_semi").drop("parent") for t in (a, b))
-        differ = a.join(b, "node", "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
-        suspects = differ.select(F.col("node").alias("parent"))
+        here = nodes.where(F.col("level") == level)
+        if differ is not None:
+            here = here.withColumn("parent", F.floor(F.col("node") / fan)).join(differ.select(F.col("node").alias("parent")), "parent", "left_semi")
+        both = here.groupBy("node").agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+        differ = both.where(~F.col("_old").eqNullSafe(F.col("_new")))
     change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
     return differ.select(F.col("node").alias("place"), change.alias("change"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +11,7 @@ from prodlake.operators import shapes as S
 from prodlake.operators.audit import findings, json_errors
 from prodlake.plans.registry import query
 from prodlake.session import CATALOG_SQL, catalog, table
-from prodlake.sources.registry import SOURCES
+from prodlake.sources.registry import SOURCES, requests
 
 
 @query(
@@ -184,13 +183,17 @@ def clean_lists(spark, sf_dir):
     return rows.select("c_custkey", F.array_join(C.clean_list(F.col("l"), rows.schema["l"].dataType), ",").alias("items"), F.size(C.clean_list(F.col("one"), rows.schema["one"].dataType)).alias("n"))
 
 
-_SPECS = ", ".join(f"('{s.key}', '{s.dataset}', '{s.domain}', '{s.endpoint}', {str(s.discovery).lower()}, {len(s.ids) + len(s.names)})" for s in SOURCES.values())
+_SPECS = ", ".join(f"('{s.key}', '{s.dataset}', '{s.domain}', '{s.endpoint}', '{s.parameter}', {str(s.discovery).lower()}, {len(s.ids) + len(s.names)})" for s in SOURCES.values())
 
 
-@query("s10_sources", f"select * from (values {_SPECS}) as t(key, dataset, domain, endpoint, discovery, n_fields)")
+@query(
+    "s10_sources",
+    f"""select p_partkey, source, dataset, domain, endpoint, discovery, n_fields, sha256(endpoint || '?' || parameter || '=' || p_partkey || '&type=json') as cache_key
+    from part, (values {_SPECS}) as t(source, dataset, domain, endpoint, parameter, discovery, n_fields)""",
+)
 def sources(spark, sf_dir):
-    text = json.dumps([{"key": s.key, "dataset": s.dataset, "domain": s.domain, "endpoint": s.endpoint, "discovery": s.discovery, "n_fields": len(s.ids) + len(s.names)} for s in SOURCES.values()])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<key:string,dataset:string,domain:string,endpoint:string,discovery:boolean,n_fields:int>>")))
+    """What every source is asked about each part."""
+    return requests(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey").drop("parameter", "params")
 
 
 @query("u08_selection", f"select id from {CATALOG_SQL} where id not in ('1', '2', '5')")

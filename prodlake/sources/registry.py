@@ -38,6 +38,16 @@ SOURCES = {
     )
 }
 
+
+
+def requests(items: DataFrame, number: str, sources: dict[str, Source] = SOURCES) -> DataFrame:
+    """S-09, S-10: a row for each item and source with what it is asked by number: source, dataset, domain, endpoint, params and their cache key."""
+    specs = json.dumps([{"source": s.key, "dataset": s.dataset, "domain": s.domain, "endpoint": s.endpoint, "parameter": s.parameter, "discovery": s.discovery, "n_fields": len(s.ids) + len(s.names)} for s in sources.values()])
+    each = items.withColumn("_s", F.explode(F.from_json(F.lit(specs), "array<struct<source:string,dataset:string,domain:string,endpoint:string,parameter:string,discovery:boolean,n_fields:int>>")))
+    asked = each.select(*items.columns, "_s.*").withColumn("params", F.create_map("parameter", F.col(number).cast("string"), F.lit("type"), F.lit("json")))
+    return asked.withColumn("cache_key", cache_key(F.col("endpoint"), F.col("params")))
+
+
 Fetch = Callable[[str, dict[str, str]], str]
 
 
