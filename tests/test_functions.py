@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from prodlake.functions import rich_text, similarity
 from prodlake.functions import text as X
 from prodlake.operators.audit import schema_errors
-from prodlake.operators.sequence import align
+from prodlake.operators.alignment import best_matches
 
 
 def values(spark, rows, **columns):
@@ -83,7 +84,12 @@ def test_schema_errors():
 
 
 def test_alignment():
+    def align(left, right, gap, score):
+        pairs = [(i, j, float(score(x, y))) for i, x in enumerate(left) for j, y in enumerate(right) if score(x, y) >= 2 * gap]
+        i, j = (np.array([p[k] for p in pairs], dtype=np.int64) for k in (0, 1))
+        return best_matches(len(left), len(right), i, j, np.array([p[2] for p in pairs]), gap)
+
     score = lambda x, y: 46 if x == y else -54
-    assert align(["a", "b", "c"], ["a", "c"], -12, score) == [(0, 0), (1, None), (2, 1)]
-    assert align([], ["x"], -12, score) == [(None, 0)]
-    assert align(["a"], ["b"], -200, score) == [(0, None), (None, 0)]
+    assert align(["a", "b", "c"], ["a", "c"], -12, score) == [(0, 0), (2, 1)]
+    assert align([], ["x"], -12, score) == []
+    assert align(["a"], ["b"], -200, score) == []  # matched, but with too low a score to be one
