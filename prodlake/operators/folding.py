@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from prodlake.functions.similarity import indel
 
 
+#: Look-back times in a slot: pauses are found between slots, so longer ones mean fewer cuts and fewer rows to find them by.
+SLOT = 16
+
+
 @dataclass(frozen=True)
 class Rule:
     """When a row joins a kept one.
@@ -125,7 +129,7 @@ def fold_lookback(df: DataFrame, keys: list[str], order: list[str], rule: Rule =
     key without a pause is one task's stream; it needs the memory of `rows` rows.
     """
     time = rule.time
-    slot = F.floor(F.col(time) / max(rule.seconds * 16, 1e-6))
+    slot = F.floor(F.col(time) / max(rule.seconds * SLOT, 1e-6))
     placed = df.where(F.col(time).isNotNull()).withColumn("_slot", slot)
     slots = placed.groupBy(*keys, "_slot").agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
     by = Window.partitionBy(*keys).orderBy("_slot")

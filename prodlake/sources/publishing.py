@@ -2,7 +2,7 @@
 
 Every task writes its rows to all targets of a new version and answers with the files it wrote. The commit writes the
 version's manifest and moves one pointer, CURRENT, so that readers see all old targets or all new ones; a task that fails, is
-lost or runs twice leaves files that no manifest names. The abort removes the version. Works on any file system that
+lost, runs twice or ends after the abort leaves files that no manifest names. The abort removes what there is of the version. Works on any file system that
 pyarrow knows by its URI: moving a small object there must be atomic, as it is on HDFS and local disks; the pointer is the only
 object that ever changes.
 """

@@ -108,7 +108,7 @@ def test_shapes(spark):
 def test_folds_that_are_cut_at_pauses_find_the_same(spark, monkeypatch):
     import random
 
-    from prodlake.operators import sequence
+    from prodlake.operators import folding
 
     rng = random.Random(7)
     at, rows = 0.0, []
@@ -117,9 +117,9 @@ def test_folds_that_are_cut_at_pauses_find_the_same(spark, monkeypatch):
         rows.append((n % 2, at, n, rng.choice(["alpha beta", "alpha betb", "gamma", "delta"]), 1))
     df = spark.createDataFrame(rows, "k int, at double, id int, text string, observations int")
     found = []
-    for part in (5, 10**9):
-        monkeypatch.setattr(sequence, "PART", part)
-        found.append(sorted(map(tuple, sequence.fold_lookback(df, ["k"], ["at", "id"], "text", "at", 24, 12.0, 88.0).collect())))
+    for slots in (1, 10**9):
+        monkeypatch.setattr(folding, "SLOT", slots)
+        found.append(sorted(map(tuple, folding.fold_lookback(df, ["k"], ["id"]).collect())))
     assert found[0] == found[1] and len(found[0]) < 400
 
 
