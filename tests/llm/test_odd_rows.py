@@ -29,7 +29,9 @@ def by_document(rows):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, empty, name):
-    assert QUERIES[name](spark, empty).collect() == []
+    rows = QUERIES[name](spark, empty).collect()
+    # the query of op13 brings a conversation of its own
+    assert [r["conv_id"] for r in rows] == [-1] if name.startswith("op13") else rows == []
 
 
 @pytest.mark.parametrize("name", sorted(SCORED))
