@@ -93,3 +93,13 @@ def test_alignment():
     assert align(["a", "b", "c"], ["a", "c"], -12, score) == [(0, 0), (2, 1)]
     assert align([], ["x"], -12, score) == []
     assert align(["a"], ["b"], -200, score) == []  # matched, but with too low a score to be one
+
+
+def test_wide_spans_and_deep_tables():
+    """Spans end where HTML ends them, and tables inside tables are laid out without recursion."""
+    wide = rich_text.parse("<table><tr><td rowspan=999999999999999999999 colspan=999999>a</td></tr><tr><td>b</td></tr></table>")
+    (table,) = wide["blocks"]
+    assert len(table["rows"]) + len(table["headers"] and [1]) == 2 + rich_text.PAST and len(table["rows"][0]) == rich_text.MOST_COLUMNS + 1
+    assert rich_text._span("٣", 9) == 3 and rich_text._span("²", 9) == 1 and rich_text._span("0", 9) == 1
+    deep = rich_text.parse("<table><tr><td>x" * 3000 + "</td></tr></table>" * 3000)
+    assert deep["text"].count("x") == 3000
