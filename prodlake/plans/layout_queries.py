@@ -53,7 +53,7 @@ def pairs(spark, sf_dir):
     n as (select r.*, c.category, c.cs, array_to_string(texts, ' ') as raw, '(?i)^(.*?)(?:\\s+|^)(\\d+(?:\\.\\d+)?\\s*(?:mg|g|kg|ml|l|정|캡슐|연질캡슐|포|병|개|매|EA|T|C|정제|캅셀|롤|스틱|박스|통|세트|입))$' as pat from r left join c using (page, place)),
     m as (select *, trim(regexp_extract(raw, pat, 1)) as before, regexp_extract(raw, pat, 2) as size, len(scores) + 1 + cast(cs is not null as int) as n from n)
     select page, place, price, case when size = '' or before = '' then raw else before end as name, size as specification, coalesce(category, '미분류') as category,
-    round_even((ps + list_sum(scores) + coalesce(cs, 0)) / n, 4) as confidence, n as n_lines from m
+    round_even((ps + list_sum(scores) + coalesce(cs, 0)) / n, 4) as confidence, cast(n as int) as n_lines from m
     where length(regexp_replace(lower(case when size = '' or before = '' then raw else before end), '[^0-9a-z가-힣]', '', 'g')) >= 2 and regexp_matches(case when size = '' or before = '' then raw else before end, '[A-Za-z가-힣]')""",
 )
 def catalogue(spark, sf_dir):
