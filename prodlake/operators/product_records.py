@@ -167,3 +167,40 @@ def research_errors(queue: DataFrame, results: DataFrame, pages: DataFrame, imag
     digests = judged.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.count("*").alias("n")).where("n > 1").select("_digest")
     twins = judged.join(digests, "_digest").select("pos", "product_id", F.lit("duplicate_image_content_in_batch").alias("code"))
     return differs.union(again).union(own).union(twins)
+
+
+def baseline_errors(records: DataFrame, place: str, record: str, expected_rows: int, fields: list[str]) -> DataFrame:
+    """V-02: (place, code) of what breaks a baseline of raw JSON records, whose places run from 1; codes of the whole have no place.
+
+    row_count, field_union; not_an_object, id_missing, repeated_id (every record of the id); source_order, where any record has
+    one: it must be the record's place; row_fields: all `fields`, official_content among them only where the match is confirmed;
+    official_content, where its presence and a confirmed match differ.
+    """
+    value = F.col("_value")
+    kind = lambda field: F.coalesce(F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant")), F.lit(""))
+    text = lambda field: F.when(kind(field) == "STRING", F.try_variant_get(value, f"$.{field}", "string"))
+    has = lambda field: F.array_contains("_keys", field)
+    rows = records.select(F.col(place).cast("long").alias("place"), F.try_parse_json(record).alias("_value"), F.array_sort(F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))).alias("_keys"))
+    rows = rows.withColumn("_object", F.startswith(F.coalesce(F.schema_of_variant("_value"), F.lit("")), F.lit("OBJECT")))
+    confirmed = F.coalesce(text("official_match_status") == "confirmed", F.lit(False))
+    listed = lambda names: F.array(*[F.lit(n) for n in sorted(names)])
+    whole, core = listed(fields), listed([f for f in fields if f != "official_content"])
+    ordered = (kind("source_order") == "BIGINT") & (F.try_variant_get(value, "$.source_order", "long") == F.col("place"))
+    # of the whole: rows, whether any has an order, and the union of their fields
+    facts = rows.agg(F.count("*").alias("_n"), F.coalesce(F.bool_or(F.col("_object") & has("source_order")), F.lit(False)).alias("_any"))
+    union = rows.where("_object").select(F.explode("_keys").alias("k")).distinct().agg(F.array_sort(F.collect_list("k")).alias("_union"))  # as many as there are field names
+    n, any_order = facts.first()
+    seen = union.first()["_union"]
+    codes = [
+        F.when(~F.col("_object"), "not_an_object"),
+        F.when(F.col("_object") & (trim_space(text("id")) == ""), "id_missing"),
+        *([F.when(F.col("_object") & ~F.coalesce(ordered, F.lit(False)), "source_order")] if any_order else []),
+        F.when(F.col("_object") & (F.col("_keys") != F.when(confirmed, whole).otherwise(core)), "row_fields"),
+        F.when(F.col("_object") & (has("official_content") != confirmed), "official_content"),
+    ]
+    own = rows.select("place", F.explode(F.filter(F.array(*codes), lambda c: c.isNotNull())).alias("code"))
+    ids = rows.where("_object").select("place", text("id").alias("id")).where(trim_space(F.col("id")) != "")
+    twice = ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    out = own.union(ids.join(twice, "id").select("place", F.lit("repeated_id").alias("code")))
+    of_all = [c for c, wrong in (("row_count", n != expected_rows), ("field_union", sorted(seen) != sorted(fields))) if wrong]
+    return out.union(records.sparkSession.createDataFrame([(None, c) for c in of_all], "place long, code string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prodlake.operators.product_records import portable_records, product_errors, research_errors
+from prodlake.operators.product_records import baseline_errors, portable_records, product_errors, research_errors
 from prodlake.plans.registry import query
 from prodlake.session import CATALOG, CATALOG_SQL, table
 
@@ -108,3 +108,26 @@ def research(spark, sf_dir):
     derived = lambda text: spark.sql(text.replace("from part", "from research_part"))
     queue = derived("select p_partkey as pos, cast(p_partkey as string) as product_id from part")
     return research_errors(queue, derived(_RESULTS), derived(_PAGES), derived(_IMAGES))
+
+
+_BASELINE = (
+    "case when p_partkey % 37 = 5 then '7' else '{\"id\":' || case p_partkey % 11 when 1 then '\" \"' when 2 then '5' else '\"' || (p_partkey - case when p_partkey % 13 = 4 then 1 else 0 end) || '\"' end"
+    " || ',\"name\":\"x\",\"source_order\":' || case p_partkey % 17 when 3 then '\"1\"' when 4 then '0' else cast(p_partkey as string) end || ',\"official_match_status\":' || case p_partkey % 3 when 0 then '\"confirmed\"' when 1 then '\"not_found\"' else 'null' end"
+    " || case when p_partkey % 3 = 0 and p_partkey % 19 <> 6 or p_partkey % 23 = 7 then ',\"official_content\":{}' else '' end || case when p_partkey % 29 = 8 then '' else ',\"price\":1' end || '}' end"
+)
+
+
+@query(
+    "v02_baseline_errors",
+    f"""with r as (select p_partkey as place, {_BASELINE} as record from part), g as (select place, record as j from r where json_type(record) = 'OBJECT'),
+    f as (select *, json_extract_string(j, '$.official_match_status') is not distinct from 'confirmed' as ok, json_keys(j) as k, case when json_type(j, '$.id') = 'VARCHAR' then trim(json_extract_string(j, '$.id')) else '' end as id from g)
+    select place, 'not_an_object' as code from r where json_type(record) <> 'OBJECT' union all select place, 'id_missing' from f where id = ''
+    union all select place, 'source_order' from f where json_type(j, '$.source_order') = 'VARCHAR' or json_extract_string(j, '$.source_order') <> cast(place as varchar)
+    union all select place, 'row_fields' from f where list_sort(k) <> list_sort(case when ok then ['id', 'name', 'official_content', 'official_match_status', 'price', 'source_order'] else ['id', 'name', 'official_match_status', 'price', 'source_order'] end)
+    union all select place, 'official_content' from f where list_contains(k, 'official_content') <> ok
+    union all select place, 'repeated_id' from f where id <> '' and id in (select id from f group by id having count(*) > 1)
+    union all select null, 'row_count' from (select count(*) as n from part) where n <> 1""",
+)
+def baseline(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").selectExpr("p_partkey as place", f"{_BASELINE} as record")
+    return baseline_errors(rows, "place", "record", 1, ["id", "name", "source_order", "official_match_status", "official_content", "price"])
