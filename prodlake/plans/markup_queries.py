@@ -11,7 +11,10 @@ from prodlake.sources import markup as M
 
 @query(
     "s16_page_scan",
-    "select page_id, cast((length(coalesce(html, '')) - length(replace(coalesce(html, ''), '<a ', ''))) / 3 as int) as n_links, trim(replace(replace(regexp_extract(coalesce(html, ''), '<title>(.*?)</title>', 1), '&amp;', '&'), '&quot;', '\"')) as title from pages",
+    # as in HTML, the semicolon of these references may be left out; `&amp` comes last, so that nothing is decoded twice
+    r"""with t as (select page_id, coalesce(html, '') as html, regexp_extract(coalesce(html, ''), '(?s)<title>(.*?)</title>', 1) as raw from pages)
+    select page_id, cast((length(html) - length(replace(html, '<a ', ''))) / 3 as int) as n_links,
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) as title from t""",
 )
 def page_scan(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import duckdb
 from pyspark.sql import functions as F
 
+from prodlake.plans import ORACLE_SQL, QUERIES
 from prodlake.sources import markup as M
 
 
@@ -28,3 +30,15 @@ def test_table_records(spark):
     df = spark.createDataFrame([([["n", "v"], ["a", "1"], ["b"]],), ([["n", "n"], ["a", "1"]],), ([],)], "rows array<array<string>>")
     got = [r[0] for r in df.select(M.table_records(F.col("rows"))).collect()]
     assert got == [[{"n": "a", "v": "1"}, {"n": "b", "v": ""}], None, None]
+
+
+def test_titles_and_their_sql(spark, tmp_path):
+    """Titles that are cut inside a reference, one that is escaped twice, and white space."""
+    titles = ["a &amp; b", "cut at&amp", "cut at&am", "&quot;q&quot", "&amp;quot; &amp;lt;", "&lt;b&gt", " two\n  lines ", ""]
+    pages = [(k, f"<html><title>{t}</title><a href=x>y</a></html>") for k, t in enumerate(titles)] + [(99, None)]
+    spark.createDataFrame(pages, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, QUERIES["s16_page_scan"](spark, str(tmp_path)).collect()))
+    db = duckdb.connect()
+    db.sql(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(db.execute(ORACLE_SQL["s16_page_scan"]).fetchall())
+    assert [r[2] for r in got] == ["a & b", "cut at&", "cut at&am", '"q"', "&quot; &lt;", "<b>", "two lines", "", ""]
