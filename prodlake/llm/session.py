@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,23 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.session import ship
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local runs only)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        set_by_us = spark.sparkContext.getCheckpointDir()
-        if not set_by_us:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            own = tempfile.mkdtemp(prefix="prodlake-checkpoint-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-            spark.sparkContext.setCheckpointDir(own)
-            set_by_us = spark.sparkContext.getCheckpointDir()
-        found = set_by_us
-    return found.rstrip("/")
+from prodlake.session import shared_dir, ship, stash
 
 
 def clear_stash(spark: SparkSession) -> None:
@@ -40,19 +20,6 @@ def clear_stash(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors.
-
-    Unlike checkpoint() the reread frame carries no partitioning, so that a later join shuffles both
-    sides itself and adaptive execution can split skewed keys.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stash/{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def lean_batches(spark: SparkSession) -> None:
     """Arrow batches of some megabytes at most, whatever the length of the texts; workers that know this package."""
     ship(spark)

@@ -2,7 +2,8 @@
 
 A leaf is the hash of one row; a node the hash of its FAN children's hashes in order, up to one root. Two trees are compared
 from the root down, and only below nodes that differ: a marker that holds a tree names the rows that changed without reading
-the others. Every level is one aggregate with groups of FAN rows at most.
+the others. Every level is one aggregate with groups of FAN rows at most, made of the level below as it was written: a plan
+that made each level again from the rows would hold the rows once for every level of every comparison.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prodlake.session import stash
+
 FAN = 64
 # Keys of a marker and of its entries.
 MARKER_KEYS = ("schema_version", "complete", "set_id", "generated_at", "baseline_sha256", "baseline_count", "batch_count", "field_union_sha256", "batches")
@@ -26,23 +29,26 @@ def levels_of(rows: int, fan: int) -> int:
 
 
 def hash_tree(rows: DataFrame, place: str, digest: Column, fan: int = FAN) -> DataFrame:
-    """(level, node, sha256, first, last, n) of rows with places from 0, each once. A place that is left out has no leaf."""
-    leaves = rows.select(F.lit(0).alias("level"), F.col(place).cast("long").alias("node"), digest.alias("sha256"), F.col(place).cast("long").alias("first"), F.col(place).cast("long").alias("last"), F.lit(1).cast("long").alias("n"))
-    top = leaves.agg(F.max("node")).first()[0]
-    out, level = leaves, leaves
+    """(level, node, sha256, first, last, n) of rows with places from 0, each once. A place that is left out has no leaf.
+
+    The levels are written to the shared folder, one table each.
+    """
+    at = F.col(place).cast("long")
+    level = stash(rows.select(at.alias("node"), digest.alias("sha256"), at.alias("first"), at.alias("last"), F.lit(1).cast("long").alias("n")))
+    top = level.agg(F.max("node")).first()[0]
+    numbered = lambda k: level.select(F.lit(k).alias("level"), "node", "sha256", "first", "last", "n")
+    out = numbered(0)
     for k in range(1, 1 if top is None else levels_of(top + 1, fan) + 1):
         children = F.transform(F.array_sort(F.collect_list(F.struct("node", "sha256"))), lambda c: c["sha256"])
-        level = level.groupBy(F.floor(F.col("node") / fan).alias("parent")).agg(children.alias("children"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
-        level = level.select(F.lit(k).alias("level"), F.col("parent").alias("node"), F.sha2(F.array_join("children", "\n"), 256).alias("sha256"), "first", "last", "n")
-        out = out.union(level)
+        above = level.groupBy(F.floor(F.col("node") / fan).alias("parent")).agg(children.alias("children"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+        level = stash(above.select(F.col("parent").alias("node"), F.sha2(F.array_join("children", "\n"), 256).alias("sha256"), "first", "last", "n"))
+        out = out.union(numbered(k))
     return out
 
 
 def tree_changes(old: DataFrame, new: DataFrame, fan: int = FAN) -> DataFrame:
     """(place, change) of the rows that differ: changed, added or removed. Below nodes that agree nothing is compared.
 
-    The trees are best read from where they were written: as plans they are made again for every level.
-
     Trees of different heights are compared from the lower one's top.
     """
     tops = [t.agg(F.max("level")).first()[0] for t in (old, new)]
@@ -56,6 +62,8 @@ def tree_changes(old: DataFrame, new: DataFrame, fan: int = FAN) -> DataFrame:
             here = here.withColumn("parent", F.floor(F.col("node") / fan)).join(differ.select(F.col("node").alias("parent")), "parent", "left_semi")
         both = here.groupBy("node").agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
         differ = both.where(~F.col("_old").eqNullSafe(F.col("_new")))
+        if level:  # written, as a plan it would stand twice in that of the level below, on the side of either tree
+            differ = stash(differ)
     change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
     return differ.select(F.col("node").alias("place"), change.alias("change"))
 

@@ -44,6 +44,15 @@ def test_changes(spark, fan):
         assert {tuple(r) for r in tree_changes(tree(spark, a, fan), tree(spark, b, fan), fan).collect()} == want
 
 
+def test_plan_holds_each_level_once(spark):
+    """Before, the rows stood in it once for every path from the root: their number doubled with each level."""
+    rows = spark.range(1000).withColumn("h", F.sha2(F.col("id").cast("string"), 256))
+    later = rows.withColumn("h", F.when(F.col("id") % 97 == 3, "other").otherwise(F.col("h")))
+    changes = tree_changes(*[hash_tree(t, "id", F.col("h"), 4) for t in (rows, later)], 4)
+    assert changes._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 4
+    assert {r["place"] for r in changes.collect()} == set(range(3, 1000, 97))
+
+
 def test_set_hash(spark):
     import json
 
