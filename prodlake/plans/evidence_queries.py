@@ -166,6 +166,10 @@ def two_phase(spark, sf_dir):
     found = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").cast("string").alias("code"), F.min("p_size").alias("size"))
     products = found.select("code", F.create_map(F.lit("drug_name"), "p_name", F.lit("drug_code"), "code").alias("product"), F.col("p_brand").alias("upso"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("word"))
     pages = found.select("code", F.create_map(F.lit("drug_name"), F.col("p_name"), F.lit("drug_box"), F.concat("size", F.lit("정"))).alias("page"))
-    pairs = items.withColumn("word", F.split_part("name", F.lit(" "), F.lit(1))).join(products, ["upso", "word"]).withColumns({"specification": F.lit(""), "known_code": F.lit("")})
-    scored = E.two_phase(pairs.drop("upso", "word"), pages, deep_scored)
-    return scored.select("item_id", "code", "score", "detailed", F.size("conflicts").alias("n_conflicts"))
+
+    def decide(kinds):
+        pairs = kinds.withColumn("word", F.split_part("name", F.lit(" "), F.lit(1))).join(products, ["upso", "word"]).withColumns({"specification": F.lit(""), "known_code": F.lit("")})
+        scored = E.two_phase(pairs.drop("upso", "word"), pages, deep_scored)
+        return scored.select("item_id", "code", "score", "detailed", F.size("conflicts").alias("n_conflicts"))
+
+    return E.each_kind_once(items, ["name", "capacity", "upso"], decide)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from prodlake.functions.deep import FORMS, best_ratio, deep_scored, forms_conflict, text_facts
 from prodlake.functions.names import judged, variants
 from prodlake.operators import official as O
-from prodlake.operators.resolve import deep_choice, search_choice
+from prodlake.operators.resolve import deep_choice, each_kind_once, search_choice
 from prodlake.plans.registry import query
 from prodlake.session import CATALOG_SQL, catalog, table
 
@@ -131,17 +131,26 @@ def labelled(spark, sf_dir):
 @query("e04_e06_safe_search")
 def safe_search(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.explode(variants(F.col("p_name"))).alias("block"))
+    items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"))
     found = part.select(F.col("p_name").alias("code")).distinct().withColumn("block", F.explode(variants(F.col("code"))))
-    pairs = items.join(found, "block").select("item_id", "name", "code").distinct()
-    return search_choice(judged(pairs, "name", "code").select("item_id", "code", F.col("validated").alias("score"), "safe"))
 
+    def decide(kinds):
+        pairs = kinds.withColumn("block", F.explode(variants(F.col("name")))).join(found, "block").select("item_id", "name", "code").distinct()
+        return search_choice(judged(pairs, "name", "code").select("item_id", "code", F.col("validated").alias("score"), "safe"))
 
-def _deep_pairs(spark, sf_dir):
-    """Pairs of a brand and second word, each product with a page that states its pack."""
+    return each_kind_once(items, ["name"], decide)
+
+
+def _deep_decided(spark, sf_dir, decide):
+    """What `decide` says of the pairs of `_deep_pairs`, for every part."""
     part = table(spark, sf_dir, "part")
-    word = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(2))
     items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.concat("p_size", F.lit("정")).alias("capacity"), F.col("p_brand").alias("brand"))
+    return each_kind_once(items, ["name", "capacity", "brand"], lambda kinds: decide(_deep_pairs(kinds, part)))
+
+
+def _deep_pairs(items, part):
+    """Pairs of a brand and second word, each product with a page that states its pack."""
+    word = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(2))
     products = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").cast("string").alias("code"), F.min("p_size").alias("size"))
     found = products.select("code", F.col("p_name").alias("drug_name"), F.concat("size", F.lit("정")).alias("box"), F.col("p_brand").alias("upso"))
     pairs = items.join(found, (F.col("brand") == F.col("upso")) & (word("name") == word("drug_name")))
@@ -170,8 +179,8 @@ _DEEP = """i as (select p_partkey as item_id, p_name, p_brand, p_size, replace(p
 )
 def deep_scores_lengths(spark, sf_dir):
     """The rules with a stand-in for the similarity."""
-    scored = deep_scored(_deep_pairs(spark, sf_dir), _longest)
-    return scored.select("item_id", "code", "score", F.array_join("reasons", ";").alias("reasons"), F.size("conflicts").alias("n_conflicts"))
+    told = ["item_id", "code", "score", F.array_join("reasons", ";").alias("reasons"), F.size("conflicts").alias("n_conflicts")]
+    return _deep_decided(spark, sf_dir, lambda pairs: deep_scored(pairs, _longest).select(*told))
 
 
 @query(
@@ -185,10 +194,8 @@ def deep_choice_lengths(spark, sf_dir):
 
 
 def _deep_choice(spark, sf_dir, ratio=best_ratio):
-    scored = deep_scored(_deep_pairs(spark, sf_dir), ratio).select(
-        "item_id", "code", "score", F.size("conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")
-    )
-    return deep_choice(scored).drop("alternatives")
+    told = ["item_id", "code", "score", F.size("conflicts").alias("n_conflicts"), F.lit(True).alias("detailed"), (F.col("name") == F.col("drug_name")).alias("contained"), F.lit(False).alias("known"), F.lit(False).alias("non_drug")]
+    return _deep_decided(spark, sf_dir, lambda pairs: deep_choice(deep_scored(pairs, ratio).select(*told)).drop("alternatives"))
 
 
 @query("e07_e08_deep_choice")

@@ -225,6 +225,23 @@ def test_pruned_registry_choice_equals_all_pairs(spark):
     assert live.count() < 60 * 80 / 2
 
 
+def test_items_alike_are_scored_once(spark, tmp_path):
+    """Forty equal items make no more pairs than one, nulls included, and all are decided like it."""
+    from prodlake.operators import resolve as E
+    from prodlake.plans import QUERIES
+
+    rows = [(k, "cold widget", "Brand#1", 5, "PROMO") for k in range(1, 41)] + [(k, None, "Brand#2", 9, "PROMO") for k in range(41, 44)]
+    part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int, p_type string")
+    seen = []
+    items = part.selectExpr("p_partkey as item_id", "p_name as name", "p_brand as maker")
+    out = E.each_kind_once(items, ["name", "maker"], lambda kinds: seen.append(kinds.count()) or kinds.select("item_id", (F.col("item_id") + 1).alias("score")))
+    assert seen == [2] and sorted(map(tuple, out.collect())) == [(k, 2) for k in range(1, 41)] + [(k, 42) for k in range(41, 44)]
+    part.where("p_name is not null").write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("e01_e02_registry_choice", "e02_registry_choice_whole_levenshtein", "e03_e06_search_choice", "e12_listing_scores", "e09_two_phase", "e07_e08_deep_choice"):
+        got = QUERIES[name](spark, str(tmp_path)).collect()
+        assert sorted(r["item_id"] for r in got) == list(range(1, 41)) and len({tuple(v for k, v in r.asDict().items() if k != "item_id").__repr__() for r in got}) == 1
+
+
 def test_ratio_bounds_hold(spark):
     import random
 
