@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prodlake.functions.rich_text import parse, rich_text
+from prodlake.functions.rich_text import parse, parsed_text, rich_text
 from prodlake.functions.text import blank, changed_fields, display_text, trim_space
 from prodlake.operators.official import compact_text, dedupe_labelled, guidance_text
 
@@ -39,7 +39,7 @@ def interaction(text: Column) -> Column:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def health_texts(values: pd.Series) -> pd.Series:
     """T-18: each text of a list by itself."""
-    return values.map(lambda texts: None if texts is None else [parse(t)["text"] for t in texts])
+    return values.map(lambda texts: None if texts is None else [parsed_text(t) for t in texts])
 
 
 def string_list(x: Column, tidy=lambda t: t) -> Column:

@@ -103,3 +103,15 @@ def test_wide_spans_and_deep_tables():
     assert rich_text._span("٣", 9) == 3 and rich_text._span("²", 9) == 1 and rich_text._span("0", 9) == 1
     deep = rich_text.parse("<table><tr><td>x" * 3000 + "</td></tr></table>" * 3000)
     assert deep["text"].count("x") == 3000
+
+
+def test_recurring_texts_are_parsed_once(monkeypatch):
+    """A text that recurs is parsed once; one without tags and references is not walked as markup; long ones are not kept."""
+    from prodlake.functions import rich_text as R
+
+    walked = []
+    tree = R._tree
+    monkeypatch.setattr(R, "_tree", lambda text: walked.append(text) or tree(text))
+    R._known_text.cache_clear()
+    assert [R.parsed_text(t) for t in ["<p>twice</p>"] * 3 + ["plain  text", None, "", "a &amp; b", "x" * 2000]] == ["twice"] * 3 + ["plain text", "", "", "a & b", "x" * 2000]
+    assert walked == ["<p>twice</p>", "a & b"] and R._known_text.cache_info().currsize == 3
