@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.session import shared_dir, ship, stash
+from prodlake.session import lean_batches, shared_dir, stash
 
 
 def clear_stash(spark: SparkSession) -> None:
@@ -20,13 +20,6 @@ def clear_stash(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def lean_batches(spark: SparkSession) -> None:
-    """Arrow batches of some megabytes at most, whatever the length of the texts; workers that know this package."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-
-
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of a piece stay under `limit` bytes (or the piece is one row)."""
     for batch in batches:

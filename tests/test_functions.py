@@ -115,3 +115,12 @@ def test_recurring_texts_are_parsed_once(monkeypatch):
     R._known_text.cache_clear()
     assert [R.parsed_text(t) for t in ["<p>twice</p>"] * 3 + ["plain  text", None, "", "a &amp; b", "x" * 2000]] == ["twice"] * 3 + ["plain text", "", "", "a & b", "x" * 2000]
     assert walked == ["<p>twice</p>", "a & b"] and R._known_text.cache_info().currsize == 3
+
+
+def test_batches_of_every_query_are_bounded(spark, small):
+    """Queries that go by the entry point hold a thousand pages or 8 MB in a worker, not ten thousand pages."""
+    import __spark_entry__ as entry
+
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    entry.queries()["t16_rich_text"](spark, small)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
