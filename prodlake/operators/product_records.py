@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodlake.functions.text import blank, trim_space
+from prodlake.session import stash
 
 # Fields of a product.
 TEXT_FIELDS = (
@@ -35,32 +36,39 @@ def product_errors(records: DataFrame, place: str, record: str) -> DataFrame:
 
     Codes: not_an_object, unknown_field:<name>, not_text:<field>, empty:<field>, price_not_positive, order_not_positive,
     repeated_id, repeated_document_id. A record that is no object, or not JSON, has the first code alone. The first
-    record of an id is the one of the smallest place.
+    record of an id is the one of the smallest place. Records are parsed once; what was found is written to the shared folder.
     """
     value = F.col("_value")
     kind = lambda field: F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant"))
-    text = lambda field: F.try_variant_get(value, f"$.{field}", "string")
-    is_text = lambda field: F.coalesce(kind(field) == "STRING", F.lit(False))
     number = lambda field: F.when(kind(field).rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, f"$.{field}", "double"))
-    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    unknown = F.filter(keys, lambda k: ~k.isin(*TEXT_FIELDS, *OTHER_FIELDS) & ~F.startswith(k, F.lit("official_")))
-    price, order = number("displayed_price_krw"), number("source_order")
+    # each step is a few expressions over the last one's columns, and no filter stands above them: a rule that asks again,
+    # or a filter that moves below, would parse the record once more
+    parsed = records.select(F.col(place).alias("place"), F.col(record).alias(record)).withColumn("_value", F.try_parse_json(record))
+    asked = parsed.select(
+        "place",
+        F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False)).alias("_object"),
+        F.coalesce(F.json_object_keys(record), F.array().cast("array<string>")).alias("_keys"),
+        F.array(*[F.when(kind(f) == "STRING", F.try_variant_get(value, f"$.{f}", "string")) for f in TEXT_FIELDS]).alias("_texts"),
+        number("displayed_price_krw").alias("_price"),
+        number("source_order").alias("_order"),
+    )
+    text = lambda field: F.get("_texts", F.lit(TEXT_FIELDS.index(field)))
+    unknown = F.filter("_keys", lambda k: ~k.isin(*TEXT_FIELDS, *OTHER_FIELDS) & ~F.startswith(k, F.lit("official_")))
+    order = F.col("_order")
     codes = [
-        *[F.when(~is_text(f), F.lit(f"not_text:{f}")) for f in TEXT_FIELDS],
-        *[F.when(is_text(f) & (trim_space(text(f)) == ""), F.lit(f"empty:{f}")) for f in TEXT_FIELDS if f not in MAY_BE_EMPTY],
-        F.when(~F.coalesce(price > 0, F.lit(False)), F.lit("price_not_positive")),
+        *[F.when(text(f).isNull(), F.lit(f"not_text:{f}")) for f in TEXT_FIELDS],
+        *[F.when(~text(f).rlike(r"(?U)\S"), F.lit(f"empty:{f}")) for f in TEXT_FIELDS if f not in MAY_BE_EMPTY],
+        F.when(~F.coalesce(F.col("_price") > 0, F.lit(False)), F.lit("price_not_positive")),
         F.when(~F.coalesce((order > 0) & (order == F.floor(order)), F.lit(False)), F.lit("order_not_positive")),
     ]
     found = F.concat(F.transform(unknown, lambda k: F.concat(F.lit("unknown_field:"), k)), F.filter(F.array(*codes), lambda c: c.isNotNull()))
-    parsed = records.select(F.col(place).alias("place"), F.col(record).alias(record)).withColumn("_value", F.try_parse_json(record))
-    is_object = F.coalesce(F.startswith(F.schema_of_variant("_value"), F.lit("OBJECT")), F.lit(False))
-    tagged = parsed.withColumn("_object", is_object)
-    own = tagged.select("place", F.explode(F.when(F.col("_object"), found).otherwise(F.array(F.lit("not_an_object")))).alias("code"))
-    out = own
+    ids = [F.when(F.col("_object"), text(f)).alias(f) for f in ("id", "document_id")]
+    judged = stash(asked.select("place", F.when(F.col("_object"), found).otherwise(F.array(F.lit("not_an_object"))).alias("codes"), *ids))
+    out = judged.select("place", F.explode("codes").alias("code"))
     for field, code in (("id", "repeated_id"), ("document_id", "repeated_document_id")):
-        ids = tagged.where(F.col("_object") & is_text(field)).select("place", text(field).alias("key"))
-        firsts = ids.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
-        out = out.union(ids.join(firsts, "key").where("place > first").select("place", F.lit(code).alias("code")))
+        stated = judged.select("place", F.col(field).alias("key")).where("key is not null")
+        firsts = stated.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+        out = out.union(stated.join(firsts, "key").where("place > first").select("place", F.lit(code).alias("code")))
     return out
 
 

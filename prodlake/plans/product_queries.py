@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from prodlake.operators.product_records import baseline_errors, portable_records, product_errors, research_errors
 from prodlake.plans.registry import query
-from prodlake.session import CATALOG, CATALOG_SQL, table
+from prodlake.session import CATALOG, CATALOG_SQL, spread, table
 
 _TEXTS = (
     "document_id id name capacity category price etc updated app_id app_name app_capacity app_category app_price app_etc app_updated document_create_time document_update_time"
@@ -39,7 +39,8 @@ _RECORD = (
     union all select place, case f when 'id' then 'repeated_id' else 'repeated_document_id' end from (select *, row_number() over (partition by f, v order by place) as rn from t where f in ('id', 'document_id')) where rn > 1""",
 )
 def raw_errors(spark, sf_dir):
-    return product_errors(table(spark, sf_dir, "part").selectExpr("p_partkey as place", f"{_RECORD} as record"), "place", "record")
+    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    return product_errors(part.selectExpr("p_partkey as place", f"{_RECORD} as record"), "place", "record")
 
 
 _OFFICIAL = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from prodlake.operators.product_records import baseline_errors, portable_records, product_errors
+from prodlake.operators.product_records import TEXT_FIELDS, baseline_errors, portable_records, product_errors
 
 FIELDS = ["id", "name", "official_match_status", "official_content"]
 
@@ -30,6 +30,15 @@ def test_empty_products(spark):
     assert (1, "unknown_field:more") in got and (1, "not_text:id") in got and (1, "price_not_positive") in got and not any("official_x" in c for _, c in got)
 
 
+def test_a_record_is_parsed_once(spark):
+    """Before, each branch of the plan parsed it for itself, and filters once more for every field they asked."""
+    full = {f: "x" for f in TEXT_FIELDS} | {"displayed_price_krw": 1, "source_order": 1}
+    found = product_errors(rows(spark, [full, full | {"name": " \u3000", "etc": " "}, full | {"id": None}]), "place", "record")
+    assert "parseJson" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = {(2, "empty:name"), (2, "repeated_id"), (3, "not_text:id"), *((k, "repeated_document_id") for k in (2, 3))}
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_a_portable_record_of_few_columns(spark):
     df = spark.createDataFrame([("d", " n ", None, 5, "confirmed"), (None, None, "c", None, "x")], "document_id string, name string, capacity string, price int, official_match_status string")
     one, two = (r.asDict(recursive=True) for r in portable_records(df).orderBy("product_id", ascending=False).collect())
