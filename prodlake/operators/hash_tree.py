@@ -78,7 +78,7 @@ def marker_errors(markers: DataFrame, expected: DataFrame, files: DataFrame) ->
     """V-11, V-14: (set, code) of all that is wrong with the markers of batch sets.
 
     markers: set, marker (JSON). expected: set, baseline_sha256, baseline_count, batch_count, fields_sha256, size (places of a
-    batch). files: set, file_name, sha256 of the files that are there. Codes: not_an_object, marker_keys, not_complete,
+    batch). files: set, file_name, sha256 of the files that are there, a name once in a set. A set's files are one row beside its marker. Codes: not_an_object, marker_keys, not_complete,
     baseline_sha256, baseline_count, batch_count, field_union_sha256, generated_at, batches, set_id, and of an
     entry, by its number from 1, entry_keys:<n>, entry:<n>:<key>, missing_file:<n>, changed_file:<n>. A marker with other keys has
     the first two codes alone, an entry with other keys only entry_keys.
@@ -87,12 +87,21 @@ def marker_errors(markers: DataFrame, expected: DataFrame, files: DataFrame) ->
     keys = lambda text: F.array_sort(F.coalesce(F.json_object_keys(text), F.array().cast("array<string>")))
     exactly = lambda text, names: keys(text) == F.array(*[F.lit(n) for n in sorted(names)])
     kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit(""))
-    joined = markers.join(expected, "set").withColumn("_m", F.try_parse_json("marker"))
-    joined = joined.withColumns({"_object": F.startswith(kind(F.col("_m")), F.lit("OBJECT")), "_keys": exactly(F.col("marker"), MARKER_KEYS)})
-    m, whole = F.col("_m"), F.col("_object") & F.col("_keys")
-    entries = F.coalesce(get(m, "batches", "array<variant>"), F.array().cast("array<variant>"))
-    listed = F.startswith(kind(get(m, "batches", "variant")), F.lit("ARRAY")) & (F.size(entries) == F.col("batch_count"))
     differs = lambda found, wanted: ~found.eqNullSafe(wanted)
+    there = files.groupBy("set", "file_name").agg(F.min("sha256").alias("sha256")).groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("file_name", "sha256"))).alias("_there"))
+    # each step asks the last one's columns, and no filter stands above the parse, which would move below it and parse again
+    joined = markers.join(expected, "set").join(there, "set", "left").withColumn("_m", F.try_parse_json("marker"))
+    m = F.col("_m")
+    told = joined.withColumns(
+        {
+            "_object": F.startswith(kind(m), F.lit("OBJECT")),
+            "_keys": exactly(F.col("marker"), MARKER_KEYS),
+            "_entries": F.when(F.startswith(kind(get(m, "batches", "variant")), F.lit("ARRAY")), get(m, "batches", "array<variant>")),
+            "_there": F.coalesce("_there", F.create_map().cast("map<string,string>")),
+        }
+    )
+    whole = F.col("_object") & F.col("_keys")
+    listed = F.coalesce(F.size("_entries") == F.col("batch_count"), F.lit(False))
     own = [
         F.when(~F.col("_object"), "not_an_object"),
         F.when(F.col("_object") & ~F.col("_keys"), "marker_keys"),
@@ -104,32 +113,37 @@ def marker_errors(markers: DataFrame, expected: DataFrame, files: DataFrame) ->
         F.when(whole & ((kind(get(m, "generated_at", "variant")) != "STRING") | (F.trim(F.coalesce(get(m, "generated_at"), F.lit(""))) == "")), "generated_at"),
         F.when(whole & ~listed, "batches"),
     ]
-    by_marker = joined.select("set", F.explode(F.filter(F.array(*own), lambda c: c.isNotNull())).alias("code"))
-    each = joined.where(whole & listed).select("set", "size", F.posexplode(entries).alias("_i", "_e"))
-    each = each.withColumns({"_n": F.col("_i") + 1, "_name": F.format_string("batch-%02d", F.col("_i") + 1), "_fine": exactly(F.to_json("_e"), ENTRY_KEYS)})
-    e = F.col("_e")
-    entry = each.select(
-        "set", "_n", "_name", "_fine", F.concat("_name", F.lit(".json")).alias("file_name"), get(e, "sha256").alias("stated"),
-        F.array(
-            *[
-                F.when(differs(get(e, key, how), wanted), key)
-                for key, how, wanted in (
-                    ("batch_id", "string", F.col("_name")), ("file_name", "string", F.concat("_name", F.lit(".json"))), ("product_count", "long", F.col("size").cast("long")),
-                    ("source_order_start", "long", (F.col("_i") * F.col("size") + 1).cast("long")), ("source_order_end", "long", (F.col("_n") * F.col("size")).cast("long")),
-                )
-            ]
-        ).alias("_wrong"),
-    )
-    found = entry.join(files.select("set", "file_name", F.col("sha256").alias("actual")), ["set", "file_name"], "left")
-    named = lambda *parts: F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    entry_codes = F.when(~F.col("_fine"), F.array(named("entry_keys", F.col("_n")))).otherwise(
+
+    def entry(e: Column, i: Column) -> Column:
+        name, size = F.format_string("batch-%02d", i + 1), F.col("size").cast("long")
+        file = F.concat(name, F.lit(".json"))
+        wanted = (("batch_id", "string", name), ("file_name", "string", file), ("product_count", "long", size), ("source_order_start", "long", i * size + 1), ("source_order_end", "long", (i + 1) * size))
+        wrong = F.array(*[F.when(differs(get(e, key, how), value), key) for key, how, value in wanted])
+        return F.struct(
+            (i + 1).cast("string").alias("n"),
+            exactly(F.to_json(e), ENTRY_KEYS).alias("fine"),
+            F.filter(wrong, lambda k: k.isNotNull()).alias("wrong"),
+            get(e, "sha256").alias("stated"),
+            F.try_element_at("_there", file).alias("actual"),
+        )
+
+    found = told.select(
+        "set",
+        "baseline_sha256",
+        F.when(whole, get(m, "set_id")).alias("set_id"),
+        F.filter(F.array(*own), lambda c: c.isNotNull()).alias("own"),
+        (whole & listed).alias("listed"),
+        F.when(whole & listed, F.transform("_entries", entry)).otherwise(F.array()).alias("entries"),
+    )
+    named = lambda *parts: F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    none = F.array().cast("array<string>")
+    entry_codes = lambda e: F.when(~e["fine"], F.array(named("entry_keys", e["n"]))).otherwise(
         F.concat(
-            F.transform(F.filter("_wrong", lambda k: k.isNotNull()), lambda k: named("entry", F.col("_n"), k)),
-            F.when(F.col("actual").isNull(), F.array(named("missing_file", F.col("_n")))).when(differs(F.col("stated"), F.col("actual")), F.array(named("changed_file", F.col("_n")))).otherwise(F.array().cast("array<string>")),
+            F.transform(e["wrong"], lambda k: named("entry", e["n"], k)),
+            F.when(e["actual"].isNull(), F.array(named("missing_file", e["n"]))).when(differs(e["stated"], e["actual"]), F.array(named("changed_file", e["n"]))).otherwise(none),
         )
     )
-    by_entry = found.select("set", F.explode(entry_codes).alias("code"))
-    hashes = found.groupBy("set").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "actual"))), lambda x: x["actual"]).alias("_hashes"), F.min("_fine").alias("_fine"), F.count("actual").alias("_there"), F.count("*").alias("_all"))
-    sets = joined.where(whole).join(hashes, "set").where(F.col("_fine") & (F.col("_there") == F.col("_all")))
-    by_set = sets.where(differs(get(m, "set_id"), set_hash(F.col("baseline_sha256"), F.col("_hashes")))).select("set", F.lit("set_id").alias("code"))
-    return by_marker.union(by_entry).union(by_set)
+    complete = F.col("listed") & (F.size("entries") > 0) & F.forall("entries", lambda e: e["fine"] & e["actual"].isNotNull())
+    other_id = differs(F.col("set_id"), set_hash(F.col("baseline_sha256"), F.transform("entries", lambda e: e["actual"])))
+    codes = F.concat("own", F.flatten(F.transform("entries", entry_codes)), F.when(complete & other_id, F.array(F.lit("set_id"))).otherwise(none))
+    return found.select("set", F.explode(codes).alias("code"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from prodlake.operators.hash_tree import hash_tree, marker_errors, tree_changes
 from prodlake.plans.registry import query
-from prodlake.session import table
+from prodlake.session import spread, table
 
 
 @query(
@@ -63,7 +63,7 @@ _MARKER = (
 def markers(spark, sf_dir):
     """A set of three batches for each customer, whose marker is wrong in one way or another."""
     inner = "concat('{\"baseline_sha256\":\"', sha2('base', 256), '\",\"batch_sha256\":[\"', " + ", '\",\"', ".join(_sha(_FILE.format(i=i)) for i in (1, 2, 3)) + ", '\"]}')"
-    sets = table(spark, sf_dir, "customer").selectExpr("c_custkey as k").selectExpr("k", f"sha2({inner}, 256) as set_id")
+    sets = spread(table(spark, sf_dir, "customer").selectExpr("c_custkey as k")).selectExpr("k", f"sha2({inner}, 256) as set_id")
     made = sets.selectExpr("k as set", f"{_sha(_MARKER)} as marker")
     expected = sets.selectExpr("k as set", "sha2('base', 256) as baseline_sha256", "30L as baseline_count", "3L as batch_count", "sha2('fields', 256) as fields_sha256", "10 as size")
     each = sets.select("k", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("i")).where("(k + i) % 71 <> 18")

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from prodlake.operators.hash_tree import hash_tree, set_hash, tree_changes
+from prodlake.operators.hash_tree import hash_tree, marker_errors, set_hash, tree_changes
 
 
 def root(leaves, fan):
@@ -58,3 +58,22 @@ def test_set_hash(spark):
 
     got = spark.range(1).select(set_hash(F.lit("b"), F.array(F.lit("x"), F.lit("y")))).first()[0]
     assert got == hashlib.sha256(json.dumps({"baseline_sha256": "b", "batch_sha256": ["x", "y"]}, separators=(",", ":")).encode()).hexdigest()
+
+
+def test_a_marker_is_parsed_once(spark):
+    """Before, it was parsed in each of four branches, and in filters below them."""
+    import json
+
+    hashes = ["h1", "h2"]
+    entries = [{"batch_id": f"batch-0{i}", "file_name": f"batch-0{i}.json", "sha256": h, "product_count": 5, "source_order_start": 5 * i - 4, "source_order_end": 5 * i} for i, h in enumerate(hashes, 1)]
+    own = hashlib.sha256(json.dumps({"baseline_sha256": "b", "batch_sha256": hashes}, separators=(",", ":")).encode()).hexdigest()
+    fine = {"schema_version": "1.0", "complete": True, "set_id": own, "generated_at": "now", "baseline_sha256": "b", "baseline_count": 10, "batch_count": 2, "field_union_sha256": "f", "batches": entries}
+    markers = [fine, fine | {"set_id": "x"}, fine | {"batches": [entries[0] | {"sha256": "no"}, {"batch_id": 1}]}, fine | {"batches": 3}, [], fine, fine | {"set_id": None}]
+    made = spark.createDataFrame([(k, json.dumps(x)) for k, x in enumerate(markers)], "set long, marker string")
+    expected = made.selectExpr("set", "'b' as baseline_sha256", "10L as baseline_count", "2L as batch_count", "'f' as fields_sha256", "5 as size")
+    files = spark.createDataFrame([(k, f"batch-0{i}.json", h) for k in range(len(markers)) for i, h in enumerate(hashes, 1) if k != 5], "set long, file_name string, sha256 string")
+    found = marker_errors(made, expected, files)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    want = {(1, "set_id"), (2, "changed_file:1"), (2, "entry_keys:2"), (3, "batches"), (4, "not_an_object"), (5, "missing_file:1"), (5, "missing_file:2"), (6, "set_id")}
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
