@@ -9,7 +9,7 @@ from prodlake.functions.names import judged, variants
 from prodlake.operators import official as O
 from prodlake.operators.resolve import deep_choice, each_kind_once, search_choice
 from prodlake.plans.registry import query
-from prodlake.session import CATALOG_SQL, catalog, table
+from prodlake.session import CATALOG_SQL, catalog, spread, table
 
 SOURCE = O.Source("parts", "d1", "drug", "https://api.example.org/items", "item_seq", ("ITEM_SEQ", "item_seq"), ("ITEM_NAME", "item_name"), ("ENTP_NAME",), ("PACK_UNIT",), (), ("BIG_IMG",))
 
@@ -231,9 +231,10 @@ def form_groups(spark, sf_dir):
     pick = lambda n: F.element_at(F.array(*[F.lit(w) for w in words]), (n % len(words) + 1).cast("int"))
     stem, key = F.expr(_STEM), F.col("p_partkey")
     ending = F.when(key % 3 == 0, "").when(key % 3 == 1, "에스").otherwise("골드")
-    names = table(spark, sf_dir, "part").select("p_partkey", F.concat(stem, pick(key), ending).alias("name"), F.concat(stem, pick(F.floor(key / 7))).alias("other"))
-    mine = text_facts(names, "name").withColumnRenamed("facts", "m")
-    both = text_facts(mine, "other").withColumnRenamed("facts", "t")
+    names = spread(table(spark, sf_dir, "part").select("p_partkey")).select("p_partkey", F.concat(stem, pick(key), ending).alias("name"), F.concat(stem, pick(F.floor(key / 7))).alias("other"))
+    asked = ("spelled", "brands", "form")
+    mine = text_facts(names, "name", asked).withColumnRenamed("facts", "m")
+    both = text_facts(mine, "other", asked).withColumnRenamed("facts", "t")
     return both.select(
         "p_partkey", "name", F.col("m.form").alias("form"), F.col("t.form").alias("other_form"), F.array_join("m.brands", ",").alias("brand"), forms_conflict(F.col("m.form"), F.col("m.spelled"), F.col("t.form"), F.col("t.spelled")).alias("conflict")
     )
