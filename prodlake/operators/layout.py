@@ -60,12 +60,14 @@ def band_pairs(anchors: DataFrame, boxes: DataFrame, pages: list[str], x: str, y
     placed = named.withColumns({"_cy": F.floor(F.col("box_y") / height).cast("long"), "_cx": column})
     cell = [*pages, "_cy", "_cx"]
     dense = placed.groupBy(*cell).agg(F.count("*").alias("_n")).where(F.col("_n") > DENSE).select(*cell, F.ceil(F.col("_n") / DENSE).cast("int").alias("_shares"))
+    dense = F.broadcast(dense)  # a row for DENSE boxes at most, so that neither side is shuffled to learn its shares
     own = [F.col(c) for c in named.columns if c not in pages]
     dealt = placed.join(dense, cell, "left").withColumn("_share", F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*own), F.col("_shares")).cast("int")))
     asking = anchors.withColumn("_cy", F.explode(_cells(F.col(y) + window.top, F.col(y) + window.bottom, height)))
     asking = asking.withColumn("_cx", F.explode(_cells(F.col(x) + window.left, F.col(x) + window.right, width)) if wide else F.lit(0).cast("long"))
     asking = asking.join(dense, cell, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
-    met = asking.drop("_shares").join(dealt.drop("_shares"), [*cell, "_share"]).drop("_cy", "_cx", "_share")
+    # by a merge at every size: boxes that are broadcast only while they are few would hide what growth costs
+    met = asking.drop("_shares").hint("merge").join(dealt.drop("_shares"), [*cell, "_share"]).drop("_cy", "_cx", "_share")
     dy, dx = F.col("box_y") - F.col(y), F.col("box_x") - F.col(x)
     inside = (dy >= window.top) & (dy <= window.bottom)
     return met.where(inside & (dx >= window.left) & (dx <= window.right) if wide else inside)
@@ -83,8 +85,10 @@ def catalogue_lines(lines: DataFrame, pages: list[str], place: str) -> DataFrame
     the right begins a row: lines to its left at its height are the name, from left to right; the category is the line
     below that is nearest to where it should be. confidence is the mean of all lines used, to four places.
     """
-    texts = lines.select(*pages, F.col(place).alias("place"), clean_line(F.col("text")).alias("text"), F.col("score").cast("double").alias("score"), *[F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
-    usable = texts.where((F.col("text") != "") & (F.col("score") >= LEAST_CONFIDENCE)).withColumn("cy", (F.col("y1") + F.col("y2")) / 2).select(*pages, "place", "text", "score", "x1", "cy")
+    # a filter over a text that is made moves below the making and makes it once more: blank lines go as they came
+    told = lines.where((F.col("score") >= LEAST_CONFIDENCE) & F.col("text").rlike(r"(?U)\S"))
+    texts = told.select(*pages, F.col(place).alias("place"), clean_line(F.col("text")).alias("text"), F.col("score").cast("double").alias("score"), *[F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    usable = texts.withColumn("cy", (F.col("y1") + F.col("y2")) / 2).select(*pages, "place", "text", "score", "x1", "cy")
     digits = F.replace("text", F.lit(" "), F.lit(""))
     price = F.when(digits.rlike(PRICE), F.replace(digits, F.lit(","), F.lit("")).cast("decimal(38,0)"))
     anchors = usable.where(F.col("x1") >= PRICE_FROM).withColumn("price", price).where(F.col("price").between(LEAST_PRICE, MOST_PRICE))
@@ -94,7 +98,7 @@ def catalogue_lines(lines: DataFrame, pages: list[str], place: str) -> DataFrame
     dy = F.col("box_y") - F.col("cy")
     in_row = (F.abs(dy) <= SAME_ROW) & ~F.col("text").isin(*BUTTONS)
     below = (F.col("box_x") < CATEGORY_TO) & (dy >= CATEGORY_NEAR) & (dy <= CATEGORY_FAR) & (F.length("text") <= CATEGORY_LENGTH)
-    found = near.groupBy(*pages, "price_place").agg(
+    found = near.where(in_row | below).groupBy(*pages, "price_place").agg(
         F.first("price").alias("price"),
         F.array_sort(F.collect_list(F.when(in_row, F.struct("box_x", "place", "text", "score")))).alias("row"),
         F.min(F.when(below, F.struct(F.abs(dy - CATEGORY_AT).alias("far"), "box_x", "place", "text", "score"))).alias("below"),
@@ -105,12 +109,12 @@ def catalogue_lines(lines: DataFrame, pages: list[str], place: str) -> DataFrame
     used = F.concat(F.array("price_score"), F.transform("row", lambda r: r["score"]), F.when(F.col("below").isNotNull(), F.array("below.score")).otherwise(F.array().cast("array<double>")))
     mean = F.aggregate(used, F.lit(0.0), lambda a, s: a + s) / F.size(used)
     name = F.when((F.col("_size") == "") | (F.col("_before") == ""), F.col("_raw")).otherwise(F.col("_before"))
-    whole = named.where((F.length(compact(name)) >= 2) & name.rlike("[A-Za-z가-힣]"))
-    return whole.select(
+    whole = (F.length(compact(F.col("_name"))) >= 2) & F.col("_name").rlike("[A-Za-z가-힣]")
+    return named.withColumn("_name", name).select(
         *pages,
         F.col("price_place").alias("place"),
         "price",
-        name.alias("name"),
+        F.explode(F.when(whole, F.array("_name"))).alias("name"),  # no filter, for the same reason
         F.col("_size").alias("specification"),
         F.coalesce("below.text", F.lit(NO_CATEGORY)).alias("category"),
         F.bround(mean, 4).alias("confidence"),

@@ -26,7 +26,10 @@ _SQL = f"rows as ({_ROWS.format(price="format('{:,}', (l_partkey * 37) % 5000 *
 def _lines(spark, sf_dir):
     table(spark, sf_dir, "lineitem").createOrReplaceTempView("layout_lineitem")
     rows = _ROWS.format(price="format_number((l_partkey * 37) % 5000 * 11, 0)", once=_ONCE.format(lineitem="layout_lineitem"))
-    return spark.sql(f"with rows as ({rows}) {_LINES}")
+    kinds = ", ".join(f"named_struct('kind', {kind}, 'text', {text}, 'x1', {x}, 'y1', {y})" for kind, x, y, text in _KINDS)
+    # one pass over the rows: a union of four would group lineitem once for each kind of line
+    each = f"select page, 4 * n + line.kind as place, line.text as text, 0.375D + (l_orderkey % 40) / 64.0D as score, line.x1 as x1, line.y1 as y1 from rows lateral view explode(array({kinds})) as line"
+    return spark.sql(f"with rows as ({rows}), lines as ({each}) select *, x1 + 60 as x2, y1 + 20 as y2 from lines")
 
 
 @query(

@@ -44,3 +44,14 @@ def test_a_row_of_a_screen(spark):
     ]
     got = catalogue_lines(spark.createDataFrame(rows, "frame string, k int, text string, score double, x1 int, y1 int, x2 int, y2 int"), ["frame"], "k").collect()
     assert {tuple(r) for r in got} == {("f", 3, 1200, "게보린정", "10정", "진통제", 0.85, 4), ("i", 3, 2500, "파스l연고", "", "미분류", 0.6, 2)}
+
+
+def test_plans_hold_each_step_once(spark, small):
+    """Before, lineitem was grouped for every kind of line, both sides were shuffled to learn shares, and filters repeated the patterns of names."""
+    from prodlake.plans import QUERIES
+
+    plan = QUERIES["j12_band_pairs"](spark, small)._jdf.queryExecution()
+    assert plan.optimizedPlan().collectLeaves().size() == 4  # anchors, boxes, and the dense cells beside each
+    assert plan.sparkPlan().toString().count("BroadcastHashJoin") == 2 and plan.sparkPlan().toString().count("SortMergeJoin") == 1
+    lines = QUERIES["j12_catalogue_lines"](spark, small)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("regexp" in x for x in lines if "Filter" in x and "collect_list" in x or "Filter" in x and "array_join" in x)
