@@ -6,7 +6,8 @@ each band the token universe is cut into m segments; two linked sets differ in a
 some segment differs in no token, or, where a segment indexes its one-deletion neighbourhood or the
 subsets of two of its three cells, in at most one. Per band the numbers of segments of each kind are
 those of least cost: index entries plus expected comparisons by chance among the band's sets, from the
-measured band histogram. Entries of fewer than two tokens are spared wherever that loses no link.
+measured band histogram. Entries of fewer than two tokens, or of none but frequent ones, are spared wherever
+that loses no link: a line that many documents hold would else chain them all into one family.
 
 The sorted index gives candidates as stars (document, smallest document of the entry), never as all pairs.
 Stars are joined into families; the documents of a family are compared exactly, in pairs of blocks of
@@ -34,8 +35,10 @@ from prodlake.llm.session import carried, components, pieces, shared_runs, stash
 
 #: Documents and tokens of a block; two blocks are compared in one task at a time.
 BLOCK, BLOCK_TOKENS = 256, 200_000
-#: Partitions of the universe that a set may try.
+#: Partitions of the universe that a set may try, with entries that hold an infrequent token, and then with any.
 ROUNDS = 6
+#: Frequent tokens: those that so many of about so many sampled sets hold, and how many are told apart at most.
+HELD_BY, SAMPLE, FREQUENT = 8, 32_768, 32_768
 _SEED = U64(0x5851F42D4C957F2D)
 
 
@@ -138,42 +141,66 @@ def _salts(e: int, m: int, turn: int) -> np.ndarray:
     return mix(np.arange(m, dtype=U64) + (U64(e + 1) << U64(32)) + (U64(turn) << U64(56)))
 
 
-def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int]]) -> np.ndarray:
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which tokens stand in `known`, which ascends."""
+    if not len(known):
+        return np.zeros(len(tokens), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+
+
+def signatures(tokens: np.ndarray, percent: int, plan: dict[int, tuple[int, int, int]], frequent: np.ndarray = U64([])) -> np.ndarray:
     """Index entries of one set in the schemes of its band and of the next.
 
-    Entries over fewer than two tokens agree by chance. A segment is safe if whatever entry it shares with
-    a set that agrees with it there has two tokens or more. Linked sets agree on segments of more than
-    `weight - 1 - d` weight, d being the most tokens in which they differ; so a set whose unsafe segments
-    weigh no more than that meets every linked set by an entry of two tokens or more. A set that has more
-    takes another round with another partition of the universe; two linked sets that fail in all rounds
-    meet in the last, where such sets enter everything.
+    Entries over fewer than two tokens, or over `frequent` ones alone, agree by chance; an entry is good
+    otherwise. A segment is safe if whatever entry it shares with a set that agrees with it there is good.
+    Linked sets agree on segments of more than `weight - 1 - d` weight, d being the most tokens in which
+    they differ; so a set whose unsafe segments weigh no more than that meets every linked set by a good
+    entry. A set that has more takes another round with another partition of the universe. After half of
+    the rounds, entries over frequent tokens are good as well; two linked sets that fail in all rounds meet
+    in the last, where such sets enter everything. What is good depends on the entry's tokens and the round
+    alone, so that it is good for both sets, and any choice of frequent tokens gives the same links.
     """
     band = int(np.searchsorted(bands(percent), len(tokens), side="right")) - 1
+    rare = ~_among(tokens, frequent)
+    rounds = 2 * ROUNDS if len(frequent) else ROUNDS
     out = []
     for e in (band, band + 1):
         m, near, parts = plan[e]
         some = slice(near, near + parts)
         spare = m + near + parts - 1 - most_different(len(tokens), int(bands(percent)[e + 1]) - 1, percent)
-        for turn in range(ROUNDS):
-            own = np.sort(mix(tokens + _seeds(ROUNDS)[turn])) if turn else tokens
+        for turn in range(rounds):
+            own = mix(tokens + _seeds(rounds)[turn]) if turn else tokens
+            order = np.argsort(own) if turn else slice(None)
+            own = own[order]
             weight = mix(own + _SEED)
             sums = np.zeros(len(own) + 1, dtype=U64)
             np.cumsum(weight, out=sums[1:])
             at = np.concatenate([[0], np.searchsorted(own, _cuts(m)), [len(own)]])
             cell, held = (sums[at[1:]] - sums[at[:-1]]).reshape(m, 3), np.diff(at).reshape(m, 3)
             whole, n = cell.sum(axis=1, dtype=U64) + _salts(e, m, turn), held.sum(axis=1)
-            unsafe = 2 * int((n[:near] < 3).sum()) + 2 * int((n[some] - held[some].max(axis=1, initial=0) < 2).sum()) + int((n[near + parts :] < 2).sum())
-            everything = turn == ROUNDS - 1 and unsafe > spare
-            least = 0 if everything else 2
+            if turn < ROUNDS and not rare.all():  # of the tokens, those that an entry needs one of
+                needed = rare[order]
+                upto = np.concatenate([[0], np.cumsum(needed)])
+                held_needed = (upto[at[1:]] - upto[at[:-1]]).reshape(m, 3)
+                k = held_needed.sum(axis=1)
+            else:
+                needed, held_needed, k = np.ones(len(own), dtype=bool), held, n
+            unsafe = (
+                2 * int(((n[:near] < 3) | (k[:near] < 2)).sum())
+                + 2 * int(((n[some] - held[some].max(axis=1, initial=0) < 2) | (k[some] - held_needed[some].max(axis=1, initial=0) < 1)).sum())
+                + int(((n[near + parts :] < 2) | (k[near + parts :] < 1)).sum())
+            )
+            everything = turn == rounds - 1 and unsafe > spare
+            good = lambda tokens, needed: (tokens >= 2) & (needed >= 1) | everything
             plain = np.concatenate([whole[:near], whole[near + parts :]])
-            out.append(plain[np.concatenate([n[:near], n[near + parts :]]) >= least])
+            out.append(plain[np.concatenate([good(n, k)[:near], good(n, k)[near + parts :]])])
             if near:  # the first segments carry the neighbourhood: the segment without one of its tokens
                 upto = at[3 * near]
                 segment = np.repeat(np.arange(near), n[:near])
-                out.append((whole[segment] - weight[:upto])[n[segment] > least])
+                out.append((whole[segment] - weight[:upto])[good(n[segment] - 1, k[segment] - needed[:upto])])
             if parts:  # the next ones the subsets: the segment without one of its three cells
                 entry = (whole[some, None] - cell[some] + _seeds(3)).ravel()
-                out.append(entry[(n[some, None] - held[some]).ravel() >= least])
+                out.append(entry[good(n[some, None] - held[some], k[some, None] - held_needed[some]).ravel()])
             if unsafe <= spare:
                 break
     return np.unique(mix(np.concatenate(out)))
@@ -193,7 +220,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         yield pa.record_batch([batch.column(0), size, u64(one), u64(two)], names=["doc_id", "n_shingles", "k1", "k2"])
 
 
-def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 1):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         first: dict[str, int] = {}  # copies of a text in a batch give the same entries: only the smallest id's
@@ -203,13 +230,34 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict
         keys, docs = [], []
         for doc, tokens in zip(first.values(), shingle_sets(list(first), n), strict=True):
             if len(tokens):
-                keys.append(signatures(tokens, percent, plan))
+                keys.append(signatures(tokens, percent, plan, frequent))
                 docs.append(np.full(len(keys[-1]), doc, dtype=np.int64))
         if keys:
             ids = np.concatenate(docs)
             yield pa.record_batch([u64(np.concatenate(keys)), pa.array(ids), pa.array(np.zeros(len(ids), dtype=np.int32))], names=["key", "doc_id", "place"])
 
 
+def _counts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """(token, held): by how many sets of a piece a token is held."""
+    for batch in pieces(batches, 0, 16 << 20):
+        sets = shingle_sets(batch.column(0).to_pylist(), n)
+        tokens, held = np.unique(np.concatenate(sets), return_counts=True)
+        yield pa.record_batch([u64(tokens), pa.array(held, pa.int64())], names=["token", "held"])
+
+
+def frequent_tokens(source: DataFrame, classes: DataFrame, n: int) -> np.ndarray:
+    """Ascending tokens that many of a sample of different sets hold: the sample is bounded, and so is what the driver gets.
+
+    They decide which entries are worth making, not which sets meet (signatures()).
+    """
+    share = max(1, classes.count() // SAMPLE)
+    some = classes.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0).select(F.col("rep").alias("doc_id"))
+    counts = source.join(F.broadcast(some), "doc_id").select("text").mapInArrow(lambda b: _counts(b, n), "token long, held long")
+    found = counts.groupBy("token").agg(F.sum("held").alias("held")).where(F.col("held") >= HELD_BY)
+    rows = found.orderBy(F.desc("held"), "token").limit(FREQUENT).collect()
+    return np.unique(np.array([r["token"] for r in rows], dtype=np.int64).view(U64))
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(x, y, side, doc_id, tokens): the last column of the input is the text."""
     for batch in pieces(batches, 4):
@@ -274,15 +322,8 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one for each row of docs(doc_id, text, ...)."""
-    source = docs.select(*text_of(docs))
-    sketch = stash(
-        source.mapInArrow(lambda b: _sketches(b, n), "doc_id long, n_shingles long, k1 long, k2 long")
-    )
-    classes = stash(
-        sketch.where("doc_id is not null and n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    )
+def candidate_families(source: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Rows (node, root): representatives that share an index entry, directly or by others, have one root."""
     # a row for each band, of which there are fewer than 270 whatever the sizes
     edge = bands(percent)
     band = F.lit(0)
@@ -291,12 +332,23 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         if 0 < e and low <= top:
             band = band + (F.col("n_shingles") >= low).cast("int")
     histogram = {int(r["band"]): int(r["n"]) for r in classes.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
-    plan = plan_bands(histogram, percent)
-    entries = source.where("doc_id is not null").mapInArrow(lambda b: _entries(b, n, percent, plan), "key long, doc_id long, place int")
+    plan, frequent = plan_bands(histogram, percent), frequent_tokens(source, classes, n)
+    entries = source.where("doc_id is not null").mapInArrow(lambda b: _entries(b, n, percent, plan, frequent), "key long, doc_id long, place int")
     stars = shared_runs(entries).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     kept = classes.select(F.col("rep").alias("a"))
-    stars = stash(stars.distinct().join(kept, "a"))
-    families = stash(components(stars))
+    return stash(components(stash(stars.distinct().join(kept, "a"))))
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id), one for each row of docs(doc_id, text, ...)."""
+    source = docs.select(*text_of(docs))
+    sketch = stash(
+        source.mapInArrow(lambda b: _sketches(b, n), "doc_id long, n_shingles long, k1 long, k2 long")
+    )
+    classes = stash(
+        sketch.where("doc_id is not null and n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    )
+    families = candidate_families(source, classes, n, percent)
     tokens = classes.groupBy(F.col("rep").alias("node")).agg(F.max("n_shingles").alias("n_shingles"))
     sizes = families.join(tokens, "node").groupBy("root").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("tokens")).where("members > 1")
     placed = (

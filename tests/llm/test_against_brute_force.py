@@ -50,6 +50,41 @@ def test_no_linked_pair_is_missed_by_the_index():
     assert linked > 300
 
 
+def _random_set(rng, n):
+    return np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).view(np.uint64))
+
+
+def test_no_linked_pair_is_missed_whatever_tokens_are_frequent():
+    rng = np.random.default_rng(11)
+    for n, percent, plan in [(40, 80, None), (150, 80, None), (90, 90, (2, 2)), (200, 80, (6, 5))]:
+        for share in (0.1, 0.5, 1.0):
+            for _ in range(15):
+                a = _random_set(rng, n)
+                gone, new = rng.permutation(len(a)), J.most_different(len(a), len(a), percent) // 2
+                b = np.unique(np.concatenate([a[gone[new:]], _random_set(rng, new)]))
+                assert J.links(len(np.intersect1d(a, b)), len(a) + len(b), percent)
+                frequent = np.unique(a[rng.random(len(a)) < share])
+                e = int(np.searchsorted(J.bands(percent), n, side="right")) - 1
+                plans = J.plan_bands({k: 1000 for k in (e - 1, e, e + 1)}, percent)
+                if plan:
+                    need = J.most_different(int(J.bands(percent)[e + 2]), int(J.bands(percent)[e + 2]), percent) + 1
+                    plans = {k: (need - sum(plan), *plan) for k in plans}
+                assert len(np.intersect1d(J.signatures(a, percent, plans, frequent), J.signatures(b, percent, plans, frequent)))
+
+
+def test_a_line_that_many_documents_hold_makes_no_family(spark):
+    rng = np.random.default_rng(3)
+    line = " ".join(f"common{k}" for k in range(14))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 80)) + " " + line for _ in range(1500)]
+    texts += [t.replace("common13", "other") for t in texts[:5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = docs.select(F.col("doc_id").alias("rep"), F.lit(90).cast("long").alias("n_shingles"))
+    families = J.candidate_families(docs, classes, 5, 80).groupBy("root").count().collect()
+    assert max(r["count"] for r in families) < 20
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(docs, 5, 80).collect()}
+    assert found == {i: i - 1500 if i >= 1500 else i for i in range(1505)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=20), min_size=2, max_size=12))
 def test_block_links_connect_what_brute_force_connects(sets):
