@@ -39,6 +39,8 @@ BLOCK, BLOCK_TOKENS = 256, 200_000
 ROUNDS = 6
 #: Frequent tokens: those that so many of about so many sampled sets hold, and how many are told apart at most.
 HELD_BY, SAMPLE, FREQUENT = 8, 32_768, 32_768
+#: About so many of the sample's tokens are counted together.
+SHARE_TOKENS = 1 << 17
 _SEED = U64(0x5851F42D4C957F2D)
 
 
@@ -237,23 +239,40 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, percent: int, plan: dict
             yield pa.record_batch([u64(np.concatenate(keys)), pa.array(ids), pa.array(np.zeros(len(ids), dtype=np.int32))], names=["key", "doc_id", "place"])
 
 
-def _counts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(token, held): by how many sets of a piece a token is held."""
-    for batch in pieces(batches, 0, 16 << 20):
+def _shares(batches: Iterator[pa.RecordBatch], n: int, shares: int) -> Iterator[pa.RecordBatch]:
+    """(share, tokens, held): a piece's distinct tokens, a row for each share of their range, and by how many of its sets each is held."""
+    cuts = np.array([(k << 64) // shares for k in range(1, shares)], dtype=U64)
+    for batch in pieces(batches, 0):
         sets = shingle_sets(batch.column(0).to_pylist(), n)
         tokens, held = np.unique(np.concatenate(sets), return_counts=True)
-        yield pa.record_batch([u64(tokens), pa.array(held, pa.int64())], names=["token", "held"])
+        at = np.concatenate([[0], np.searchsorted(tokens, cuts), [len(tokens)]])
+        some = np.flatnonzero(np.diff(at))
+        packed = [pa.array([x[at[k] : at[k + 1]].tobytes() for k in some], pa.binary()) for x in (tokens, held.astype(np.int32))]
+        yield pa.record_batch([pa.array(some, pa.int32()), *packed], names=["share", "tokens", "held"])
+
+
+def _often(table: pa.Table) -> pa.Table:
+    """Tokens of one share that enough sets hold."""
+    tokens, held = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t) for c, t in (("tokens", U64), ("held", np.int32)))
+    order = np.argsort(tokens)
+    start = np.flatnonzero(np.diff(tokens[order], prepend=~tokens[order[:1]]))
+    sums = np.add.reduceat(held[order], start, dtype=np.int64)
+    often = sums >= HELD_BY
+    return pa.table({"token": u64(tokens[order[start[often]]]), "held": pa.array(sums[often], pa.int64())})
 
 
 def frequent_tokens(source: DataFrame, classes: DataFrame, n: int) -> np.ndarray:
     """Ascending tokens that many of a sample of different sets hold: the sample is bounded, and so is what the driver gets.
 
-    They decide which entries are worth making, not which sets meet (signatures()).
+    They decide which entries are worth making, not which sets meet (signatures()). Nearly all tokens are held by one set,
+    so they are counted in packed shares of their range: a row a token would fill tables of hundreds of MB in a task.
     """
-    share = max(1, classes.count() // SAMPLE)
-    some = classes.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0).select(F.col("rep").alias("doc_id"))
-    counts = source.join(F.broadcast(some), "doc_id").select("text").mapInArrow(lambda b: _counts(b, n), "token long, held long")
-    found = counts.groupBy("token").agg(F.sum("held").alias("held")).where(F.col("held") >= HELD_BY)
+    sets, tokens = classes.agg(F.count("*"), F.sum("n_shingles")).first()
+    every = max(1, sets // SAMPLE)
+    shares = 1 + (tokens or 0) // every // SHARE_TOKENS
+    some = classes.where(F.pmod(F.xxhash64("rep"), F.lit(every)) == 0).select(F.col("rep").alias("doc_id"))
+    packed = source.join(F.broadcast(some), "doc_id").select("text").mapInArrow(lambda b: _shares(b, n, shares), "share int, tokens binary, held binary")
+    found = packed.groupBy("share").applyInArrow(_often, "token long, held long")
     rows = found.orderBy(F.desc("held"), "token").limit(FREQUENT).collect()
     return np.unique(np.array([r["token"] for r in rows], dtype=np.int64).view(U64))
 

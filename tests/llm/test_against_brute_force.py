@@ -85,6 +85,25 @@ def test_a_line_that_many_documents_hold_makes_no_family(spark):
     assert found == {i: i - 1500 if i >= 1500 else i for i in range(1505)}
 
 
+def test_frequent_tokens_are_counted_without_a_row_for_each_token(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    line = " ".join(f"common{k}" for k in range(14))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 150)) + (" " + line if k % 40 == 0 else "") for k in range(2000)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    classes = docs.select(F.col("doc_id").alias("rep"), F.lit(146).cast("long").alias("n_shingles"))
+    tokens, held = np.unique(np.concatenate(J.shingle_sets(texts, 5)), return_counts=True)
+    for share_tokens in (1 << 14, 1 << 40):
+        monkeypatch.setattr(J, "SHARE_TOKENS", share_tokens, raising=False)
+        group = f"frequent-{share_tokens}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = J.frequent_tokens(docs, classes, 5)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert found.tolist() == tokens[held >= J.HELD_BY].tolist() and len(found) == 10
+        tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        assert sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages) < len(tokens) / 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=20), min_size=2, max_size=12))
 def test_block_links_connect_what_brute_force_connects(sets):
