@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from prodlake.llm.chat import END, TURN, digests, escaped, expanded, unescaped
+from prodlake.llm.chat import END, TURN, _role_back, digests, escaped, examples, expanded, unescaped
 from prodlake.llm.queries import op13_chat_formatting
 
 NASTY = ["</s>", "<s>", "[INST]", "[/INST]", TURN, END, "<|im_start|>", "<<SYS>>", "</s\\>", "<|turn|\\\\>", "\\", "\n", "user", "é", "😀", "<", ">", "]", " "]
@@ -104,3 +104,49 @@ def test_odd_conversations(spark, odd):
     got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in op13_chat_formatting(spark, odd).collect()}
     assert set(got) == {None, -1, 1, 2, 3} and got[1] == (3, 0) and got[3] == (1, 0) and got[None] == (2, 0)
     assert got[2][0] == 4 and got[2][1] > 100_000
+
+
+def read(text):
+    """Turns of a formatted text: roles and texts."""
+    turns = [t.removesuffix(END).partition("\n") for t in text.split(TURN)[1:]]
+    return [(_role_back(head), unescaped(body)) for head, _, body in turns]
+
+
+@pytest.mark.parametrize("block, ranges", [(1, 3), (60, 3), (60, 17), (1 << 14, 3), (1 << 14, 17)])
+def test_every_example_has_all_of_its_context(spark, block, ranges):
+    """Before, a stretch ended where a range of turns ended, and examples behind it held what came after it alone, in ordinary conversations, too."""
+    rows = talks(5)
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = expanded(spark.createDataFrame(rows, SCHEMA).repartition(5), block)
+        pieces = sorted(examples(table).collect(), key=lambda r: (r["conv_id"] is not None, r["conv_id"] or 0, r["example"], r["piece"]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = {}
+    for r in pieces:
+        whole.setdefault((r["conv_id"], r["example"]), []).append(r)
+    got = {}
+    for (conv, _), parts in whole.items():
+        assert all(p["loss_start"] is None for p in parts[:-1]) and (block < 1 << 14 or len(parts) == 1)
+        last = parts[-1]
+        got.setdefault(conv, []).append((read("".join(p["text"] for p in parts)), last["loss_start"] and unescaped(last["text"][last["loss_start"] : last["loss_end"]])))
+    for conv, turns in by_conversation(rows).items():
+        want = [(turns[: k + 1], text) for k, (role, text) in enumerate(turns) if role == "assistant"]
+        assert got.pop(conv) == want + ([(turns, None)] if turns[-1][0] != "assistant" else [])
+    assert not got
+
+
+def test_rows_do_not_depend_on_how_turns_are_spread(spark):
+    rows = [(conv, k, "assistant" if k % 2 else "user", f"turn {k} " + "word " * (conv % 7), "p") for conv in range(40) for k in range(60 if conv % 9 else 400)]
+    found = []
+    for ranges in ("2", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            found.append(sorted(tuple(r) for r in expanded(spark.createDataFrame(rows, SCHEMA).repartition(int(ranges)), 3000).drop("place").collect() if r["loss_start"] is not None))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1]
