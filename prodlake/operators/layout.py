@@ -168,7 +168,7 @@ def _met(usable: DataFrame, pages: list[str]) -> DataFrame:
     row_score, below_text, below_score), without prices whose row has no lines.
 
     usable: pages, place, text, score, x1, middle (the doubled height of a line's middle). A stretch of a page with more than
-    DENSE lines is dealt into shares of its prices; each share gets all lines of the stretch.
+    DENSE lines to the left is dealt into shares of its prices; each share gets all lines of the stretch.
     """
     height = 2 * STRETCH * (SAME_ROW + CATEGORY_FAR)
     digits = F.replace("text", F.lit(" "), F.lit(""))
@@ -180,7 +180,8 @@ def _met(usable: DataFrame, pages: list[str]) -> DataFrame:
     reached = F.sequence(at(F.col("middle") - 2 * CATEGORY_FAR), at(F.col("middle") + 2 * SAME_ROW))
     sent = facts.withColumn("_stretch", F.explode(F.when(F.col("_use") > 0, reached).when(F.col("price").isNotNull(), F.array("_own"))))
     cell = [*pages, "_stretch"]
-    dense = sent.groupBy(*cell).agg(F.count("*").alias("_n")).where(F.col("_n") > DENSE).select(*cell, F.ceil(F.col("_n") / DENSE).cast("int").alias("_shares"))
+    counted = usable.where(F.col("x1") < NAME_TO).select(*pages, F.explode(reached).alias("_stretch")).groupBy(*cell).agg(F.count("*").alias("_n"))
+    dense = counted.where(F.col("_n") > DENSE).select(*cell, F.ceil(F.col("_n") / DENSE).cast("int").alias("_shares"))
     dealt = sent.join(F.broadcast(dense), cell, "left").withColumn("_shares", F.coalesce("_shares", F.lit(1)))
     dealt = dealt.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
     asks = (F.col("_stretch") == F.col("_own")) & (F.pmod(F.xxhash64("place"), F.col("_shares")) == F.col("_share"))
